@@ -6,7 +6,7 @@ import importlib
 
 from tracewell.plans.catalog import ORACLES, QUERIES
 
-SUBJECTS = ("training_data", "agent_runs")
+SUBJECTS = ("training_data", "agent_runs", "benchmark_trials", "names_and_lines")
 
 
 def _load() -> None:

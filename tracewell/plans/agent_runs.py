@@ -26,22 +26,22 @@ REPLIES = V.SQL["agent_replies"]
 # Commands: lines with their marks, then the lines between an opening mark and the next
 # mark, when that one closes.
 LINES = """
-SELECT trial_id, iteration, at, line FROM (
+SELECT trial_id, iteration, pos, line FROM (
   SELECT trial_id, iteration, unnest(string_split(reply, chr(10))) AS line,
-    generate_subscripts(string_split(reply, chr(10)), 1) AS at FROM replies) t"""
+    generate_subscripts(string_split(reply, chr(10)), 1) AS pos FROM replies) t"""
 MARKS = f"""
-SELECT *, lead(at) OVER w AS next_at, lead(opens) OVER w AS next_opens FROM (
-  SELECT trial_id, iteration, at,
+SELECT *, lead(pos) OVER w AS next_pos, lead(opens) OVER w AS next_opens FROM (
+  SELECT trial_id, iteration, pos,
     starts_with({STRIPPED}, '```bash') OR starts_with({STRIPPED}, '```sh') AS opens
   FROM lines
   WHERE {STRIPPED} = '```' OR starts_with({STRIPPED}, '```bash') OR starts_with({STRIPPED}, '```sh')
-) m WINDOW w AS (PARTITION BY trial_id, iteration ORDER BY at)"""
+) m WINDOW w AS (PARTITION BY trial_id, iteration ORDER BY pos)"""
 FOUND = """
-SELECT m.trial_id, m.iteration, m.at AS opened, string_agg(l.line, chr(10) ORDER BY l.at) AS cmd
+SELECT m.trial_id, m.iteration, m.pos AS opened, string_agg(l.line, chr(10) ORDER BY l.pos) AS cmd
 FROM marks m JOIN lines l ON l.trial_id = m.trial_id AND l.iteration = m.iteration
-  AND l.at > m.at AND l.at < m.next_at
+  AND l.pos > m.pos AND l.pos < m.next_pos
 WHERE m.opens AND NOT m.next_opens
-GROUP BY m.trial_id, m.iteration, m.at"""
+GROUP BY m.trial_id, m.iteration, m.pos"""
 CLASSED = """
 SELECT r.*, coalesce(n.n, 0) AS n_commands,
   CASE WHEN r.reply IS NULL THEN 'error'
