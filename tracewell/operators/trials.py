@@ -317,6 +317,14 @@ def artifact_coverage(presence: DataFrame, flags: Sequence[str]) -> DataFrame:
     return presence.groupBy(shape.alias("files")).agg(F.count(F.lit(1)).alias("n_trials"))
 
 
+def coverage_of_files(presence: DataFrame) -> DataFrame:
+    """The same from one row per trial and file; a trial has a handful of files."""
+    shapes = presence.groupBy("trial_name").agg(F.sort_array(F.collect_set("file")).alias("f"))
+    return shapes.groupBy(F.array_join("f", "+").alias("files")).agg(
+        F.count(F.lit(1)).alias("n_trials")
+    )
+
+
 def metric_registry(trials: DataFrame, metrics: dict[str, Column], by: Sequence[str] = ()) -> DataFrame:
     """All named aggregates in one pass."""
     return trials.groupBy(*by).agg(*[c.alias(n) for n, c in metrics.items()])

@@ -6,7 +6,9 @@ import importlib
 
 from tracewell.plans.catalog import ORACLES, QUERIES
 
-SUBJECTS = ("training_data", "agent_runs", "benchmark_trials", "names_and_lines")
+SUBJECTS = (
+    "training_data", "agent_runs", "benchmark_trials", "names_and_lines", "run_files", "live_runs",
+)
 
 
 def _load() -> None:

@@ -14,8 +14,10 @@ from pyspark.sql import functions as F
 
 from tracewell import schemas
 from tracewell.functions import parsing
+from tracewell.functions.names import trial_suffix, trial_task
 from tracewell.functions.text import py_strip
 from tracewell.operators.corpus import relative_parts
+from tracewell.operators.trials import outcome, test_rollup, trial_table
 
 # File names inside a trial folder and inside a job folder.
 RESULT, CONFIG = "result.json", "config.json"
@@ -74,6 +76,14 @@ class RunFolder:
         rows = read_bodies(self.spark, self.root, name)
         return rows.filter(F.size("parts") == 1).select("body")
 
+    def job_lines(self, name: str) -> DataFrame:
+        """Lines of a job file; a long log is read in splits, so lines carry no number."""
+        files = self.spark.read.option("recursiveFileLookup", True).option(
+            "pathGlobFilter", name
+        ).text(self.root)
+        parts = relative_parts(_plain(F.col("_metadata.file_path")), _plain(F.lit(self.root)))
+        return files.filter(F.size(parts) == 1).select(F.col("value").alias("line"))
+
     def presence(self) -> DataFrame:
         """One row per trial and file kind present."""
         parts = list_files(self.spark, self.root).select(
@@ -106,6 +116,10 @@ class PackedRun:
     def job_bodies(self, name: str) -> DataFrame:
         return self.bodies(f"job/{name}").select("body")
 
+    def job_lines(self, name: str) -> DataFrame:
+        """Job files kept by line have one row per line."""
+        return self.bodies(f"job/{name}").select(F.col("body").alias("line"))
+
     def presence(self) -> DataFrame:
         return self._rows().filter(F.col("file").isin(*TRIAL_FILES)).select("trial_name", "file")
 
@@ -124,8 +138,12 @@ def pack(spark: SparkSession, root: str, path: str) -> PackedRun:
         F.when(~is_job, F.get("parts", 0)).alias("trial_name"),
         F.when(is_job, F.concat(F.lit("job/"), F.get("parts", 0))).otherwise(inside).alias("file"),
         "body",
-    ).filter(F.col("file").isin(*TRIAL_FILES, f"job/{CONFIG}", f"job/{JOB_LOG}"))
-    write_packed(named, path)
+    ).filter(F.col("file").isin(*TRIAL_FILES, f"job/{CONFIG}"))
+    log = RunFolder(spark, root).job_lines(JOB_LOG).select(
+        F.lit(None).cast("string").alias("trial_name"), F.lit(f"job/{JOB_LOG}").alias("file"),
+        F.col("line").alias("body"),
+    )
+    write_packed(named.unionByName(log), path)
     return PackedRun(spark, path)
 
 
@@ -200,22 +218,24 @@ def trial_logs(run) -> DataFrame:
 
 
 def job_log(run) -> DataFrame:
-    return parsing.parse_log_lines(_lines(run.job_bodies(JOB_LOG)))
+    return parsing.parse_log_lines(run.job_lines(JOB_LOG))
 
 
 def trial_failures(run) -> DataFrame:
-    """Last failure message per trial, from trial logs and the job log together."""
-    rows = trial_logs(run).select("trial_name", "kind", "line_no", "message").unionByName(
-        job_log(run).select("trial_name", "kind", "line_no", "message")
+    """One failure message per trial, from trial logs and the job log together."""
+    rows = trial_logs(run).select("trial_name", "kind", "message").unionByName(
+        job_log(run).select("trial_name", "kind", "message")
     )
     return (
         rows.filter(F.col("kind") == "trial_failed")
-        .groupBy("trial_name").agg(F.max_by("message", "line_no").alias("failure"))
+        .groupBy("trial_name").agg(F.max("message").alias("failure"))
     )
 
 
 # --- transcripts ---------------------------------------------------------------------
 
+_REST = 1 << 30  # "up to the end" for slice and substring
+
 # Layout of a transcript.
 _WIDE, _NARROW = "=" * 80, "=" * 60
 _PROMPT_HEAD = f"{_WIDE}\nSYSTEM PROMPT\n{_WIDE}\n\n"
@@ -235,13 +255,15 @@ def parse_transcripts(rows: DataFrame) -> DataFrame:
     halves = F.split("body", _LOG_HEAD, 2)
     seed = F.split(F.get("_halves", 0), _TASK_HEAD, 2)
     ending = F.split(F.get("_halves", 1), _END_HEAD, 2)
-    chunks = F.slice(F.split(F.get("_ending", 0), _TURN_HEAD), 2, 2147483647)
-    reply = lambda c: F.when(
-        F.startswith(c, F.lit(_REPLY_MARK)),
-        F.regexp_replace(F.substring(c, len(_REPLY_MARK) + 1, 2147483647), r"\n\n\z", ""),
-    )
+    chunks = F.slice(F.split(F.get("_ending", 0), _TURN_HEAD), 2, _REST)
     end = F.get("_ending", 1)
 
+    def reply(chunk: Column) -> Column:
+        said = F.substring(chunk, len(_REPLY_MARK) + 1, _REST)
+        return F.when(
+            F.startswith(chunk, F.lit(_REPLY_MARK)), F.regexp_replace(said, r"\n\n\z", "")
+        )
+
     def closing(label: str) -> Column:
         value = F.regexp_extract(end, rf"(?m)^{label}: (.*)$", 1)
         return F.when(value != "", value)
@@ -252,7 +274,7 @@ def parse_transcripts(rows: DataFrame) -> DataFrame:
         .withColumn("_ending", ending)
         .select(
             "trial_name",
-            F.substring(F.get("_seed", 0), len(_PROMPT_HEAD) + 1, 2147483647)
+            F.substring(F.get("_seed", 0), len(_PROMPT_HEAD) + 1, _REST)
             .alias("system_prompt"),
             F.get("_seed", 1).alias("instruction"),
             F.transform(chunks, reply).alias("turns"),
@@ -306,9 +328,6 @@ def render_transcript(
 
 def run_trials(run) -> DataFrame:
     """One row per configured trial with everything recorded about it."""
-    from tracewell.functions.names import trial_suffix, trial_task
-    from tracewell.operators.trials import outcome, test_rollup, trial_table
-
     spine = trial_configs(run).select(
         "trial_name",
         F.coalesce(trial_task(F.col("trial_name")), F.col("task.path")).alias("task_name"),
