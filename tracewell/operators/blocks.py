@@ -42,7 +42,13 @@ def position_block(position: Column, rows: int = BLOCK_ROWS) -> Column:
 
 
 def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
-    """Equi join that also matches null keys; keeps the left key columns."""
+    """Equi join that also matches null keys; keeps the left key columns.
+
+    Without keys ``right`` has at most one row, and its columns become scalar subqueries.
+    """
+    if not keys:
+        row = right.select(F.struct(*right.columns)).scalar()
+        return left.withColumns({c: row[c] for c in right.columns})
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
@@ -72,7 +78,8 @@ def time_blocks(
     )
     placed = F.floor((value - F.col("_lo")) / F.nullif(F.col("_width"), F.lit(0.0)))
     number = F.least(F.greatest(placed, F.lit(0)), F.lit(pieces - 1)).cast("long")
-    return join_by(df, F.broadcast(hot), keys).withColumn(
+    listed = F.broadcast(hot) if keys else hot
+    return join_by(df, listed, keys).withColumn(
         out, F.coalesce(number, F.lit(0).cast("long"))
     ).drop("_lo", "_width")
 

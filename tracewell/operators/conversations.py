@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 from tracewell.functions.templates import CHATML, Template
 from tracewell.functions.text import is_blank, truncate_words, words
 from tracewell.operators.blocks import (
-    number_rows, position_block, previous_value, running,
+    join_by, number_rows, position_block, previous_value, running,
 )
 from tracewell.operators.quantiles import exact_quantiles
 
@@ -368,17 +368,17 @@ def token_lengths(df: DataFrame, text: str = "text") -> DataFrame:
 
 def length_report(df: DataFrame, cap: int, text: str = "text", **blocking) -> DataFrame:
     """Length quantiles, maximum and share over the cap."""
-    lengths = token_lengths(df, text).select("n_tokens").withColumn("_all", F.lit(0))
+    lengths = token_lengths(df, text).select("n_tokens")
     quantiles = exact_quantiles(
-        lengths, ["_all"], "n_tokens", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, **blocking
+        lengths, [], "n_tokens", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, **blocking
     )
-    totals = lengths.groupBy("_all").agg(
+    totals = lengths.agg(
         F.count(F.lit(1)).alias("n_rows"),
         F.max("n_tokens").alias("max_tokens"),
         F.count_if(F.col("n_tokens") > cap).alias("n_over_cap"),
         F.avg((F.col("n_tokens") > cap).cast("double")).alias("share_over_cap"),
     )
-    return totals.join(quantiles, "_all").drop("_all")
+    return join_by(totals, quantiles, [])
 
 
 def truncate(df: DataFrame, max_tokens: int, text: str = "text") -> DataFrame:
