@@ -478,7 +478,7 @@ def summary_json(spark, sf):
     rates = B.success_rates(rated_trials(spark, sf))
     summary = rates.select("n_trials", "n_rewarded", "n_tasks", "n_passes")
     summary_document(summary).write.text(path)
-    written = spark.read.option("wholetext", True).text(path)
+    written = spark.read.text(path, wholetext=True)
     shown = first_lines(F.col("value"), 30)
     return written.select(F.regexp_replace(shown, r"\n\z", "").alias("document")).filter(
         "document <> ''"

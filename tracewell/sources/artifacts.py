@@ -46,10 +46,9 @@ def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
 def read_bodies(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
     """Whole files below ``root``: ``parts`` (path components) and ``body``."""
     files = (
-        spark.read.option("wholetext", True)
-        .option("recursiveFileLookup", True)
+        spark.read.option("recursiveFileLookup", True)
         .option("pathGlobFilter", pattern)
-        .text(root)
+        .text(root, wholetext=True)
     )
     path = _plain(F.col("_metadata.file_path"))
     return files.select(
