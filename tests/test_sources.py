@@ -122,7 +122,7 @@ def test_whole_table(run):
     assert len(rows) == 10 and sum(r.has_result for r in rows.values()) == 3
     assert [rows[f"task-{i}__s{i}"].outcome for i in range(10)] == [
         "fail", "pass", "fail", "agent_timeout", "agent_timeout", "no_result", "fail",
-        "agent_timeout", "agent_timeout", "agent_timeout"]
+        "agent_timeout", "verifier_timeout", "verifier_timeout"]
     assert rows["task-1__s1"].all_passed and not rows["task-2__s2"].all_passed
     assert rows["task-0__s0"].n_tests is None
     found = B.reconcile({"same": (F.col("reward"), F.col("result_reward"))})["same"]

@@ -25,12 +25,12 @@ def test_pass_at_k(spark):
 
 
 def test_outcomes(spark):
-    rows = [(1.0, "AgentTimeoutError", None), (0.0, "AgentTimeoutError", None), (0.0, None, None),
+    rows = [(1.0, "AgentTimeoutError", None), (None, "AgentTimeoutError", "Verifier execution timed out x"), (0.0, "AgentTimeoutError", None), (0.0, None, None),
             (None, None, "Verifier execution timed out after 900.0 seconds"),
             (None, "VerifierTimeoutError", None), (None, None, None), (None, None, "other")]
     df = spark.createDataFrame(rows, "r double, e string, f string")
     got = [r[0] for r in df.select(B.outcome(F.col("r"), F.col("e"), F.col("f"))).collect()]
-    assert got == ["pass", "agent_timeout", "fail", "verifier_timeout", "verifier_timeout",
+    assert got == ["pass", "verifier_timeout", "agent_timeout", "fail", "verifier_timeout", "verifier_timeout",
                    "no_result", "no_result"]
 
 

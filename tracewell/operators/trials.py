@@ -50,17 +50,16 @@ def trial_table(spine: DataFrame, key: str, *parts: DataFrame) -> DataFrame:
     return spine
 
 
-def outcome(
-    reward: Column, exc_type: Column, failure: Column
-) -> Column:
-    """A pass beats a late exception; a timeout beats the zero reward that follows it."""
+def outcome(reward: Column, exc_type: Column, failure: Column) -> Column:
+    """A pass beats a late exception. A verifier that timed out left no verdict, whatever
+    the agent did before; an agent timeout explains the zero reward that follows it."""
     return (
         F.when(reward >= 1, "pass")
-        .when(exc_type == AGENT_TIMEOUT, "agent_timeout")
         .when(
             (exc_type == VERIFIER_TIMEOUT) | F.startswith(failure, F.lit(VERIFIER_TIMEOUT_TEXT)),
             "verifier_timeout",
         )
+        .when(exc_type == AGENT_TIMEOUT, "agent_timeout")
         .when(reward.isNotNull(), "fail")
         .otherwise("no_result")
     )
@@ -96,7 +95,8 @@ def select_tasks(
 
 
 def task_summary(trials: DataFrame, by: Sequence[str] = ("task_name",)) -> DataFrame:
-    """Attempts, rewarded attempts, passes, any pass and mean reward."""
+    """Attempts, rewarded attempts, passes, any pass, and the mean reward over rewarded
+    attempts and over all of them (missing counts as 0)."""
     passed = F.col("reward") >= 1
     return trials.groupBy(*by).agg(
         F.count(F.lit(1)).alias("n_attempts"),
@@ -104,6 +104,7 @@ def task_summary(trials: DataFrame, by: Sequence[str] = ("task_name",)) -> DataF
         F.count_if(passed).alias("n_passes"),
         (F.count_if(passed) > 0).alias("solved"),
         F.avg("reward").alias("mean_reward"),
+        F.avg(F.coalesce(F.col("reward").cast("double"), F.lit(0.0))).alias("mean_with_missing"),
     )
 
 
@@ -123,7 +124,7 @@ def success_rates(trials: DataFrame, by: Sequence[str] = ()) -> DataFrame:
         (passes / F.nullif(F.sum("n_rewarded"), F.lit(0))).alias("passes_per_rewarded_trial"),
         (passes / n_tasks).alias("passes_per_task"),
         (F.count_if("solved") / n_tasks).alias("solved_tasks_per_task"),
-        F.avg(F.coalesce("mean_reward", F.lit(0.0))).alias("mean_task_reward"),
+        F.avg("mean_with_missing").alias("mean_task_reward"),
     )
 
 

@@ -19,8 +19,9 @@ RATED = "SELECT t.*, r.reward FROM trials t LEFT JOIN rewards r ON t.trial_id =
 TABLE = """
 SELECT t.trial_id, t.task_name, t.model_name, t.has_result, r.reward, e.exc_type, e.timeout_sec,
   s.n_tests, s.n_tests_passed, f.failure,
-  CASE WHEN r.reward >= 1 THEN 'pass' WHEN e.exc_type = 'AgentTimeoutError' THEN 'agent_timeout'
+  CASE WHEN r.reward >= 1 THEN 'pass'
        WHEN f.failure LIKE 'Verifier execution timed out%' THEN 'verifier_timeout'
+       WHEN e.exc_type = 'AgentTimeoutError' THEN 'agent_timeout'
        WHEN r.reward IS NOT NULL THEN 'fail' ELSE 'no_result' END AS outcome
 FROM trials t LEFT JOIN rewards r ON t.trial_id = r.trial_id
 LEFT JOIN (SELECT trial_id, 'AgentTimeoutError' AS exc_type,
@@ -97,8 +98,8 @@ RATE_COLUMNS = (
 
 
 @query("success_rates", trials_sql(f"""
-SELECT {RATES}, (SELECT round(avg(coalesce(m, 0)), 9) FROM (
-  SELECT avg(reward) AS m FROM rated GROUP BY task_name) t) AS mean_task_reward
+SELECT {RATES}, (SELECT round(avg(m), 9) FROM (
+  SELECT avg(coalesce(reward, 0)) AS m FROM rated GROUP BY task_name) t) AS mean_task_reward
 FROM rated"""))
 def success_rates(spark, sf):
     return rounded(B.success_rates(rated_trials(spark, sf)), *RATE_COLUMNS)
@@ -106,8 +107,8 @@ def success_rates(spark, sf):
 
 @query("success_by_model", trials_sql(f"""
 SELECT r.model_name, {RATES}, max(g.mean_task_reward) AS mean_task_reward
-FROM rated r JOIN (SELECT model_name, round(avg(coalesce(m, 0)), 9) AS mean_task_reward FROM (
-  SELECT model_name, avg(reward) AS m FROM rated GROUP BY model_name, task_name) t
+FROM rated r JOIN (SELECT model_name, round(avg(m), 9) AS mean_task_reward FROM (
+  SELECT model_name, avg(coalesce(reward, 0)) AS m FROM rated GROUP BY model_name, task_name) t
   GROUP BY model_name) g ON g.model_name = r.model_name
 GROUP BY r.model_name"""))
 def success_by_model(spark, sf):
@@ -117,13 +118,14 @@ def success_by_model(spark, sf):
 SUMMARY = """
 SELECT task_name, count(*) AS n_attempts, count(reward) AS n_rewarded,
   count(*) FILTER (WHERE reward >= 1) AS n_passes,
-  count(*) FILTER (WHERE reward >= 1) > 0 AS solved, round(avg(reward), 9) AS mean_reward
+  count(*) FILTER (WHERE reward >= 1) > 0 AS solved, round(avg(reward), 9) AS mean_reward,
+  round(avg(coalesce(reward, 0)), 9) AS mean_with_missing
 FROM rated GROUP BY task_name"""
 
 
 @query("task_summary", trials_sql(SUMMARY))
 def task_summary(spark, sf):
-    return rounded(B.task_summary(rated_trials(spark, sf)), "mean_reward")
+    return rounded(B.task_summary(rated_trials(spark, sf)), "mean_reward", "mean_with_missing")
 
 
 @query("pass_at_k", trials_sql("""

@@ -294,8 +294,8 @@ WHOLE = """
 SELECT t.task_name, concat(t.task_name, '__', CAST(t.trial_id AS VARCHAR)) AS trial_name,
   CAST(t.trial_id AS VARCHAR) AS suffix, t.model_name, t.has_result, CAST(r.reward AS DOUBLE) AS reward,
   s.n_tests, s.n_tests_passed, e.timeout_sec,
-  CASE WHEN r.reward >= 1 THEN 'pass' WHEN e.trial_id IS NOT NULL THEN 'agent_timeout'
-       WHEN f.trial_id IS NOT NULL THEN 'verifier_timeout'
+  CASE WHEN r.reward >= 1 THEN 'pass' WHEN f.trial_id IS NOT NULL THEN 'verifier_timeout'
+       WHEN e.trial_id IS NOT NULL THEN 'agent_timeout'
        WHEN r.reward IS NOT NULL THEN 'fail' ELSE 'no_result' END AS outcome
 FROM trials t LEFT JOIN rewards r ON t.trial_id = r.trial_id
 LEFT JOIN (SELECT trial_id, CAST(regexp_extract(body, 'after ([0-9.]+) seconds', 1) AS DOUBLE)
@@ -321,7 +321,7 @@ def scan_trial_table(spark, sf):
 @query("scan_coverage", ctes(**WHOLE_VIEWS) + """
 SELECT concat_ws('+', 'config.json', CASE WHEN timeout_sec IS NOT NULL THEN 'exception.txt' END,
   CASE WHEN has_result THEN 'result.json' END,
-  CASE WHEN outcome = 'verifier_timeout' THEN 'trial.log' END,
+  CASE WHEN trial_name IN (SELECT split_part(line, ' ', 2) FROM failure_lines) THEN 'trial.log' END,
   CASE WHEN n_tests IS NOT NULL THEN 'verifier/ctrf.json' END,
   CASE WHEN reward IS NOT NULL THEN 'verifier/reward.txt' END) AS files, count(*) AS n_trials
 FROM whole GROUP BY 1""")

@@ -71,7 +71,7 @@ FROM events WHERE event_type <> 'signup'""",
 SELECT event_id AS trial_id, {_BODY} AS body FROM events WHERE event_type = 'error'""",
     "failure_lines": f"""
 SELECT event_id AS trial_id, {_FAILURE} AS line
-FROM events WHERE event_type = 'signup' AND event_id % 4 = 0""",
+FROM events WHERE event_type IN ('signup', 'error') AND event_id % 4 = 0""",
     "test_results": """
 SELECT l_orderkey AS trial_id, l_linenumber AS test_no,
   concat('test_', CAST(l_linenumber AS VARCHAR(10))) AS test_name,
@@ -143,7 +143,7 @@ def trial_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failure_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
-        .filter("event_type = 'signup' AND event_id % 4 = 0")
+        .filter("event_type IN ('signup', 'error') AND event_id % 4 = 0")
         .selectExpr("event_id AS trial_id", f"{_FAILURE} AS line")
     )
 
