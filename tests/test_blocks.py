@@ -7,12 +7,11 @@ import pytest
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tracewell.operators.blocks import (
-    number_rows, position_block, previous_value, running, time_blocks,
-)
+from tracewell.operators.blocks import ordered
 from tracewell.operators.quantiles import exact_quantiles
 
-CUT = {"share": 0.0, "floor": 0, "pieces": 7}  # every key is hot
+CUT = {"floor": 0, "pieces": 7}  # every key is hot
+CUTS = [CUT, {}, {"hot_keys": 2, "floor": 100, "pieces": 16}]
 
 
 @pytest.fixture(scope="module")
@@ -27,41 +26,46 @@ def rows(spark):
     return spark.createDataFrame(data, "k string, id long, t long, v double, c string").persist()
 
 
-@pytest.mark.parametrize("cut", [CUT, {}, {"share": 0.1, "floor": 100, "pieces": 16}])
+@pytest.mark.parametrize("cut", CUTS)
 def test_number_rows(rows, cut):
-    blocked = time_blocks(rows, ["k"], F.col("t"), **cut)
-    got = number_rows(blocked, ["k"], ["t", "id"], "_block", "n").select("id", "n")
+    groups = ordered(rows, ["k"], ["t", "id"], F.col("t"), **cut)
+    got = groups.number("n").rows().select("id", "n")
     want = rows.select("id", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")).alias("n"))
     assert sorted(got.collect()) == sorted(want.collect())
     if cut is CUT:
-        assert blocked.select("_block").distinct().count() == 7
+        blocks = groups.df.filter("k = 'hot'").groupBy("_block").count().collect()
+        assert len(blocks) == 7 and max(r["count"] for r in blocks) < 250
+    assert groups.is_cut == bool(cut)
 
 
 def test_only_hot_keys_are_cut(rows):
-    blocked = time_blocks(rows, ["k"], F.col("t"), share=0.2, floor=10, pieces=8)
-    cut = {r.k for r in blocked.filter("_block > 0").select("k").distinct().collect()}
-    assert cut == {"hot"}
+    groups = ordered(rows, ["k"], ["t", "id"], F.col("t"), hot_keys=1, floor=10, pieces=8)
+    cut = groups.df.filter("_block IS NOT NULL").select("k").distinct().collect()
+    assert [r.k for r in cut] == ["hot"]
 
 
 @pytest.mark.parametrize("how", ["sum", "min", "max"])
-def test_running(rows, how):
-    blocked = rows.withColumn("_block", position_block(F.col("id"), 100))
-    got = running(blocked, ["k"], ["id"], "_block", F.col("v"), how, "r").select("id", "r")
+@pytest.mark.parametrize("cut", CUTS)
+def test_running(rows, how, cut):
+    groups = ordered(rows, ["k"], ["id"], F.col("id"), is_position=True, **cut)
+    got = groups.running(r=(F.col("v"), how)).rows().select("id", "r")
     frame = Window.partitionBy("k").orderBy("id").rowsBetween(Window.unboundedPreceding, 0)
     want = rows.select("id", getattr(F, how)("v").over(frame).alias("r"))
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_running_over_everything(rows):
-    blocked = time_blocks(rows, [], F.col("id"), **CUT)
-    got = running(blocked, [], ["id"], "_block", F.col("v"), "sum", "r").select("id", "r")
+@pytest.mark.parametrize("cut", CUTS)
+def test_running_over_everything(rows, cut):
+    groups = ordered(rows, [], ["id"], F.col("id"), **cut)
+    got = groups.running(r=(F.col("v"), "sum")).rows().select("id", "r")
     want = rows.select("id", F.sum("v").over(Window.orderBy("id")).alias("r"))
     assert sorted(got.collect()) == sorted(want.collect())
 
 
-def test_previous_value(rows):
-    blocked = rows.withColumn("_block", position_block(F.col("id"), 50))
-    got = previous_value(blocked, ["k"], "id", "_block", "c", "p").select("id", "p")
+@pytest.mark.parametrize("cut", CUTS)
+def test_previous(rows, cut):
+    groups = ordered(rows, ["k"], ["id"], F.col("id"), is_position=True, **cut)
+    got = groups.previous("c", "p").rows().select("id", "p")
     want = rows.select("id", F.lag("c").over(Window.partitionBy("k").orderBy("id")).alias("p"))
     key = lambda r: r.id
     assert sorted(got.collect(), key=key) == sorted(want.collect(), key=key)

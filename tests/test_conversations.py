@@ -121,11 +121,12 @@ def test_random_conversations(spark, block):
 
     formatted = {r.conv_id: r for r in C.format_conversations(
         turns, keep_dropped=True, head_turns=block).collect()}
+    cut = {"floor": block, "pieces": 5}
     spans = {}
-    for r in C.response_spans(turns, block_rows=block).collect():
+    for r in C.response_spans(turns, **cut).collect():
         spans.setdefault(r.conv_id, []).append((r.start, r.stop))
     merged = {}
-    for r in C.merge_turns(turns, block_rows=block).collect():
+    for r in C.merge_turns(turns, **cut).collect():
         merged.setdefault(r.conv_id, {})[r.msg_idx] = (r.role, r.content)
 
     for i, messages in want.items():
@@ -159,10 +160,17 @@ def test_strict_template(spark):
         assert [r.drop_reason for r in rows] == [None, "template_error", "template_error"]
 
 
-def test_blank_rendering_is_dropped(spark):
-    bare = Template({r: ("", "") for r in ("system", "user")} | {"assistant": ("", "")})
-    turns = turns_of(spark, ["user:a|assistant:b"])
-    assert C.format_conversations(turns, bare).first().text == "ab"
+def test_template_without_a_role(spark):
+    bare = Template({"user": ("", ""), "assistant": ("", "")})
+    turns = turns_of(spark, ["user:a|assistant:b", "system:s|user:a|assistant:b"])
+    rows = C.format_conversations(turns, bare, keep_dropped=True).orderBy("conv_id").collect()
+    assert [outcome(r) for r in rows] == ["ab", "template_error"]
+    assert C.format_conversations(turns, bare).count() == 1
+
+
+def test_blank_text_is_not_trained_on(spark):
+    df = spark.createDataFrame([(" \t",), ("a",), (None,)], "text string")
+    assert [r.text for r in C.training_text(df).collect()] == ["a"]
 
 
 def test_raw_recipe_keeps_columns_and_fails_on_unknown_roles(spark):

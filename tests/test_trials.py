@@ -68,7 +68,7 @@ def test_retry(spark):
     assert d(B.RetryPolicy(1, include=("KeyError",)))[1] == "not_included"
 
 
-@pytest.mark.parametrize("cut", [{}, {"share": 0.0, "floor": 0, "pieces": 3}])
+@pytest.mark.parametrize("cut", [{}, {"floor": 0, "pieces": 3}])
 def test_concurrency(spark, cut):
     spans = [(0, 10), (5, 12), (10, 20), (10, 10), (11, 13)]
     df = spark.createDataFrame(spans, "a long, b long")
@@ -83,7 +83,7 @@ def test_attempts_with_cut_tasks(spark):
     rows = [(i, "hot" if i % 3 else "cold", start + dt.timedelta(seconds=i * 7 % 50)) for i in range(90)]
     df = spark.createDataFrame(rows, "trial_id long, task_name string, started_at timestamp_ntz")
     whole = sorted(map(tuple, B.number_attempts(df).collect()))
-    cut = sorted(map(tuple, B.number_attempts(df, share=0.0, floor=0, pieces=5).collect()))
+    cut = sorted(map(tuple, B.number_attempts(df, floor=0, pieces=5).collect()))
     assert whole == cut and max(r[3] for r in whole) == 60
 
 
@@ -100,8 +100,8 @@ def test_early_stop(spark):
     assert (rows[1].stop_step, rows[1].best_loss, rows[1].best_loss_to_stop) == (9, 0.05, 0.1)
     assert (rows[2].stop_step, rows[2].best_loss, rows[2].n_logged) == (None, 0.5, 1)
     assert training_log.trained_rows(log).groupBy("run_id").count().orderBy("run_id").collect() == [(1, 10), (2, 2)]
-    for block in (1, 3, 100):
-        best = training_log.best_loss(log, block).filter("run_id = 1").orderBy("step").collect()
+    for floor in (0, 3, 100):
+        best = training_log.best_loss(log, floor=floor, pieces=4).filter("run_id = 1").orderBy("step").collect()
         assert [r.best_loss for r in best] == [1 / (i + 1) for i in range(20)]
 
 
@@ -117,11 +117,11 @@ def test_advantage(spark):
     assert got == [-1.0, 0.0, 0.0, 1.0]
 
 
-@pytest.mark.parametrize("block", [1, 4, 4096])
-def test_command_loops(spark, block):
+@pytest.mark.parametrize("cut", [{"floor": 0, "pieces": 4}, {"floor": 5, "pieces": 9}, {}])
+def test_command_loops(spark, cut):
     cmds = "a a a b a a b b b b".split()
     df = spark.createDataFrame([(1, i, c) for i, c in enumerate(cmds)], "trial_id int, cmd_seq long, cmd string")
-    rows = command_loops(df, 3, block_rows=block).orderBy("first_seq").collect()
+    rows = command_loops(df, 3, **cut).orderBy("first_seq").collect()
     assert [(r.cmd, r.first_seq, r.last_seq, r.n_repeats) for r in rows] == [("a", 0, 2, 3), ("b", 6, 9, 4)]
 
 
@@ -136,15 +136,15 @@ def test_listing(spark):
     assert got["few"].system_prompt.startswith("/srv:") and got["none"].system_prompt.startswith("/app:")
 
 
-@pytest.mark.parametrize("block", [1, 4096])
-def test_trajectory(spark, block):
+@pytest.mark.parametrize("cut", [{"floor": 0, "pieces": 3}, {}])
+def test_trajectory(spark, cut):
     seeds = spark.createDataFrame([(1, "S", "I")], "trial_id long, system_prompt string, instruction string")
     replies = spark.createDataFrame(
         [(1, 1, "hm", None), (1, 2, None, "down"), (1, 3, "```sh\nls\n```", None), (1, 4, "TASK COMPLETE", None)],
         "trial_id long, iteration long, reply string, error string")
     ran = spark.createDataFrame([(1, 3, 1, "ls", 0, "x", "")],
                                 "trial_id long, iteration long, cmd_idx long, cmd string, return_code int, stdout string, stderr string")
-    messages = trajectory_messages(seeds, replies, ran, block)
+    messages = trajectory_messages(seeds, replies, ran, **cut)
     rows = messages.orderBy("msg_idx").collect()
     assert [r.msg_idx for r in rows] == list(range(8))
     assert [r.role for r in rows] == ["system", "user", "assistant", "user", "user", "assistant", "user", "assistant"]

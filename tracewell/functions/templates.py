@@ -24,6 +24,10 @@ class Template:
     start: str = ""
     forbidden: tuple[tuple[str, str], ...] = field(default=())
 
+    @property
+    def may_fail(self) -> bool:
+        return bool(self.forbidden) or set(ROLES) - set(self.marks) != set()
+
     def _pick(self, role: Column, side: int, otherwise: Column) -> Column:
         out = None
         for name, marks in self.marks.items():

@@ -1,32 +1,36 @@
 """Ordered computations over groups that may be far larger than one task.
 
-A running value over a group is cut into blocks: consecutive stretches of the group's
-order. Each block is worked on by itself, one small row per block says what it adds
-up to, and those rows alone are scanned in order to tell every block what came before.
+Most groups are small, and a plain window does them. A hot group is cut into blocks, that
+is, consecutive stretches of its order with about equally many rows. Each block is worked
+on by itself, one small row per block says what it adds up to, and those rows alone are
+scanned in order to tell every block what came before it:
 
-    rows --(local window per key+block)--------------------------.
-      '--(partial aggregate per key+block)--(window per key)--join--> running value
+    rows --(window per key and block)------------------------------.
+      '--hot only--(aggregate per key and block)--(window per key)--+--> running value
 
-Blocks come from one of two places:
+What is hot is looked up when the plan is built, with bounds that hold for any data:
 
-* ``position_block``: the order column is a position inside the group (turn, step,
-  command number). Ordinary groups fit their first block, so nothing is joined to them.
-* ``time_blocks``: the order column is anything numeric. Only keys holding more than
-  ``HOT_SHARE`` of all rows are cut, so there are fewer than ``1 / HOT_SHARE`` such keys
-  and their list and block totals have a fixed size bound; only those are broadcast.
+* At most ``HOT_KEYS`` keys, those with the most rows, are cut. A key that is not among
+  them holds at most ``1 / HOT_KEYS`` of all rows.
+* Their cut points (``PIECES`` numbers each) and block totals (one row each per block) are
+  therefore of bounded size; they are the only things collected or broadcast.
+* When nothing is hot, no join and no extra shuffle is added.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import dataclass, replace
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-BLOCK_ROWS = 4096       # positions per block
-HOT_SHARE = 1 / 1000    # a key above this share of all rows is cut into blocks
-HOT_FLOOR = 1_000_000   # ... unless it has fewer rows than this anyway
-HOT_PIECES = 256        # blocks per hot key
+HOT_KEYS = 1000         # how many keys may be cut
+HOT_FLOOR = 1_000_000   # groups up to this many rows are never cut
+PIECES = 256            # blocks per hot key
+
+_BLOCK = "_block"
 
 # What earlier blocks contribute: running form of each total.
 CARRY: dict[str, Callable[[str], Column]] = {
@@ -35,10 +39,7 @@ CARRY: dict[str, Callable[[str], Column]] = {
     "max": F.max,
     "last": lambda name: F.last(name, ignorenulls=True),
 }
-
-
-def position_block(position: Column, rows: int = BLOCK_ROWS) -> Column:
-    return F.floor(position / F.lit(rows)).cast("long")
+AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
 def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
@@ -54,114 +55,120 @@ def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
     return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
 
 
-def time_blocks(
+@dataclass(frozen=True)
+class Ordered:
+    """Rows in groups ``keys``, ordered by ``order``; hot groups carry a block number."""
+
+    df: DataFrame
+    keys: tuple[str, ...]
+    order: tuple[str, ...]
+    is_cut: bool
+
+    def map(self, function: Callable[[DataFrame], DataFrame]) -> Ordered:
+        """Apply a row-wise change that keeps keys, order and block."""
+        return replace(self, df=function(self.df))
+
+    def rows(self) -> DataFrame:
+        return self.df.drop(_BLOCK)
+
+    def _window(self):
+        keys = [*self.keys, _BLOCK] if self.is_cut else self.keys
+        return Window.partitionBy(*keys).orderBy(*self.order)
+
+    def _carry(self, totals: dict[str, tuple[Column, str]]) -> DataFrame:
+        """Add, per total, its combined value over the earlier blocks of the key; null for
+        ordinary groups and first blocks."""
+        if not self.is_cut:
+            return self.df.withColumns({n: F.lit(None) for n in totals})
+        per_block = (
+            self.df.filter(F.col(_BLOCK).isNotNull())
+            .groupBy(*self.keys, _BLOCK)
+            .agg(*[agg.alias(n) for n, (agg, _) in totals.items()])
+        )
+        earlier = (
+            Window.partitionBy(*self.keys).orderBy(_BLOCK)
+            .rowsBetween(Window.unboundedPreceding, -1)
+        )
+        carried = per_block.select(
+            *self.keys, _BLOCK,
+            *[CARRY[kind](n).over(earlier).alias(n) for n, (_, kind) in totals.items()],
+        )
+        return join_by(self.df, F.broadcast(carried), [*self.keys, _BLOCK])
+
+    def number(self, out: str) -> Ordered:
+        """1-based position of each row in its group."""
+        rows = self._carry({"_before": (F.count(F.lit(1)), "sum")})
+        local = F.row_number().over(self._window()).cast("long")
+        before = F.coalesce(F.col("_before").cast("long"), F.lit(0))
+        return replace(self, df=rows.withColumn(out, local + before).drop("_before"))
+
+    def previous(self, value: str, out: str) -> Ordered:
+        """Value of the row before; null for the first row. ``value`` must not be null."""
+        rows = self._carry({"_last": (F.max_by(value, self.order[0]), "last")})
+        local = F.lag(value).over(self._window())
+        return replace(self, df=rows.withColumn(out, F.coalesce(local, "_last")).drop("_last"))
+
+    def running(self, **outs: tuple[Column, str]) -> Ordered:
+        """Running ``sum``, ``min`` or ``max`` of a value up to and including each row."""
+        before = {f"_before_{n}": (AGGREGATE[how](v), how) for n, (v, how) in outs.items()}
+        rows = self._carry(before)
+        frame = self._window().rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        kinds = {f.name: f.dataType for f in rows.select(
+            *[AGGREGATE[how](v).over(frame).alias(n) for n, (v, how) in outs.items()]
+        ).schema}
+        for n, (value, how) in outs.items():
+            local = AGGREGATE[how](value).over(frame)
+            carried = F.col(f"_before_{n}").cast(kinds[n])
+            if how == "sum":
+                zero = F.lit(0).cast(kinds[n])
+                both = F.coalesce(local, zero) + F.coalesce(carried, zero)
+            else:
+                both = (F.least if how == "min" else F.greatest)(local, carried)
+            rows = rows.withColumn(n, both)
+        return replace(self, df=rows.drop(*before))
+
+
+def ordered(
     df: DataFrame,
     keys: Sequence[str],
-    order: Column,
-    out: str = "_block",
-    share: float = HOT_SHARE,
+    order: Sequence[str],
+    along: Column,
+    is_position: bool = False,
+    hot_keys: int = HOT_KEYS,
     floor: int = HOT_FLOOR,
-    pieces: int = HOT_PIECES,
-) -> DataFrame:
-    """Add a block number: 0 for ordinary keys, 0..pieces-1 along ``order`` for hot ones.
-
-    ``order`` must be numeric; equal values share a block.
+    pieces: int = PIECES,
+) -> Ordered:
+    """Prepare ordered groups, cutting the hot ones along ``along``.
+
+    ``along`` is a number that never falls in the order given; equal numbers share a block.
+    With ``is_position`` it counts places inside the group, so only rows at ``floor`` or
+    beyond have to be looked at to find hot groups: a pushed-down filter that ordinary
+    data does not pass.
     """
-    value = order.cast("double")
-    sizes = df.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.min(value).alias("_lo"), F.max(value).alias("_hi")
+    whole = Ordered(df, tuple(keys), tuple(order), False)
+    counted = df.filter(along >= floor) if is_position else df
+    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    hot = (
+        sizes.filter(F.col("_n") > (0 if is_position else floor))
+        .orderBy(F.desc("_n")).limit(hot_keys).select(*keys, "_n").collect()
     )
-    total = sizes.agg(F.coalesce(F.sum("_n"), F.lit(0))).scalar()
-    hot = sizes.filter((F.col("_n") > F.lit(floor)) & (F.col("_n") > total * F.lit(share)))
-    hot = hot.select(
-        *keys, "_lo", ((F.col("_hi") - F.col("_lo")) / F.lit(pieces)).alias("_width")
-    )
-    placed = F.floor((value - F.col("_lo")) / F.nullif(F.col("_width"), F.lit(0.0)))
-    number = F.least(F.greatest(placed, F.lit(0)), F.lit(pieces - 1)).cast("long")
-    listed = F.broadcast(hot) if keys else hot
-    return join_by(df, listed, keys).withColumn(
-        out, F.coalesce(number, F.lit(0).cast("long"))
-    ).drop("_lo", "_width")
-
-
-def carry_in(
-    rows: DataFrame,
-    keys: Sequence[str],
-    block: str,
-    totals: dict[str, tuple[Column, str]],
-) -> DataFrame:
-    """Add, per total, its combined value over all earlier blocks of the key.
-
-    ``totals`` maps an output name to (aggregate over one block, kind of carry).
-    First blocks have nothing before them and get null.
-    """
-    per_block = rows.groupBy(*keys, block).agg(*[agg.alias(n) for n, (agg, _) in totals.items()])
-    earlier = (
-        Window.partitionBy(*keys)
-        .orderBy(block)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    place = Window.partitionBy(*keys).orderBy(block)
-    carried = per_block.select(
-        *keys,
-        block,
-        *[CARRY[kind](n).over(earlier).alias(n) for n, (_, kind) in totals.items()],
-        F.row_number().over(place).alias("_nth"),
-    )
-    # Keys with a single block drop out here, so the join side stays small.
-    return join_by(rows, carried.filter("_nth > 1").drop("_nth"), [*keys, block])
-
-
-def _local(keys: Sequence[str], block: str, order: Sequence[str | Column]):
-    return Window.partitionBy(*keys, block).orderBy(*order)
-
-
-def number_rows(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    block: str,
-    out: str,
-) -> DataFrame:
-    """1-based position of each row in its group."""
-    rows = carry_in(df, keys, block, {"_before": (F.count(F.lit(1)), "sum")})
-    local = F.row_number().over(_local(keys, block, order)).cast("long")
-    return rows.withColumn(out, local + F.coalesce("_before", F.lit(0))).drop("_before")
-
-
-def previous_value(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: str,
-    block: str,
-    value: str,
-    out: str,
-) -> DataFrame:
-    """Value of the row before, across block borders; null for the first row.
-
-    ``value`` must not be null.
-    """
-    rows = carry_in(df, keys, block, {"_last": (F.max_by(value, order), "last")})
-    local = F.lag(value).over(_local(keys, block, [order]))
-    return rows.withColumn(out, F.coalesce(local, F.col("_last"))).drop("_last")
-
-
-def running(
-    df: DataFrame,
-    keys: Sequence[str],
-    order: Sequence[str | Column],
-    block: str,
-    value: Column,
-    how: str,
-    out: str,
-) -> DataFrame:
-    """Running ``sum``, ``min`` or ``max`` up to and including each row."""
-    agg = {"sum": F.sum, "min": F.min, "max": F.max}[how]
-    rows = carry_in(df, keys, block, {"_before": (agg(value), how)})
-    frame = _local(keys, block, order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    local = agg(value).over(frame)
-    if how == "sum":
-        both = F.coalesce(local, F.lit(0)) + F.coalesce("_before", F.lit(0))
+    if not hot:
+        return whole
+    number = along.cast("double")
+    at = [i / pieces for i in range(1, pieces)]
+    cuts = F.array_distinct(F.percentile_approx(number, F.lit(at), F.lit(100 * pieces)))
+    if not keys:
+        found = df.agg(cuts.alias("c")).first().c
+        listed = df.withColumn("_cuts", F.lit(found))
     else:
-        both = (F.least if how == "min" else F.greatest)(local, F.col("_before"))
-    return rows.withColumn(out, both).drop("_before")
+        spark, key_fields = df.sparkSession, [df.schema[k] for k in keys]
+        names = spark.createDataFrame([r[:-1] for r in hot], T.StructType(key_fields))
+        of_hot = join_by(df, F.broadcast(names), keys, "inner")
+        found = of_hot.groupBy(*keys).agg(cuts.alias("_cuts")).collect()
+        schema = T.StructType([*key_fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
+        listed = join_by(df, F.broadcast(spark.createDataFrame(found, schema)), keys)
+    block = F.when(
+        F.col("_cuts").isNotNull(),
+        F.size(F.filter("_cuts", lambda c: c <= F.coalesce(number, F.lit(float("-inf"))))),
+    )
+    return replace(whole, df=listed.withColumn(_BLOCK, block).drop("_cuts"), is_cut=True)

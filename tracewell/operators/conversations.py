@@ -18,9 +18,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions.templates import CHATML, Template
 from tracewell.functions.text import is_blank, truncate_words, words
-from tracewell.operators.blocks import (
-    join_by, number_rows, position_block, previous_value, running,
-)
+from tracewell.operators.blocks import join_by, ordered
 from tracewell.operators.quantiles import exact_quantiles
 
 # Accepted role names and the merge separator.
@@ -28,7 +26,7 @@ USER_ROLES = ("human", "user")
 ASSISTANT_ROLES = ("gpt", "assistant", "bot")
 SYSTEM_ROLES = ("system",)
 MERGE_SEPARATOR = "\n\n"
-DROP_REASONS = ("empty", "starts_assistant", "not_ends_assistant", "template_error", "blank_text")
+DROP_REASONS = ("empty", "starts_assistant", "not_ends_assistant", "template_error")
 
 HEAD_TURNS = 4096
 
@@ -104,68 +102,100 @@ def _piece(pos: Column, role: Column, content: Column) -> Column:
     )
 
 
-def _stitch(pieces: Column, template: Template) -> Column:
-    """One piece out of an ordered, non-empty array of pieces (a column of the row)."""
+def _stitch(pieces: Column, template: Template) -> dict[str, Column]:
+    """The fields of one piece made of an ordered, non-empty array of pieces.
 
-    def same(x: Column, i: Column) -> Column:
-        return (i > 0) & (F.get(pieces, i - 1)["last"] == x["first"])
+    ``pieces`` must be a plain column: it is looked up once per element, so an expression
+    in its place would be worked out again each time.
+    """
+
+    def before(i: Column) -> Column:
+        return F.get(pieces, i - 1)["last"]
 
     def glued(x: Column, i: Column) -> Column:
-        before = F.get(pieces, i - 1)["last"]
         glue = (
             F.when(i == 0, F.lit(""))
-            .when(before == x["first"], F.lit(MERGE_SEPARATOR))
-            .otherwise(F.concat(template.closing(before), template.opening(x["first"])))
+            .when(before(i) == x["first"], F.lit(MERGE_SEPARATOR))
+            .otherwise(F.concat(template.closing(before(i)), template.opening(x["first"])))
         )
         return F.concat(glue, x["body"])
 
     def breaks(x: Column, i: Column) -> Column:
-        return x["broken"] | (
-            (i > 0) & template.forbids(F.get(pieces, i - 1)["last"], x["first"])
-        )
+        return x["broken"] | ((i > 0) & template.forbids(before(i), x["first"]))
+
+    def new_messages(x: Column, i: Column) -> Column:
+        return x["messages"] - ((i > 0) & (before(i) == x["first"])).cast("long")
+
+    if template.forbidden:
+        broken = F.exists(F.transform(pieces, breaks), lambda b: b)
+    else:
+        broken = F.lit(False)
+    return {
+        "pos": F.get(pieces, 0)["pos"],
+        "first": F.get(pieces, 0)["first"],
+        "last": F.element_at(pieces, -1)["last"],
+        "body": F.array_join(F.transform(pieces, glued), ""),
+        "messages": F.aggregate(
+            F.transform(pieces, new_messages), F.lit(0).cast("long"), lambda a, n: a + n
+        ),
+        "broken": broken,
+    }
 
-    counts = F.transform(pieces, lambda x, i: x["messages"] - same(x, i).cast("long"))
-    return F.struct(
-        F.get(pieces, 0)["pos"].alias("pos"),
-        F.get(pieces, 0)["first"].alias("first"),
-        F.element_at(pieces, -1)["last"].alias("last"),
-        F.array_join(F.transform(pieces, glued), "").alias("body"),
-        F.aggregate(counts, F.lit(0).cast("long"), lambda a, n: a + n).alias("messages"),
-        F.exists(F.transform(pieces, breaks), lambda b: b).alias("broken"),
+
+def _end_reason(empty: Column, first: Column, last: Column) -> Column:
+    """Drop reason decided by the two ends, the start being checked first."""
+    return (
+        F.when(empty, "empty")
+        .when(first == "assistant", "starts_assistant")
+        .when(last != "assistant", "not_ends_assistant")
     )
 
 
-def _verdict(df: DataFrame, template: Template) -> DataFrame:
-    """``_pieces`` -> text, n_turns, drop_reason; checks come before rendering."""
-    pieces, whole = F.col("_pieces"), F.col("_whole")
-    df = df.withColumn("_first", F.get(pieces, 0)["first"]).withColumn(
-        "_last", F.get(F.slice(pieces, -1, 1), 0)["last"]
-    )
-    early = (
-        F.when(F.coalesce(F.size(pieces), F.lit(0)) <= 0, "empty")
-        .when(F.col("_first") == "assistant", "starts_assistant")
-        .when(F.col("_last") != "assistant", "not_ends_assistant")
-    )
-    df = df.withColumn("_early", early)
-    df = df.withColumn("_whole", F.when(F.col("_early").isNull(), _stitch(pieces, template)))
-    text = F.concat(
-        F.lit(template.start), template.opening(whole["first"]), whole["body"],
-        template.closing(whole["last"]),
-    )
-    df = df.withColumn(
-        "text", F.when(F.col("_early").isNull() & ~whole["broken"], text)
+def _render(df: DataFrame, template: Template, keep_dropped: bool) -> DataFrame:
+    """``_early`` (reason known from the ends) and ``_pieces`` (ordered) -> text, n_turns,
+    drop_reason, next to the other columns.
+
+    The result comes out of a generator, which filters are not pushed through: a filter on
+    the reason must not work out the text a second time.
+    """
+    others = [c for c in df.columns if c not in ("_early", "_pieces")]
+    if not keep_dropped:
+        df = df.filter(F.col("_early").isNull())
+    parts = {f"_{n}": c for n, c in _stitch(F.col("_pieces"), template).items() if n != "pos"}
+    whole = df.withColumns(
+        {n: F.when(F.col("_early").isNull(), c) for n, c in parts.items()}
+    )
+    text = F.when(
+        ~F.col("_broken"),
+        F.concat(
+            F.lit(template.start), template.opening(F.col("_first")), F.col("_body"),
+            template.closing(F.col("_last")),
+        ),
     )
-    reason = (
-        F.when(F.col("_early").isNotNull(), F.col("_early"))
-        .when(whole["broken"], "template_error")
-        .when(is_blank(F.col("text")), "blank_text")
+    reason = F.coalesce("_early", F.when(F.col("_text").isNull(), "template_error"))
+    out = F.struct(
+        F.col("_text").alias("text"), F.col("_messages").alias("n_turns"),
+        reason.alias("drop_reason"),
     )
-    return df.withColumns(
-        {
-            "drop_reason": reason,
-            "n_turns": F.when(whole.isNotNull(), whole["messages"]),
-        }
-    ).drop("_pieces", "_whole", "_first", "_last", "_early")
+    shown = whole.withColumn("_text", text).select(*others, F.inline(F.array(out)))
+    if keep_dropped:
+        return shown
+    return shown.filter(F.col("drop_reason").isNull()) if template.may_fail else shown
+
+
+# Turn position and role in one number, so that the ends of a conversation come from
+# long-valued minima and maxima.
+_ROLE_CODES = {"system": 0, "user": 1, "assistant": 2}
+
+
+def _end_code(turn: Column, role: Column) -> Column:
+    code = F.coalesce(*[F.when(role == r, n) for r, n in _ROLE_CODES.items()])
+    return turn.cast("long") * 4 + code
+
+
+def _role_of(code: Column) -> Column:
+    number = F.pmod(code, F.lit(4))
+    return F.coalesce(*[F.when(number == n, r) for r, n in _ROLE_CODES.items()])
 
 
 def format_conversations(
@@ -181,27 +211,29 @@ def format_conversations(
     """
     kept = clean_turns(turns)
     piece = _piece(F.col("turn"), F.col("role"), F.col("content"))
-    head = kept.filter(F.col("turn") < head_turns).select("conv_id", piece.alias("p"))
+    code = _end_code(F.col("turn"), F.col("role"))
+    head = kept.filter(F.col("turn") < head_turns).select(
+        "conv_id", piece.alias("p"), code.alias("lo"), code.alias("hi")
+    )
     tail = (
         kept.filter(F.col("turn") >= head_turns)
-        .groupBy("conv_id", position_block(F.col("turn"), head_turns).alias("block"))
-        .agg(F.collect_list(piece).alias("ps"))
-        .select("conv_id", F.sort_array("ps").alias("ps"))
-        .select("conv_id", _stitch(F.col("ps"), template).alias("p"))
+        .groupBy("conv_id", F.floor(F.col("turn") / F.lit(head_turns)).alias("block"))
+        .agg(F.collect_list(piece).alias("ps"), F.min(code).alias("lo"), F.max(code).alias("hi"))
+        .select("conv_id", F.sort_array("ps").alias("ps"), "lo", "hi")
     )
-    rows = head.unionByName(tail)
+    stitched = F.struct(*[c.alias(n) for n, c in _stitch(F.col("ps"), template).items()])
+    rows = head.unionByName(tail.select("conv_id", stitched.alias("p"), "lo", "hi"))
     if keep_dropped:
-        nothing = turns.select("conv_id").distinct().withColumn(
-            "p", F.lit(None).cast(rows.schema["p"].dataType)
-        )
-        rows = rows.unionByName(nothing)
-    gathered = (
-        rows.groupBy("conv_id")
-        .agg(F.collect_list("p").alias("ps"))
-        .select("conv_id", F.sort_array("ps").alias("_pieces"))
+        missing = {n: F.lit(None).cast(rows.schema[n].dataType) for n in ("p", "lo", "hi")}
+        rows = rows.unionByName(turns.select("conv_id").distinct().withColumns(missing))
+    gathered = rows.groupBy("conv_id").agg(
+        F.collect_list("p").alias("ps"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    )
+    early = _end_reason(F.col("lo").isNull(), _role_of(F.col("lo")), _role_of(F.col("hi")))
+    ready = gathered.select(
+        "conv_id", early.alias("_early"), F.sort_array("ps").alias("_pieces")
     )
-    out = _verdict(gathered, template).select("conv_id", "text", "n_turns", "drop_reason")
-    return out if keep_dropped else out.filter(F.col("drop_reason").isNull())
+    return _render(ready, template, keep_dropped)
 
 
 def format_nested(
@@ -219,9 +251,13 @@ def format_nested(
     kept = F.filter(normal, lambda m: ~is_blank(m["content"]) & m["role"].isNotNull())
     pieces = F.transform(kept, lambda m: _piece(m["pos"], m["role"], m["content"]))
     others = [c for c in df.columns if c != "conversations"]
-    out = _verdict(df.withColumn("_pieces", pieces), template)
-    out = out.select(*others, "text", "n_turns", "drop_reason")
-    return out if keep_dropped else out.filter(F.col("drop_reason").isNull())
+    # The generator keeps the array from being worked out once per use further up.
+    found = df.select(*others, F.inline(F.array(F.struct(pieces.alias("_pieces")))))
+    p = F.col("_pieces")
+    early = _end_reason(
+        F.size(p) == 0, F.get(p, 0)["first"], F.get(p, F.size(p) - 1)["last"]
+    )
+    return _render(found.withColumn("_early", early), template, keep_dropped)
 
 
 def format_raw(df: DataFrame, template: Template = CHATML) -> DataFrame:
@@ -236,19 +272,38 @@ def format_raw(df: DataFrame, template: Template = CHATML) -> DataFrame:
     return df.withColumn("text", F.concat(F.lit(template.start), F.array_join(parts, "")))
 
 
+def drop_blank(df: DataFrame, text: str = "text") -> DataFrame:
+    return df.filter(~is_blank(F.col(text)))
+
+
 def training_text(formatted: DataFrame) -> DataFrame:
-    return formatted.filter(F.col("drop_reason").isNull()).select("text")
+    """Only ``text``, without dropped and blank rows. Rendered text is never blank, since it
+    holds a non-blank turn, but a user's formatter may return anything."""
+    if "drop_reason" in formatted.columns:
+        formatted = formatted.filter(F.col("drop_reason").isNull())
+    return drop_blank(formatted).select("text")
 
 
 # --- merged messages ---------------------------------------------------------
 
 
-def merge_turns(turns: DataFrame, block_rows: int = HEAD_TURNS) -> DataFrame:
+def _talks(kept: DataFrame, **cutting):
+    return ordered(kept, ["conv_id"], ["turn"], F.col("turn"), is_position=True, **cutting)
+
+
+def _starts() -> Column:
+    """True for the first turn of a merged message, given the role before in ``_prev``."""
+    return F.col("_prev").isNull() | (F.col("_prev") != F.col("role"))
+
+
+def merge_turns(turns: DataFrame, **cutting) -> DataFrame:
     """One row per merged message: ``conv_id, msg_idx, role, content``."""
-    kept = clean_turns(turns)
-    numbered = _message_numbers(kept, block_rows)
+    placed = _talks(clean_turns(turns), **cutting).previous("role", "_prev").running(
+        _nth=(_starts().cast("long"), "sum")
+    )
     return (
-        numbered.groupBy("conv_id", "msg_idx", "role")
+        placed.rows()
+        .groupBy("conv_id", (F.col("_nth") - 1).alias("msg_idx"), "role")
         .agg(F.sort_array(F.collect_list(F.struct("turn", "content"))).alias("parts"))
         .select(
             "conv_id", "msg_idx", "role",
@@ -258,19 +313,6 @@ def merge_turns(turns: DataFrame, block_rows: int = HEAD_TURNS) -> DataFrame:
     )
 
 
-def _message_numbers(kept: DataFrame, block_rows: int) -> DataFrame:
-    """Add ``starts`` (first turn of a merged message) and 0-based ``msg_idx``."""
-    blocked = kept.withColumn("_block", position_block(F.col("turn"), block_rows))
-    seen = previous_value(blocked, ["conv_id"], "turn", "_block", "role", "_prev")
-    flagged = seen.withColumn(
-        "starts", (F.col("_prev").isNull() | (F.col("_prev") != F.col("role")))
-    )
-    numbered = running(
-        flagged, ["conv_id"], ["turn"], "_block", F.col("starts").cast("long"), "sum", "_nth"
-    )
-    return numbered.withColumn("msg_idx", F.col("_nth") - 1).drop("_prev", "_nth", "_block")
-
-
 def merge_nested(df: DataFrame) -> DataFrame:
     """Nested rows -> ``messages`` array of merged (role, content); linear per row."""
     normal = F.transform(
@@ -309,23 +351,15 @@ def merge_nested(df: DataFrame) -> DataFrame:
 
 
 def conversation_ends(turns: DataFrame) -> DataFrame:
-    """First and last kept role per conversation, from long-valued partial aggregates:
+    """Drop reason from the first and last kept role per conversation, from long-valued partial aggregates:
     neither text nor strings are shuffled."""
     role = role_or_from(F.col("role"), F.col("from")) if "from" in turns.columns else F.col("role")
-    code = (
-        F.when(normalise_role(role) == "system", 0)
-        .when(normalise_role(role) == "user", 1)
-        .when(normalise_role(role) == "assistant", 2)
-    )
-    kept = F.when(~is_blank(F.col("text")) & code.isNotNull(), F.col("turn") * 4 + code)
+    code = _end_code(F.col("turn"), normalise_role(role))
+    kept = F.when(~is_blank(F.col("text")), code)
     ends = turns.select("conv_id", kept.alias("k")).groupBy("conv_id").agg(
         F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n_kept")
     )
-    reason = (
-        F.when(F.col("n_kept") == 0, "empty")
-        .when(F.pmod("lo", F.lit(4)) == 2, "starts_assistant")
-        .when(F.pmod("hi", F.lit(4)) != 2, "not_ends_assistant")
-    )
+    reason = _end_reason(F.col("n_kept") == 0, _role_of(F.col("lo")), _role_of(F.col("hi")))
     return ends.select("conv_id", "n_kept", reason.alias("drop_reason"))
 
 
@@ -366,11 +400,11 @@ def token_lengths(df: DataFrame, text: str = "text") -> DataFrame:
     return df.withColumn("n_tokens", F.size(words(F.col(text))).cast("long"))
 
 
-def length_report(df: DataFrame, cap: int, text: str = "text", **blocking) -> DataFrame:
+def length_report(df: DataFrame, cap: int, text: str = "text", **cutting) -> DataFrame:
     """Length quantiles, maximum and share over the cap."""
     lengths = token_lengths(df, text).select("n_tokens")
     quantiles = exact_quantiles(
-        lengths, [], "n_tokens", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, **blocking
+        lengths, [], "n_tokens", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, **cutting
     )
     totals = lengths.agg(
         F.count(F.lit(1)).alias("n_rows"),
@@ -396,29 +430,23 @@ def truncate(df: DataFrame, max_tokens: int, text: str = "text") -> DataFrame:
     )
 
 
-def response_spans(
-    turns: DataFrame, template: Template = CHATML, block_rows: int = HEAD_TURNS
-) -> DataFrame:
+def response_spans(turns: DataFrame, template: Template = CHATML, **cutting) -> DataFrame:
     """Where assistant replies lie in the rendered text: 0-based ``[start, stop)`` per
     merged message. Works on lengths only, so no text is shuffled or rendered."""
     kept = clean_turns(turns).select(
         "conv_id", "turn", "role", F.char_length("content").cast("long").alias("chars")
     )
-    blocked = kept.withColumn("_block", position_block(F.col("turn"), block_rows))
-    seen = previous_value(blocked, ["conv_id"], "turn", "_block", "role", "_prev")
-    starts = F.col("_prev").isNull() | (F.col("_prev") != F.col("role"))
     lead = (
         F.when(F.col("_prev").isNull(), F.lit(len(template.start)) + template.opening_size("role"))
-        .when(~starts, F.lit(len(MERGE_SEPARATOR)))
+        .when(~_starts(), F.lit(len(MERGE_SEPARATOR)))
         .otherwise(template.closing_size("_prev") + template.opening_size("role"))
     )
-    sized = seen.withColumns({"_starts": starts.cast("long"), "_size": lead + F.col("chars")})
-    keys, order = ["conv_id"], ["turn"]
-    placed = running(sized, keys, order, "_block", F.col("_size"), "sum", "stop")
-    placed = running(placed, keys, order, "_block", F.col("_starts"), "sum", "_nth")
+    placed = _talks(kept, **cutting).previous("role", "_prev").running(
+        stop=(lead + F.col("chars"), "sum"), _nth=(_starts().cast("long"), "sum")
+    )
     ok = conversation_ends(turns).filter(F.col("drop_reason").isNull()).select("conv_id")
     return (
-        placed.filter(F.col("role") == "assistant")
+        placed.rows().filter(F.col("role") == "assistant")
         .groupBy("conv_id", (F.col("_nth") - 1).alias("msg_idx"))
         .agg(F.min(F.col("stop") - F.col("chars")).alias("start"), F.max("stop").alias("stop"))
         .join(ok, "conv_id", "left_semi")
@@ -437,11 +465,12 @@ def batch_plan(
     accumulation: int = 8,
     ranks: int = 1,
     max_steps: int | None = None,
+    **cutting,
 ) -> DataFrame:
     """Epoch, position, optimiser step, rank and micro batch of every example.
 
-    The shuffle order is the md5 of seed, epoch and id; its leading hex digits are the
-    blocks, which are of equal size whatever the ids look like.
+    The shuffle order is the md5 of seed, epoch and id, so the blocks of an epoch are of
+    equal size whatever the ids look like.
     """
     batch = per_device * accumulation * ranks
     drawn = ids.select(
@@ -449,8 +478,9 @@ def batch_plan(
     ).withColumn("epoch", F.col("epoch").cast("long"))
     keyed = drawn.withColumn(
         "_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch"), F.col(id_col)))
-    ).withColumn("_block", F.conv(F.substring("_hash", 1, 3), 16, 10).cast("long"))
-    placed = number_rows(keyed, ["epoch"], ["_hash", id_col], "_block", "_nth")
+    )
+    along = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double")
+    placed = ordered(keyed, ["epoch"], ["_hash", id_col], along, **cutting).number("_nth").rows()
     position = F.col("_nth") - 1
     in_batch = F.pmod(position, F.lit(batch))
     sizes = ids.agg(F.count(F.lit(1))).scalar()

@@ -1,4 +1,4 @@
-"""Exact quantiles and statistics per group without gathering a group in one task."""
+"""Exact quantiles per group without gathering a group in one task."""
 
 from __future__ import annotations
 
@@ -7,11 +7,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tracewell.operators.blocks import join_by, running, time_blocks
+from tracewell.operators.blocks import join_by, ordered
 
 
 def exact_quantiles(
-    df: DataFrame, keys: Sequence[str], value: str, at: dict[str, float], **blocking
+    df: DataFrame, keys: Sequence[str], value: str, at: dict[str, float], **cutting
 ) -> DataFrame:
     """Interpolated quantiles (position ``p * (n - 1)``) of the non-null values per key.
 
@@ -23,8 +23,8 @@ def exact_quantiles(
         .groupBy(*keys, value)
         .agg(F.count(F.lit(1)).alias("_n"))
     )
-    blocked = time_blocks(counted, keys, F.col(value), **blocking)
-    ranked = running(blocked, keys, [value], "_block", F.col("_n"), "sum", "_upto")
+    groups = ordered(counted, keys, [value], F.col(value), **cutting)
+    ranked = groups.running(_upto=(F.col("_n"), "sum")).rows()
     sizes = counted.groupBy(*keys).agg(F.sum("_n").alias("_rows"))
     ranked = join_by(ranked, sizes, keys)
     number = F.col(value).cast("double")
@@ -39,7 +39,7 @@ def exact_quantiles(
             at_rank(F.floor(rank)).alias(f"_{name}_lo"),
             at_rank(F.ceil(rank)).alias(f"_{name}_hi"),
         ]
-        weight = F.lit(p) * (F.col("_rows") - 1) - F.floor(F.lit(p) * (F.col("_rows") - 1))
+        weight = rank - F.floor(rank)
         low, high = F.col(f"_{name}_lo"), F.col(f"_{name}_hi")
         outs.append((low + (high - low) * weight).alias(name))
     picked = ranked.groupBy(*keys).agg(F.max("_rows").alias("_rows"), *aggs)

@@ -8,19 +8,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewell.functions.text import py_strip
-from tracewell.operators.blocks import BLOCK_ROWS, position_block, running
+from tracewell.operators.blocks import ordered
 
 LOSS_THRESHOLD = 0.1  # fixed value: default stop threshold, reached when loss <= it
 
 
-def best_loss(log: DataFrame, block_steps: int = 100 * BLOCK_ROWS) -> DataFrame:
+def best_loss(log: DataFrame, **cutting) -> DataFrame:
     """Running minimum of the loss; entries without a loss are ignored."""
-    rows = log.filter(F.col("loss").isNotNull()).withColumn(
-        "_block", position_block(F.col("step"), block_steps)
-    )
-    return running(
-        rows, ["run_id"], ["step"], "_block", F.col("loss"), "min", "best_loss"
-    ).drop("_block")
+    rows = log.filter(F.col("loss").isNotNull())
+    runs = ordered(rows, ["run_id"], ["step"], F.col("step"), is_position=True, **cutting)
+    return runs.running(best_loss=(F.col("loss"), "min")).rows()
 
 
 def stop_aggregates(threshold: float = LOSS_THRESHOLD) -> dict[str, Column]:

@@ -8,9 +8,7 @@ from pyspark.sql import functions as F
 from tracewell.functions import templates as T
 from tracewell.functions.fences import with_commands
 from tracewell.functions.text import py_strip, signals_completion
-from tracewell.operators.blocks import (
-    BLOCK_ROWS, number_rows, position_block, previous_value, running,
-)
+from tracewell.operators.blocks import ordered
 
 # Final states of a trajectory.
 WITH_SIGNAL, WITHOUT_SIGNAL = "completed_with_signal", "completed"
@@ -118,7 +116,7 @@ def iteration_feedback(executions: DataFrame) -> DataFrame:
 
 
 def trajectory_messages(
-    seeds: DataFrame, replies: DataFrame, executions: DataFrame, block_rows: int = BLOCK_ROWS
+    seeds: DataFrame, replies: DataFrame, executions: DataFrame, **cutting
 ) -> DataFrame:
     """Rebuild the conversation of every trial: ``trial_id, msg_idx, role, content``.
 
@@ -155,9 +153,10 @@ def trajectory_messages(
         F.lit(3).alias("part"), F.lit("user").alias("role"), "content",
     )
     rows = seed_rows.unionByName(reply_rows).unionByName(note_rows).unionByName(feedback_rows)
-    blocked = rows.withColumn("_block", position_block(F.col("iteration"), block_rows))
-    numbered = number_rows(blocked, ["trial_id"], ["iteration", "part"], "_block", "_nth")
-    return numbered.select(
+    trials = ordered(
+        rows, ["trial_id"], ["iteration", "part"], F.col("iteration"), is_position=True, **cutting
+    )
+    return trials.number("_nth").rows().select(
         "trial_id", (F.col("_nth") - 1).alias("msg_idx"), "role", "content"
     )
 
@@ -171,18 +170,17 @@ def messages_as_turns(messages: DataFrame) -> DataFrame:
 
 
 def command_loops(
-    executions: DataFrame, at_least: int, order: str = "cmd_seq", block_rows: int = BLOCK_ROWS
+    executions: DataFrame, at_least: int, order: str = "cmd_seq", **cutting
 ) -> DataFrame:
     """Stretches of the same command in a row, ``at_least`` long."""
-    keys = ["trial_id"]
-    blocked = executions.select("trial_id", order, "cmd").withColumn(
-        "_block", position_block(F.col(order), block_rows)
-    )
-    seen = previous_value(blocked, keys, order, "_block", "cmd", "_prev")
     start = F.when(F.col("_prev").isNull() | (F.col("_prev") != F.col("cmd")), F.col(order))
-    placed = running(seen, keys, [order], "_block", start, "max", "first_seq")
+    trials = ordered(
+        executions.select("trial_id", order, "cmd"), ["trial_id"], [order], F.col(order),
+        is_position=True, **cutting,
+    )
+    placed = trials.previous("cmd", "_prev").running(first_seq=(start, "max"))
     return (
-        placed.groupBy("trial_id", "first_seq")
+        placed.rows().groupBy("trial_id", "first_seq")
         .agg(
             F.first("cmd").alias("cmd"),
             F.max(order).alias("last_seq"),

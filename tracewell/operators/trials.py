@@ -9,9 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.text import micros
-from tracewell.operators.blocks import (
-    number_rows, running, time_blocks,
-)
+from tracewell.operators.blocks import ordered
 from tracewell.operators.quantiles import exact_quantiles
 
 # Exception classes and outcome names.
@@ -163,12 +161,12 @@ def pass_at_k(tasks: DataFrame, ks: Sequence[int]) -> DataFrame:
     )
 
 
-def number_attempts(trials: DataFrame, **blocking) -> DataFrame:
+def number_attempts(trials: DataFrame, **cutting) -> DataFrame:
     """1-based attempt number within a task, by start time then trial id."""
-    blocked = time_blocks(trials, ["task_name"], micros(F.col("started_at")), **blocking)
-    return number_rows(
-        blocked, ["task_name"], ["started_at", "trial_id"], "_block", "attempt_no"
-    ).drop("_block")
+    tasks = ordered(
+        trials, ["task_name"], ["started_at", "trial_id"], micros(F.col("started_at")), **cutting
+    )
+    return tasks.number("attempt_no").rows()
 
 
 def missing_attempts(trials: DataFrame, planned: DataFrame, n_attempts: int) -> DataFrame:
@@ -284,10 +282,10 @@ def unpivot_phases(trials: DataFrame, phases: dict[str, Column]) -> DataFrame:
 
 
 def number_stats(
-    df: DataFrame, keys: Sequence[str], value: str, scale: float = 1.0, **blocking
+    df: DataFrame, keys: Sequence[str], value: str, scale: float = 1.0, **cutting
 ) -> DataFrame:
     """Count, mean, exact median, minimum and maximum per key."""
-    medians = exact_quantiles(df, keys, value, {"median": 0.5}, **blocking)
+    medians = exact_quantiles(df, keys, value, {"median": 0.5}, **cutting)
     plain = df.groupBy(*keys).agg(
         F.count(value).alias("n"),
         F.avg(value).alias("mean"),
@@ -363,21 +361,20 @@ def _changes(trials: DataFrame, by: Sequence[str], start: Column, stop: Column)
 
 
 def concurrency(
-    trials: DataFrame, by: Sequence[str], start: Column, stop: Column, **blocking
+    trials: DataFrame, by: Sequence[str], start: Column, stop: Column, **cutting
 ) -> DataFrame:
     """Number of running trials after every change."""
-    changes = time_blocks(_changes(trials, by, start, stop), by, F.col("us"), **blocking)
-    return running(changes, by, ["us"], "_block", F.col("change"), "sum", "n_running").select(
-        *by, "us", "n_running"
-    )
+    changes = ordered(_changes(trials, by, start, stop), by, ["us"], F.col("us"), **cutting)
+    counted = changes.running(n_running=(F.col("change"), "sum")).rows()
+    return counted.select(*by, "us", "n_running")
 
 
 def peak_concurrency(
     trials: DataFrame, by: Sequence[str], start: Column, stop: Column,
-    configured: int | None = None, **blocking,
+    configured: int | None = None, **cutting,
 ) -> DataFrame:
     """Highest number of trials at once, when it was first reached, and the span."""
-    timeline = concurrency(trials, by, start, stop, **blocking)
+    timeline = concurrency(trials, by, start, stop, **cutting)
     # The earliest instant of the highest value: both in one ordered struct.
     best = F.max(F.struct("n_running", (-F.col("us")).alias("neg_us")))
     peaks = timeline.groupBy(*by).agg(

@@ -1,8 +1,8 @@
 """Trial, log and trajectory tables derived from the given tables.
 
 ``SQL`` holds the definitions for the SQL twins; the functions build the same rows on
-Spark. Row numbers come from the block scan, since one user or conversation may own a
-large share of all rows.
+Spark. Row numbers come from ordered groups that are cut where hot, since one user or
+conversation may own a large share of all rows.
 """
 
 from __future__ import annotations
@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell.functions.text import micros
-from tracewell.operators.blocks import number_rows, position_block, time_blocks
+from tracewell.operators.blocks import ordered
 
 _EVENT_NUMBER = "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)"
 
@@ -91,18 +91,15 @@ def noisy_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def agent_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    said = (
-        table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
-        .withColumn("_block", position_block(F.col("turn")))
-    )
-    numbered = number_rows(said, ["conv_id"], ["turn"], "_block", "iteration")
-    return numbered.selectExpr("conv_id AS trial_id", "iteration", f"{_REPLY} AS reply")
+    said = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
+    talks = ordered(said, ["conv_id"], ["turn"], F.col("turn"), is_position=True)
+    return talks.number("iteration").rows().selectExpr("conv_id AS trial_id", "iteration", f"{_REPLY} AS reply")
 
 
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    blocked = time_blocks(events, ["user_id"], micros(F.col("ts")))
-    return number_rows(blocked, ["user_id"], ["ts", "event_id"], "_block", "rn")
+    users = ordered(events, ["user_id"], ["ts", "event_id"], micros(F.col("ts")))
+    return users.number("rn").rows()
 
 
 def executions(spark: SparkSession, sf_dir: str) -> DataFrame:
