@@ -33,6 +33,7 @@ def test_number_rows(rows, cut):
     want = rows.select("id", F.row_number().over(Window.partitionBy("k").orderBy("t", "id")).alias("n"))
     assert sorted(got.collect()) == sorted(want.collect())
     if cut is CUT:
+        assert groups.df.filter("k = 'hot'").select("_hot").distinct().collect() == [(True,)]
         blocks = groups.df.filter("k = 'hot'").groupBy("_block").count().collect()
         assert len(blocks) == 7 and max(r["count"] for r in blocks) < 250
     assert groups.is_cut == bool(cut)
@@ -40,7 +41,7 @@ def test_number_rows(rows, cut):
 
 def test_only_hot_keys_are_cut(rows):
     groups = ordered(rows, ["k"], ["t", "id"], F.col("t"), hot_keys=1, floor=10, pieces=8)
-    cut = groups.df.filter("_block IS NOT NULL").select("k").distinct().collect()
+    cut = groups.df.filter("_hot").select("k").distinct().collect()
     assert [r.k for r in cut] == ["hot"]
 
 

@@ -19,6 +19,7 @@ What is hot is looked up when the plan is built, with bounds that hold for any d
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable, Sequence
 from dataclasses import dataclass, replace
 
@@ -28,9 +29,9 @@ from pyspark.sql import types as T
 
 HOT_KEYS = 1000         # how many keys may be cut
 HOT_FLOOR = 1_000_000   # groups up to this many rows are never cut
-PIECES = 256            # blocks per hot key
+PIECES = 256            # most blocks per hot key, a power of two
 
-_BLOCK = "_block"
+BLOCK, HOT = "_block", "_hot"
 
 # What earlier blocks contribute: running form of each total.
 CARRY: dict[str, Callable[[str], Column]] = {
@@ -69,31 +70,35 @@ class Ordered:
         return replace(self, df=function(self.df))
 
     def rows(self) -> DataFrame:
-        return self.df.drop(_BLOCK)
+        return self.df.drop(BLOCK, HOT)
+
+    @property
+    def parts(self) -> list[str]:
+        """Columns that name the group, or the block of a cut group."""
+        return [*self.keys, BLOCK] if self.is_cut else list(self.keys)
 
     def _window(self):
-        keys = [*self.keys, _BLOCK] if self.is_cut else self.keys
-        return Window.partitionBy(*keys).orderBy(*self.order)
+        return Window.partitionBy(*self.parts).orderBy(*self.order)
+
+    def block_totals(self, **totals: Column) -> DataFrame:
+        """One row per block of the hot keys: at most ``HOT_KEYS * PIECES`` rows."""
+        hot = self.df.filter(F.col(HOT))
+        return hot.groupBy(*self.parts).agg(*[agg.alias(n) for n, agg in totals.items()])
 
     def _carry(self, totals: dict[str, tuple[Column, str]]) -> DataFrame:
         """Add, per total, its combined value over the earlier blocks of the key; null for
         ordinary groups and first blocks."""
         if not self.is_cut:
             return self.df.withColumns({n: F.lit(None) for n in totals})
-        per_block = (
-            self.df.filter(F.col(_BLOCK).isNotNull())
-            .groupBy(*self.keys, _BLOCK)
-            .agg(*[agg.alias(n) for n, (agg, _) in totals.items()])
-        )
+        per_block = self.block_totals(**{n: agg for n, (agg, _) in totals.items()})
         earlier = (
-            Window.partitionBy(*self.keys).orderBy(_BLOCK)
+            Window.partitionBy(*self.keys).orderBy(BLOCK)
             .rowsBetween(Window.unboundedPreceding, -1)
         )
         carried = per_block.select(
-            *self.keys, _BLOCK,
-            *[CARRY[kind](n).over(earlier).alias(n) for n, (_, kind) in totals.items()],
+            *self.parts, *[CARRY[kind](n).over(earlier).alias(n) for n, (_, kind) in totals.items()]
         )
-        return join_by(self.df, F.broadcast(carried), [*self.keys, _BLOCK])
+        return join_by(self.df, F.broadcast(carried), self.parts)
 
     def number(self, out: str) -> Ordered:
         """1-based position of each row in its group."""
@@ -128,47 +133,86 @@ class Ordered:
         return replace(self, df=rows.drop(*before))
 
 
+def _block_number(df: DataFrame, number: Column) -> DataFrame:
+    """Add how many of the row's ``_cuts`` are at most ``number``, by binary search: one
+    generated projection per step, no loop over the cut points."""
+    df = df.withColumn(BLOCK, F.lit(0)).withColumn("_at", number)
+    step = PIECES // 2
+    while step:
+        beyond = F.get("_cuts", F.col(BLOCK) + F.lit(step - 1)) <= F.col("_at")
+        df = df.withColumn(BLOCK, F.col(BLOCK) + F.when(beyond, F.lit(step)).otherwise(F.lit(0)))
+        step //= 2
+    return df.drop("_at", "_cuts")
+
+
+def _padded(cuts: Sequence[float]) -> list[float]:
+    distinct = sorted(set(cuts))
+    return distinct + [math.inf] * (PIECES - 1 - len(distinct))
+
+
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     along: Column,
     is_position: bool = False,
+    sizing: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
     floor: int = HOT_FLOOR,
-    pieces: int = PIECES,
+    pieces: int | None = None,
 ) -> Ordered:
     """Prepare ordered groups, cutting the hot ones along ``along``.
 
     ``along`` is a number that never falls in the order given; equal numbers share a block.
-    With ``is_position`` it counts places inside the group, so only rows at ``floor`` or
-    beyond have to be looked at to find hot groups: a pushed-down filter that ordinary
-    data does not pass.
+    With ``is_position`` it counts places inside the group. Then only rows at ``floor`` or
+    beyond have to be looked at to find hot groups, a pushed-down filter that ordinary data
+    does not pass, and blocks are equal stretches of places. Otherwise rows are counted per
+    key, and blocks lie between quantiles of ``along``.
+
+    ``sizing`` may name a cheaper table to look these figures up in; it needs the keys and
+    the columns of ``along``, and roughly as many rows per key as ``df``. Without
+    ``pieces`` a hot group gets one block per ``floor`` rows, up to ``PIECES``.
     """
-    whole = Ordered(df, tuple(keys), tuple(order), False)
-    counted = df.filter(along >= floor) if is_position else df
-    sizes = counted.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    spark, number = df.sparkSession, along.cast("double")
+    sizing = df if sizing is None else sizing
+
+    def n_blocks(rows: int) -> int:
+        return min(PIECES, pieces or math.ceil(rows / max(floor, 1)) + 1)
+
+    counted = sizing.filter(along >= floor) if is_position else sizing
+    sizes = counted.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"), F.max(number).alias("_hi")
+    )
     hot = (
         sizes.filter(F.col("_n") > (0 if is_position else floor))
-        .orderBy(F.desc("_n")).limit(hot_keys).select(*keys, "_n").collect()
+        .orderBy(F.desc("_n")).limit(hot_keys).select(*keys, "_n", "_hi").collect()
     )
     if not hot:
-        return whole
-    number = along.cast("double")
-    at = [i / pieces for i in range(1, pieces)]
-    cuts = F.array_distinct(F.percentile_approx(number, F.lit(at), F.lit(100 * pieces)))
-    if not keys:
-        found = df.agg(cuts.alias("c")).first().c
-        listed = df.withColumn("_cuts", F.lit(found))
+        return Ordered(df, tuple(keys), tuple(order), False)
+
+    names = [tuple(r)[:-2] for r in hot]
+    key_fields = [df.schema[k] for k in keys]
+    if is_position:
+        split = [
+            [(r["_hi"] + 1) * i / n for i in range(1, n)]
+            for r in hot for n in (n_blocks(int(r["_hi"])),)
+        ]
     else:
-        spark, key_fields = df.sparkSession, [df.schema[k] for k in keys]
-        names = spark.createDataFrame([r[:-1] for r in hot], T.StructType(key_fields))
-        of_hot = join_by(df, F.broadcast(names), keys, "inner")
-        found = of_hot.groupBy(*keys).agg(cuts.alias("_cuts")).collect()
-        schema = T.StructType([*key_fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-        listed = join_by(df, F.broadcast(spark.createDataFrame(found, schema)), keys)
-    block = F.when(
-        F.col("_cuts").isNotNull(),
-        F.size(F.filter("_cuts", lambda c: c <= F.coalesce(number, F.lit(float("-inf"))))),
-    )
-    return replace(whole, df=listed.withColumn(_BLOCK, block).drop("_cuts"), is_cut=True)
+        most = n_blocks(max(r["_n"] for r in hot))
+        fractions = [i / most for i in range(1, most)] or [0.5]
+        cuts = F.percentile_approx(number, F.lit(fractions), F.lit(100 * most)).alias("_c")
+        if keys:
+            named = F.broadcast(spark.createDataFrame(names, T.StructType(key_fields)))
+            found = join_by(sizing, named, keys, "inner").groupBy(*keys).agg(cuts).collect()
+        else:
+            found = sizing.agg(cuts).collect()
+        names, split = [tuple(r)[:-1] for r in found], [r["_c"] for r in found]
+
+    schema = T.StructType([*key_fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
+    if keys:
+        table = [(*n, _padded(c)) for n, c in zip(names, split, strict=True)]
+        listed = join_by(df, F.broadcast(spark.createDataFrame(table, schema)), keys)
+    else:
+        listed = df.withColumn("_cuts", F.lit(_padded(split[0])))
+    marked = listed.withColumn(HOT, F.col("_cuts").isNotNull())
+    return Ordered(_block_number(marked, number), tuple(keys), tuple(order), True)

@@ -364,7 +364,10 @@ def concurrency(
     trials: DataFrame, by: Sequence[str], start: Column, stop: Column, **cutting
 ) -> DataFrame:
     """Number of running trials after every change."""
-    changes = ordered(_changes(trials, by, start, stop), by, ["us"], F.col("us"), **cutting)
+    starts = trials.select(*by, start.alias("us"))
+    changes = ordered(
+        _changes(trials, by, start, stop), by, ["us"], F.col("us"), sizing=starts, **cutting
+    )
     counted = changes.running(n_running=(F.col("change"), "sum")).rows()
     return counted.select(*by, "us", "n_running")
 
