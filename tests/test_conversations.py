@@ -201,7 +201,10 @@ def test_truncate_and_lengths(spark):
 
 def test_batch_plan(spark):
     ids = spark.range(100).withColumnRenamed("id", "conv_id")
-    rows = C.batch_plan(ids, "conv_id", epochs=2, per_device=2, accumulation=3, ranks=2).collect()
+    plan = C.batch_plan(ids, "conv_id", epochs=2, per_device=2, accumulation=3, ranks=2)
+    cut = C.batch_plan(ids, "conv_id", epochs=2, per_device=2, accumulation=3, ranks=2, floor=10)
+    rows = plan.collect()
+    assert sorted(rows) == sorted(cut.collect())
     for epoch in (0, 1):
         mine = sorted((r for r in rows if r.epoch == epoch), key=lambda r: r.position)
         assert [r.position for r in mine] == list(range(100))

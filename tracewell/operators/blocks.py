@@ -12,8 +12,8 @@ What is hot is looked up when the plan is built, with bounds that hold for any d
 
 * At most ``HOT_KEYS`` keys, those with the most rows, are cut. A key that is not among
   them holds at most ``1 / HOT_KEYS`` of all rows.
-* Their cut points (``PIECES`` numbers each) and block totals (one row each per block) are
-  therefore of bounded size; they are the only things collected or broadcast.
+* Together they get at most ``CUT_ROWS`` blocks, so the cut points (a number per block) and
+  block totals (a row per block) are of bounded size. Only these are collected or broadcast.
 * When nothing is hot, no join and no extra shuffle is added.
 """
 
@@ -29,7 +29,8 @@ from pyspark.sql import types as T
 
 HOT_KEYS = 1000         # how many keys may be cut
 HOT_FLOOR = 1_000_000   # groups up to this many rows are never cut
-PIECES = 256            # most blocks per hot key, a power of two
+CUT_ROWS = 1 << 18      # most blocks of all hot keys together
+MOST_PIECES = 1 << 12   # most blocks of one hot key
 
 BLOCK, HOT = "_block", "_hot"
 
@@ -81,7 +82,7 @@ class Ordered:
         return Window.partitionBy(*self.parts).orderBy(*self.order)
 
     def block_totals(self, **totals: Column) -> DataFrame:
-        """One row per block of the hot keys: at most ``HOT_KEYS * PIECES`` rows."""
+        """One row per block of the hot keys: at most ``CUT_ROWS`` rows."""
         hot = self.df.filter(F.col(HOT))
         return hot.groupBy(*self.parts).agg(*[agg.alias(n) for n, agg in totals.items()])
 
@@ -133,11 +134,11 @@ class Ordered:
         return replace(self, df=rows.drop(*before))
 
 
-def _block_number(df: DataFrame, number: Column) -> DataFrame:
-    """Add how many of the row's ``_cuts`` are at most ``number``, by binary search: one
-    generated projection per step, no loop over the cut points."""
+def _block_number(df: DataFrame, number: Column, slots: int) -> DataFrame:
+    """Add how many of the row's ``slots - 1`` cuts are at most ``number``, by binary search:
+    one generated projection per step, no loop over the cut points."""
     df = df.withColumn(BLOCK, F.lit(0)).withColumn("_at", number)
-    step = PIECES // 2
+    step = slots // 2
     while step:
         beyond = F.get("_cuts", F.col(BLOCK) + F.lit(step - 1)) <= F.col("_at")
         df = df.withColumn(BLOCK, F.col(BLOCK) + F.when(beyond, F.lit(step)).otherwise(F.lit(0)))
@@ -145,17 +146,13 @@ def _block_number(df: DataFrame, number: Column) -> DataFrame:
     return df.drop("_at", "_cuts")
 
 
-def _padded(cuts: Sequence[float]) -> list[float]:
-    distinct = sorted(set(cuts))
-    return distinct + [math.inf] * (PIECES - 1 - len(distinct))
-
-
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
     along: Column,
     is_position: bool = False,
+    is_even: bool = False,
     sizing: DataFrame | None = None,
     hot_keys: int = HOT_KEYS,
     floor: int = HOT_FLOOR,
@@ -164,21 +161,20 @@ def ordered(
     """Prepare ordered groups, cutting the hot ones along ``along``.
 
     ``along`` is a number that never falls in the order given; equal numbers share a block.
-    With ``is_position`` it counts places inside the group. Then only rows at ``floor`` or
-    beyond have to be looked at to find hot groups, a pushed-down filter that ordinary data
-    does not pass, and blocks are equal stretches of places. Otherwise rows are counted per
-    key, and blocks lie between quantiles of ``along``.
+    A hot group gets one block per ``floor`` rows (or ``pieces`` blocks) within the bounds
+    above, between quantiles of ``along``. Two hints make that cheaper:
+
+    * ``is_position``: ``along`` counts places inside the group from 0 or 1. Then only rows
+      at ``floor`` or beyond have to be looked at to find hot groups, a pushed-down filter
+      that ordinary data does not pass.
+    * ``is_position`` or ``is_even``: values are spread evenly from 0, so blocks are equal
+      stretches and no quantiles are looked up.
 
     ``sizing`` may name a cheaper table to look these figures up in; it needs the keys and
-    the columns of ``along``, and roughly as many rows per key as ``df``. Without
-    ``pieces`` a hot group gets one block per ``floor`` rows, up to ``PIECES``.
+    the columns of ``along``, and roughly as many rows per key as ``df``.
     """
     spark, number = df.sparkSession, along.cast("double")
     sizing = df if sizing is None else sizing
-
-    def n_blocks(rows: int) -> int:
-        return min(PIECES, pieces or math.ceil(rows / max(floor, 1)) + 1)
-
     counted = sizing.filter(along >= floor) if is_position else sizing
     sizes = counted.groupBy(*keys).agg(
         F.count(F.lit(1)).alias("_n"), F.max(number).alias("_hi")
@@ -190,29 +186,38 @@ def ordered(
     if not hot:
         return Ordered(df, tuple(keys), tuple(order), False)
 
+    most = min(MOST_PIECES, CUT_ROWS // len(hot))
+
+    def n_blocks(rows: float) -> int:
+        return min(most, pieces or math.ceil(rows / max(floor, 1)) + 1)
+
     names = [tuple(r)[:-2] for r in hot]
     key_fields = [df.schema[k] for k in keys]
-    if is_position:
+    if is_position or is_even:
+        sizes_of = [n_blocks(r["_hi"] if is_position else r["_n"]) for r in hot]
         split = [
             [(r["_hi"] + 1) * i / n for i in range(1, n)]
-            for r in hot for n in (n_blocks(int(r["_hi"])),)
+            for r, n in zip(hot, sizes_of, strict=True)
         ]
     else:
-        most = n_blocks(max(r["_n"] for r in hot))
-        fractions = [i / most for i in range(1, most)] or [0.5]
-        cuts = F.percentile_approx(number, F.lit(fractions), F.lit(100 * most)).alias("_c")
+        n = n_blocks(max(r["_n"] for r in hot))
+        fractions = [i / n for i in range(1, n)] or [0.5]
+        cuts = F.percentile_approx(number, F.lit(fractions), F.lit(100 * n)).alias("_c")
         if keys:
             named = F.broadcast(spark.createDataFrame(names, T.StructType(key_fields)))
             found = join_by(sizing, named, keys, "inner").groupBy(*keys).agg(cuts).collect()
         else:
             found = sizing.agg(cuts).collect()
-        names, split = [tuple(r)[:-1] for r in found], [r["_c"] for r in found]
+        names, split = [tuple(r)[:-1] for r in found], [sorted(set(r["_c"])) for r in found]
 
+    slots = 1 << max(map(len, split)).bit_length()
+    padded = [c + [math.inf] * (slots - 1 - len(c)) for c in split]
     schema = T.StructType([*key_fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
     if keys:
-        table = [(*n, _padded(c)) for n, c in zip(names, split, strict=True)]
+        table = [(*n, c) for n, c in zip(names, padded, strict=True)]
         listed = join_by(df, F.broadcast(spark.createDataFrame(table, schema)), keys)
     else:
-        listed = df.withColumn("_cuts", F.lit(_padded(split[0])))
+        listed = df.withColumn("_cuts", F.lit(padded[0]))
     marked = listed.withColumn(HOT, F.col("_cuts").isNotNull())
-    return Ordered(_block_number(marked, number), tuple(keys), tuple(order), True)
+    blocked = _block_number(marked, number, slots)
+    return Ordered(blocked, tuple(keys), tuple(order), True)

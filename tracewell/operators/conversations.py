@@ -20,6 +20,7 @@ from tracewell.functions.templates import CHATML, Template
 from tracewell.functions.text import is_blank, truncate_words, words
 from tracewell.operators.blocks import join_by, ordered
 from tracewell.operators.quantiles import exact_quantiles
+from tracewell.session import written_table
 
 # Accepted role names and the merge separator.
 USER_ROLES = ("human", "user")
@@ -402,7 +403,8 @@ def token_lengths(df: DataFrame, text: str = "text") -> DataFrame:
 
 def length_report(df: DataFrame, cap: int, text: str = "text", **cutting) -> DataFrame:
     """Length quantiles, maximum and share over the cap."""
-    lengths = token_lengths(df, text).select("n_tokens")
+    # Lengths are kept as a small table: each use below would render the texts again.
+    lengths = written_table(token_lengths(df, text).select("n_tokens"), "lengths")
     quantiles = exact_quantiles(
         lengths, [], "n_tokens", {"p50": 0.5, "p90": 0.9, "p99": 0.99}, **cutting
     )
@@ -480,7 +482,10 @@ def batch_plan(
         "_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch"), F.col(id_col)))
     )
     along = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double")
-    placed = ordered(keyed, ["epoch"], ["_hash", id_col], along, **cutting).number("_nth").rows()
+    epochs_in_order = ordered(
+        keyed, ["epoch"], ["_hash", id_col], along, is_even=True, **cutting
+    )
+    placed = epochs_in_order.number("_nth").rows()
     position = F.col("_nth") - 1
     in_batch = F.pmod(position, F.lit(batch))
     sizes = ids.agg(F.count(F.lit(1))).scalar()

@@ -5,10 +5,10 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
-# Settings every job of this package relies on. Executor counts, memory and the
-# number of shuffle partitions belong to the cluster, not to the library.
+# Settings every job of this package relies on. Executor counts, memory and the number of
+# shuffle partitions belong to the cluster, not to the library.
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
@@ -19,6 +19,8 @@ SETTINGS = {
     "spark.ui.showConsoleProgress": "false",
 }
 
+_LOCAL_SCRATCH: dict[str, str] = {}
+
 
 def build_session(master: str | None = None, app: str = "tracewell", **extra: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
@@ -30,16 +32,23 @@ def build_session(master: str | None = None, app: str = "tracewell", **extra: st
 
 
 def scratch_dir(spark: SparkSession, purpose: str) -> str:
-    """A new folder for intermediate tables.
+    """Path of a new folder for intermediate tables.
 
-    On a cluster it lies below the shared folder named in ``spark.checkpoint.dir``;
-    a machine-local folder is used only where that setting is missing (tests).
+    On a cluster it lies below the shared folder named in ``spark.checkpoint.dir``; a
+    machine-local folder is used only in local mode with that setting missing (tests).
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        master = spark.conf.get("spark.master", "local")
-        if not master.startswith("local"):
+        if not spark.conf.get("spark.master", "").startswith("local"):
             raise ValueError("set spark.checkpoint.dir to a folder every executor can reach")
-        shared = tempfile.mkdtemp(prefix="tracewell-")
-        spark.conf.set("spark.checkpoint.dir", shared)
+        if "local" not in _LOCAL_SCRATCH:
+            _LOCAL_SCRATCH["local"] = tempfile.mkdtemp(prefix="tracewell-")
+        shared = _LOCAL_SCRATCH["local"]
     return f"{shared.rstrip('/')}/{purpose}-{uuid.uuid4().hex}"
+
+
+def written_table(df: DataFrame, purpose: str) -> DataFrame:
+    """``df`` as a table in the scratch folder: cuts lineage, survives lost executors."""
+    path = scratch_dir(df.sparkSession, purpose)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
