@@ -63,6 +63,16 @@ def test_running_over_everything(rows, cut):
     assert sorted(got.collect()) == sorted(want.collect())
 
 
+@pytest.mark.parametrize("keys", [["k"], []])
+@pytest.mark.parametrize("cut", CUTS)
+def test_totals(rows, cut, keys):
+    groups = ordered(rows, keys, ["id"], F.col("id"), is_position=True, **cut)
+    got = groups.totals(s=(F.col("v"), "sum"), m=(F.col("t"), "max")).rows().select("id", "s", "m")
+    whole = Window.partitionBy(*keys)
+    want = rows.select("id", F.sum("v").over(whole).alias("s"), F.max("t").over(whole).alias("m"))
+    assert sorted(got.collect()) == sorted(want.collect())
+
+
 @pytest.mark.parametrize("cut", CUTS)
 def test_previous(rows, cut):
     groups = ordered(rows, ["k"], ["id"], F.col("id"), is_position=True, **cut)

@@ -134,6 +134,19 @@ class Ordered:
         return replace(self, df=rows.drop(*before))
 
 
+    def totals(self, **outs: tuple[Column, str]) -> Ordered:
+        """``sum``, ``min`` or ``max`` over the whole group, next to every row."""
+        part = Window.partitionBy(*self.parts)
+        local = {n: AGGREGATE[how](v).over(part) for n, (v, how) in outs.items()}
+        if not self.is_cut:
+            return replace(self, df=self.df.withColumns(local))
+        hot = self.df.filter(F.col(HOT)).groupBy(*self.keys)
+        whole = hot.agg(*[AGGREGATE[how](v).alias(f"_hot_{n}") for n, (v, how) in outs.items()])
+        rows = join_by(self.df, F.broadcast(whole) if self.keys else whole, self.keys)
+        both = {n: F.when(F.col(HOT), F.col(f"_hot_{n}")).otherwise(c) for n, c in local.items()}
+        return replace(self, df=rows.withColumns(both).drop(*[f"_hot_{n}" for n in outs]))
+
+
 def _block_number(df: DataFrame, number: Column, slots: int) -> DataFrame:
     """Add how many of the row's ``slots - 1`` cuts are at most ``number``, by binary search:
     one generated projection per step, no loop over the cut points."""

@@ -443,15 +443,18 @@ def response_spans(turns: DataFrame, template: Template = CHATML, **cutting) ->
         .when(~_starts(), F.lit(len(MERGE_SEPARATOR)))
         .otherwise(template.closing_size("_prev") + template.opening_size("role"))
     )
-    placed = _talks(kept, **cutting).previous("role", "_prev").running(
-        stop=(lead + F.col("chars"), "sum"), _nth=(_starts().cast("long"), "sum")
+    code = _end_code(F.col("turn"), F.col("role"))
+    placed = (
+        _talks(kept, **cutting)
+        .totals(_lo=(code, "min"), _hi=(code, "max"))
+        .previous("role", "_prev")
+        .running(stop=(lead + F.col("chars"), "sum"), _nth=(_starts().cast("long"), "sum"))
     )
-    ok = conversation_ends(turns).filter(F.col("drop_reason").isNull()).select("conv_id")
+    reason = _end_reason(F.lit(False), _role_of(F.col("_lo")), _role_of(F.col("_hi")))
     return (
-        placed.rows().filter(F.col("role") == "assistant")
+        placed.rows().filter((F.col("role") == "assistant") & reason.isNull())
         .groupBy("conv_id", (F.col("_nth") - 1).alias("msg_idx"))
         .agg(F.min(F.col("stop") - F.col("chars")).alias("start"), F.max("stop").alias("stop"))
-        .join(ok, "conv_id", "left_semi")
     )
 
 
