@@ -127,8 +127,8 @@ def test_feedback(spark):
 
 def test_names(spark):
     v = F.col("v")
-    assert one(spark, "mistralai/Devstral-Small-2-24B-Instruct-2512", names.agent_name(v)).c0 == (
-        "devstral-small-2"
+    assert one(spark, "Some-Owner/Tiny_Coder-3-7B-Instruct", names.agent_name(v)).c0 == (
+        "tiny-coder-3"
     )
     assert one(spark, "A_b", names.agent_name(v)).c0 == "a-b"
     assert one(spark, "a/b", names.cache_folder(v)).c0 == "datasets--a--b"

@@ -1,5 +1,5 @@
-"""Checked streams: derived tables written to files, read as a stream with several small
-batches, and compared with the batch answer."""
+"""Checked streams: derived tables written to files, read as a stream until all files are
+taken in, and compared with the batch answer."""
 
 from __future__ import annotations
 
@@ -17,15 +17,14 @@ from tracewell.plans.training_data import KEEP, NOISY, formatted_sql
 from tracewell.session import scratch_dir
 from tracewell.streaming import live
 
-FILES = 4  # input files of a checked stream, read two per batch
+FILES_PER_BATCH = 1000
 
 
 def _file_stream(spark, rows, fmt: str, schema: str):
     path = scratch_dir(spark, "stream-in")
-    rows.repartition(FILES).write.format(fmt).save(path)
-    return (
-        spark.readStream.schema(schema).format(fmt).option("maxFilesPerTrigger", 2).load(path)
-    )
+    rows.write.format(fmt).save(path)
+    stream = spark.readStream.schema(schema).format(fmt)
+    return stream.option("maxFilesPerTrigger", FILES_PER_BATCH).load(path)
 
 
 def _upserted(spark, stream, keys):
