@@ -102,6 +102,9 @@ def test_long_reply_is_linear(spark):
     reply = "```bash\n" + "\n".join(f"echo {i}" for i in range(40_000)) + "\n```"
     (found,) = commands(spark, [reply])
     assert len(found) == 1 and found[0].endswith("echo 39999")
+    blocks = "\n".join(f"```sh\necho {i}\n```" for i in range(10_000))
+    df = spark.createDataFrame([(1, 1, blocks)], "trial_id int, iteration int, reply string")
+    assert command_rows(df).filter("cmd <> 'echo 5'").count() == 9_999
 
 
 def test_completing_reply_runs_nothing(spark):

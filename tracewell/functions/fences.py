@@ -11,6 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from tracewell.functions.pin import pin
 from tracewell.functions.text import py_strip
 
 # Block marks.
@@ -18,29 +19,22 @@ OPENING_MARKS = ("```bash", "```sh")
 CLOSING_MARK = "```"
 
 
-def _opens(line: Column) -> Column:
-    stripped = py_strip(line)
+def _opens(stripped: Column) -> Column:
     test = F.startswith(stripped, F.lit(OPENING_MARKS[0]))
     for mark in OPENING_MARKS[1:]:
         test = test | F.startswith(stripped, F.lit(mark))
     return test
 
 
-def _closes(line: Column) -> Column:
-    return py_strip(line) == CLOSING_MARK
-
-
 def fence_marks(lines: Column) -> Column:
     """Array of (at, opens) for the opening and closing lines, in order."""
-    marked = F.transform(
-        lines,
-        lambda line, at: F.struct(
-            at.alias("at"),
-            _opens(line).alias("opens"),
-            (_opens(line) | _closes(line)).alias("is_mark"),
-        ),
+    numbered = F.transform(
+        lines, lambda line, at: F.struct(at.alias("at"), py_strip(line).alias("bare"))
+    )
+    marks = F.filter(numbered, lambda m: _opens(m["bare"]) | (m["bare"] == CLOSING_MARK))
+    return F.transform(
+        marks, lambda m: F.struct(m["at"].alias("at"), _opens(m["bare"]).alias("opens"))
     )
-    return F.filter(marked, lambda m: m["is_mark"])
 
 
 def commands_between(lines: Column, marks: Column) -> Column:
@@ -70,9 +64,7 @@ def commands_between(lines: Column, marks: Column) -> Column:
 
 def with_commands(df, reply: str = "reply", out: str = "commands"):
     """Add the array of commands of each reply; a null reply has none."""
-    return (
-        df.withColumn("_lines", F.split(F.coalesce(F.col(reply), F.lit("")), "\n"))
-        .withColumn("_marks", fence_marks(F.col("_lines")))
-        .withColumn(out, commands_between(F.col("_lines"), F.col("_marks")))
-        .drop("_lines", "_marks")
-    )
+    lines = pin(df, _lines=F.split(F.coalesce(F.col(reply), F.lit("")), "\n"))
+    marked = pin(lines, _marks=fence_marks(F.col("_lines")))
+    found = pin(marked, **{out: commands_between(F.col("_lines"), F.col("_marks"))})
+    return found.drop("_lines", "_marks")

@@ -16,6 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tracewell.functions.pin import pin
 from tracewell.functions.templates import CHATML, Template
 from tracewell.functions.text import is_blank, truncate_words, words
 from tracewell.operators.blocks import join_by, ordered
@@ -156,8 +157,7 @@ def _render(df: DataFrame, template: Template, keep_dropped: bool) -> DataFrame:
     """``_early`` (reason known from the ends) and ``_pieces`` (ordered) -> text, n_turns,
     drop_reason, next to the other columns.
 
-    The result comes out of a generator, which filters are not pushed through: a filter on
-    the reason must not work out the text a second time.
+    The results are pinned: a filter on the reason must not work out the text again.
     """
     others = [c for c in df.columns if c not in ("_early", "_pieces")]
     if not keep_dropped:
@@ -174,11 +174,10 @@ def _render(df: DataFrame, template: Template, keep_dropped: bool) -> DataFrame:
         ),
     )
     reason = F.coalesce("_early", F.when(F.col("_text").isNull(), "template_error"))
-    out = F.struct(
-        F.col("_text").alias("text"), F.col("_messages").alias("n_turns"),
-        reason.alias("drop_reason"),
-    )
-    shown = whole.withColumn("_text", text).select(*others, F.inline(F.array(out)))
+    shown = pin(
+        whole.withColumn("_text", text),
+        text=F.col("_text"), n_turns=F.col("_messages"), drop_reason=reason,
+    ).select(*others, "text", "n_turns", "drop_reason")
     if keep_dropped:
         return shown
     return shown.filter(F.col("drop_reason").isNull()) if template.may_fail else shown
@@ -252,8 +251,7 @@ def format_nested(
     kept = F.filter(normal, lambda m: ~is_blank(m["content"]) & m["role"].isNotNull())
     pieces = F.transform(kept, lambda m: _piece(m["pos"], m["role"], m["content"]))
     others = [c for c in df.columns if c != "conversations"]
-    # The generator keeps the array from being worked out once per use further up.
-    found = df.select(*others, F.inline(F.array(F.struct(pieces.alias("_pieces")))))
+    found = pin(df, _pieces=pieces).select(*others, "_pieces")
     p = F.col("_pieces")
     early = _end_reason(
         F.size(p) == 0, F.get(p, 0)["first"], F.get(p, F.size(p) - 1)["last"]
@@ -340,12 +338,8 @@ def merge_nested(df: DataFrame) -> DataFrame:
             F.array_join(parts, MERGE_SEPARATOR).alias("content"),
         )
 
-    return (
-        df.withColumn("_kept", kept)
-        .withColumn("_starts", at)
-        .withColumn("messages", F.transform(s, message))
-        .drop("_kept", "_starts")
-    )
+    found = pin(pin(df, _kept=kept), _starts=at)
+    return pin(found, messages=F.transform(s, message)).drop("_kept", "_starts")
 
 
 # --- verdicts without text -----------------------------------------------------
