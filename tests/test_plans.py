@@ -15,7 +15,8 @@ SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
 pytestmark = pytest.mark.skipif(not os.path.isdir(SF), reason="no test data")
 
-USER_CODE = {"udf_row_function", "udf_batched_formatter", "udf_tokenizer", "udf_reward"}
+USER_CODE = {"udf_row_function", "udf_batched_formatter", "udf_tokenizer", "udf_reward",
+             "udf_truncate", "udf_render"}
 
 
 def plan_of(df):

@@ -177,6 +177,10 @@ def test_latest_snapshot(spark, tmp_path):
     rows = {r.folder: r for r in datasets.latest_snapshots(spark, str(hub)).collect()}
     assert (rows["datasets--a--b"].latest_snapshot, rows["datasets--a--b"].n_tasks) == ("02", 2)
     assert rows["datasets--c--d"].latest_snapshot == "g" and not rows["datasets--c--d"].usable
+    found = datasets.find_dataset(spark, str(hub), "a/b").collect()
+    assert [(r.path, r.n_tasks) for r in found] == [(f"{hub}/datasets--a--b/snapshots/02", 2)]
+    assert datasets.find_dataset(spark, str(hub), "c/d").count() == 0
+    assert datasets.find_dataset(spark, str(hub), "no/where").count() == 0
 
 
 def test_scrapes(spark, tmp_path):

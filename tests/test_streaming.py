@@ -87,3 +87,32 @@ def test_format_stream(spark, tmp_path):
     live.append_to(stream, str(tmp_path / "out"), str(tmp_path / "state")).awaitTermination()
     rows = spark.read.parquet(str(tmp_path / "out")).collect()
     assert [(r.conv_id, r.n_turns) for r in rows] == [(1, 2)]
+
+
+def test_result_files_as_they_land(spark, tmp_path):
+    def land(name, reward):
+        folder = tmp_path / "run" / name
+        folder.mkdir(parents=True)
+        (folder / "config.json").write_text("{}")
+        (folder / "result.json").write_text(json.dumps(
+            {"id": name, "trial_name": name, "finished_at": "2026-01-11T22:05:00.000001",
+             "verifier_result": {"rewards": {"reward": reward}}}, indent=4))
+
+    def go():
+        results = live.result_stream(spark, str(tmp_path / "run"), files_per_batch=1)
+        counts = live.live_success(results, F.to_timestamp_ntz("finished_at"))
+        return run_upsert(spark, counts, ["bucket_start"], tmp_path).read().collect()
+
+    land("a__1", 1.0), land("b__2", 0.0)
+    assert [(r.n_finished, r.n_passes) for r in go()] == [(2, 1)]
+    land("c__3", 1.0)
+    assert [(r.n_finished, r.n_passes) for r in go()] == [(3, 2)]
+
+
+def test_scrapes_as_they_land(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "1.txt").write_text('vllm:lora_requests_info{running_lora_adapters="a"} 2')
+    activity = live.live_adapter_activity(
+        live.metric_stream(spark, str(tmp_path / "in")), "running_lora_adapters")
+    rows = run_upsert(spark, activity, ["bucket_start", "name", "label"], tmp_path).read().collect()
+    assert [(r.label, r.max_value) for r in rows] == [("a", 2.0)]

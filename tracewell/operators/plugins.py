@@ -61,6 +61,50 @@ def token_counter(load: Callable[[], Callable[[str], list]]) -> Callable[[Column
     return count
 
 
+def token_truncator(
+    load: Callable[[], tuple[Callable[[str], list], Callable[[list], str]]], limit: int
+) -> Callable[[Column], Column]:
+    """Column function giving ``text, n_tokens, was_truncated``; ``load`` returns the encode
+    and decode functions of a tokenizer. Texts within the limit come back unchanged."""
+
+    @F.pandas_udf("text string, n_tokens long, was_truncated boolean")
+    def truncate(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+        encode, decode = load()
+        for texts in batches:
+            rows = []
+            for text in texts:
+                tokens = [] if text is None else encode(text)
+                cut = len(tokens) > limit
+                rows.append((decode(tokens[:limit]) if cut else text, len(tokens), cut))
+            yield pd.DataFrame(rows, columns=["text", "n_tokens", "was_truncated"])
+
+    return truncate
+
+
+def chat_renderer(
+    load: Callable[[], Callable[[list[dict]], str]], strict: bool = False
+) -> Callable[[Column], Column]:
+    """Column function rendering an array of (role, content) with the user's own template;
+    ``load`` returns it. A template that fails gives null, or stops the job when strict."""
+
+    @F.pandas_udf("string")
+    def render(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+        template = load()
+
+        def one(messages) -> str | None:
+            try:
+                return template([{"role": m["role"], "content": m["content"]} for m in messages])
+            except Exception:
+                if strict:
+                    raise
+                return None
+
+        for batch in batches:
+            yield pd.Series([one(messages) for messages in batch], dtype=object)
+
+    return render
+
+
 def reward_function(score: Callable[[str, str], float]) -> Callable[[Column, Column], Column]:
     """Column function scoring a completion against its answer."""
 

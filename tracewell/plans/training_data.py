@@ -302,3 +302,39 @@ def udf_reward(spark, sf):
     score = plugins.reward_function(lambda done, wanted: float(done.strip() == wanted.strip()))
     wanted = F.when(F.char_length("text") % 2 == 0, F.concat(F.lit(" "), "text")).otherwise("?")
     return _plain(spark, sf).select("conv_id", "turn", score(F.col("text"), wanted).alias("reward"))
+
+
+@query("udf_truncate", ctes(toks=f"""
+SELECT conv_id, turn, text, list_filter(regexp_split_to_array(text, '{SPACE_SQL}+'),
+  lambda w: w <> '') AS ws FROM conversations""") + """
+SELECT conv_id, turn, CAST(len(ws) AS BIGINT) AS n_tokens, len(ws) > 60 AS was_truncated,
+  CASE WHEN len(ws) > 60 THEN array_to_string(ws[1:60], ' ') ELSE text END AS text FROM toks""")
+def udf_truncate(spark, sf):
+    cut = plugins.token_truncator(lambda: (str.split, " ".join), 60)
+    return _plain(spark, sf).select("conv_id", "turn", cut(F.col("text")).alias("t")).select(
+        "conv_id", "turn", "t.*"
+    )
+
+
+def _picky_template():
+    def render(messages: list[dict]) -> str:
+        if messages[1]["role"] == "assistant" and messages[0]["role"] == "system":
+            raise ValueError("a user must speak first")
+        return "".join(
+            f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n" for m in messages
+        )
+
+    return render
+
+
+@query("udf_render", formatted_sql(NOISY, """
+SELECT c.conv_id, c.text FROM checked c WHERE drop_reason IS NULL AND conv_id NOT IN (
+  SELECT p.conv_id FROM messages p JOIN messages m ON m.conv_id = p.conv_id AND m.seg = 2
+  WHERE p.seg = 1 AND p.role = 'system' AND m.role = 'assistant')"""))
+def udf_render(spark, sf):
+    noisy = V.noisy_conversations(spark, sf)
+    ok = C.conversation_ends(noisy).filter(F.col("drop_reason").isNull())
+    merged = C.merge_nested(C.nest_turns(noisy).join(ok, "conv_id", "left_semi"))
+    render = plugins.chat_renderer(_picky_template)
+    rendered = merged.select("conv_id", render(F.col("messages")).alias("text"))
+    return C.drop_blank(rendered)

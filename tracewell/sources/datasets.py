@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -44,6 +45,20 @@ def valid_tasks(spark: SparkSession, root: str) -> DataFrame:
     return task_names(list_files(spark, root, "instruction.md"), _plain(F.lit(root)))
 
 
+def find_dataset(spark: SparkSession, hub: str, repo_id: str) -> DataFrame:
+    """``path, n_tasks`` of a repository's latest snapshot; no row when the repository is not
+    there or its latest snapshot holds no valid task."""
+    base = f"{hub.rstrip('/')}/datasets--{repo_id.replace('/', '--')}"
+    try:
+        found = latest_snapshots(spark, base)
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], "path STRING, n_tasks BIGINT")
+    path = F.concat(F.lit(f"{base}/snapshots/"), F.col("latest_snapshot"))
+    return found.filter("usable").select(path.alias("path"), "n_tasks")
+
+
 def latest_snapshots(spark: SparkSession, hub: str) -> DataFrame:
     """Latest usable snapshot of every repository below a cache folder. Snapshots are known
     from the files in them, as on any object store; one without files does not exist."""

@@ -16,9 +16,11 @@ def write_training_text(formatted: DataFrame, path: str, fmt: str = "parquet") -
 def write_results(
     rows: DataFrame, path: str, run_ts: Column, job_name: Column, fmt: str = "parquet"
 ) -> None:
-    """Append below ``run_ts=.../job_name=...``, the layout later reads prune on."""
+    """Append below ``run_ts=.../job_name=...``, the layout later reads prune on. Rows are
+    gathered by job before writing, so a job gets few files; a very large job is split
+    again by adaptive execution."""
     placed = rows.withColumns({"run_ts": run_ts, "job_name": job_name})
-    placed.write.mode("append").partitionBy("run_ts", "job_name").format(fmt).save(path)
+    placed.hint("rebalance", "run_ts", "job_name").write.mode("append").partitionBy("run_ts", "job_name").format(fmt).save(path)
 
 
 def first_row_preview(formatted: DataFrame, key: str, limit: int | None = 500) -> DataFrame:

@@ -17,6 +17,29 @@ from tracewell.functions.parsing import is_adapter_metric, parse_metrics
 from tracewell.functions.templates import CHATML, Template
 from tracewell.operators.conversations import format_nested
 from tracewell.operators.training_log import LOSS_THRESHOLD, stop_aggregates, stop_columns
+from tracewell.schemas import TRIAL_RESULT
+from tracewell.sources.artifacts import RESULT
+
+
+def metric_stream(spark: SparkSession, path: str) -> DataFrame:
+    """Scraped metric files as they land: ``line, scraped_at`` (time of the file)."""
+    return spark.readStream.text(path).select(
+        F.col("value").alias("line"),
+        F.col("_metadata.file_modification_time").alias("scraped_at"),
+    )
+
+
+def result_stream(spark: SparkSession, root: str, files_per_batch: int = 10_000) -> DataFrame:
+    """Trial results as their files land below ``<root>/<trial>/``."""
+    documents = (
+        spark.readStream.schema(TRIAL_RESULT).option("multiLine", True)
+        .option("pathGlobFilter", RESULT).option("maxFilesPerTrigger", files_per_batch)
+        .json(f"{root.rstrip('/')}/*")
+    )
+    return documents.select(
+        "id", "task_name", "trial_name", "finished_at",
+        F.col("verifier_result.rewards")["reward"].alias("reward"),
+    )
 
 
 def live_early_stop(log: DataFrame, threshold: float = LOSS_THRESHOLD) -> DataFrame:
