@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions.templates import CHATML, STRICT_CHATML, Template
 from tracewell.operators import conversations as C
+from tracewell.sources.writers import write_training_text
 
 BLANK = "\t \u001f "
 CASES = {  # name -> turns, merged messages or drop reason
@@ -182,6 +183,15 @@ def test_raw_recipe_keeps_columns_and_fails_on_unknown_roles(spark):
         C.format_raw(bad).collect()
 
 
+def test_written_text_is_counted_on_the_way(spark, tmp_path):
+    turns = turns_of(spark, [t for t, _ in CASES.values()])
+    formatted = C.format_conversations(turns, keep_dropped=True)
+    sizes = write_training_text(formatted, str(tmp_path / "t"), "json")
+    assert sizes == {"n_before": 15, "n_after": 9, "n_empty": 1, "n_starts_assistant": 4,
+                     "n_not_ends_assistant": 1, "n_template_error": 0}
+    assert spark.read.json(str(tmp_path / "t")).count() == 9
+
+
 def test_first_n(spark):
     turns = turns_of(spark, [t for t, _ in CASES.values()])
     ids = lambda n: sorted(

@@ -316,17 +316,6 @@ def udf_truncate(spark, sf):
     )
 
 
-def _picky_template():
-    def render(messages: list[dict]) -> str:
-        if messages[1]["role"] == "assistant" and messages[0]["role"] == "system":
-            raise ValueError("a user must speak first")
-        return "".join(
-            f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n" for m in messages
-        )
-
-    return render
-
-
 @query("udf_render", formatted_sql(NOISY, """
 SELECT c.conv_id, c.text FROM checked c WHERE drop_reason IS NULL AND conv_id NOT IN (
   SELECT p.conv_id FROM messages p JOIN messages m ON m.conv_id = p.conv_id AND m.seg = 2
@@ -335,6 +324,17 @@ def udf_render(spark, sf):
     noisy = V.noisy_conversations(spark, sf)
     ok = C.conversation_ends(noisy).filter(F.col("drop_reason").isNull())
     merged = C.merge_nested(C.nest_turns(noisy).join(ok, "conv_id", "left_semi"))
-    render = plugins.chat_renderer(_picky_template)
+
+    def load():
+        def render(messages: list[dict]) -> str:
+            if messages[1]["role"] == "assistant" and messages[0]["role"] == "system":
+                raise ValueError("a user must speak first")
+            return "".join(
+                f"<|im_start|>{m['role']}\n{m['content']}<|im_end|>\n" for m in messages
+            )
+
+        return render
+
+    render = plugins.chat_renderer(load)
     rendered = merged.select("conv_id", render(F.col("messages")).alias("text"))
     return C.drop_blank(rendered)

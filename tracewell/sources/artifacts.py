@@ -130,7 +130,8 @@ def write_packed(rows: DataFrame, path: str) -> None:
 
 def pack(spark: SparkSession, root: str, path: str) -> PackedRun:
     """Copy a run folder into a packed table, once."""
-    rows = read_bodies(spark, root)
+    names = sorted({name.rsplit("/", 1)[-1] for name in TRIAL_FILES})
+    rows = read_bodies(spark, root, "{" + ",".join(names) + "}")
     inside = F.array_join(F.slice("parts", 2, 99), "/")
     is_job = F.size("parts") == 1
     named = rows.select(

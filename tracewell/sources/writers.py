@@ -2,15 +2,26 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
-from tracewell.functions.text import preview
-from tracewell.operators.conversations import training_text
-
-
-def write_training_text(formatted: DataFrame, path: str, fmt: str = "parquet") -> None:
-    training_text(formatted).write.mode("errorifexists").format(fmt).save(path)
+from tracewell.functions.text import is_blank, preview
+from tracewell.operators.conversations import DROP_REASONS, training_text
+
+
+def write_training_text(formatted: DataFrame, path: str, fmt: str = "parquet") -> dict[str, int]:
+    """Write the texts and return the sizes before and after and the drops per reason,
+    counted during the write. Drops are seen only when ``formatted`` still holds them."""
+    reason = F.col("drop_reason")
+    sizes = Observation()
+    counted = formatted.observe(
+        sizes,
+        F.count(F.lit(1)).alias("n_before"),
+        F.count_if(reason.isNull() & ~is_blank(F.col("text"))).alias("n_after"),
+        *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(f"n_{r}") for r in DROP_REASONS],
+    )
+    training_text(counted).write.mode("errorifexists").format(fmt).save(path)
+    return sizes.get
 
 
 def write_results(
