@@ -163,10 +163,15 @@ def test_strict_template(spark):
 
 def test_template_without_a_role(spark):
     bare = Template({"user": ("", ""), "assistant": ("", "")})
-    turns = turns_of(spark, ["user:a|assistant:b", "system:s|user:a|assistant:b"])
-    rows = C.format_conversations(turns, bare, keep_dropped=True).orderBy("conv_id").collect()
-    assert [outcome(r) for r in rows] == ["ab", "template_error"]
+    talks = ["user:a|assistant:b", "system:s|user:a|assistant:b", "user:a|system:s|assistant:b"]
+    turns = turns_of(spark, talks)
+    for head in (1, 2, 4096):
+        out = C.format_conversations(turns, bare, keep_dropped=True, head_turns=head)
+        rows = out.orderBy("conv_id").collect()
+        assert [outcome(r) for r in rows] == ["ab", "template_error", "template_error"]
     assert C.format_conversations(turns, bare).count() == 1
+    nested = C.format_nested(C.nest_turns(turns), bare, keep_dropped=True)
+    assert sorted(outcome(r) for r in nested.collect()) == ["ab", "template_error", "template_error"]
 
 
 def test_blank_text_is_not_trained_on(spark):

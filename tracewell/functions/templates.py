@@ -26,7 +26,7 @@ class Template:
 
     @property
     def may_fail(self) -> bool:
-        return bool(self.forbidden) or set(ROLES) - set(self.marks) != set()
+        return bool(self.forbidden) or not set(ROLES) <= set(self.marks)
 
     def _pick(self, role: Column, side: int, otherwise: Column) -> Column:
         out = None
@@ -54,7 +54,8 @@ class Template:
         return F.char_length(self.closing(F.col(role))).cast("long")
 
     def forbids(self, before: Column, after: Column) -> Column:
-        out = F.lit(False)
+        """True for a refused role change, or a change to a role without marks."""
+        out = F.lit(False) if set(ROLES) <= set(self.marks) else ~after.isin(*self.marks)
         for a, b in self.forbidden:
             out = out | ((before == a) & (after == b))
         return out

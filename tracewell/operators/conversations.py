@@ -128,7 +128,7 @@ def _stitch(pieces: Column, template: Template) -> dict[str, Column]:
     def new_messages(x: Column, i: Column) -> Column:
         return x["messages"] - ((i > 0) & (before(i) == x["first"])).cast("long")
 
-    if template.forbidden:
+    if template.may_fail:
         broken = F.exists(F.transform(pieces, breaks), lambda b: b)
     else:
         broken = F.lit(False)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracewell.functions.parsing import parse_exceptions, parse_log_lines
-from tracewell.functions.text import micros
+from tracewell.functions.text import micros, micros_between, parse_epoch, parse_iso
 from tracewell.operators import trials as B
 from tracewell.plans import views as V
 from tracewell.plans.catalog import ctes, query
@@ -337,10 +337,9 @@ def phase_stats(spark, sf):
 @query("phase_durations", ctes(trials=TRIALS) + """
 SELECT trial_id, strftime(started_at, '%Y-%m-%dT%H:%M:%S.%f') AS started_text,
   epoch_us(started_at) AS started_us, epoch_us(started_at) + duration_us AS finished_us,
+  epoch_us(started_at) // 1000 AS epoch_ms,
   duration_us, round(duration_us / 1e6, 6) AS seconds FROM trials""")
 def phase_durations(spark, sf):
-    from tracewell.functions.text import micros_between, parse_epoch, parse_iso
-
     trials = V.trials(spark, sf)
     text = F.date_format("started_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS")
     started = parse_iso(F.col("started_text"))
@@ -352,8 +351,11 @@ def phase_durations(spark, sf):
         .withColumn("finished_us", micros(F.col("finished")))
     )
     length = micros_between(started, F.col("finished"))
+    # Test reports give epoch seconds as doubles; these hold whole milliseconds.
+    epoch = parse_epoch(F.floor(F.col("started_us") / 1000) / 1000)
     return timed.select(
         "trial_id", "started_text", "started_us", "finished_us", length.alias("duration_us"),
+        F.round(micros(epoch) / 1000).cast("long").alias("epoch_ms"),
         F.round(length / 1e6, 6).alias("seconds"),
     )
 

@@ -18,7 +18,7 @@ def write_training_text(formatted: DataFrame, path: str, fmt: str = "parquet") -
         sizes,
         F.count(F.lit(1)).alias("n_before"),
         F.count_if(reason.isNull() & ~is_blank(F.col("text"))).alias("n_after"),
-        *[F.count_if(F.coalesce(reason == r, F.lit(False))).alias(f"n_{r}") for r in DROP_REASONS],
+        *[F.count_if(reason.eqNullSafe(r)).alias(f"n_{r}") for r in DROP_REASONS],
     )
     training_text(counted).write.mode("errorifexists").format(fmt).save(path)
     return sizes.get
@@ -31,7 +31,9 @@ def write_results(
     gathered by job before writing, so a job gets few files; a very large job is split
     again by adaptive execution."""
     placed = rows.withColumns({"run_ts": run_ts, "job_name": job_name})
-    placed.hint("rebalance", "run_ts", "job_name").write.mode("append").partitionBy("run_ts", "job_name").format(fmt).save(path)
+    layout = ["run_ts", "job_name"]
+    gathered = placed.hint("rebalance", *layout)
+    gathered.write.mode("append").partitionBy(*layout).format(fmt).save(path)
 
 
 def first_row_preview(formatted: DataFrame, key: str, limit: int | None = 500) -> DataFrame:
