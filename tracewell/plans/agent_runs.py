@@ -181,7 +181,7 @@ SELECT trial_id, iteration, CASE WHEN (trial_id + iteration) % 6 = 0 THEN NULL E
   AS reply FROM ({REPLIES}) r"""
 RAN = """
 SELECT *, CAST(cmd_idx % 2 AS INT) AS return_code,
-  repeat(cmd, CAST(iteration * 40 AS INT)) AS stdout,
+  repeat(cmd, CAST(iteration % 50 * 40 AS INT)) AS stdout,
   CASE WHEN cmd_idx % 2 = 1 THEN 'warned' ELSE '' END AS stderr FROM run"""
 SEEDS = """
 SELECT DISTINCT trial_id, concat('Solve task ', CAST(trial_id AS VARCHAR)) AS instruction
@@ -214,7 +214,7 @@ def _trajectory_parts(spark, sf):
     odd = F.col("cmd_idx") % 2 == 1
     ran = J.command_rows(replies.drop("error")).withColumns(
         {"return_code": (F.col("cmd_idx") % 2).cast("int"),
-         "stdout": F.repeat("cmd", (F.col("iteration") * 40).cast("int")),
+         "stdout": F.repeat("cmd", (F.col("iteration") % 50 * 40).cast("int")),
          "stderr": F.when(odd, F.lit("warned")).otherwise("")}
     )
     return seeds, replies, ran
