@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontaminate
+from tracewell.llm import decontaminate, minhash
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
 
@@ -51,3 +51,36 @@ FROM docs LEFT JOIN marked USING (rid) LEFT JOIN named USING (rid)
 """)
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op1_minhash", sql=r"""
+WITH RECURSIVE docs AS (
+  SELECT doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x20\x09-\x0D]+') AS w
+  FROM documents
+), spots AS (
+  SELECT doc_id, w, unnest(range(greatest(len(w) - 4, 1))) AS pos FROM docs WHERE len(w) > 0
+), shingles AS (
+  SELECT DISTINCT doc_id, array_to_string(w[pos + 1 : pos + 5], ' ') AS s FROM spots
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c
+  FROM shingles a JOIN shingles b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b
+  WHERE 100 * c >= 75 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id AS a, doc_id AS b FROM docs
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+)
+SELECT docs.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, component_id,
+       docs.doc_id = component_id AS kept
+FROM docs JOIN least ON a = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.doc_id
+""")
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.near_duplicates(table(spark, sf_dir, "documents"))
