@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontaminate, minhash
+from tracewell.llm import decontaminate, license_scan, minhash, toxicity
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
 
@@ -84,3 +84,13 @@ FROM docs JOIN least ON a = docs.doc_id LEFT JOIN sizes ON sizes.doc_id = docs.d
 """)
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return minhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_toxicity")
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query("op9_licenses")
+def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.report(table(spark, sf_dir, "documents"))

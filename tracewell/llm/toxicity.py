@@ -1,6 +1,7 @@
 """Toxicity: a convolutional classifier over hashed words, trained in numpy.
 
-Words are hashed to rows of an embedding table; filters one, two and three words wide slide over the
+Words, and their first four and five bytes, are hashed to rows of an embedding table, and a word's vector
+is the sum of its rows; filters one, two and three words wide slide over the
 whole text, each keeps its greatest response, and a logistic layer turns the responses into a score.
 Only the text enters the score. The classifier is fitted on a bounded sample of labelled rows; scoring
 reads every word of every text, on the executors. The scale of the scores is fitted on rows that
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 from tracewell.llm import words as W
 
 #: Labelled rows of each class that training may take, chosen by a hash of their id.
-SAMPLE_ROWS = 3000
+SAMPLE_ROWS = 5000
 #: Longer texts are left out of the training sample (not of scoring).
 SAMPLE_WORDS = 20_000
 
@@ -28,20 +29,39 @@ DIMENSIONS = 8
 WIDTHS = (1, 2, 3)
 FILTERS = 8
 EPOCHS = 6
+BATCH = 32
+RATE = 0.05
+#: Texts of average make-up that are added to each class when a bucket's log odds are taken.
+SHRINK = 30
+#: The row of the embedding table that stands beyond a text's end.
+PADDING = 3 * BUCKETS
 PREDICTED_FROM = 0.3
 
 
-def bucket_ids(found: W.Words) -> np.ndarray:
-    return (found.hash >> np.uint64(50)).astype(np.int32)
+def feature_ids(found: W.Words) -> np.ndarray:
+    """(words x 3) rows of the embedding table: of the word, of its first four and first five bytes."""
+    length = found.end - found.start
+    out = np.empty((len(found), 3), dtype=np.int32)
+    if not len(found):
+        return out
+    out[:, 0] = found.hash >> np.uint64(50)
+    total = np.zeros(len(found), dtype=np.uint64)
+    last = len(found.lower) - 1
+    for j in range(5):
+        byte = np.where(j < length, found.lower[np.minimum(found.start + j, last)], 0)
+        total = W.mixed(total + byte.astype(np.uint64) + np.uint64(1))
+        if j >= 3:
+            out[:, j - 2] = (total >> np.uint64(50)).astype(np.int32) + BUCKETS * (j - 2)
+    return out
 
 
 @dataclass
 class Classifier:
-    """Embedding table (last row: padding), filters, output layer and scale."""
+    """Embedding table (last row: padding), filters (all widths side by side), output layer and scale."""
 
     embedding: np.ndarray
     filters: list[np.ndarray]
-    shifts: list[np.ndarray]
+    shifts: np.ndarray
     weights: np.ndarray
     bias: float
     slope: float = 1.0
@@ -49,41 +69,41 @@ class Classifier:
     thresholds: dict[str, float] = field(default_factory=dict)
     threshold: float = PREDICTED_FROM
 
-    def tables(self) -> list[list[np.ndarray]]:
-        """For each filter width and place in it, the response of every bucket."""
-        return [
-            [np.ascontiguousarray(self.embedding @ f[j]) for j in range(len(f))] for f in self.filters
-        ]
-
-    def pooled(self, ids: np.ndarray, first: np.ndarray, tables) -> tuple[np.ndarray, list[np.ndarray]]:
-        """Greatest responses (rows x filters) of texts whose words are ids[first[r]:first[r+1]].
+    def responses(self, ids: np.ndarray, first: np.ndarray):
+        """Responses (places x filters), the padded word features and where each text begins there.
 
-        Every text is padded with two words so that each filter has a place in it.
+        Every text is followed by two words of padding, so that each filter has a place in it, and
+        places that begin in the padding count only for a text without words.
         """
-        rows = len(first) - 1
-        count = np.diff(first)
+        rows, count = len(first) - 1, np.diff(first)
         begin = first[:-1] + 2 * np.arange(rows)
-        padded = np.full(len(ids) + 2 * rows, BUCKETS, dtype=np.int32)
+        padded = np.full((len(ids) + 2 * rows, 3), PADDING, dtype=np.int32)
         padded[np.arange(len(ids)) + 2 * np.repeat(np.arange(rows), count)] = ids
-        out = []
-        for places, shift in zip(tables, self.shifts):
-            response = places[0][padded]
-            for j in range(1, len(places)):
-                response[:-j] += places[j][padded[j:]]
-            # the padding itself is no place: only a text's words (or its first pad, if it has none)
-            if rows:
-                response[begin + count + 1] = -np.inf
-                response[(begin + count)[count > 0]] = -np.inf
-            out.append(np.maximum(np.maximum.reduceat(response, begin, axis=0) + shift, 0) if rows
-                       else np.zeros((0, len(shift)), dtype=np.float32))
-        return np.concatenate(out, axis=1), padded
-
-    def margins(self, ids, first, tables=None) -> np.ndarray:
-        pooled, _ = self.pooled(ids, first, tables or self.tables())
-        return pooled @ self.weights + self.bias
-
-    def scores(self, ids, first, tables=None) -> np.ndarray:
-        return _logistic(self.slope * self.margins(ids, first, tables) + self.offset).astype(np.float64)
+        vectors = self.embedding[padded[:, 0]]
+        vectors += self.embedding[padded[:, 1]]
+        vectors += self.embedding[padded[:, 2]]
+        out = np.empty((len(padded), len(self.shifts)), dtype=np.float32)
+        for k, f in enumerate(self.filters):
+            own = vectors @ f[0]
+            for j in range(1, len(f)):
+                own[:-j] += (vectors @ f[j])[j:]
+            out[:, k * FILTERS: (k + 1) * FILTERS] = own
+        out[begin + count + 1] = -np.inf
+        out[(begin + count)[count > 0]] = -np.inf
+        return out, vectors, padded, begin
+
+    def pooled(self, response: np.ndarray, begin: np.ndarray) -> np.ndarray:
+        if not len(begin):
+            return np.zeros((0, len(self.shifts)), dtype=np.float32)
+        return np.maximum(np.maximum.reduceat(response, begin, axis=0) + self.shifts, 0)
+
+    def margins(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        response, _, _, begin = self.responses(ids, first)
+        return self.pooled(response, begin) @ self.weights + self.bias
+
+    def scores(self, ids: np.ndarray, first: np.ndarray) -> np.ndarray:
+        """Scores of the texts whose words are ids[first[r]:first[r + 1]]."""
+        return _logistic(self.slope * self.margins(ids, first).astype(np.float64) + self.offset)
 
 
 def _logistic(x):
@@ -92,97 +112,78 @@ def _logistic(x):
 
 def _flat(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    return (np.concatenate(texts) if texts else np.zeros(0)).astype(np.int32), first
+    return (np.concatenate(texts) if texts else np.zeros((0, 3), dtype=np.int32)), first
 
 
-def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Classifier:
-    """Fit by Adagrad on the logistic loss; gradients flow through the place of each greatest response."""
-    rng = np.random.default_rng(seed)
-    labels = np.asarray(labels, dtype=np.float32)
-    # the first dimension starts as the bucket's log odds over texts, which finds the telling words
-    counts = np.full((2, BUCKETS + 1), 0.5)
+def start(texts: list[np.ndarray], labels: np.ndarray, rng) -> Classifier:
+    """Before training: the first dimension holds each bucket's log odds over texts, shrunk where it
+    is rare, which points the filters at telling words; all else is small noise."""
+    seen = np.zeros((2, PADDING + 1))
     for t, y in zip(texts, labels):
-        counts[int(y), np.unique(t)] += 1
-    share = counts / (np.array([[max((labels == 0).sum(), 1)], [max((labels == 1).sum(), 1)]]) + 1)
-    embedding = rng.normal(0, 0.05, (BUCKETS + 1, DIMENSIONS)).astype(np.float32)
+        seen[int(y), np.unique(t)] += 1
+    size = np.array([[max((labels == y).sum(), 1)] for y in (0, 1)])
+    overall = (seen.sum(0) + 0.5) / size.sum()
+    share = (seen + SHRINK * overall) / (size + SHRINK)
+    embedding = rng.normal(0, 0.02, (PADDING + 1, DIMENSIONS)).astype(np.float32)
     embedding[:, 0] = np.clip(np.log(share[1] / share[0]), -3, 3) / 3
-    embedding[BUCKETS] = 0
-    filters, shifts = [], []
+    embedding[PADDING] = 0
+    filters = []
     for width in WIDTHS:
         f = rng.normal(0, 0.1, (width, DIMENSIONS, FILTERS)).astype(np.float32)
-        f[:, 0, :] += 1 / width
+        f[0, 0, :] += 1
         filters.append(f)
-        shifts.append(np.zeros(FILTERS, dtype=np.float32))
     n = FILTERS * len(WIDTHS)
-    prior = np.clip(labels.mean() if len(labels) else 0.5, 0.01, 0.99)
-    model = Classifier(embedding, filters, shifts, np.full(n, 2 / n, dtype=np.float32), float(np.log(prior / (1 - prior))) - 1)
-    past = {"e": np.full(BUCKETS + 1, 1e-3, dtype=np.float32), "w": np.full(n, 1e-3), "b": 1e-3,
-            "f": [np.full(f.shape, 1e-3, dtype=np.float32) for f in filters],
-            "s": [np.full(s.shape, 1e-3, dtype=np.float32) for s in shifts]}
-    rate, size = 0.05, 32
+    return Classifier(embedding, filters, np.zeros(n, dtype=np.float32), np.full(n, 2 / n, dtype=np.float32), -2.0)
+
+
+def train(texts: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, seed: int = 7) -> Classifier:
+    """Fit by Adagrad on the logistic loss; gradients flow through the place of each greatest response."""
+    rng = np.random.default_rng(seed)
+    labels = np.asarray(labels, dtype=np.float32)
+    model = start(texts, labels, rng)
+    past = {"embedding": np.full(PADDING + 1, 1e-2, dtype=np.float32), "bias": 1e-2,
+            "filters": [np.full(f.shape, 1e-2, dtype=np.float32) for f in model.filters],
+            "shifts": np.full(model.shifts.shape, 1e-2, dtype=np.float32),
+            "weights": np.full(model.weights.shape, 1e-2, dtype=np.float32)}
     for _ in range(epochs):
-        for part in np.array_split(rng.permutation(len(texts)), max(1, len(texts) // size)):
+        order = rng.permutation(len(texts))
+        for part in np.array_split(order, max(1, len(texts) // BATCH)):
             if len(part):
-                _step(model, past, rate, *_flat([texts[k] for k in part]), labels[part])
+                _step(model, past, *_flat([texts[k] for k in part]), labels[part])
     return model
 
 
-def _step(model: Classifier, past, rate: float, ids, first, labels) -> None:
-    pooled, padded = model.pooled(ids, first, None or _batch_tables(model, ids))
-    wrong = (_logistic(pooled @ model.weights + model.bias) - labels) / len(labels)
+def _step(model: Classifier, past, ids, first, labels) -> None:
+    response, vectors, padded, begin = model.responses(ids, first)
+    pooled = model.pooled(response, begin)
+    wrong = ((_logistic(pooled @ model.weights + model.bias) - labels) / len(labels)).astype(np.float32)
     back = wrong[:, None] * model.weights[None, :] * (pooled > 0)
-    _move(model, "weights", past, "w", pooled.T @ wrong + 1e-4 * model.weights, rate)
-    past["b"] += float(wrong.sum()) ** 2
-    model.bias -= rate * float(wrong.sum()) / np.sqrt(past["b"])
-    begin = first[:-1] + 2 * np.arange(len(first) - 1)
-    count = np.diff(first)
-    grown = np.zeros((len(padded) + 3, DIMENSIONS), dtype=np.float32)
+    stops = [*begin[1:].tolist(), len(padded)]
+    best = np.stack([b + response[b:e].argmax(0) for b, e in zip(begin.tolist(), stops)])
+
+    grown = np.zeros((len(padded), DIMENSIONS), dtype=np.float32)
     for k, f in enumerate(model.filters):
-        own = back[:, k * FILTERS: (k + 1) * FILTERS]
-        if not np.any(own):
-            continue
-        at = _places(model, k, padded, begin, count)
+        own, at = back[:, k * FILTERS: (k + 1) * FILTERS], best[:, k * FILTERS: (k + 1) * FILTERS]
         step = np.zeros_like(f)
         for j in range(len(f)):
             spots = np.minimum(at + j, len(padded) - 1)
-            vectors = model.embedding[padded[spots]]
-            step[j] = np.einsum("rfd,rf->df", vectors, own)
+            step[j] = np.einsum("rfd,rf->df", vectors[spots], own)
             np.add.at(grown, spots.ravel(), (own[:, :, None] * f[j].T[None]).reshape(-1, DIMENSIONS))
-        past["f"][k] += step ** 2
-        f -= rate * step / np.sqrt(past["f"][k])
-        shift = own.sum(0)
-        past["s"][k] += shift ** 2
-        model.shifts[k] -= (rate * shift / np.sqrt(past["s"][k])).astype(np.float32)
-    touched = np.flatnonzero(np.any(grown[: len(padded)], axis=1))
-    rows, slot = np.unique(padded[touched], return_inverse=True)
+        past["filters"][k] += step ** 2
+        f -= RATE * step / np.sqrt(past["filters"][k])
+    for name, step in (("shifts", back.sum(0)), ("weights", pooled.T @ wrong + 1e-4 * model.weights)):
+        past[name] += step ** 2
+        setattr(model, name, (getattr(model, name) - RATE * step / np.sqrt(past[name])).astype(np.float32))
+    past["bias"] += float(wrong.sum()) ** 2
+    model.bias -= RATE * float(wrong.sum()) / np.sqrt(past["bias"])
+
+    touched = np.flatnonzero(grown.any(1))
+    rows, slot = np.unique(padded[touched].ravel(), return_inverse=True)
     step = np.zeros((len(rows), DIMENSIONS), dtype=np.float32)
-    np.add.at(step, slot, grown[touched])
-    past["e"][rows] += (step ** 2).mean(1)
-    model.embedding[rows] -= rate * step / np.sqrt(past["e"][rows])[:, None]
-    model.embedding[BUCKETS] = 0
-
-
-def _batch_tables(model: Classifier, ids):
-    return model.tables()
-
-
-def _places(model: Classifier, k: int, padded, begin, count) -> np.ndarray:
-    """Where each filter of one width responds most, for every text (rows x filters)."""
-    f = model.filters[k]
-    out = np.zeros((len(begin), FILTERS), dtype=np.int64)
-    for r, (b, n) in enumerate(zip(begin.tolist(), count.tolist())):
-        n = max(n, 1)
-        window = model.embedding[padded[b: b + n + len(f) - 1]]
-        response = window[:n] @ f[0]
-        for j in range(1, len(f)):
-            response += window[j: j + n] @ f[j]
-        out[r] = b + response.argmax(0)
-    return out
-
-
-def _move(model, name, past, key, step, rate) -> None:
-    past[key] += step ** 2
-    setattr(model, name, (getattr(model, name) - rate * step / np.sqrt(past[key])).astype(np.float32))
+    np.add.at(step, slot, np.repeat(grown[touched], 3, axis=0))
+    past["embedding"][rows] += (step ** 2).mean(1)
+    model.embedding[rows] -= RATE * step / np.sqrt(past["embedding"][rows])[:, None]
+    model.embedding[PADDING] = 0
 
 
 def calibrate(model: Classifier, texts, labels: np.ndarray, langs: list[str | None], clean_share: float) -> None:
@@ -234,7 +235,7 @@ def _id_rows(batches):
         ids = []
         for piece in W.pieces(batch.column(0)):
             found = W.words_of(piece, W.ALNUM)
-            flat = bucket_ids(found)
+            flat = feature_ids(found)
             ids.extend(flat[lo:hi].tobytes() for lo, hi in zip(found.first[:-1], found.first[1:]))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *batch.columns[1:]],
                                          names=["ids", *batch.schema.names[1:]])
@@ -259,11 +260,11 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         texts.join(F.broadcast(chosen), "doc_id")
         .select("text", F.col("lang").cast("string").alias("lang"), "toxic", F.xxhash64("doc_id").alias("draw"), "doc_id")
         .mapInArrow(_id_rows, "ids binary, lang string, toxic int, draw long, doc_id long")
-        .filter(F.length("ids") <= 4 * SAMPLE_WORDS)
+        .filter(F.length("ids") <= 12 * SAMPLE_WORDS)
         .dropDuplicates(["doc_id", "toxic"])
         .orderBy("draw", "doc_id", "toxic").collect()
     )
-    ids = [np.frombuffer(bytes(r["ids"]), dtype=np.int32) for r in rows]
+    ids = [np.frombuffer(bytes(r["ids"]), dtype=np.int32).reshape(-1, 3) for r in rows]
     toxic = np.array([r["toxic"] for r in rows], dtype=np.int64)
     langs = [r["lang"] for r in rows]
     apart = np.arange(len(rows)) % 4 == 3
@@ -282,12 +283,11 @@ def score(documents: DataFrame, model: Classifier) -> DataFrame:
 
     def scored(batches):
         model = sent.value
-        tables = model.tables()
         for batch in batches:
             out = []
             for piece in W.pieces(batch.column(0)):
                 found = W.words_of(piece, W.ALNUM)
-                out.append(model.scores(bucket_ids(found), found.first, tables))
+                out.append(model.scores(feature_ids(found), found.first))
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[1:], pa.array(np.concatenate(out) if out else np.zeros(0))],
                 names=["doc_id", "lang", "score"])
