@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontaminate, license_scan, minhash, toxicity
+from tracewell.llm import decontaminate, license_scan, minhash, toxicity, url_filter
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
 
@@ -94,3 +94,63 @@ def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op9_licenses")
 def op9_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.report(table(spark, sf_dir, "documents"))
+
+
+@query("op10_urls", sql=r"""
+WITH raw AS (
+  SELECT page_id, url,
+         translate(regexp_extract(coalesce(url, ''), '^(?s:.*?)://([^/?#]*)', 1),
+                   'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(coalesce(url, ''), '^(?s:.*?)://[^/?#]*([^?#]*)', 1) AS path,
+         row_number() OVER () AS rid
+  FROM pages
+), rules(action, rhost, rpath) AS (
+  VALUES ('allow', 'com', '/'), ('block', 'example.com', '/en/'), ('allow', 'www.example.com', '/en/'),
+         ('block', 'net', '/es/'), ('block', 'net', '/fr/')
+), fitting AS (
+  SELECT rid, action, rhost || rpath AS rule,
+         row_number() OVER (PARTITION BY rid ORDER BY length(rhost || rpath) DESC) AS k
+  FROM raw JOIN rules ON (host = rhost OR ends_with(host, '.' || rhost)) AND starts_with(path, rpath)
+), urls AS (
+  SELECT raw.*, rule, action,
+         '    ' || regexp_replace(translate(coalesce(url, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                  '[0-9]+', '0', 'g') || ' ' AS padded
+  FROM raw LEFT JOIN fitting ON raw.rid = fitting.rid AND k = 1
+), spots AS (
+  SELECT rid, action, padded, unnest(range(1, length(padded) - 3)) AS pos FROM urls
+), grams AS (
+  SELECT rid, action, substr(padded, pos, 5) AS g FROM spots
+), c5 AS (
+  SELECT g, count(*) FILTER (action = 'allow') AS a, count(*) FILTER (action = 'block') AS b FROM grams GROUP BY g
+), c1 AS (SELECT substr(g, 5, 1) AS g, sum(a) AS a, sum(b) AS b FROM c5 GROUP BY 1),
+c2 AS (SELECT substr(g, 4, 2) AS g, sum(a) AS a, sum(b) AS b FROM c5 GROUP BY 1),
+c3 AS (SELECT substr(g, 3, 3) AS g, sum(a) AS a, sum(b) AS b FROM c5 GROUP BY 1),
+c4 AS (SELECT substr(g, 2, 4) AS g, sum(a) AS a, sum(b) AS b FROM c5 GROUP BY 1),
+p1 AS (
+  SELECT g, (a + 1.0e0 / 256) / (sum(a) OVER () + 1.0e0) AS a, (b + 1.0e0 / 256) / (sum(b) OVER () + 1.0e0) AS b FROM c1
+), p2 AS (
+  SELECT c.g, (c.a + p.a) / (sum(c.a) OVER (PARTITION BY c.g[1:1]) + 1.0e0) AS a,
+         (c.b + p.b) / (sum(c.b) OVER (PARTITION BY c.g[1:1]) + 1.0e0) AS b FROM c2 c JOIN p1 p ON p.g = c.g[2:]
+), p3 AS (
+  SELECT c.g, (c.a + p.a) / (sum(c.a) OVER (PARTITION BY c.g[1:2]) + 1.0e0) AS a,
+         (c.b + p.b) / (sum(c.b) OVER (PARTITION BY c.g[1:2]) + 1.0e0) AS b FROM c3 c JOIN p2 p ON p.g = c.g[2:]
+), p4 AS (
+  SELECT c.g, (c.a + p.a) / (sum(c.a) OVER (PARTITION BY c.g[1:3]) + 1.0e0) AS a,
+         (c.b + p.b) / (sum(c.b) OVER (PARTITION BY c.g[1:3]) + 1.0e0) AS b FROM c4 c JOIN p3 p ON p.g = c.g[2:]
+), p5 AS (
+  SELECT c.g, (c.a + p.a) / (sum(c.a) OVER (PARTITION BY c.g[1:4]) + 1.0e0) AS a,
+         (c.b + p.b) / (sum(c.b) OVER (PARTITION BY c.g[1:4]) + 1.0e0) AS b FROM c5 c JOIN p4 p ON p.g = c.g[2:]
+), scores AS (
+  SELECT rid, avg(ln(a) - ln(b)) AS score FROM grams JOIN p5 USING (g) GROUP BY rid
+), classes AS (
+  SELECT avg(score) FILTER (action = 'allow') AS ma, stddev_pop(score) FILTER (action = 'allow') AS sa,
+         avg(score) FILTER (action = 'block') AS mb, stddev_pop(score) FILTER (action = 'block') AS sb
+  FROM urls JOIN scores USING (rid)
+)
+SELECT page_id, host, path, rule,
+       coalesce(action, CASE WHEN coalesce(score >= (ma * sb + mb * sa) / (sa + sb), true)
+                             THEN 'allow' ELSE 'block' END) AS verdict
+FROM urls JOIN scores USING (rid) CROSS JOIN classes
+""")
+def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.verdicts(table(spark, sf_dir, "pages")).drop("score")
