@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontaminate, license_scan, minhash, toxicity, url_filter
+from tracewell.llm import decontaminate, license_scan, minhash, pii, toxicity, url_filter
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
 
@@ -154,3 +154,8 @@ FROM urls JOIN scores USING (rid) CROSS JOIN classes
 """)
 def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.verdicts(table(spark, sf_dir, "pages")).drop("score")
+
+
+@query("op7_pii")
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.report(table(spark, sf_dir, "documents"))
