@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontaminate, license_scan, minhash, pii, toxicity, url_filter
+from tracewell.llm import decontaminate, embedding_dedup, license_scan, minhash, pii, toxicity, url_filter
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
 
@@ -159,3 +159,28 @@ def op10_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op7_pii")
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.report(table(spark, sf_dir, "documents"))
+
+
+@query("op8_embeddings", sql="""
+WITH RECURSIVE vectors AS (
+  SELECT vec_id, CAST(embedding AS DOUBLE[]) AS e FROM embeddings
+  WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR isnan(x) OR isinf(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM vectors a JOIN vectors b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), reach AS (
+  SELECT vec_id AS a, vec_id AS b FROM embeddings
+  UNION
+  SELECT reach.a, links.b FROM reach JOIN links ON links.a = reach.b
+), least AS (
+  SELECT a, min(b) AS component_id FROM reach GROUP BY a
+), counts AS (
+  SELECT a, count(*) AS n FROM links GROUP BY a
+)
+SELECT vec_id, CAST(coalesce(n, 0) AS BIGINT) AS n_links, component_id, vec_id = component_id AS kept
+FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = vec_id
+""")
+def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
