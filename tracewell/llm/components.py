@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -58,3 +59,17 @@ def components(edges: DataFrame, purpose: str = "components") -> DataFrame:
         edges.select(F.col("high").alias("node"), F.col("low").alias("component"))
         .unionByName(roots.select("node", F.col("node").alias("component")))
     )
+
+
+def join_labels(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Labels (least member first) after linking members a[k] and b[k]."""
+    a, b = label[a], label[b]
+    root = np.arange(len(label))
+    while True:
+        least = np.minimum(root[a], root[b])
+        before = root.copy()
+        np.minimum.at(root, a, least)
+        np.minimum.at(root, b, least)
+        root = root[root]
+        if np.array_equal(root, before):
+            return root[label]

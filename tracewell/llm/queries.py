@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tracewell.llm import decontaminate, embedding_dedup, license_scan, minhash, pii, toxicity, url_filter
+from tracewell.llm import (
+    decontaminate, embedding_dedup, license_scan, line_dedup, minhash, packing, pii, toxicity, url_filter,
+)
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
 
@@ -184,3 +186,13 @@ FROM embeddings JOIN least ON least.a = vec_id LEFT JOIN counts ON counts.a = ve
 """)
 def op8_embeddings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op3_packing")
+def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
+
+
+@query("op5_lines")
+def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
