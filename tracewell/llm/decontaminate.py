@@ -14,16 +14,16 @@ several blocks the hits so far travel with the documents through a written table
 
 from __future__ import annotations
 
-import hashlib
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewell.llm import words as W
-from tracewell.llm.tables import stored
+from tracewell.llm.tables import free_name, stored
 
 SIZE = 10
 TOKEN_WORDS = 3
@@ -31,7 +31,6 @@ TOKEN_WORDS = 3
 BLOCK_WINDOWS = 1 << 16
 
 WINDOWS_SCHEMA = "item string, at long, words array<binary>"
-RESULT_SCHEMA = "n_words long, n_hit long, items array<string>, hits binary"
 
 
 def item_windows(benchmark: DataFrame, size: int = SIZE) -> DataFrame:
@@ -129,7 +128,7 @@ class Lookup:
         return at[same], slot[same]
 
 
-def token_counts(documents: DataFrame, tokens: dict[int, np.ndarray], text: str = "text") -> dict[int, int]:
+def token_counts(documents: DataFrame, tokens: dict[int, np.ndarray]) -> dict[int, int]:
     """How often each benchmark token stands in the documents, over all of them."""
     sent = documents.sparkSession.sparkContext.broadcast(tokens)
 
@@ -149,7 +148,7 @@ def token_counts(documents: DataFrame, tokens: dict[int, np.ndarray], text: str
                 [pa.array(look.keys[some].astype(np.int64)), pa.array(total[width][some])], names=["token", "n"]
             )
 
-    counted = documents.select(text).mapInArrow(count, "token long, n long")
+    counted = documents.select("text").mapInArrow(count, "token long, n long")
     rows = counted.groupBy("token").agg(F.sum("n").alias("n")).collect()
     return {r["token"] & 0xFFFFFFFFFFFFFFFF: r["n"] for r in rows}
 
@@ -177,34 +176,33 @@ def _match_piece(found: W.Words, block: Block, index, lookups):
 
 
 def contaminated_words(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
-                       block_windows: int = BLOCK_WINDOWS, text: str = "text") -> DataFrame:
-    """``documents`` with a struct column ``found``: n_words, n_hit, items (sorted), hits.
+                       block_windows: int = BLOCK_WINDOWS, column: str = "found") -> DataFrame:
+    """``documents`` with a struct column ``column``: n_words, n_hit, items (sorted), hits.
 
     ``hits`` is a bitmap of the words that lie in an occurrence of a window (null without any).
     Rows keep their order of columns and their number, repeated ones too; a null or empty text has
     no words and no hits; items without an id or without words have no windows; an empty benchmark
-    hits nothing. A column of the documents called ``found`` is replaced.
+    hits nothing. ``column`` must not be a column of the documents; other columns pass through.
     """
     windows = stored(item_windows(benchmark, size), "windows")
     blocks = -(-windows.count() // block_windows)
-    own = [c for c in documents.columns if c.lower() != "found"]
-    schema = documents.select(*own)._jdf.schema().toDDL()
-    schema = f"{schema}, found struct<n_words: bigint, n_hit: bigint, items: array<string>, hits: binary>"
+    found = "n_words long, n_hit long, items array<string>, hits binary"
+    schema = T.StructType([*documents.schema, T.StructField(column, T.StructType.fromDDL(found))])
     block_of = F.pmod(F.xxhash64("words"), F.lit(max(blocks, 1)))
-    state = documents.select(*own)
+    state = documents
     for number in range(max(blocks, 1)):
         block = Block.of(windows.filter(block_of == number).toLocalIterator())
-        index = block.index(token_counts(documents, block.tokens(), text)) if block.texts else {}
+        index = block.index(token_counts(documents, block.tokens())) if block.texts else {}
         if number:
             state = stored(state, "decontaminated")
-        state = _with_block(state, text, schema, block, index)
+        state = _with_block(state, schema, block, index)
     return state
 
 
-def _with_block(state: DataFrame, text: str, schema: str, block: Block, index) -> DataFrame:
+def _with_block(state: DataFrame, schema: T.StructType, block: Block, index) -> DataFrame:
     sent = state.sparkSession.sparkContext.broadcast((block, index))
-    column = [c.lower() for c in state.columns].index(text.lower())
-    earlier = "found" in state.columns
+    column = [c.lower() for c in state.columns].index("text")
+    earlier, names = len(state.columns) == len(schema), schema.names
 
     def match(batches):
         block, index = sent.value
@@ -231,7 +229,6 @@ def _with_block(state: DataFrame, text: str, schema: str, block: Block, index) -
             kind = pa.struct([("n_words", pa.int64()), ("n_hit", pa.int64()),
                               ("items", pa.list_(pa.string())), ("hits", pa.binary())])
             columns = batch.columns[:-1] if earlier else batch.columns
-            names = (batch.schema.names[:-1] if earlier else batch.schema.names) + ["found"]
             yield pa.RecordBatch.from_arrays([*columns, pa.array(found_rows, kind)], names=names)
 
     return state.mapInArrow(match, schema)
@@ -243,10 +240,9 @@ def decontaminate(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
 
     Documents with null or empty texts stay. See ``contaminated_words`` for the other cases.
     """
-    rest = contaminated_words(documents.withColumn("text", F.col("text")), benchmark, size, block_windows)
-    if any(c.lower() == "found" for c in documents.columns):
-        raise ValueError("rename the column 'found' first")
-    return rest.filter("found.n_hit = 0").drop("found")
+    found = free_name(documents, "found")
+    rest = contaminated_words(documents, benchmark, size, block_windows, found)
+    return rest.filter(F.col(found)["n_hit"] == 0).drop(found)
 
 
 def report(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
@@ -259,8 +255,3 @@ def report(documents: DataFrame, benchmark: DataFrame, size: int = SIZE,
         F.sha2(F.array_join("found.items", ",").cast("binary"), 256).alias("items_sha256"),
         (F.col("found.n_hit") > 0).alias("contaminated"),
     )
-
-
-def items_digest(items: list[str]) -> str:
-    """The digest of ``report`` for a list of item ids; for tests."""
-    return hashlib.sha256(",".join(sorted(items)).encode()).hexdigest()

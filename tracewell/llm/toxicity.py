@@ -16,8 +16,10 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tracewell.llm import words as W
+from tracewell.llm.tables import free_name
 
 #: Labelled rows of each class that training may take, chosen by a hash of their id.
 SAMPLE_ROWS = 5000
@@ -276,24 +278,22 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     return model
 
 
-def score(documents: DataFrame, model: Classifier) -> DataFrame:
-    """doc_id, lang, score of every row of ``documents``; null and empty texts are scored as empty ones."""
-    kinds = documents.select("doc_id", "lang").schema
+def score(documents: DataFrame, model: Classifier, column: str = "score") -> DataFrame:
+    """``documents`` with a score in the new column ``column``; null texts are scored as empty ones."""
     sent = documents.sparkSession.sparkContext.broadcast(model)
+    at = [c.lower() for c in documents.columns].index("text")
+    schema = T.StructType([*documents.schema, T.StructField(column, T.DoubleType())])
 
     def scored(batches):
         model = sent.value
         for batch in batches:
-            out = []
-            for piece in W.pieces(batch.column(0)):
+            out = [np.zeros(0)]
+            for piece in W.pieces(batch.column(at)):
                 found = W.words_of(piece, W.ALNUM)
                 out.append(model.scores(feature_ids(found), found.first))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[1:], pa.array(np.concatenate(out) if out else np.zeros(0))],
-                names=["doc_id", "lang", "score"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(np.concatenate(out))], names=schema.names)
 
-    schema = f"doc_id {kinds[0].dataType.simpleString()}, lang {kinds[1].dataType.simpleString()}, score double"
-    return documents.select("text", "doc_id", "lang").mapInArrow(scored, schema)
+    return documents.mapInArrow(scored, schema)
 
 
 def threshold_of(model: Classifier, lang) -> F.Column:
@@ -307,9 +307,16 @@ def threshold_of(model: Classifier, lang) -> F.Column:
 def report(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
     """doc_id, held_out, score, predicted (score >= 0.3), threshold and rejected for every document."""
     model = fit(documents, labels, sample_rows)
-    scored = score(documents, model)
+    scored = score(documents.select("doc_id", "text", "lang"), model)
     return scored.select(
         "doc_id", held_out().alias("held_out"), "score", (F.col("score") >= PREDICTED_FROM).cast("int").alias("predicted"),
         threshold_of(model, F.col("lang")).alias("threshold"),
         (F.col("score") >= threshold_of(model, F.col("lang"))).alias("rejected"),
     )
+
+
+def without_toxic(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> DataFrame:
+    """The documents that score below the threshold of their language, with their own columns."""
+    model = fit(documents, labels, sample_rows)
+    name = free_name(documents, "score")
+    return score(documents, model, name).filter(F.col(name) < threshold_of(model, F.col("lang"))).drop(name)
