@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from tracewell.llm import (
-    decontaminate, embedding_dedup, license_scan, line_dedup, minhash, packing, pii, toxicity, url_filter,
+    decontaminate, embedding_dedup, license_scan, line_dedup, minhash, packing, pii, substring_dedup,
+    toxicity, url_filter,
 )
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
@@ -196,3 +197,8 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op5_lines")
 def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op6_substrings")
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.report(table(spark, sf_dir, "documents"))
