@@ -7,16 +7,19 @@ every element goes to the bin numbered like the round, so all bins fill for cert
 in a coordinate with probability equal to their Jaccard similarity.
 
 Four coordinates make a band, 32 bands a sketch: a pair at similarity 0.75 shares no band with
-probability 5e-6. Candidates must also agree in half of the coordinates (low bytes), which a pair at
-0.75 misses by more than six standard deviations. Every remaining candidate is checked on its full sets.
+probability 5e-6. Candidates must also agree in 70 of the coordinates' low bytes, which a pair at
+0.75 misses by more than five standard deviations. Every remaining candidate is checked on its full sets.
 
 No group is expanded into all its pairs:
 
 1. Equal sets are one node.
-2. In each bucket of a band, every member is paired with the least member only. Confirmed links
-   give first components, which takes in the large groups of copies.
+2. Every document is paired with the least one that it shares a bucket with. Confirmed links give first
+   components, which take in the large groups of copies. Then members of a bucket whose least member
+   is in another component are paired with that one.
 3. Only buckets that still hold several components are looked at again, in tiles of bounded size that
-   compare sketches of members of *different* components and let through few pairs to confirm.
+   compare the sketches of members of *different* components. A tile returns one edge for each member,
+   which makes groups of alike documents; these go through tiles again, now with their texts, that
+   check every alike pair on its full sets and return one edge for each member.
 
 So every pair that shares a band is either confirmed, refused, or already connected.
 """
@@ -33,13 +36,14 @@ from pyspark.sql import functions as F
 from tracewell.llm import words as W
 from tracewell.llm.components import components
 from tracewell.llm.tables import stored
+from tracewell.llm.tiles import blocks_of, edges, runs, tiles_of
 
 SHINGLE = 5
 SIMILARITY_PERCENT = 75
 BINS = 128
 BAND_ROWS = 4
-#: Members of a bucket that one side of a tile holds.
-TILE = 512
+#: Coordinates (low bytes) in which a pair must agree to be checked.
+AGREE = 70
 
 _ROUND_SEEDS = np.random.default_rng(4711).integers(0, 1 << 63, 2 * BINS, dtype=np.uint64)
 _NONE = np.uint64(0xFFFFFFFFFFFFFFFF)
@@ -125,53 +129,59 @@ def _confirm_rows(percent: int):
     return confirm
 
 
-def _confirmed(pairs: DataFrame, documents: DataFrame, percent: int) -> DataFrame:
+def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
     """Pairs (a, b) whose full sets are similar enough."""
-    needed = pairs.select(F.col("a").alias("doc_id")).union(pairs.select("b")).distinct()
-    texts = stored(documents.join(needed, "doc_id", "left_semi"), "minhash-texts")
     sides = (
-        pairs.join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
-        .join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
+        pairs.hint("merge").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
+        .hint("merge").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
     )
     return sides.mapInArrow(_confirm_rows(percent), "a long, b long").distinct()
 
 
-def _tile_pairs(bins: int):
-    """Pairs of different components that agree in half of the coordinates, tile by tile.
+def _alike_in_tile(tile: pa.Table):
+    """(r, others) for each row of the tile's first block: rows of the second block that are in another
+    component and agree in enough coordinates."""
+    block, docs, comps = (tile.column(c).to_numpy() for c in ("block", "doc", "comp"))
+    i, j = tile.column("i")[0].as_py(), tile.column("j")[0].as_py()
+    small = np.frombuffer(b"".join(tile.column("small").to_pylist()), dtype=np.uint8).reshape(len(docs), BINS)
+    left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
+    for r in left:
+        others = right[docs[right] > docs[r]] if i == j else right
+        others = others[comps[others] != comps[r]]
+        others = others[(small[others] == small[r]).sum(1) >= AGREE]
+        if len(others):
+            yield r, others
 
-    Rows come sorted by (h, i, j): a tile is one run of them, carried over batch bounds.
-    """
 
-    def compare(own):
-        block = own.column("block").to_numpy()
-        i, j = own.column("i")[0].as_py(), own.column("j")[0].as_py()
-        docs, comps = own.column("doc").to_numpy(), own.column("comp").to_numpy()
-        small = np.frombuffer(b"".join(own.column("small").to_pylist()), dtype=np.uint8).reshape(len(docs), bins)
-        left, right = np.flatnonzero(block == i), np.flatnonzero(block == j)
-        for r in left:
-            others = right[docs[right] > docs[r]] if i == j else right
-            others = others[comps[others] != comps[r]]
-            alike = others[(small[others] == small[r]).sum(1) >= bins // 2]
-            if len(alike):
-                low, high = np.minimum(docs[alike], docs[r]), np.maximum(docs[alike], docs[r])
-                yield pa.RecordBatch.from_arrays([pa.array(high), pa.array(low)], names=["a", "b"])
+def _alike_edges(batches):
+    """Connects the alike members of a bucket, tile by tile."""
+    for tile in runs(batches, "key", "i", "j"):
+        yield edges(tile.column("doc").to_numpy(), list(_alike_in_tile(tile)))
+
+
+def _similar_edges(percent: int):
+    """Checks all alike pairs of a tile on their full sets and connects those that are similar."""
 
     def run(batches):
-        rest = None
-        for batch in batches:
-            rows = pa.Table.from_batches([batch])
-            rows = rows if rest is None else pa.concat_tables([rest, rows])
-            keys = [rows.column(c).to_numpy() for c in ("h", "i", "j")]
-            change = np.zeros(max(rows.num_rows - 1, 0), dtype=bool)
-            for k in keys:
-                change |= k[1:] != k[:-1]
-            cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
-            for lo, hi in zip(cuts[:-1], cuts[1:]):
-                yield from compare(rows.slice(lo, hi - lo).combine_chunks())
-            rest = rows.slice(cuts[-1])
-        if rest is not None and rest.num_rows:
-            yield from compare(rest.combine_chunks())
+        for tile in runs(batches, "key", "i", "j"):
+            alike = list(_alike_in_tile(tile))
+            if not alike:
+                continue
+            sets = list(shingle_sets(tile.column("text").combine_chunks()))
+            size = np.array([len(x) for x in sets])
+            flat = np.concatenate(sets)
+            _, flat = np.unique(flat, return_inverse=True)
+            at = np.cumsum(size) - size
+            held = np.zeros(int(flat.max()) + 1, dtype=bool)
+            found = []
+            for r, others in alike:
+                own = flat[at[r]: at[r] + size[r]]
+                held[own] = True
+                shared = np.array([np.count_nonzero(held[flat[at[o]: at[o] + size[o]]]) for o in others])
+                held[own] = False
+                found.append((r, others[100 * shared >= percent * (size[r] + size[others] - shared)]))
+            yield edges(tile.column("doc").to_numpy(), found)
 
     return run
 
@@ -191,36 +201,59 @@ def links(documents: DataFrame, sketches: DataFrame, percent: int = SIMILARITY_P
     )
     members = stored(banded.join(shared, "h"), "buckets")
 
+    # the texts that any candidate pair can need, shuffled once, in the same way at every size
+    needed = members.select(F.col("doc").alias("doc_id")).distinct()
+    texts = stored(documents.join(needed.hint("merge"), "doc_id", "left_semi"), "minhash-texts")
     small = own.select("doc", "small")
-    stars = members.filter("doc <> least").select(F.col("doc").alias("a"), F.col("least").alias("b")).distinct()
-    stars = (
-        stars.join(small.select(F.col("doc").alias("a"), F.col("small").alias("small_a")), "a")
-        .join(small.select(F.col("doc").alias("b"), F.col("small").alias("small_b")), "b")
-        .select("a", "b", "small_a", "small_b").mapInArrow(_alike_rows(BINS), "a long, b long")
-    )
-    stars = stored(stars.distinct(), "stars")
-    first = stored(_confirmed(stars, documents, percent), "links")
 
-    reached = components(first, "first")
-    where = members.join(reached.withColumnRenamed("node", "doc"), "doc", "left").select(
-        "h", "doc", F.coalesce("component", "doc").alias("comp"))
-    where = stored(where, "members")
+    # first every member with the least document it shares a bucket with, then with the least of those
+    # buckets whose least document is still in another component
+    stars = members.filter("doc <> least").groupBy("doc").agg(F.min("least").alias("least"))
+    asked = _alike(stars.select(F.col("doc").alias("a"), F.col("least").alias("b")), small)
+    first = stored(_confirmed(asked, texts, percent), "links")
+    where = _placed(members, first)
+    stars = where.filter("doc <> least and comp <> least_comp").select(
+        F.col("doc").alias("a"), F.col("least").alias("b")).distinct()
+    stars = stars.join(asked, ["a", "b"], "left_anti")
+    asked = stored(asked.unionByName(_alike(stars, small)), "stars")
+    second = stored(first.unionByName(_confirmed(asked.join(first, ["a", "b"], "left_anti"), texts, percent)), "links")
+
+    where = _placed(members, second)
     mixed = (
         where.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n"))
-        .filter("c0 < c1").select("h", F.ceil(F.col("n") / TILE).cast("int").alias("blocks"))
+        .filter("c0 < c1").select("h", blocks_of(F.col("n")))
     )
-    tiles = (
-        where.join(mixed, "h").join(small, "doc")
-        .withColumn("block", F.pmod(F.xxhash64("doc"), F.col("blocks")).cast("int"))
-        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select("h", F.least("block", "other").alias("i"), F.greatest("block", "other").alias("j"),
-                "block", "doc", "comp", "small")
-        .repartition("h", "i", "j").sortWithinPartitions("h", "i", "j")
+    tiles = tiles_of(
+        where.select("h", "doc", "comp").join(mixed, "h").join(small, "doc")
+        .select(F.col("h").alias("key"), "blocks", "doc", "comp", "small"))
+    near = components(tiles.mapInArrow(_alike_edges, "a long, b long"), "alike")
+    near = stored(near.select(F.col("component").alias("key"), F.col("node").alias("doc")), "alike-groups")
+    sizes = near.groupBy("key").agg(blocks_of(F.count("*")))
+    tiles = tiles_of(
+        near.join(sizes, "key").join(where.select("doc", "comp").distinct(), "doc").join(small, "doc")
+        .join(texts.withColumnRenamed("doc_id", "doc"), "doc"))
+    third = tiles.mapInArrow(_similar_edges(percent), "a long, b long")
+    return twins.unionByName(second).unionByName(third)
+
+
+def _placed(members: DataFrame, edges: DataFrame) -> DataFrame:
+    """``members`` with the components of the document and of its bucket's least document."""
+    reached = components(edges, "reached")
+    return stored(
+        members.join(reached.select(F.col("node").alias("doc"), F.col("component").alias("c")), "doc", "left")
+        .join(reached.select(F.col("node").alias("least"), F.col("component").alias("d")), "least", "left")
+        .select("h", "doc", "least", F.coalesce("c", "doc").alias("comp"), F.coalesce("d", "least").alias("least_comp")),
+        "members")
+
+
+def _alike(pairs: DataFrame, small: DataFrame) -> DataFrame:
+    """Pairs (a, b) that agree in enough coordinates."""
+    sides = (
+        pairs.join(small.select(F.col("doc").alias("a"), F.col("small").alias("small_a")), "a")
+        .join(small.select(F.col("doc").alias("b"), F.col("small").alias("small_b")), "b")
+        .select("a", "b", "small_a", "small_b")
     )
-    rest = tiles.mapInArrow(_tile_pairs(BINS), "a long, b long").distinct()
-    rest = stored(rest.join(stars, ["a", "b"], "left_anti"), "rest")
-    second = _confirmed(rest, documents, percent)
-    return twins.unionByName(first).unionByName(second)
+    return stored(sides.mapInArrow(_alike_rows(BINS), "a long, b long").distinct(), "alike")
 
 
 def _alike_rows(bins: int):
@@ -228,7 +261,7 @@ def _alike_rows(bins: int):
         for batch in batches:
             a, b, left, right = batch.columns
             left, right = (np.frombuffer(b"".join(x.to_pylist()), dtype=np.uint8).reshape(-1, bins) for x in (left, right))
-            mask = pa.array((left == right).sum(1) >= bins // 2)
+            mask = pa.array((left == right).sum(1) >= AGREE)
             yield pa.RecordBatch.from_arrays([a.filter(mask), b.filter(mask)], names=["a", "b"])
 
     return alike
