@@ -65,6 +65,23 @@ def test_nested_cases(spark):
     assert [outcome(r) for r in rows] == WANTED
 
 
+def test_turn_without_a_number_is_kept(spark):
+    rows = [(1, None, "user", "a"), (1, 0, "assistant", "b"), (2, None, "assistant", "x"), (3, 1, "tool", "y")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string")
+    got = {r.conv_id: (r.n_turns, r.drop_reason) for r in C.format_conversations(turns, keep_dropped=True).collect()}
+    assert got == {1: (2, None), 2: (None, "starts_assistant"), 3: (None, "empty")}
+    assert [r.content for r in C.merge_turns(turns).filter("conv_id = 1").orderBy("msg_idx").collect()] == ["a", "b"]
+
+
+def test_one_scan_and_one_shuffle(spark, tmp_path):
+    path = str(tmp_path / "turns")
+    spark.createDataFrame([(1, 0, "user", "a")], "conv_id long, turn long, role string, text string").write.parquet(path)
+    for keep in (False, True):
+        frame = C.format_conversations(spark.read.parquet(path), keep_dropped=keep)
+        plan = frame._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1
+
+
 def test_ends_and_report(spark):
     turns = turns_of(spark, [t for t, _ in CASES.values()])
     ends = [r.drop_reason for r in C.conversation_ends(turns).orderBy("conv_id").collect()]

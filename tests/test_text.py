@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from tracewell.functions import names, parsing, templates, text
 from tracewell.functions.fences import with_commands
-from tracewell.operators.trajectories import classify_turns, command_rows
+from tracewell.operators.trajectories import classify_turns, command_rows, trial_status
 
 
 def one(spark, value, *columns, kind="string"):
@@ -109,12 +109,14 @@ def test_long_reply_is_linear(spark):
 
 def test_completing_reply_runs_nothing(spark):
     df = spark.createDataFrame(
-        [(1, 1, "task complete\n```sh\nx\n```"), (1, 2, "```sh\na\n```\n```sh\nb\n```"),
-         (1, 3, "hm"), (1, 4, None)],
-        "trial_id int, iteration int, reply string",
+        [(1, 1, "hm", None), (1, 2, "```sh\na\n```\n```sh\nb\n```", None), (1, 3, None, "down"),
+         (1, 4, "```sh\nc\n```", "lost"), (1, 5, "task complete\n```sh\nx\n```", None),
+         (1, 6, "```sh\nlater\n```", None)],
+        "trial_id int, iteration int, reply string, error string",
     )
     kinds = [r.turn_class for r in classify_turns(df).orderBy("iteration").collect()]
-    assert kinds == ["complete", "execute", "no_command", "error"]
+    assert kinds == ["no_command", "execute", "error", "error", "complete"]
+    assert trial_status(df).first().conversation_length == 2 + 2 + 2 + 1 + 2 + 1
     rows = command_rows(df).orderBy("cmd_idx").collect()
     assert [(r.iteration, r.cmd_idx, r.cmd) for r in rows] == [(2, 1, "a"), (2, 2, "b")]
 
@@ -155,17 +157,20 @@ def test_exception_lines(spark):
 
 def test_console(spark):
     bodies = [
-        "x\nPASSED a.py::t1\nFAILED a.py::t2 - boom in 3s\n=== 1 failed, 1 passed in 0.09s ===",
+        "x\nPASSED a.py::t1[a b]\nFAILED a.py::t2 - boom in 3s\nERROR a.py::t3\n"
+        "=== 1 failed, 1 passed, 1 error in 0.09s ===",
         "=== test session starts ===\ncollected 1 item\n\na.py",
         "===== 3 passed, 2 warnings in 75.10s (0:01:15) =====\r\n",
     ]
     df = spark.createDataFrame(list(enumerate(bodies)), "i int, body string")
     rows = parsing.parse_console(df).orderBy("i").collect()
-    assert [(r.n_passed, r.n_failed, r.seconds) for r in rows] == [
-        (1, 1, 0.09), (None, None, None), (3, 0, 75.1),
+    assert [(r.n_passed, r.n_failed, r.n_errors, r.seconds) for r in rows] == [
+        (1, 1, 1, 0.09), (None, None, None, None), (3, 0, 0, 75.1),
     ]
     tests = parsing.console_tests(df).orderBy("test_name").collect()
-    assert [(r.status, r.test_name) for r in tests] == [("passed", "a.py::t1"), ("failed", "a.py::t2")]
+    assert [(r.status, r.test_name) for r in tests] == [
+        ("passed", "a.py::t1[a b]"), ("failed", "a.py::t2"), ("error", "a.py::t3"),
+    ]
 
 
 def test_metric_lines(spark):

@@ -140,18 +140,21 @@ def test_listing(spark):
 def test_trajectory(spark, cut):
     seeds = spark.createDataFrame([(1, "S", "I")], "trial_id long, system_prompt string, instruction string")
     replies = spark.createDataFrame(
-        [(1, 1, "hm", None), (1, 2, None, "down"), (1, 3, "```sh\nls\n```", None), (1, 4, "TASK COMPLETE", None)],
+        [(1, 1, "hm", None), (1, 2, None, "down"), (1, 3, "```sh\nls\n```", None),
+         (1, 4, "```sh\nls\nrm\n```", "gone"), (1, 5, "TASK COMPLETE", None), (1, 6, "later", None)],
         "trial_id long, iteration long, reply string, error string")
-    ran = spark.createDataFrame([(1, 3, 1, "ls", 0, "x", "")],
+    ran = spark.createDataFrame([(1, 3, 1, "ls", 0, "x", ""), (1, 4, 1, "ls", 0, "part", "")],
                                 "trial_id long, iteration long, cmd_idx long, cmd string, return_code int, stdout string, stderr string")
     messages = trajectory_messages(seeds, replies, ran, **cut)
     rows = messages.orderBy("msg_idx").collect()
-    assert [r.msg_idx for r in rows] == list(range(8))
-    assert [r.role for r in rows] == ["system", "user", "assistant", "user", "user", "assistant", "user", "assistant"]
+    assert [r.msg_idx for r in rows] == list(range(10))
+    assert [r.role for r in rows] == ["system", "user", "assistant", "user", "user", "assistant", "user",
+                                      "assistant", "user", "assistant"]
+    assert rows[8].content == "An error occurred: gone\nPlease try a different approach."
     assert rows[3].content == T.NO_COMMAND_TEXT
     assert rows[4].content == "An error occurred: down\nPlease try a different approach."
     assert rows[6].content == "Command 1: ls\nExit code: 0\nSTDOUT:\nx\n" + T.FEEDBACK_TAIL
-    assert format_conversations(messages_as_turns(messages)).first().n_turns == 7
+    assert format_conversations(messages_as_turns(messages)).first().n_turns == 9
 
 
 def test_models(spark):

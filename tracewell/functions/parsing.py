@@ -14,7 +14,7 @@ LOG_EXCLUDED = r"^Exception (\S+) is in exclude_exceptions, not retrying$"
 LOG_NOT_RETRYING = r"^Not retrying trial because (.*)$"
 LOG_FAILED = r"^Trial (\S+) failed: (.*)$"
 CONSOLE_SUMMARY = r"^=+ .*\bin [0-9.]+s(?: \([^)]*\))? =+$"
-CONSOLE_TEST = r"^(PASSED|FAILED) (\S+)"
+CONSOLE_TEST = r"^(PASSED|FAILED|ERROR) (.*?)(?: - .*)?$"
 METRIC_LINE = r"^([A-Za-z_:][A-Za-z0-9_:]*)(?:\{(.*)\})?\s+(\S+)(?:\s+-?[0-9]+)?$"
 METRIC_LABEL = r'([A-Za-z_][A-Za-z0-9_]*)="([^"\\]*(?:\\.[^"\\]*)*)"'
 ADAPTER_METRICS = "vllm:lora_requests_info|running_lora_adapters|waiting_lora_adapters"
@@ -94,6 +94,7 @@ def parse_console(df: DataFrame, body: str = "body") -> DataFrame:
             {
                 "n_passed": count("passed"),
                 "n_failed": count("failed"),
+                "n_errors": count("errors?"),
                 "seconds": _found(line, r"\bin ([0-9.]+)s", 1).cast("double"),
             }
         )
@@ -102,7 +103,8 @@ def parse_console(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def console_tests(df: DataFrame, body: str = "body") -> DataFrame:
-    """One row per PASSED / FAILED line of a test console."""
+    """One row per PASSED, FAILED or ERROR line of a test console; a test's id goes up to the
+    reason, or to the end of the line, and may hold blanks."""
     line = F.col("_line")
     return (
         df.withColumn("_line", F.explode(console_lines(F.col(body))))
@@ -118,9 +120,12 @@ def console_tests(df: DataFrame, body: str = "body") -> DataFrame:
 
 
 def parse_metrics(df: DataFrame, line: str = "line") -> DataFrame:
-    """Metric lines -> name, labels, value; comment and broken lines are dropped."""
+    """Metric lines -> name, labels, value; comment and broken lines are dropped, and lines
+    that give a label twice are broken."""
     text = F.col(line)
-    labels = F.col("_labels")
+    names = F.regexp_extract_all("_labels", F.lit(METRIC_LABEL), F.lit(1))
+    values = F.regexp_extract_all("_labels", F.lit(METRIC_LABEL), F.lit(2))
+    single = F.size(F.array_distinct("_names")) == F.size("_names")
     return (
         df.filter(F.rlike(text, F.lit(METRIC_LINE)))
         .withColumns(
@@ -130,14 +135,10 @@ def parse_metrics(df: DataFrame, line: str = "line") -> DataFrame:
                 "value": F.regexp_extract(text, METRIC_LINE, 3).try_cast("double"),
             }
         )
-        .withColumn(
-            "labels",
-            F.map_from_arrays(
-                F.regexp_extract_all(labels, F.lit(METRIC_LABEL), F.lit(1)),
-                F.regexp_extract_all(labels, F.lit(METRIC_LABEL), F.lit(2)),
-            ),
-        )
-        .drop("_labels")
+        .withColumns({"_names": names, "_values": values})
+        .filter(single)
+        .withColumn("labels", F.when(single, F.map_from_arrays("_names", "_values")))
+        .drop("_labels", "_names", "_values")
     )
 
 

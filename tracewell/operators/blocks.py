@@ -1,20 +1,20 @@
 """Ordered computations over groups that may be far larger than one task.
 
 Most groups are small, and a plain window does them. A hot group is cut into blocks, that
-is, consecutive stretches of its order with about equally many rows. Each block is worked
+is, consecutive stretches of its order of about equal size. Each block is worked
 on by itself, one small row per block says what it adds up to, and those rows alone are
 scanned in order to tell every block what came before it:
 
     rows --(window per key and block)------------------------------.
       '--hot only--(aggregate per key and block)--(window per key)--+--> running value
 
-What is hot is looked up when the plan is built, with bounds that hold for any data:
-
-* At most ``HOT_KEYS`` keys, those with the most rows, are cut. A key that is not among
-  them holds at most ``1 / HOT_KEYS`` of all rows.
-* Together they get at most ``CUT_ROWS`` blocks, so the cut points (a number per block) and
-  block totals (a row per block) are of bounded size. Only these are collected or broadcast.
-* When nothing is hot, no join and no extra shuffle is added.
+A group is hot if it has more than ``HOT_ROWS`` rows or ``HOT_BYTES`` bytes, and every hot
+group is cut, however many there are. One counting pass, which combines before it shuffles,
+finds out whether there are any; then the rows of the hot groups are dealt to blocks by the
+range of their keys and all order columns, so that neither one key nor one first order value
+makes a block large. The blocks are a written table, which keeps their bounds fixed. Nothing
+is collected but three sums, and no join is forced to broadcast. When nothing is hot, no join
+and no extra shuffle is added.
 """
 
 from __future__ import annotations
@@ -27,10 +27,10 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-HOT_KEYS = 1000         # how many keys may be cut
-HOT_FLOOR = 1_000_000   # groups up to this many rows are never cut
-CUT_ROWS = 1 << 18      # most blocks of all hot keys together
-MOST_PIECES = 1 << 12   # most blocks of one hot key
+from tracewell.session import written_table
+
+HOT_ROWS = 1_000_000   # groups up to this many rows ...
+HOT_BYTES = 256 << 20  # ... and bytes are never cut
 
 BLOCK, HOT = "_block", "_hot"
 
@@ -44,6 +44,13 @@ CARRY: dict[str, Callable[[str], Column]] = {
 AGGREGATE = {"sum": F.sum, "min": F.min, "max": F.max}
 
 
+def width(df: DataFrame) -> Column:
+    """About how many bytes a row takes."""
+    sized = [f.name for f in df.schema if isinstance(f.dataType, T.StringType | T.BinaryType)]
+    fixed = F.lit(16 * len(df.columns)).cast("long")
+    return sum((F.coalesce(F.octet_length(F.col(f"`{c}`")), F.lit(0)).cast("long") for c in sized), fixed)
+
+
 def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "left") -> DataFrame:
     """Equi join that also matches null keys; keeps the left key columns.
 
@@ -54,7 +61,8 @@ def join_by(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "
         return left.withColumns({c: row[c] for c in right.columns})
     renamed = right.withColumnsRenamed({k: f"_r_{k}" for k in keys})
     on = [left[k].eqNullSafe(renamed[f"_r_{k}"]) for k in keys]
-    return left.join(renamed, on, how).drop(*[f"_r_{k}" for k in keys])
+    joined = left.join(renamed, on, how)
+    return joined if how == "left_anti" else joined.drop(*[f"_r_{k}" for k in keys])
 
 
 @dataclass(frozen=True)
@@ -82,10 +90,17 @@ class Ordered:
         return Window.partitionBy(*self.parts).orderBy(*self.order)
 
     def block_totals(self, **totals: Column) -> DataFrame:
-        """One row per block of the hot keys: at most ``CUT_ROWS`` rows."""
+        """One row per block of the hot keys."""
         hot = self.df.filter(F.col(HOT))
         return hot.groupBy(*self.parts).agg(*[agg.alias(n) for n, agg in totals.items()])
 
+    def with_block_values(self, values: DataFrame) -> DataFrame:
+        """The rows with the columns of ``values``, a row per block; null for ordinary groups."""
+        hot = join_by(self.df.filter(F.col(HOT)), values, self.parts)
+        new = [f for f in values.schema if f.name not in self.parts]
+        cold = self.df.filter(~F.col(HOT))
+        return hot.unionByName(cold.withColumns({f.name: F.lit(None).cast(f.dataType) for f in new}))
+
     def _carry(self, totals: dict[str, tuple[Column, str]]) -> DataFrame:
         """Add, per total, its combined value over the earlier blocks of the key; null for
         ordinary groups and first blocks."""
@@ -99,7 +114,7 @@ class Ordered:
         carried = per_block.select(
             *self.parts, *[CARRY[kind](n).over(earlier).alias(n) for n, (_, kind) in totals.items()]
         )
-        return join_by(self.df, F.broadcast(carried), self.parts)
+        return self.with_block_values(carried)
 
     def number(self, out: str) -> Ordered:
         """1-based position of each row in its group."""
@@ -109,8 +124,9 @@ class Ordered:
         return replace(self, df=rows.withColumn(out, local + before).drop("_before"))
 
     def previous(self, value: str, out: str) -> Ordered:
-        """Value of the row before; null for the first row. ``value`` must not be null."""
-        rows = self._carry({"_last": (F.max_by(value, self.order[0]), "last")})
+        """Value of the row before; null for the first row. ``value`` must not be null, and the
+        order must tell the rows of a group apart."""
+        rows = self._carry({"_last": (F.max_by(value, F.struct(*self.order)), "last")})
         local = F.lag(value).over(self._window())
         return replace(self, df=rows.withColumn(out, F.coalesce(local, "_last")).drop("_last"))
 
@@ -133,104 +149,45 @@ class Ordered:
             rows = rows.withColumn(n, both)
         return replace(self, df=rows.drop(*before))
 
-
     def totals(self, **outs: tuple[Column, str]) -> Ordered:
         """``sum``, ``min`` or ``max`` over the whole group, next to every row."""
         part = Window.partitionBy(*self.parts)
         local = {n: AGGREGATE[how](v).over(part) for n, (v, how) in outs.items()}
         if not self.is_cut:
             return replace(self, df=self.df.withColumns(local))
-        hot = self.df.filter(F.col(HOT)).groupBy(*self.keys)
-        whole = hot.agg(*[AGGREGATE[how](v).alias(f"_hot_{n}") for n, (v, how) in outs.items()])
-        rows = join_by(self.df, F.broadcast(whole) if self.keys else whole, self.keys)
-        both = {n: F.when(F.col(HOT), F.col(f"_hot_{n}")).otherwise(c) for n, c in local.items()}
-        return replace(self, df=rows.withColumns(both).drop(*[f"_hot_{n}" for n in outs]))
-
-
-def _block_number(df: DataFrame, number: Column, slots: int) -> DataFrame:
-    """Add how many of the row's ``slots - 1`` cuts are at most ``number``, by binary search:
-    one generated projection per step, no loop over the cut points."""
-    df = df.withColumn(BLOCK, F.lit(0)).withColumn("_at", number)
-    step = slots // 2
-    while step:
-        beyond = F.get("_cuts", F.col(BLOCK) + F.lit(step - 1)) <= F.col("_at")
-        df = df.withColumn(BLOCK, F.col(BLOCK) + F.when(beyond, F.lit(step)).otherwise(F.lit(0)))
-        step //= 2
-    return df.drop("_at", "_cuts")
+        hot = self.df.filter(F.col(HOT))
+        whole = hot.groupBy(*self.keys).agg(
+            *[AGGREGATE[how](v).alias(f"_hot_{n}") for n, (v, how) in outs.items()])
+        hot = join_by(hot, whole, self.keys)
+        names = {n: F.col(f"_hot_{n}") for n in outs}
+        hot = hot.withColumns(names).drop(*[f"_hot_{n}" for n in outs])
+        return replace(self, df=hot.unionByName(self.df.filter(~F.col(HOT)).withColumns(local)))
 
 
 def ordered(
     df: DataFrame,
     keys: Sequence[str],
     order: Sequence[str],
-    along: Column,
-    is_position: bool = False,
-    is_even: bool = False,
-    sizing: DataFrame | None = None,
-    hot_keys: int = HOT_KEYS,
-    floor: int = HOT_FLOOR,
+    floor: int = HOT_ROWS,
+    floor_bytes: int = HOT_BYTES,
     pieces: int | None = None,
 ) -> Ordered:
-    """Prepare ordered groups, cutting the hot ones along ``along``.
+    """Prepare ordered groups, cutting those above ``floor`` rows or ``floor_bytes`` bytes.
 
-    ``along`` is a number that never falls in the order given; equal numbers share a block.
-    A hot group gets one block per ``floor`` rows (or ``pieces`` blocks) within the bounds
-    above, between quantiles of ``along``. Two hints make that cheaper:
-
-    * ``is_position``: ``along`` counts places inside the group from 0 or 1. Then only rows
-      at ``floor`` or beyond have to be looked at to find hot groups, a pushed-down filter
-      that ordinary data does not pass.
-    * ``is_position`` or ``is_even``: values are spread evenly from 0, so blocks are equal
-      stretches and no quantiles are looked up.
-
-    ``sizing`` may name a cheaper table to look these figures up in; it needs the keys and
-    the columns of ``along``, and roughly as many rows per key as ``df``.
+    The hot groups together get ``pieces`` ranges, or as many as it takes to keep a range near
+    those sizes. Rows equal in keys and order lie in one block.
     """
-    spark, number = df.sparkSession, along.cast("double")
-    sizing = df if sizing is None else sizing
-    counted = sizing.filter(along >= floor) if is_position else sizing
-    sizes = counted.groupBy(*keys).agg(
-        F.count(F.lit(1)).alias("_n"), F.max(number).alias("_hi")
-    )
-    hot = (
-        sizes.filter(F.col("_n") > (0 if is_position else floor))
-        .orderBy(F.desc("_n")).limit(hot_keys).select(*keys, "_n", "_hi").collect()
-    )
-    if not hot:
+    sizes = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.sum(width(df)).alias("_b"))
+    hot = sizes.filter((F.col("_n") > floor) | (F.col("_b") > floor_bytes))
+    found = hot.agg(F.count(F.lit(1)).alias("keys"), F.sum("_n").alias("rows"), F.sum("_b").alias("bytes")).first()
+    if not found["keys"]:
         return Ordered(df, tuple(keys), tuple(order), False)
-
-    most = min(MOST_PIECES, CUT_ROWS // len(hot))
-
-    def n_blocks(rows: float) -> int:
-        return min(most, pieces or math.ceil(rows / max(floor, 1)) + 1)
-
-    names = [tuple(r)[:-2] for r in hot]
-    key_fields = [df.schema[k] for k in keys]
-    if is_position or is_even:
-        sizes_of = [n_blocks(r["_hi"] if is_position else r["_n"]) for r in hot]
-        split = [
-            [(r["_hi"] + 1) * i / n for i in range(1, n)]
-            for r, n in zip(hot, sizes_of, strict=True)
-        ]
-    else:
-        n = n_blocks(max(r["_n"] for r in hot))
-        fractions = [i / n for i in range(1, n)] or [0.5]
-        cuts = F.percentile_approx(number, F.lit(fractions), F.lit(100 * n)).alias("_c")
-        if keys:
-            named = F.broadcast(spark.createDataFrame(names, T.StructType(key_fields)))
-            found = join_by(sizing, named, keys, "inner").groupBy(*keys).agg(cuts).collect()
-        else:
-            found = sizing.agg(cuts).collect()
-        names, split = [tuple(r)[:-1] for r in found], [sorted(set(r["_c"])) for r in found]
-
-    slots = 1 << max(map(len, split)).bit_length()
-    padded = [c + [math.inf] * (slots - 1 - len(c)) for c in split]
-    schema = T.StructType([*key_fields, T.StructField("_cuts", T.ArrayType(T.DoubleType()))])
-    if keys:
-        table = [(*n, c) for n, c in zip(names, padded, strict=True)]
-        listed = join_by(df, F.broadcast(spark.createDataFrame(table, schema)), keys)
-    else:
-        listed = df.withColumn("_cuts", F.lit(padded[0]))
-    marked = listed.withColumn(HOT, F.col("_cuts").isNotNull())
-    blocked = _block_number(marked, number, slots)
-    return Ordered(blocked, tuple(keys), tuple(order), True)
+    if pieces is None:
+        pieces = 1 + max(math.ceil(found["rows"] / max(floor, 1)), math.ceil(found["bytes"] / max(floor_bytes, 1)))
+    named = written_table(hot.select(*keys), "hot-keys") if keys else None
+    rows = join_by(df, named, keys, "inner") if keys else df
+    placed = rows.repartitionByRange(pieces, *keys, *order).withColumn(BLOCK, F.spark_partition_id())
+    blocks = written_table(placed, "blocks").withColumn(HOT, F.lit(True))
+    rest = join_by(df, named, keys, "left_anti") if keys else df.limit(0)
+    rest = rest.withColumns({BLOCK: F.lit(-1), HOT: F.lit(False)})
+    return Ordered(rest.unionByName(blocks), tuple(keys), tuple(order), True)

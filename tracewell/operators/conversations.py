@@ -6,9 +6,9 @@ one row per conversation with an array of ``(role, from, content)``.
 Rendering never builds merged messages first. A *piece* is a stretch of consecutive kept
 turns: the first and last role, and the text in between. Two neighbouring pieces are put
 together with the merge separator when their touching roles agree, otherwise with the end
-mark of one role and the start mark of the next. This is associative, so very long
-conversations are put together in stretches of ``HEAD_TURNS`` turns first, while ordinary
-ones need a single shuffle.
+mark of one role and the start mark of the next. This is associative, so long conversations
+are put together in stretches of ``HEAD_TURNS`` turns first; one shuffle, by conversation,
+serves both steps.
 """
 
 from __future__ import annotations
@@ -47,17 +47,21 @@ def role_or_from(role: Column, sender: Column) -> Column:
     return F.coalesce(role, sender, F.lit(""))
 
 
-def clean_turns(turns: DataFrame) -> DataFrame:
-    """Kept turns only, with canonical roles: blank turns go first, then unknown roles."""
+def _marked_turns(turns: DataFrame) -> DataFrame:
+    """Turns with canonical roles and whether they are ``kept``: blank and unknown ones are not."""
     role = role_or_from(F.col("role"), F.col("from")) if "from" in turns.columns else F.col("role")
-    return (
-        turns.filter(~is_blank(F.col("text")))
-        .withColumn("role", normalise_role(role))
-        .filter(F.col("role").isNotNull())
-        .select("conv_id", "turn", "role", F.col("text").alias("content"))
+    role = normalise_role(role)
+    return turns.select(
+        "conv_id", "turn", role.alias("role"), F.col("text").alias("content"),
+        (~is_blank(F.col("text")) & role.isNotNull()).alias("kept"),
     )
 
 
+def clean_turns(turns: DataFrame) -> DataFrame:
+    """Kept turns only, with canonical roles: blank and unknown ones go."""
+    return _marked_turns(turns).filter("kept").drop("kept")
+
+
 def explode_turns(nested: DataFrame, conv: str = "conv_id") -> DataFrame:
     """Nested rows -> flat turns."""
     return nested.select(
@@ -207,27 +211,24 @@ def format_conversations(
     """Flat turns -> ``conv_id, text, n_turns, drop_reason``.
 
     Without ``keep_dropped`` only rows that can be trained on come back, and turns that
-    are skipped never reach the shuffle.
+    are skipped never reach the shuffle. The turns are read and shuffled once, by
+    conversation; turns without a number come first.
     """
-    kept = clean_turns(turns)
-    piece = _piece(F.col("turn"), F.col("role"), F.col("content"))
-    code = _end_code(F.col("turn"), F.col("role"))
-    head = kept.filter(F.col("turn") < head_turns).select(
-        "conv_id", piece.alias("p"), code.alias("lo"), code.alias("hi")
-    )
-    tail = (
-        kept.filter(F.col("turn") >= head_turns)
-        .groupBy("conv_id", F.floor(F.col("turn") / F.lit(head_turns)).alias("block"))
-        .agg(F.collect_list(piece).alias("ps"), F.min(code).alias("lo"), F.max(code).alias("hi"))
-        .select("conv_id", F.sort_array("ps").alias("ps"), "lo", "hi")
+    marked = _marked_turns(turns)
+    if not keep_dropped:
+        marked = marked.filter("kept")
+    number = F.coalesce(F.col("turn").cast("long"), F.lit(-1).cast("long"))
+    piece = F.when(F.col("kept"), _piece(number, F.col("role"), F.col("content")))
+    code = F.when(F.col("kept"), _end_code(number, F.col("role")))
+    stretches = (
+        marked.select("conv_id", F.floor(number / F.lit(head_turns)).alias("block"), piece.alias("p"), code.alias("code"))
+        .repartition("conv_id").groupBy("conv_id", "block")
+        .agg(F.sort_array(F.collect_list("p")).alias("ps"), F.min("code").alias("lo"), F.max("code").alias("hi"))
     )
     stitched = F.struct(*[c.alias(n) for n, c in _stitch(F.col("ps"), template).items()])
-    rows = head.unionByName(tail.select("conv_id", stitched.alias("p"), "lo", "hi"))
-    if keep_dropped:
-        missing = {n: F.lit(None).cast(rows.schema[n].dataType) for n in ("p", "lo", "hi")}
-        rows = rows.unionByName(turns.select("conv_id").distinct().withColumns(missing))
-    gathered = rows.groupBy("conv_id").agg(
-        F.collect_list("p").alias("ps"), F.min("lo").alias("lo"), F.max("hi").alias("hi")
+    gathered = (
+        stretches.select("conv_id", F.when(F.size("ps") > 0, stitched).alias("p"), "lo", "hi")
+        .groupBy("conv_id").agg(F.collect_list("p").alias("ps"), F.min("lo").alias("lo"), F.max("hi").alias("hi"))
     )
     early = _end_reason(F.col("lo").isNull(), _role_of(F.col("lo")), _role_of(F.col("hi")))
     ready = gathered.select(
@@ -287,7 +288,7 @@ def training_text(formatted: DataFrame) -> DataFrame:
 
 
 def _talks(kept: DataFrame, **cutting):
-    return ordered(kept, ["conv_id"], ["turn"], F.col("turn"), is_position=True, **cutting)
+    return ordered(kept, ["conv_id"], ["turn"], **cutting)
 
 
 def _starts() -> Column:
@@ -468,8 +469,7 @@ def batch_plan(
 ) -> DataFrame:
     """Epoch, position, optimiser step, rank and micro batch of every example.
 
-    The shuffle order is the md5 of seed, epoch and id, so the blocks of an epoch are of
-    equal size whatever the ids look like.
+    The shuffle order is the md5 of seed, epoch and id.
     """
     batch = per_device * accumulation * ranks
     drawn = ids.select(
@@ -478,10 +478,7 @@ def batch_plan(
     keyed = drawn.withColumn(
         "_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch"), F.col(id_col)))
     )
-    along = F.conv(F.substring("_hash", 1, 12), 16, 10).cast("double")
-    epochs_in_order = ordered(
-        keyed, ["epoch"], ["_hash", id_col], along, is_even=True, **cutting
-    )
+    epochs_in_order = ordered(keyed, ["epoch"], ["_hash", id_col], **cutting)
     placed = epochs_in_order.number("_nth").rows()
     position = F.col("_nth") - 1
     in_batch = F.pmod(position, F.lit(batch))

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tracewell.operators.blocks import BLOCK, HOT, Ordered, join_by, ordered
+from tracewell.operators.blocks import BLOCK, HOT, Ordered, ordered
 
 
 def _ranks(p: float, rows: Column) -> tuple[Column, Column]:
@@ -26,7 +26,7 @@ def _needed_blocks(groups: Ordered, at: dict[str, float]) -> DataFrame:
         F.coalesce(F.sum("_total").over(earlier), F.lit(0)).alias("_before"),
         F.sum("_total").over(of_key).alias("_all"),
     )
-    joined = join_by(groups.df, F.broadcast(blocks), groups.parts)
+    joined = groups.with_block_values(blocks)
     wanted = ~F.col(HOT)
     for p in at.values():
         for rank in _ranks(p, F.col("_all")):
@@ -46,9 +46,7 @@ def exact_quantiles(
     """
     known = df.filter(F.col(value).isNotNull())
     counted = known.groupBy(*keys, value).agg(F.count(F.lit(1)).alias("_n"))
-    groups = ordered(
-        counted, keys, [value], F.col(value), sizing=known.select(*keys, value), **cutting
-    )
+    groups = ordered(counted, keys, [value], **cutting)
     part = Window.partitionBy(*groups.parts)
     so_far = part.orderBy(value).rowsBetween(Window.unboundedPreceding, Window.currentRow)
     upto, rows = F.sum("_n").over(so_far), F.sum("_n").over(part)

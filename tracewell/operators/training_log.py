@@ -16,7 +16,7 @@ LOSS_THRESHOLD = 0.1  # fixed value: default stop threshold, reached when loss <
 def best_loss(log: DataFrame, **cutting) -> DataFrame:
     """Running minimum of the loss; entries without a loss are ignored."""
     rows = log.filter(F.col("loss").isNotNull())
-    runs = ordered(rows, ["run_id"], ["step"], F.col("step"), is_position=True, **cutting)
+    runs = ordered(rows, ["run_id"], ["step"], **cutting)
     return runs.running(best_loss=(F.col("loss"), "min")).rows()
 
 

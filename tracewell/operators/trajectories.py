@@ -8,28 +8,39 @@ from pyspark.sql import functions as F
 from tracewell.functions import templates as T
 from tracewell.functions.fences import with_commands
 from tracewell.functions.text import py_strip, signals_completion
-from tracewell.operators.blocks import ordered
+from tracewell.operators.blocks import join_by, ordered
 
 # Final states of a trajectory.
 WITH_SIGNAL, WITHOUT_SIGNAL = "completed_with_signal", "completed"
 
 
+def until_complete(replies: DataFrame) -> DataFrame:
+    """The turns of each trial up to its first completion signal, which ends the loop."""
+    done = (
+        replies.filter(signals_completion(F.col("reply")))
+        .groupBy("trial_id").agg(F.min("iteration").alias("_done_at"))
+    )
+    return join_by(replies, done, ["trial_id"]).filter(
+        F.col("_done_at").isNull() | (F.col("iteration") <= F.col("_done_at"))
+    ).drop("_done_at")
+
+
 def classify_turns(replies: DataFrame) -> DataFrame:
-    """Add ``commands``, ``n_commands`` and ``turn_class``.
+    """Turns up to the first completion, with ``commands``, ``n_commands`` and ``turn_class``.
 
-    A failed model call (null reply, or a set ``error`` column) comes first, then the
-    completion signal, so commands inside a completing reply are not run.
+    A null reply is a failed model call. The completion signal comes next, so commands inside a
+    completing reply are not run. A set ``error`` with a reply is a run that broke off: the reply
+    counts, its commands' output does not.
     """
-    failed = F.col("reply").isNull()
-    if "error" in replies.columns:
-        failed = failed | F.col("error").isNotNull()
+    error = F.col("error").isNotNull() if "error" in replies.columns else F.lit(False)
     kind = (
-        F.when(failed, "error")
+        F.when(F.col("reply").isNull(), "error")
         .when(signals_completion(F.col("reply")), "complete")
+        .when(error, "error")
         .when(F.size("commands") == 0, "no_command")
         .otherwise("execute")
     )
-    return with_commands(replies).withColumns(
+    return with_commands(until_complete(replies)).withColumns(
         {"turn_class": kind, "n_commands": F.size("commands").cast("long")}
     )
 
@@ -46,16 +57,16 @@ def command_rows(replies: DataFrame) -> DataFrame:
 def trial_status(replies: DataFrame) -> DataFrame:
     """Iterations, message count, completion signal and final status per trial."""
     kinds = classify_turns(replies)
-    is_kind = {k: F.count_if(F.col("turn_class") == k) for k in ("complete", "error")}
     totals = kinds.groupBy("trial_id").agg(
         F.max("iteration").cast("long").alias("iterations"),
         F.count(F.lit(1)).alias("_turns"),
-        is_kind["complete"].alias("_done"),
-        is_kind["error"].alias("_failed"),
+        F.count_if(F.col("turn_class") == "complete").alias("_done"),
+        F.count_if(F.col("reply").isNull()).alias("_unanswered"),
     )
     signal = F.col("_done") > 0
-    # Two seed messages; an ordinary turn adds two, a completing or failed one adds one.
-    length = 2 + 2 * F.col("_turns") - F.col("_done") - F.col("_failed")
+    # Two seed messages; a turn adds a reply and what is said to it. A completing turn adds only
+    # the reply, a failed model call only the note.
+    length = 2 + 2 * F.col("_turns") - F.col("_done") - F.col("_unanswered")
     return totals.select(
         "trial_id",
         "iterations",
@@ -121,8 +132,9 @@ def trajectory_messages(
     """Rebuild the conversation of every trial: ``trial_id, msg_idx, role, content``.
 
     ``seeds`` holds ``trial_id, system_prompt, instruction``; ``replies`` holds
-    ``trial_id, iteration, reply`` (null, with ``error``, when the model call failed);
-    ``executions`` the commands that were run.
+    ``trial_id, iteration, reply, error``: the reply is null when the model call failed, and
+    both are set when running the commands failed. ``executions`` holds the commands that were run.
+    Each reply is classified once; output counts only for turns that ran to their end.
     """
     seed_rows = seeds.select(
         "trial_id",
@@ -135,27 +147,27 @@ def trajectory_messages(
             )
         ).alias("m"),
     ).select("trial_id", F.lit(0).cast("long").alias("iteration"), "m.*")
-    kinds = classify_turns(replies)
-    reply_rows = kinds.filter(F.col("turn_class") != "error").select(
-        "trial_id", F.col("iteration").cast("long").alias("iteration"),
-        F.lit(2).alias("part"), F.lit("assistant").alias("role"), F.col("reply").alias("content"),
-    )
     error = F.col("error") if "error" in replies.columns else F.lit("")
     note = F.when(F.col("turn_class") == "no_command", F.lit(T.NO_COMMAND_TEXT)).when(
         F.col("turn_class") == "error", T.error_text(F.coalesce(error, F.lit("")))
     )
-    note_rows = kinds.filter(F.col("turn_class").isin("no_command", "error")).select(
-        "trial_id", F.col("iteration").cast("long").alias("iteration"),
-        F.lit(3).alias("part"), F.lit("user").alias("role"), note.alias("content"),
-    )
-    feedback_rows = iteration_feedback(executions).select(
-        "trial_id", F.col("iteration").cast("long").alias("iteration"),
-        F.lit(3).alias("part"), F.lit("user").alias("role"), "content",
-    )
-    rows = seed_rows.unionByName(reply_rows).unionByName(note_rows).unionByName(feedback_rows)
-    trials = ordered(
-        rows, ["trial_id"], ["iteration", "part"], F.col("iteration"), is_position=True, **cutting
-    )
+    iteration = F.col("iteration").cast("long")
+    said = iteration_feedback(executions).select("trial_id", iteration.alias("iteration"), "content")
+    turns = join_by(
+        classify_turns(replies).select(
+            "trial_id", iteration.alias("iteration"), "reply", "turn_class", note.alias("note")),
+        said, ["trial_id", "iteration"],
+    )
+    answer = F.coalesce("note", F.when(F.col("turn_class") == "execute", F.col("content")))
+    turn_rows = turns.select(
+        "trial_id", "iteration",
+        F.explode(F.array(
+            F.struct(F.lit(2).alias("part"), F.lit("assistant").alias("role"), F.col("reply").alias("content")),
+            F.struct(F.lit(3).alias("part"), F.lit("user").alias("role"), answer.alias("content")),
+        )).alias("m"),
+    ).select("trial_id", "iteration", "m.*").filter(F.col("content").isNotNull())
+    rows = seed_rows.unionByName(turn_rows)
+    trials = ordered(rows, ["trial_id"], ["iteration", "part"], **cutting)
     return trials.number("_nth").rows().select(
         "trial_id", (F.col("_nth") - 1).alias("msg_idx"), "role", "content"
     )
@@ -175,8 +187,7 @@ def command_loops(
     """Stretches of the same command in a row, ``at_least`` long."""
     start = F.when(F.col("_prev").isNull() | (F.col("_prev") != F.col("cmd")), F.col(order))
     trials = ordered(
-        executions.select("trial_id", order, "cmd"), ["trial_id"], [order], F.col(order),
-        is_position=True, **cutting,
+        executions.select("trial_id", order, "cmd"), ["trial_id"], [order], **cutting
     )
     placed = trials.previous("cmd", "_prev").running(first_seq=(start, "max"))
     return (

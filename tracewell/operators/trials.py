@@ -163,9 +163,7 @@ def pass_at_k(tasks: DataFrame, ks: Sequence[int]) -> DataFrame:
 
 def number_attempts(trials: DataFrame, **cutting) -> DataFrame:
     """1-based attempt number within a task, by start time then trial id."""
-    tasks = ordered(
-        trials, ["task_name"], ["started_at", "trial_id"], micros(F.col("started_at")), **cutting
-    )
+    tasks = ordered(trials, ["task_name"], ["started_at", "trial_id"], **cutting)
     return tasks.number("attempt_no").rows()
 
 
@@ -364,10 +362,7 @@ def concurrency(
     trials: DataFrame, by: Sequence[str], start: Column, stop: Column, **cutting
 ) -> DataFrame:
     """Number of running trials after every change."""
-    starts = trials.select(*by, start.alias("us"))
-    changes = ordered(
-        _changes(trials, by, start, stop), by, ["us"], F.col("us"), sizing=starts, **cutting
-    )
+    changes = ordered(_changes(trials, by, start, stop), by, ["us"], **cutting)
     counted = changes.running(n_running=(F.col("change"), "sum")).rows()
     return counted.select(*by, "us", "n_running")
 

@@ -42,14 +42,36 @@ FROM marks m JOIN lines l ON l.trial_id = m.trial_id AND l.iteration = m.iterati
   AND l.pos > m.pos AND l.pos < m.next_pos
 WHERE m.opens AND NOT m.next_opens
 GROUP BY m.trial_id, m.iteration, m.pos"""
+# The loop stops at the first completion: later turns never happened.
 CLASSED = """
 SELECT r.*, coalesce(n.n, 0) AS n_commands,
   CASE WHEN r.reply IS NULL THEN 'error'
        WHEN upper(r.reply) LIKE '%TASK COMPLETE%' THEN 'complete'
+       WHEN r.error IS NOT NULL THEN 'error'
        WHEN coalesce(n.n, 0) = 0 THEN 'no_command' ELSE 'execute' END AS turn_class
 FROM replies r LEFT JOIN (
   SELECT trial_id, iteration, count(*) AS n FROM found GROUP BY 1, 2) n
-ON r.trial_id = n.trial_id AND r.iteration = n.iteration"""
+ON r.trial_id = n.trial_id AND r.iteration = n.iteration
+WHERE NOT EXISTS (SELECT 1 FROM replies e WHERE e.trial_id = r.trial_id
+  AND e.iteration < r.iteration AND upper(e.reply) LIKE '%TASK COMPLETE%')"""
+# Turns in which the model call failed, and others in which the commands did.
+FAILING = f"""
+SELECT trial_id, iteration, CASE WHEN (trial_id + iteration) % 6 <> 0 THEN reply END AS reply,
+  CASE WHEN (trial_id + iteration) % 6 IN (0, 2) THEN 'refused' END AS error FROM ({REPLIES}) r"""
+
+
+def failing_replies(spark, sf):
+    kind = (F.col("trial_id") + F.col("iteration")) % 6
+    return V.agent_replies(spark, sf).withColumns(
+        {"reply": F.when(kind != 0, F.col("reply")), "error": F.when(kind.isin(0, 2), F.lit("refused"))}
+    )
+
+
+RUN_ALL = """
+SELECT f.trial_id, f.iteration, f.cmd, row_number() OVER (
+  PARTITION BY f.trial_id, f.iteration ORDER BY f.opened) AS cmd_idx
+FROM found f JOIN classed c ON c.trial_id = f.trial_id AND c.iteration = f.iteration
+WHERE c.turn_class <> 'complete'"""
 RUN = """
 SELECT f.trial_id, f.iteration, f.cmd, row_number() OVER (
   PARTITION BY f.trial_id, f.iteration ORDER BY f.opened) AS cmd_idx
@@ -57,7 +79,9 @@ FROM found f JOIN classed c ON c.trial_id = f.trial_id AND c.iteration = f.itera
 WHERE c.turn_class = 'execute'"""
 
 
-def replies_sql(tail: str, replies: str = REPLIES, **more: str) -> str:
+def replies_sql(
+    tail: str, replies: str = f"SELECT *, CAST(NULL AS VARCHAR) AS error FROM ({REPLIES}) r", **more: str
+) -> str:
     return ctes(
         replies=replies, lines=LINES, marks=MARKS, found=FOUND, classed=CLASSED, run=RUN, **more
     ) + tail
@@ -91,14 +115,14 @@ def command_stats(spark, sf):
 
 @query("trial_status", replies_sql("""
 SELECT trial_id, max(iteration) AS iterations,
-  CAST(2 + 2 * count(*) - count(*) FILTER (WHERE turn_class IN ('complete', 'error')) AS BIGINT)
+  CAST(2 + 2 * count(*) - count(*) FILTER (WHERE turn_class = 'complete' OR reply IS NULL) AS BIGINT)
     AS conversation_length,
   bool_or(turn_class = 'complete') AS task_complete_signal,
   CASE WHEN bool_or(turn_class = 'complete') THEN 'completed_with_signal' ELSE 'completed' END
     AS status
-FROM classed GROUP BY trial_id"""))
+FROM classed GROUP BY trial_id""", replies=FAILING))
 def trial_status(spark, sf):
-    return J.trial_status(V.agent_replies(spark, sf))
+    return J.trial_status(failing_replies(spark, sf))
 
 
 def _stream_sql(title: str, column: str) -> str:
@@ -175,14 +199,11 @@ def command_loops(spark, sf):
     return J.command_loops(V.executions(spark, sf), at_least=3)
 
 
-# Replies where some model calls failed, and what their commands returned.
-FAILING = f"""
-SELECT trial_id, iteration, CASE WHEN (trial_id + iteration) % 6 = 0 THEN NULL ELSE reply END
-  AS reply FROM ({REPLIES}) r"""
-RAN = """
-SELECT *, CAST(cmd_idx % 2 AS INT) AS return_code,
-  repeat(cmd, CAST(iteration % 50 * 40 AS INT)) AS stdout,
-  CASE WHEN cmd_idx % 2 = 1 THEN 'warned' ELSE '' END AS stderr FROM run"""
+# What the commands of the replies returned, also where the run broke off later.
+RAN = f"""
+SELECT r.*, CAST(cmd_idx % 2 AS INT) AS return_code,
+  CASE WHEN cmd_idx = 1 THEN repeat(cmd, 40) ELSE '' END AS stdout,
+  CASE WHEN cmd_idx % 2 = 1 THEN 'warned' ELSE '' END AS stderr FROM ({RUN_ALL}) r"""
 SEEDS = """
 SELECT DISTINCT trial_id, concat('Solve task ', CAST(trial_id AS VARCHAR)) AS instruction
 FROM replies"""
@@ -195,18 +216,15 @@ UNION ALL SELECT trial_id, iteration, 3, 'user', {literal(T.NO_COMMAND_TEXT)} FR
 UNION ALL SELECT trial_id, iteration, 3, 'user',
   concat('An error occurred: refused', chr(10), 'Please try a different approach.')
   FROM classed WHERE turn_class = 'error'
-UNION ALL SELECT trial_id, iteration, 3, 'user', content FROM feedback"""
+UNION ALL SELECT c.trial_id, c.iteration, 3, 'user', f.content FROM feedback f
+  JOIN classed c ON c.trial_id = f.trial_id AND c.iteration = f.iteration WHERE c.turn_class = 'execute'"""
 TRAJECTORY = """
 SELECT trial_id, row_number() OVER (PARTITION BY trial_id ORDER BY iteration, part) - 1 AS msg_idx,
   role, content FROM everything"""
 
 
 def _trajectory_parts(spark, sf):
-    failing = (F.col("trial_id") + F.col("iteration")) % 6 == 0
-    replies = V.agent_replies(spark, sf).withColumns(
-        {"reply": F.when(~failing, F.col("reply")),
-         "error": F.when(failing, F.lit("refused"))}
-    )
+    replies = failing_replies(spark, sf)
     seeds = replies.select("trial_id").distinct().select(
         "trial_id", F.lit("Work in /app").alias("system_prompt"),
         F.concat(F.lit("Solve task "), F.col("trial_id").cast("string")).alias("instruction"),
@@ -214,7 +232,7 @@ def _trajectory_parts(spark, sf):
     odd = F.col("cmd_idx") % 2 == 1
     ran = J.command_rows(replies.drop("error")).withColumns(
         {"return_code": (F.col("cmd_idx") % 2).cast("int"),
-         "stdout": F.repeat("cmd", (F.col("iteration") % 50 * 40).cast("int")),
+         "stdout": F.when(F.col("cmd_idx") == 1, F.repeat("cmd", F.lit(40))).otherwise(""),
          "stderr": F.when(odd, F.lit("warned")).otherwise("")}
     )
     return seeds, replies, ran

@@ -197,15 +197,15 @@ SELECT coalesce(b.task_name, a.task_name) AS task_name, b.solved AS solved_befor
        WHEN coalesce(a.solved, false) THEN 'gained' WHEN coalesce(b.solved, false) THEN 'lost'
        ELSE 'neither' END AS change
 FROM (SELECT task_name, max(coalesce(reward, 0)) >= 1 AS solved FROM rated
-      WHERE model_name = 'base' AND iterations < 110 GROUP BY 1) b
+      WHERE model_name = 'base' GROUP BY 1) b
 FULL OUTER JOIN (SELECT task_name, max(coalesce(reward, 0)) >= 1 AS solved FROM rated
-      WHERE model_name = 'tuned' AND iterations > 120 GROUP BY 1) a
+      WHERE model_name = 'tuned' GROUP BY 1) a
 ON a.task_name = b.task_name"""))
 def run_compare(spark, sf):
     rated = rated_trials(spark, sf)
     runs = B.stack_runs(
-        base=rated.filter("model_name = 'base' AND iterations < 110"),
-        tuned=rated.filter("model_name = 'tuned' AND iterations > 120"),
+        base=rated.filter("model_name = 'base'"),
+        tuned=rated.filter("model_name = 'tuned'"),
     )
     return B.compare_runs(runs, "base", "tuned")
 

@@ -78,7 +78,7 @@ def stream_format(spark, sf):
 SELECT epoch_us(ts) // 60000000 * 60 AS bucket_sec, 'vllm:lora_requests_info' AS name,
   regexp_extract(line, 'running_lora_adapters="([^"]*)"', 1) AS label,
   max(CAST(regexp_extract(line, '([0-9.]+)$', 1) AS DOUBLE)) AS max_value, count(*) AS n_lines
-FROM m WHERE line LIKE 'vllm:lora%' GROUP BY ALL""")
+FROM m WHERE line LIKE 'vllm:lora%running%' GROUP BY ALL""")
 def stream_adapter_activity(spark, sf):
     lines = metric_table(spark, sf).select("line", F.col("ts").cast("timestamp").alias("scraped_at"))
     stream = _file_stream(spark, lines, "parquet", "line STRING, scraped_at TIMESTAMP")

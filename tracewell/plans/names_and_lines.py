@@ -23,14 +23,13 @@ def exception_parse(spark, sf):
 
 
 # Log lines of three kinds, and others, one per event.
-LOG_LINES = """
-SELECT event_id, CASE
+LOG_LINE = """CASE
   WHEN event_type = 'error' THEN 'Exception AgentTimeoutError is in exclude_exceptions, not retrying'
   WHEN event_type = 'view' THEN 'Not retrying trial because the maximum was reached'
   WHEN event_type = 'signup' THEN concat('Trial task-', CAST(user_id % 89 AS VARCHAR(10)), '__',
     CAST(event_id AS VARCHAR(20)), ' failed: Verifier execution timed out after 900.0 seconds')
-  ELSE concat('note ', event_type) END AS line
-FROM events"""
+  ELSE concat('note ', event_type) END"""
+LOG_LINES = f"SELECT event_id, {LOG_LINE} AS line FROM events"
 
 
 @query("log_parse", ctes(log_lines=LOG_LINES) + """
@@ -43,8 +42,8 @@ SELECT event_id,
        WHEN line LIKE 'Trial %' THEN split_part(line, ' failed: ', 2) END AS message
 FROM log_lines""")
 def log_parse(spark, sf):
-    V.table(spark, sf, "events").createOrReplaceTempView("events")
-    return P.parse_log_lines(spark.sql(LOG_LINES)).drop("line")
+    lines = V.table(spark, sf, "events").selectExpr("event_id", f"{LOG_LINE} AS line")
+    return P.parse_log_lines(lines).drop("line")
 
 
 @query("trial_name_parse", """
@@ -63,26 +62,30 @@ def trial_name_parse(spark, sf):
 
 # Console texts built from the tests of an order; every seventh is cut off.
 CONSOLES = """
-SELECT l_orderkey AS trial_id, count(*) FILTER (WHERE l_returnflag <> 'R') AS n_passed,
-  count(*) FILTER (WHERE l_returnflag = 'R') AS n_failed
+SELECT l_orderkey AS trial_id, count(*) FILTER (WHERE l_returnflag = 'N') AS n_passed,
+  count(*) FILTER (WHERE l_returnflag = 'R') AS n_failed,
+  count(*) FILTER (WHERE l_returnflag NOT IN ('N', 'R')) AS n_errors
 FROM lineitem GROUP BY l_orderkey"""
 
 
 def consoles(spark, sf):
-    tests = V.test_results(spark, sf).groupBy("trial_id").agg(
-        F.count_if(F.col("status") == "passed").alias("p"),
-        F.count_if(F.col("status") == "failed").alias("f"),
+    flag = F.col("l_returnflag")
+    tests = V.table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("trial_id")).agg(
+        F.count_if(flag == "N").alias("p"), F.count_if(flag == "R").alias("f"),
+        F.count_if(~flag.isin("N", "R")).alias("e"),
     )
     passed = F.concat(F.col("p").cast("string"), F.lit(" passed"))
     failed = F.concat(F.col("f").cast("string"), F.lit(" failed"))
+    errors = F.concat(F.col("e").cast("string"), F.when(F.col("e") == 1, " error").otherwise(" errors"))
     counts = F.concat_ws(
-        ", ", F.when(F.col("f") > 0, failed), F.when(F.col("p") > 0, passed)
+        ", ", F.when(F.col("f") > 0, failed), F.when(F.col("p") > 0, passed), F.when(F.col("e") > 0, errors)
     )
     head = F.lit("=== test session starts ===\nplatform linux\ncollected items\n\n")
     lines = F.concat(
-        F.repeat(F.lit("PASSED tests/t.py::test_ok\n"), F.col("p").cast("int")),
+        F.repeat(F.lit("PASSED tests/t.py::test_ok[a b]\n"), F.col("p").cast("int")),
         F.repeat(F.lit("FAILED tests/t.py::test_bad - AssertionError: in 5s\n"),
                  F.col("f").cast("int")),
+        F.repeat(F.lit("ERROR tests/t.py::test_set_up - fixture 'db' not found\n"), F.col("e").cast("int")),
     )
     seconds = F.concat((F.col("trial_id") % 60).cast("string"), F.lit(".25"))
     rule = F.lit("=" * 12)
@@ -94,14 +97,17 @@ def consoles(spark, sf):
 @query("stdout_parse", ctes(c=CONSOLES) + """
 SELECT trial_id, CASE WHEN trial_id % 7 <> 0 THEN n_passed END AS n_passed,
   CASE WHEN trial_id % 7 <> 0 THEN n_failed END AS n_failed,
+  CASE WHEN trial_id % 7 <> 0 THEN n_errors END AS n_errors,
   CAST(CASE WHEN trial_id % 7 <> 0 THEN trial_id % 60 + 0.25 END AS DOUBLE) AS seconds FROM c""")
 def stdout_parse(spark, sf):
     return P.parse_console(consoles(spark, sf)).drop("body")
 
 
 @query("stdout_tests", """
-SELECT l_orderkey AS trial_id, CASE WHEN l_returnflag = 'R' THEN 'failed' ELSE 'passed' END AS status,
-  CASE WHEN l_returnflag = 'R' THEN 'tests/t.py::test_bad' ELSE 'tests/t.py::test_ok' END AS test_name
+SELECT l_orderkey AS trial_id,
+  CASE l_returnflag WHEN 'R' THEN 'failed' WHEN 'N' THEN 'passed' ELSE 'error' END AS status,
+  CASE l_returnflag WHEN 'R' THEN 'tests/t.py::test_bad' WHEN 'N' THEN 'tests/t.py::test_ok[a b]'
+    ELSE 'tests/t.py::test_set_up' END AS test_name
 FROM lineitem WHERE l_orderkey % 7 <> 0""")
 def stdout_tests(spark, sf):
     return P.console_tests(consoles(spark, sf))
@@ -136,14 +142,14 @@ SELECT event_id, CASE user_id % 4 WHEN 0 THEN 'base-model'
     ELSE 'unknown' END AS target,
   CASE WHEN user_id % 4 = 0 THEN 'base-model'
     WHEN s.s_suppkey IS NOT NULL THEN concat('/weights/', s.s_name) END AS resolved
-FROM events e LEFT JOIN supplier s ON s.s_suppkey = e.user_id AND s.s_nationkey < 20""")
+FROM events e LEFT JOIN supplier s ON s.s_suppkey = e.user_id""")
 def adapter_resolve(spark, sf):
     named = F.concat(F.lit("adapter-"), F.col("user_id").cast("string"))
     requests = V.table(spark, sf, "events").select(
         "event_id",
         F.when(F.col("user_id") % 4 == 0, "base-model").otherwise(named).alias("model_name"),
     )
-    adapters = V.table(spark, sf, "supplier").filter("s_nationkey < 20").select(
+    adapters = V.table(spark, sf, "supplier").select(
         F.concat(F.lit("adapter-"), F.col("s_suppkey").cast("string")).alias("name"),
         F.concat(F.lit("/weights/"), "s_name").alias("path"),
     )
@@ -173,19 +179,16 @@ def adapter_table(spark, sf):
 # --- task corpora -----------------------------------------------------------------------
 
 # One path per page: valid tasks, deeper files, version control and other files.
-PATHS = """
-SELECT page_id, concat('/corpus/', CASE
+PATH = """concat('/corpus/', CASE
   WHEN page_id % 10 = 0 THEN '.github/instruction.md'
   WHEN page_id % 10 = 1 THEN '.gitattributes'
   WHEN page_id % 10 = 2 THEN concat('task-', CAST(page_id AS VARCHAR(20)), '/sub/instruction.md')
   WHEN page_id % 10 = 3 THEN concat('task-', CAST(page_id AS VARCHAR(20)), '/task.toml')
-  ELSE concat('task-', CAST(page_id // 2 AS VARCHAR(20)), '/instruction.md') END) AS path
-FROM pages"""
+  ELSE concat('task-', CAST(page_id // 2 AS VARCHAR(20)), '/instruction.md') END)"""
 
 
 def paths(spark, sf):
-    V.table(spark, sf, "pages").createOrReplaceTempView("pages")
-    return spark.sql(PATHS.replace("//", "DIV"))
+    return V.table(spark, sf, "pages").selectExpr(f"{PATH.replace('//', 'DIV')} AS path")
 
 
 @query("valid_tasks", """
@@ -241,19 +244,18 @@ def latest_snapshot(spark, sf):
 # --- metric lines -----------------------------------------------------------------------
 
 # One scraped line per event: adapter gauges, other gauges and comments.
-METRICS = """
-SELECT event_id, ts, CASE event_type
+METRIC_LINE = """CASE event_type
   WHEN 'error' THEN concat('# HELP vllm:lora_requests_info adapters ', CAST(event_id AS VARCHAR(20)))
   WHEN 'view' THEN concat('process_open_fds ', CAST(event_id AS VARCHAR(20)), '.0')
+  WHEN 'signup' THEN 'vllm:lora_requests_info{max_lora="1",max_lora="2"} 7'
   ELSE concat('vllm:lora_requests_info{max_lora="', CAST(user_id % 4 AS VARCHAR(10)),
     '",running_lora_adapters="a', CAST(user_id % 7 AS VARCHAR(10)), ',b"} ',
-    CAST(event_id AS VARCHAR(20)), '.5') END AS line
-FROM events"""
+    CAST(event_id AS VARCHAR(20)), '.5') END"""
+METRICS = f"SELECT event_id, ts, {METRIC_LINE} AS line FROM events"
 
 
 def metric_table(spark, sf):
-    V.table(spark, sf, "events").createOrReplaceTempView("events")
-    return spark.sql(METRICS)
+    return V.table(spark, sf, "events").selectExpr("event_id", "ts", f"{METRIC_LINE} AS line")
 
 
 @query("metric_lines", ctes(m=METRICS) + """
@@ -261,7 +263,7 @@ SELECT event_id, 'vllm:lora_requests_info' AS name,
   regexp_extract(line, 'max_lora="([^"]*)"', 1) AS max_lora,
   regexp_extract(line, 'running_lora_adapters="([^"]*)"', 1) AS running,
   CAST(regexp_extract(line, '([0-9.]+)$', 1) AS DOUBLE) AS value
-FROM m WHERE line LIKE 'vllm:lora%'""")
+FROM m WHERE line LIKE 'vllm:lora%running%'""")
 def metric_lines(spark, sf):
     lines = metric_table(spark, sf)
     parsed = P.parse_metrics(lines.filter(P.is_adapter_metric(F.col("line"))))

@@ -210,6 +210,7 @@ def scan_exceptions(spark, sf):
 SELECT CAST(trial_id AS VARCHAR) AS trial_name,
   CASE WHEN trial_id % 7 <> 0 THEN n_passed END AS n_passed,
   CASE WHEN trial_id % 7 <> 0 THEN n_failed END AS n_failed,
+  CASE WHEN trial_id % 7 <> 0 THEN n_errors END AS n_errors,
   CAST(CASE WHEN trial_id % 7 <> 0 THEN trial_id % 60 + 0.25 END AS DOUBLE) AS seconds FROM c""")
 def scan_stdout(spark, sf):
     files = consoles(spark, sf).withColumn("trial_name", F.col("trial_id").cast("string"))
@@ -270,7 +271,7 @@ def scan_transcripts(spark, sf):
 SELECT split_part(split_part(line, '{', 1), ' ', 1) AS name,
   nullif(regexp_extract(line, 'running_lora_adapters="([^"]*)"', 1), '') AS running,
   CAST(regexp_extract(line, '([0-9.]+)$', 1) AS DOUBLE) AS value
-FROM m WHERE line NOT LIKE '#%'""")
+FROM m WHERE line NOT LIKE '#%' AND line NOT LIKE '%max_lora%max_lora%'""")
 def scan_metrics(spark, sf):
     path = scratch_dir(spark, "metrics")
     metric_table(spark, sf).select("line").write.text(path)

@@ -10,7 +10,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewell.functions.text import micros
 from tracewell.operators.blocks import ordered
 
 _EVENT_NUMBER = "row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id)"
@@ -25,11 +24,12 @@ _NOISY_TEXT = """CASE WHEN (conv_id * 5 + turn) % 7 = 0
 _REPLY = """CASE (conv_id + turn) % 5
     WHEN 0 THEN concat('Plan: ', text)
     WHEN 1 THEN concat('```bash', chr(10), 'ls -1', chr(10), '```', chr(10), 'then', chr(10),
-        '  ```sh', chr(10), substring(text, 1, 40), chr(10), '```')
+        '  ```sh', chr(10), text, chr(10), '```')
     WHEN 2 THEN concat('```bash', chr(10), 'lost', chr(10), '```bash', chr(10), 'cat file.txt',
-        chr(10), ' ``` ')
-    WHEN 3 THEN concat('Task Complete', chr(10), '```bash', chr(10), 'never run', chr(10), '```')
-    ELSE concat('```shell', chr(10), 'unclosed') END"""
+        chr(10), ' ``` ', chr(10), text)
+    WHEN 3 THEN concat(text, chr(10), 'Task Complete', chr(10), '```bash', chr(10), 'never run',
+        chr(10), '```')
+    ELSE concat('```shell', chr(10), 'unclosed', chr(10), text) END"""
 _RETURN_CODE = "CASE WHEN event_type = 'error' THEN 1 ELSE 0 END"
 _STDOUT = "repeat(props, CAST(event_id % 150 AS INT))"
 _STDERR = "CASE WHEN event_type = 'error' THEN repeat('err ', CAST(event_id % 300 AS INT)) ELSE '' END"
@@ -71,7 +71,7 @@ FROM events WHERE event_type <> 'signup'""",
 SELECT event_id AS trial_id, {_BODY} AS body FROM events WHERE event_type = 'error'""",
     "failure_lines": f"""
 SELECT event_id AS trial_id, {_FAILURE} AS line
-FROM events WHERE event_type IN ('signup', 'error') AND event_id % 4 = 0""",
+FROM events WHERE event_type IN ('signup', 'error')""",
     "test_results": """
 SELECT l_orderkey AS trial_id, l_linenumber AS test_no,
   concat('test_', CAST(l_linenumber AS VARCHAR(10))) AS test_name,
@@ -92,13 +92,13 @@ def noisy_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def agent_replies(spark: SparkSession, sf_dir: str) -> DataFrame:
     said = table(spark, sf_dir, "conversations").filter(F.col("role") == "assistant")
-    talks = ordered(said, ["conv_id"], ["turn"], F.col("turn"), is_position=True)
+    talks = ordered(said, ["conv_id"], ["turn"])
     return talks.number("iteration").rows().selectExpr("conv_id AS trial_id", "iteration", f"{_REPLY} AS reply")
 
 
 def _numbered_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     events = table(spark, sf_dir, "events")
-    users = ordered(events, ["user_id"], ["ts", "event_id"], micros(F.col("ts")))
+    users = ordered(events, ["user_id"], ["ts", "event_id"])
     return users.number("rn").rows()
 
 
@@ -140,7 +140,7 @@ def trial_exceptions(spark: SparkSession, sf_dir: str) -> DataFrame:
 def failure_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return (
         table(spark, sf_dir, "events")
-        .filter("event_type IN ('signup', 'error') AND event_id % 4 = 0")
+        .filter("event_type IN ('signup', 'error')")
         .selectExpr("event_id AS trial_id", f"{_FAILURE} AS line")
     )
 
