@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tracewell.functions import templates as T
+from tracewell.functions.text import clip_for_console
 from tracewell.operators import conversations as C
 from tracewell.operators import trajectories as J
 from tracewell.operators import training_log as L
@@ -163,6 +164,16 @@ def exit_stats(spark, sf):
     )
 
 
+@query("console_clip", ctes(executions=EXECUTIONS) + """
+SELECT trial_id, cmd_seq, concat(substring(stdout, 1, 300), '...',
+  CASE WHEN length(stdout) > 300 THEN concat(chr(10), '... [', CAST(length(stdout) - 300 AS VARCHAR),
+    ' more characters]') ELSE '' END) AS shown FROM executions""")
+def console_clip(spark, sf):
+    return V.executions(spark, sf).select(
+        "trial_id", "cmd_seq", clip_for_console(F.col("stdout")).alias("shown")
+    )
+
+
 PER_ITERATION = """
 SELECT *, CAST((cmd_seq - 1) // 3 + 1 AS BIGINT) AS iteration,
   CAST((cmd_seq - 1) % 3 + 1 AS BIGINT) AS cmd_idx FROM executions"""

@@ -61,7 +61,7 @@ SELECT run_id, rn * 10 AS step, value / (rn * 10) AS loss FROM (
     "trials": f"""
 SELECT event_id AS trial_id, {_TASK} AS task_name, {_MODEL} AS model_name,
   ts AS started_at, CAST(floor(value * 1000000) AS BIGINT) AS duration_us,
-  1 + event_id % 159 AS iterations, 3 + 2 * (event_id % 159) AS conversation_length,
+  1 + event_id % 159 AS iterations, 3 + 2 * (event_id % 159) - event_id % 3 AS conversation_length,
   event_type <> 'error' AS has_result
 FROM events""",
     "rewards": """
@@ -120,7 +120,7 @@ def trials(spark: SparkSession, sf_dir: str) -> DataFrame:
         "event_id AS trial_id", f"{_TASK} AS task_name", f"{_MODEL} AS model_name",
         "ts AS started_at", "CAST(floor(value * 1000000) AS BIGINT) AS duration_us",
         "1 + event_id % 159 AS iterations",
-        "3 + 2 * (event_id % 159) AS conversation_length",
+        "3 + 2 * (event_id % 159) - event_id % 3 AS conversation_length",
         "event_type <> 'error' AS has_result",
     )
 
