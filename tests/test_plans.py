@@ -3,12 +3,11 @@
 import os
 
 import pytest
-from pyspark.sql import functions as F
 
-from __spark_entry__ import queries
 from tracewell.operators import conversations as C
 from tracewell.operators import training_log, trials
 from tracewell.operators.blocks import ordered
+from tracewell.plans import all_queries as queries
 from tracewell.plans import views as V
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
@@ -33,15 +32,7 @@ def test_no_pairs_and_no_python(spark, name):
 
 def test_flagship_shuffles_turns_once(spark):
     plan = plan_of(C.format_conversations(V.noisy_conversations(spark, SF)))
-    head, tail = plan.split("Union", 1)
-    assert head.count("Exchange") == 1 and "Window" not in plan
-    # The only other shuffle belongs to turns beyond the head, by conversation and stretch.
-    assert tail.count("Exchange hashpartitioning") == 1
-
-
-def test_long_conversations_are_a_pushed_filter(spark):
-    turns = V.table(spark, SF, "conversations")
-    assert "GreaterThanOrEqual(turn,4096)" in plan_of(C.format_conversations(turns))
+    assert plan.count("FileScan") == 1 and plan.count("Exchange") == 1 and "Window" not in plan
 
 
 def test_limit_is_a_pushed_filter(spark):
@@ -68,17 +59,16 @@ def test_top_per_group_is_cut_before_the_shuffle(spark):
 
 def test_nothing_hot_means_a_plain_window(spark):
     events = V.table(spark, SF, "events")
-    plan = plan_of(ordered(events, ["user_id"], ["event_id"], F.col("event_id")).number("n").rows())
+    plan = plan_of(ordered(events, ["user_id"], ["event_id"]).number("n").rows())
     assert "Join" not in plan and plan.count("Exchange") == 1
 
 
-def test_hot_groups_shuffle_rows_once_by_block(spark):
+def test_hot_groups_are_windows_over_blocks(spark):
     events = V.table(spark, SF, "events")
-    groups = ordered(events, ["event_type"], ["event_id"], F.col("event_id"), floor=10)
+    groups = ordered(events, ["event_type"], ["event_id"], floor=10)
     plan = plan_of(groups.number("n").rows())
-    assert "SortMergeJoin" not in plan
-    rows = [l for l in plan.splitlines() if "Exchange hashpartitioning(event_type" in l and "_block" in l]
-    assert 1 <= len(rows) <= 2 and plan.count("BroadcastHashJoin") >= 2
+    windows = [l for l in plan.splitlines() if "Window [row_number()" in l]
+    assert windows and all("_block" in l.split("windowspecdefinition(")[1] for l in windows)
 
 
 def test_distinct_tasks_need_no_distinct(spark):

@@ -5,7 +5,9 @@ import os
 import pytest
 from compare import check, duck
 
-from __spark_entry__ import entry, oracle_sql, queries
+from __spark_entry__ import entry
+from tracewell.plans import all_oracles as oracle_sql
+from tracewell.plans import all_queries as queries
 
 SF = os.environ.get("TEST_SF_DIR", "/root/testdata/sf0.001")
 
