@@ -3,6 +3,8 @@ the scratch folder, and read back by the readers."""
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -31,13 +33,13 @@ def _trial_names(spark, sf) -> DataFrame:
 
 
 def packed(spark, **files: DataFrame) -> A.PackedRun:
-    """Write ``trial_name, body`` tables under their file names."""
+    """Write ``trial_name, body`` tables under their file names, in one job."""
     path = scratch_dir(spark, "run")
-    for constant, rows in files.items():
-        name = getattr(A, constant)
-        rows.select("trial_name", "body", F.lit(name).alias("file")).write.mode(
-            "append"
-        ).partitionBy("file").parquet(path)
+    parts = [
+        rows.select("trial_name", "body", F.lit(getattr(A, constant)).alias("file"))
+        for constant, rows in files.items()
+    ]
+    A.write_packed(reduce(DataFrame.unionByName, parts), path)
     return A.PackedRun(spark, path)
 
 

@@ -68,7 +68,7 @@ class RunFolder:
         wanted = name.split("/")
         rows = read_bodies(self.spark, self.root, wanted[-1])
         return rows.filter(
-            F.slice("parts", 2, 99) == F.array(*[F.lit(w) for w in wanted])
+            F.slice("parts", 2, F.size("parts")) == F.array(*[F.lit(w) for w in wanted])
         ).select(F.get("parts", 0).alias("trial_name"), "body")
 
     def job_bodies(self, name: str) -> DataFrame:
@@ -92,7 +92,7 @@ class RunFolder:
             parts.filter(F.size("p") >= 2)
             .select(
                 F.get("p", 0).alias("trial_name"),
-                F.array_join(F.slice("p", 2, 99), "/").alias("file"),
+                F.array_join(F.slice("p", 2, F.size("p")), "/").alias("file"),
             )
             .filter(F.col("file").isin(*TRIAL_FILES))
         )
@@ -132,7 +132,7 @@ def pack(spark: SparkSession, root: str, path: str) -> PackedRun:
     """Copy a run folder into a packed table, once."""
     names = sorted({name.rsplit("/", 1)[-1] for name in TRIAL_FILES})
     rows = read_bodies(spark, root, "{" + ",".join(names) + "}")
-    inside = F.array_join(F.slice("parts", 2, 99), "/")
+    inside = F.array_join(F.slice("parts", 2, F.size("parts")), "/")
     is_job = F.size("parts") == 1
     named = rows.select(
         F.when(~is_job, F.get("parts", 0)).alias("trial_name"),
