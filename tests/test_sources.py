@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tracewell.operators import trials as B
+from tracewell.plans.run_files import render_transcript
 from tracewell.sources import artifacts as A
 from tracewell.sources import datasets, writers
 
@@ -138,7 +139,7 @@ def test_coverage(run):
 def test_transcript_round_trip(spark):
     replies = ["plan\n\n", None, "```sh\nls\n```", "TASK COMPLETE"]
     df = spark.createDataFrame([("t", replies)], "trial_name string, r array<string>")
-    body = A.render_transcript(F.lit("P\n\nQ"), F.lit("I"), F.col("r"), F.lit("completed_with_signal"),
+    body = render_transcript(F.lit("P\n\nQ"), F.lit("I"), F.col("r"), F.lit("completed_with_signal"),
                                F.lit(9), F.lit(True))
     parsed = A.parse_transcripts(df.select("trial_name", body.alias("body")))
     row = parsed.first()

@@ -5,7 +5,7 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.functions.text import micros, parse_iso
@@ -43,6 +43,31 @@ def packed(spark, **files: DataFrame) -> A.PackedRun:
     return A.PackedRun(spark, path)
 
 
+def render_transcript(
+    prompt: Column, instruction: Column, turns: Column, status: Column, messages: Column,
+    signal: Column,
+) -> Column:
+    """Text in the format of a recorded transcript, to have something to parse."""
+
+    def shown(reply: Column, i: Column) -> Column:
+        head = F.concat(
+            F.lit(f"\n{A._NARROW}\nITERATION "), (i + 1).cast("string"), F.lit(f"\n{A._NARROW}\n\n")
+        )
+        said = F.concat(F.lit(A._REPLY_MARK), reply, F.lit("\n\n"))
+        return F.concat(head, F.coalesce(said, F.lit("")))
+
+    return F.concat(
+        F.lit(A._PROMPT_HEAD), prompt, F.lit(A._TASK_HEAD), instruction, F.lit(A._LOG_HEAD),
+        F.array_join(F.transform(turns, shown), ""),
+        F.lit(A._END_HEAD),
+        F.lit("Status: "), status,
+        F.lit("\nTotal iterations: "), F.size(turns).cast("string"),
+        F.lit("\nTotal messages in conversation: "), messages.cast("string"),
+        F.lit("\nTask complete signal detected: "), F.initcap(signal.cast("string")),
+        F.lit(f"\n{A._WIDE}\n"),
+    )
+
+
 def config_files(spark, sf) -> DataFrame:
     agent = F.struct(
         F.lit("agents:Shell").alias("import_path"), F.col("model_name"),
@@ -261,7 +286,7 @@ def scan_transcripts(spark, sf):
     )
     name = F.col("trial_id").cast("string")
     turns = F.transform("r", lambda x: x["reply"])
-    body = A.render_transcript(
+    body = render_transcript(
         F.lit("Work in\n\n/app"), F.concat(F.lit("Solve "), name), turns,
         F.lit("completed_with_signal"), 2 + 2 * F.size("r"), F.lit(True),
     )

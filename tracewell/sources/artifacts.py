@@ -298,31 +298,6 @@ def transcript_turns(parsed: DataFrame) -> DataFrame:
     )
 
 
-def render_transcript(
-    prompt: Column, instruction: Column, turns: Column, status: Column, messages: Column,
-    signal: Column,
-) -> Column:
-    """The text a trajectory leaves behind; the counterpart of ``parse_transcripts``."""
-
-    def shown(reply: Column, i: Column) -> Column:
-        head = F.concat(
-            F.lit(f"\n{_NARROW}\nITERATION "), (i + 1).cast("string"), F.lit(f"\n{_NARROW}\n\n")
-        )
-        said = F.concat(F.lit(_REPLY_MARK), reply, F.lit("\n\n"))
-        return F.concat(head, F.coalesce(said, F.lit("")))
-
-    return F.concat(
-        F.lit(_PROMPT_HEAD), prompt, F.lit(_TASK_HEAD), instruction, F.lit(_LOG_HEAD),
-        F.array_join(F.transform(turns, shown), ""),
-        F.lit(_END_HEAD),
-        F.lit("Status: "), status,
-        F.lit("\nTotal iterations: "), F.size(turns).cast("string"),
-        F.lit("\nTotal messages in conversation: "), messages.cast("string"),
-        F.lit("\nTask complete signal detected: "), F.initcap(signal.cast("string")),
-        F.lit(f"\n{_WIDE}\n"),
-    )
-
-
 # --- the whole run --------------------------------------------------------------------
 
 
