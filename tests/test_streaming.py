@@ -65,6 +65,11 @@ def test_trials_behind_the_watermark_are_left_out(spark, tmp_path):
     write_lines(tmp_path / "in" / "2.json", [{"id": "late", "finished_at": "2026-01-11T10:00:00", "reward": 1.0}])
     table = start()
     assert table.read().agg(F.sum("n_finished")).first()[0] == 1
+    write_lines(tmp_path / "in" / "3.json", [{"id": "later", "finished_at": "2026-01-11T09:00:00", "reward": 1.0}])
+    counts = live.live_success(read(spark, tmp_path / "in", RESULT), F.to_timestamp_ntz("finished_at"))
+    query = live.UpsertTable(spark, str(base / "out"), ["bucket_start"]).start(counts, str(base / "state"))
+    query.awaitTermination()
+    assert live.late_rows(query) > 0 and table.read().agg(F.sum("n_finished")).first()[0] == 1
 
 
 def test_adapter_activity(spark, tmp_path):

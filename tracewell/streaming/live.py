@@ -55,7 +55,7 @@ def live_success(
     width: str = "10 minutes",
 ) -> DataFrame:
     """Finished and passing trials per time window; a trial file seen twice counts once.
-    Trials later than the watermark are left out."""
+    Trials later than the watermark are left out; ``late_rows`` says how many."""
     timed = results.withColumn("finished_at", finished.cast("timestamp"))
     once = timed.withWatermark("finished_at", watermark).dropDuplicatesWithinWatermark(["id"])
     return (
@@ -118,6 +118,16 @@ class UpsertTable:
         return newest.select(*self.keys, "v.*")
 
 
+def late_rows(query) -> int:
+    """Rows that a query's watermark kept out, over the progress reports that Spark still holds
+    (``spark.sql.streaming.numRecentProgressUpdates``). One late row counts for each stateful step
+    that meets it."""
+    return sum(
+        state["numRowsDroppedByWatermark"]
+        for progress in query.recentProgress for state in progress["stateOperators"]
+    )
+
+
 def append_to(stream: DataFrame, path: str, checkpoint: str):
     """Append-mode file sink with exactly-once files."""
     return (
