@@ -22,7 +22,7 @@ from tracewell.llm import words as W
 from tracewell.llm.tables import free_name
 
 #: Labelled rows of each class that training may take, chosen by a hash of their id.
-SAMPLE_ROWS = 5000
+SAMPLE_ROWS = 4000
 #: Longer texts are left out of the training sample (not of scoring).
 SAMPLE_WORDS = 20_000
 
@@ -112,9 +112,14 @@ def _logistic(x):
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 
 
+#: Rows of the three kinds of features stand one after the other in the embedding table; texts of the
+#: sample hold them without that, in two bytes each.
+_KINDS = np.array([0, BUCKETS, 2 * BUCKETS], dtype=np.int32)
+
+
 def _flat(texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     first = np.concatenate([[0], np.cumsum([len(t) for t in texts])]).astype(np.int64)
-    return (np.concatenate(texts) if texts else np.zeros((0, 3), dtype=np.int32)), first
+    return (np.concatenate(texts) if texts else np.zeros((0, 3), dtype=np.uint16)) + _KINDS, first
 
 
 def start(texts: list[np.ndarray], labels: np.ndarray, rng) -> Classifier:
@@ -122,7 +127,7 @@ def start(texts: list[np.ndarray], labels: np.ndarray, rng) -> Classifier:
     is rare, which points the filters at telling words; all else is small noise."""
     seen = np.zeros((2, PADDING + 1))
     for t, y in zip(texts, labels):
-        seen[int(y), np.unique(t)] += 1
+        seen[int(y), np.unique(t + _KINDS)] += 1
     size = np.array([[max((labels == y).sum(), 1)] for y in (0, 1)])
     overall = (seen.sum(0) + 0.5) / size.sum()
     share = (seen + SHRINK * overall) / (size + SHRINK)
@@ -195,7 +200,7 @@ def calibrate(model: Classifier, texts, labels: np.ndarray, langs: list[str | No
     """
     if not len(texts):
         return
-    margins = model.margins(*_flat(texts))
+    margins = np.concatenate([model.margins(*_flat(texts[k: k + BATCH])) for k in range(0, len(texts), BATCH)])
     weight = np.where(labels == 1, 1.0, clean_share)
     slope, offset = 1.0, 0.0
     for _ in range(300):
@@ -237,7 +242,7 @@ def _id_rows(batches):
         ids = []
         for piece in W.pieces(batch.column(0)):
             found = W.words_of(piece, W.ALNUM)
-            flat = feature_ids(found)
+            flat = (feature_ids(found) - _KINDS).astype(np.uint16)
             ids.extend(flat[lo:hi].tobytes() for lo, hi in zip(found.first[:-1], found.first[1:]))
         yield pa.RecordBatch.from_arrays([pa.array(ids, pa.binary()), *batch.columns[1:]],
                                          names=["ids", *batch.schema.names[1:]])
@@ -262,14 +267,17 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
         texts.join(F.broadcast(chosen), "doc_id")
         .select("text", F.col("lang").cast("string").alias("lang"), "toxic", F.xxhash64("doc_id").alias("draw"), "doc_id")
         .mapInArrow(_id_rows, "ids binary, lang string, toxic int, draw long, doc_id long")
-        .filter(F.length("ids") <= 12 * SAMPLE_WORDS)
+        .filter(F.length("ids") <= 6 * SAMPLE_WORDS)
         .dropDuplicates(["doc_id", "toxic"])
-        .orderBy("draw", "doc_id", "toxic").collect()
+        .orderBy("draw", "doc_id", "toxic")
     )
-    ids = [np.frombuffer(bytes(r["ids"]), dtype=np.int32).reshape(-1, 3) for r in rows]
-    toxic = np.array([r["toxic"] for r in rows], dtype=np.int64)
-    langs = [r["lang"] for r in rows]
-    apart = np.arange(len(rows)) % 4 == 3
+    ids, toxic, langs = [], [], []
+    for r in rows.toLocalIterator():
+        ids.append(np.frombuffer(bytes(r["ids"]), dtype=np.uint16).reshape(-1, 3))
+        toxic.append(r["toxic"])
+        langs.append(r["lang"])
+    toxic = np.array(toxic, dtype=np.int64)
+    apart = np.arange(len(ids)) % 4 == 3
     model = train([t for t, x in zip(ids, apart) if not x], toxic[~apart])
     taken = {k: max(int((toxic == k).sum()), 1) for k in (0, 1)}
     clean_share = (sizes.get(0, 0) / taken[0]) / max(sizes.get(1, 0) / taken[1], 1e-9) if sizes.get(1) else 1.0
