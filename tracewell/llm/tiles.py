@@ -18,8 +18,9 @@ from tracewell.llm.components import join_labels
 TILE = 512
 
 
-def runs(batches, *keys: str):
-    """Tables of consecutive rows that agree in ``keys``, whatever the bounds of the batches."""
+def whole_runs(batches, *keys: str):
+    """(table, cuts): consecutive rows that agree in ``keys`` lie between two cuts, whatever the bounds of
+    the batches."""
     rest = None
     for batch in batches:
         rows = pa.Table.from_batches([batch])
@@ -29,11 +30,18 @@ def runs(batches, *keys: str):
             values = rows.column(k).to_numpy()
             change |= values[1:] != values[:-1]
         cuts = [0, *(np.flatnonzero(change) + 1).tolist()]
-        for lo, hi in zip(cuts[:-1], cuts[1:]):
-            yield rows.slice(lo, hi - lo).combine_chunks()
+        if len(cuts) > 1:
+            yield rows.slice(0, cuts[-1]).combine_chunks(), cuts
         rest = rows.slice(cuts[-1])
     if rest is not None and rest.num_rows:
-        yield rest.combine_chunks()
+        yield rest.combine_chunks(), [0, rest.num_rows]
+
+
+def runs(batches, *keys: str):
+    """Tables of consecutive rows that agree in ``keys``."""
+    for table, cuts in whole_runs(batches, *keys):
+        for lo, hi in zip(cuts[:-1], cuts[1:]):
+            yield table.slice(lo, hi - lo).combine_chunks()
 
 
 def edges(members: np.ndarray, found: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
