@@ -199,6 +199,39 @@ def op5_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_dedup.report(table(spark, sf_dir, "documents"))
 
 
-@query("op6_substrings")
+@query("op6_substrings", sql="""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, encode(coalesce(text, '')) AS b FROM documents
+), starts AS (
+  SELECT rid, doc_id, b, unnest(range(octet_length(b) - 49)) AS pos FROM docs
+  WHERE doc_id IS NOT NULL AND octet_length(b) >= 50
+), strings AS (
+  SELECT rid, doc_id, pos, b[pos + 1 : pos + 50] AS s FROM starts
+), firsts AS (
+  SELECT s, min(doc_id) AS first_id FROM strings GROUP BY s
+), hits AS (
+  SELECT rid, pos FROM strings JOIN firsts USING (s) WHERE first_id < doc_id
+), steps AS (
+  SELECT rid, pos, CASE WHEN pos - lag(pos) OVER (PARTITION BY rid ORDER BY pos) <= 50 THEN 0 ELSE 1 END AS opens
+  FROM hits
+), islands AS (
+  SELECT rid, pos, sum(opens) OVER (PARTITION BY rid ORDER BY pos) AS k FROM steps
+), spans AS (
+  SELECT rid, min(pos) AS s, max(pos) + 50 AS e FROM islands GROUP BY rid, k
+), gaps AS (
+  SELECT rid, coalesce(lag(e) OVER (PARTITION BY rid ORDER BY s), 0) AS s, s AS e FROM spans
+  UNION ALL
+  SELECT rid, max(e), 9223372036854775807 FROM spans GROUP BY rid
+), kept AS (
+  SELECT g.rid, string_agg(hex(d.b[g.s + 1 : least(g.e, octet_length(d.b))]), '' ORDER BY g.s) AS h
+  FROM gaps g JOIN docs d USING (rid) GROUP BY g.rid
+), cut AS (
+  SELECT rid, sum(e - s) AS n_removed, count(*) AS n_spans FROM spans GROUP BY rid
+)
+SELECT doc_id, CAST(octet_length(b) AS BIGINT) AS n_bytes, CAST(coalesce(n_removed, 0) AS BIGINT) AS n_removed,
+       CAST(coalesce(n_spans, 0) AS BIGINT) AS n_spans,
+       sha256(CASE WHEN kept.rid IS NULL THEN b ELSE unhex(h) END) AS kept_sha256
+FROM docs LEFT JOIN cut USING (rid) LEFT JOIN kept ON kept.rid = docs.rid
+""")
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents"))

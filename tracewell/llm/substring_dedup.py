@@ -6,10 +6,11 @@ strings have their anchors at the same place. Consecutive strings with one ancho
 84 bytes; there is one for about 17 bytes of text. A suffix is written from the anchor on, to the end of its
 stretch, followed by what the stretch holds before the anchor.
 
-1. Anchors that occur once cannot lie in a repeated string. Their hashes are counted in buckets, and those
-   seen twice set a bit in a filter of bounded size. A full filter lets more through, never less.
-2. Every task sorts the suffixes of its other anchors, makes equal ones one with their least and
-   greatest doc_id, and sends them front-coded (length of the prefix shared with the one before, and the
+1. A repeated string reaches 16 bytes beyond its anchor on one side at least. Each text's anchors with the 16
+   bytes before and after are hashed and counted in buckets, and hashes of two texts set a bit in a
+   filter of bounded size; the others cannot lie in a repeated string. A full filter lets more through, never less.
+2. Every task sorts the suffixes of its other anchors, makes equal ones one with their least
+   doc_id, and sends them front-coded (length of the prefix shared with the one before, and the
    rest) to the bucket of the anchor.
 3. A bucket merges its runs with a loser tree that keeps common prefix lengths: of two candidates the one
    that shares more with the last output is smaller without a look at either, and equal lengths are compared
@@ -31,14 +32,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import words as W
+from tracewell.llm.filters import filter_of
 from tracewell.llm.tables import stored
 
 LENGTH = 50
 GRAM = 16
-#: Bytes of text for each bucket of anchors.
-BUCKET_BYTES = 16 << 20
-#: Most bits of the filter of repeated anchors, as a power of two: 32 MB.
-FILTER_POWER = 28
+#: Bytes of text for each bucket of anchors, and bytes of text that make the runs of a task.
+BUCKET_BYTES = 8 << 20
+RUN_BYTES = 16 << 20
+#: Bytes of text to an anchor, about.
+ANCHOR_BYTES = 17
 
 _SEED = np.uint64(0x9E3779B97F4A7C15)
 _BYTES = np.random.default_rng(991).integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -59,7 +62,7 @@ class Stretches:
         self.piece, self.length = piece, length
         data, none = piece.data, np.zeros(0, dtype=np.int64)
         self.row = self.start = self.last = self.anchor = none
-        self.hash = none.astype(np.uint64)
+        self.hash = self.after = self.ahead = none.astype(np.uint64)
         if len(data) < length:
             return
         two = data[:-1].astype(np.uint64) | (data[1:].astype(np.uint64) << np.uint64(8))
@@ -89,11 +92,23 @@ class Stretches:
         self.last = starts[np.append(first[1:] - 1, len(starts) - 1)]
         self.hash = grams[self.anchor]
         self.row = np.searchsorted(piece.offsets, self.start, "right") - 1
+        # the anchor with as many bytes after it, and before it; 0 where the text has none
+        right, left = self.anchor + GRAM, self.anchor - GRAM
+        end, begin = piece.offsets[self.row + 1] - GRAM, piece.offsets[self.row]
+        after = W.mixed(self.hash + grams[np.minimum(right, len(grams) - 1)] * _SEED)
+        ahead = W.mixed(grams[np.maximum(left, 0)] + self.hash * _SEED)
+        self.after = np.where(right <= end, np.maximum(after, np.uint64(1)), np.uint64(0))
+        self.ahead = np.where(left >= begin, np.maximum(ahead, np.uint64(1)), np.uint64(0))
 
     def keep(self, mask: np.ndarray) -> None:
-        for name in ("row", "start", "last", "anchor", "hash"):
+        for name in ("row", "start", "last", "anchor", "hash", "after", "ahead"):
             setattr(self, name, getattr(self, name)[mask])
 
+    def keep_known(self, known) -> None:
+        """Drop what cannot hold a repeated string: 50 bytes around an anchor reach 16 bytes beyond it on one
+        side at least, so one of its two longer hashes has been seen in another text."""
+        self.keep(((self.after != 0) & known.has(self.after)) | ((self.ahead != 0) & known.has(self.ahead)))
+
     def codes(self) -> tuple[np.ndarray, np.ndarray]:
         """Two hashes of each stretch and the place of its anchor (see ``stretch_codes``)."""
         end = self.last + self.length
@@ -121,68 +136,17 @@ def stretch_codes(stretches: list[bytes], before: list[int]) -> tuple[np.ndarray
 # --- 1. repeated anchors
 
 
-def _anchor_rows(bucket_power: int):
-    def run(batches):
-        for batch in batches:
-            own = [Stretches(p).hash for p in W.pieces(batch.column(0))]
-            hashes = np.sort(np.concatenate(own)) if own else np.zeros(0, dtype=np.uint64)
-            if not len(hashes):
-                continue
-            # a third and further occurrence tells nothing new
-            spare = np.zeros(len(hashes), dtype=bool)
-            spare[2:] = hashes[2:] == hashes[:-2]
-            hashes = hashes[~spare]
-            bucket = (hashes >> np.uint64(64 - bucket_power)).astype(np.int64) if bucket_power else np.zeros(len(hashes), dtype=np.int64)
-            rest = (hashes >> np.uint64(32 - bucket_power)).astype(np.uint32)
-            cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(bucket[cuts].astype(np.int32)), pa.array([x.tobytes() for x in np.split(rest, cuts[1:])], pa.binary())],
-                names=["bucket", "grams"])
-
-    return run
-
-
-def _filter_slice(slice_power: int):
-    def run(table):
-        seen = np.sort(np.concatenate([np.frombuffer(x, dtype=np.uint32) for x in table.column("grams").to_pylist()]))
-        twice = seen[1:][seen[1:] == seen[:-1]]
-        bits = np.zeros(1 << slice_power, dtype=np.uint8)
-        bits[twice >> np.uint32(32 - slice_power)] = 1
-        return pa.table({"bucket": table.column("bucket")[:1], "bits": pa.array([np.packbits(bits).tobytes()], pa.binary())})
-
-    return run
-
-
-class Filter:
-    """A bit for each leading part of an anchor's hash."""
-
-    def __init__(self, power: int):
-        self.power = power
-        self.bits = np.zeros(1 << (power - 3), dtype=np.uint8)
-
-    def has(self, hashes: np.ndarray) -> np.ndarray:
-        at = (hashes >> np.uint64(64 - self.power)).astype(np.int64)
-        return (self.bits[at >> 3] >> (7 - (at & 7)).astype(np.uint8)) & 1 == 1
-
-
-def _powers_for(size: int) -> tuple[int, int]:
-    """(power of the number of buckets, power of the filter's bits) for so many bytes of text."""
-    buckets = max(int(size // BUCKET_BYTES), 1).bit_length()
-    filter_ = min(max(int(size).bit_length(), 16), FILTER_POWER)
-    return buckets, filter_
-
-
-def repeated_anchors(texts: DataFrame, bucket_power: int, filter_power: int) -> Filter:
-    out = Filter(filter_power)
-    bucket_power = min(bucket_power, filter_power - 6)
-    slices = (
-        texts.select("text").mapInArrow(_anchor_rows(bucket_power), "bucket int, grams binary")
-        .groupBy("bucket").applyInArrow(_filter_slice(filter_power - bucket_power), "bucket int, bits binary")
-    )
-    width = len(out.bits) >> bucket_power
-    for r in slices.toLocalIterator():
-        out.bits[r["bucket"] * width: (r["bucket"] + 1) * width] = np.frombuffer(r["bits"], dtype=np.uint8)
-    return out
+def _anchor_hashes(batch) -> np.ndarray:
+    """The longer hashes of the anchors of each text, once for a text."""
+    out = [np.zeros(0, dtype=np.uint64)]
+    for piece in W.pieces(batch.column(0)):
+        own = Stretches(piece)
+        for hashes in (own.after, own.ahead):
+            some = hashes != 0
+            rows, hashes = own.row[some], hashes[some]
+            mine = np.unique(hashes ^ W.mixed(rows.astype(np.uint64) + np.uint64(1)), return_index=True)[1]
+            out.append(hashes[mine])
+    return np.concatenate(out)
 
 
 # --- 2. sorted, front-coded runs
@@ -206,55 +170,86 @@ def front_coded(suffixes: list[bytes]) -> tuple[bytes, bytes, bytes]:
 
 
 def _run_rows(sent, bucket_power: int):
+    """A run for every ``RUN_BYTES`` of text and bucket; the suffixes of one bucket exist at a time."""
+
     def run(batches):
         known = sent.value
         for batch in batches:
             ids = batch.column(1).to_numpy()
-            parts: dict[int, dict[bytes, list[int]]] = {}
-            for piece in W.pieces(batch.column(0)):
-                own = Stretches(piece)
-                own.keep(known.has(own.hash))
-                text, docs = piece.data.tobytes(), ids[own.row + piece.first_row].tolist()
-                buckets = (own.hash >> np.uint64(64 - bucket_power)).astype(np.int64).tolist()
-                for b, s, e, a, doc in zip(buckets, own.start.tolist(), (own.last + LENGTH).tolist(), own.anchor.tolist(), docs):
-                    suffix = text[a:e] + text[s:a][::-1] + bytes((e - a,))
-                    part = parts.get(b)
-                    if part is None:
-                        part = parts[b] = {}
-                    seen = part.get(suffix)
-                    if seen is None:
-                        part[suffix] = [doc, doc]
-                    elif doc < seen[0]:
-                        seen[0] = doc
-                    elif doc > seen[1]:
-                        seen[1] = doc
-            for b in sorted(parts):
-                part = parts.pop(b)
-                order = sorted(part)
-                docs = np.array([part[x] for x in order], dtype=np.int64)
-                shared, size, rest = front_coded(order)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([b], pa.int32()), *(pa.array([x], pa.binary()) for x in (shared, size, rest, docs.tobytes()))],
-                    names=["bucket", "shared", "size", "rest", "docs"])
+            for part in W.pieces(batch.column(0), RUN_BYTES):
+                yield from _runs_of(part, ids, known, bucket_power)
+        pa.default_memory_pool().release_unused()
 
     return run
 
 
+def _runs_of(part: W.Piece, ids: np.ndarray, known, bucket_power: int):
+    found = []
+    row = 0
+    while row < part.rows:
+        last = int(np.searchsorted(part.offsets, part.offsets[row] + W.PIECE_BYTES, "right")) - 1
+        last = min(max(last, row + 1), part.rows)
+        base = part.offsets[row]
+        own = Stretches(W.Piece(row, part.data[base: part.offsets[last]], part.offsets[row: last + 1] - base))
+        own.keep_known(known)
+        found.append((own.hash >> np.uint64(64 - bucket_power), own.start + base, own.last + (LENGTH + base),
+                      own.anchor + base, own.row + row))
+        row = last
+    bucket, start, end, anchor, row = (np.concatenate(x) for x in zip(*found))
+    bucket, docs = bucket.astype(np.int64), ids[row + part.first_row]
+    order = np.argsort(bucket, kind="stable")
+    cuts = np.flatnonzero(np.diff(bucket[order], prepend=-1))
+    text = part.data.tobytes()
+    for own in np.split(order, cuts[1:]) if len(order) else ():
+        least: dict[bytes, int] = {}
+        several = set()
+        for s, e, k, doc in zip(start[own].tolist(), end[own].tolist(), anchor[own].tolist(), docs[own].tolist()):
+            suffix = text[k:e] + text[s:k][::-1] + bytes((e - k,))
+            seen = least.setdefault(suffix, doc)
+            if seen != doc:
+                several.add(suffix)
+                if doc < seen:
+                    least[suffix] = doc
+        yield _run_batch(int(bucket[own[0]]), least, several)
+
+
+def _packed(data) -> bytes:
+    return pa.Codec("zstd", compression_level=6).compress(data, asbytes=True)
+
+
+def _run_batch(bucket: int, least: dict[bytes, int], several: set[bytes]) -> pa.RecordBatch:
+    order = sorted(least)
+    shared, size, rest = front_coded(order)
+    docs = np.array([least[x] for x in order], dtype=np.int64)
+    many = bytes(x in several for x in order)
+    return pa.RecordBatch.from_arrays(
+        [pa.array([bucket], pa.int32()), pa.array([len(order)], pa.int32()), pa.array([len(rest)], pa.int64()),
+         *(pa.array([_packed(x)], pa.binary()) for x in (shared, size, rest, docs.tobytes(), many))],
+        names=["bucket", "items", "bytes", *_RUN])
+
+
+_RUN = ["shared", "size", "rest", "docs", "many"]
+
+
 # --- 3. merge
 
 
-def run_items(shared: bytes, size: bytes, rest: bytes, docs: bytes):
-    """(prefix shared with the one before, suffix, least and greatest doc) of a front-coded run."""
+def run_items(shared: bytes, size: bytes, rest: bytes, docs: bytes, many: bytes):
+    """(prefix shared with the one before, suffix, least doc, whether in several) of a front-coded run."""
     at, suffix = 0, b""
-    docs = np.frombuffer(docs, dtype=np.int64).reshape(-1, 2).tolist()
-    for keep, n, (low, high) in zip(shared, size, docs):
+    for keep, n, low, several in zip(shared, size, memoryview(docs).cast("q"), many):
         suffix = suffix[:keep] + rest[at: at + n]
         at += n
-        yield keep, suffix, low, high
+        yield keep, suffix, low, several
+
+
+def _unpacked(row: dict):
+    sizes = {"shared": row["items"], "size": row["items"], "rest": row["bytes"], "docs": 8 * row["items"], "many": row["items"]}
+    return {k: pa.decompress(row[k], decompressed_size=n, codec="zstd", asbytes=True) if n else b"" for k, n in sizes.items()}
 
 
 def merged(runs):
-    """(prefix shared with the one before, suffix, least, greatest doc) of sorted runs, in order.
+    """(prefix shared with the one before, suffix, least doc, whether in several) of sorted runs, in order.
 
     A loser tree: a node holds the run that lost there and how long a prefix it shares with the winner that
     went up. Only candidates that share equally long prefixes with the last output are compared, from the
@@ -302,8 +297,8 @@ def merged(runs):
         level = up
     winner = level[0]
     while heads[winner] is not None:
-        _, suffix, low, high = heads[winner]
-        yield prefix[winner], suffix, low, high
+        _, suffix, low, several = heads[winner]
+        yield prefix[winner], suffix, low, several
         heads[winner] = head = next(runs[winner], None)
         prefix[winner] = head[0] if head is not None else -1
         node = (leaves + winner) // 2
@@ -324,44 +319,45 @@ def _stretch(suffix: bytes) -> tuple[bytes, bytes]:
 
 
 def _group_rows(group: list[list], out: list[tuple]) -> None:
-    """For suffixes with one anchor: (stretch, bytes before, first and last string, least doc) where that pays."""
-    if min(g[1] for g in group) == max(g[2] for g in group):
+    """For suffixes with one anchor: (stretch, bytes before, first and last string, least doc) where a
+    string is in several documents."""
+    low = group[0][1]
+    if not any(g[2] or g[1] != low for g in group):
         return
     if len(group) == 1:
-        suffix, low, _ = group[0]
-        before, after = _stretch(suffix)
+        before, after = _stretch(group[0][0])
         out.append((before + after, len(before), 0, len(before) + len(after) - LENGTH, low))
         return
-    texts = [_stretch(g[0]) for g in group]
-    least: dict[tuple[int, bytes], list[int]] = {}
-    strings = []
-    for (before, after), (_, low, high) in zip(texts, group):
-        whole, own = before + after, []
-        for k in range(len(whole) - LENGTH + 1):
-            key = (len(before) - k, whole[k: k + LENGTH])
-            seen = least.get(key)
+    stretches = []
+    for suffix, _, _ in group:
+        before, after = _stretch(suffix)
+        stretches.append((before + after, len(before), [None] * (len(before) + len(after) - LENGTH + 1)))
+    # strings that begin equally far before the anchor are looked at together, and only those are held
+    results: dict[tuple[int, bool], tuple[int, bool]] = {}
+    for ahead in range(LENGTH - GRAM + 1):
+        strings: dict[bytes, tuple[int, bool]] = {}
+        inside = [(x, before - ahead, low, several) for (x, before, own), (_, low, several) in zip(stretches, group)
+                  if 0 <= before - ahead < len(own)]
+        for whole, k, low, several in inside:
+            key = whole[k: k + LENGTH]
+            seen = strings.get(key)
             if seen is None:
-                least[key] = [low, high]
-            else:
-                if low < seen[0]:
-                    seen[0] = low
-                if high > seen[1]:
-                    seen[1] = high
-            own.append(key)
-        strings.append((whole, len(before), own))
-    for whole, before, own in strings:
+                strings[key] = (low, several)
+            elif seen[0] != low or several and not seen[1]:
+                strings[key] = (min(seen[0], low), True)
+        for whole, before, own in stretches:
+            k = before - ahead
+            if 0 <= k < len(own):
+                found = strings[whole[k: k + LENGTH]]
+                own[k] = results.setdefault(found, found)
+    for whole, before, own in stretches:
         begin = 0
         while begin < len(own):
-            low, high = least[own[begin]]
             end = begin
-            shared = low != high
-            while end + 1 < len(own):
-                next_low, next_high = least[own[end + 1]]
-                if next_low != low or (next_low != next_high) != shared:
-                    break
+            while end + 1 < len(own) and own[end + 1] == own[begin]:
                 end += 1
-            if shared:
-                out.append((whole, before, begin, end, low))
+            if own[begin][1]:
+                out.append((whole, before, begin, end, own[begin][0]))
             begin = end + 1
 
 
@@ -377,27 +373,28 @@ def _found_table(out: list[tuple]) -> pa.RecordBatch:
 
 
 def _merge_bucket(table):
-    rows = table.select(["shared", "size", "rest", "docs"]).to_pylist()
+    rows = table.drop_columns(["bucket"]).to_pylist()
     out: list[tuple] = []
     done = []
     group: list[list] = []
-    for prefix, suffix, low, high in merged([run_items(**r) for r in rows]):
+    for prefix, suffix, low, several in merged([run_items(**_unpacked(r)) for r in rows]):
         if prefix < GRAM:
             if group:
                 _group_rows(group, out)
-            if len(out) >= 50_000:
+            if len(out) >= 10_000:
                 done.append(_found_table(out))
                 out = []
-            group = [[suffix, low, high]]
+            group = [[suffix, low, several]]
         elif group[-1][0] == suffix:
             last = group[-1]
-            last[1], last[2] = min(last[1], low), max(last[2], high)
+            last[1], last[2] = min(last[1], low), last[2] or several or last[1] != low
         else:
-            group.append([suffix, low, high])
+            group.append([suffix, low, several])
     if group:
         _group_rows(group, out)
     if out:
         done.append(_found_table(out))
+    pa.default_memory_pool().release_unused()
     if done:
         return pa.Table.from_batches(done)
     return pa.schema([("code", pa.int64()), ("mark", pa.int64()), ("first", pa.int32()), ("last", pa.int32()),
@@ -413,7 +410,7 @@ def _occurrence_rows(sent):
         for batch in batches:
             for piece in W.pieces(batch.column(0)):
                 own = Stretches(piece)
-                own.keep(known.has(own.hash))
+                own.keep_known(known)
                 rows = pa.array(own.row + piece.first_row)
                 code, mark = own.codes() if len(own.row) else (own.row, own.row)
                 at = own.start - piece.offsets[own.row]
@@ -468,11 +465,12 @@ def repeated_spans(documents: DataFrame) -> DataFrame:
         F.coalesce("text", F.lit("")).alias("text"), F.col("doc_id").cast("long").alias("doc_id"))
     texts = rows.filter(F.col("doc_id").isNotNull() & (F.octet_length("text") >= LENGTH))
     size = texts.agg(F.sum(F.octet_length("text").cast("long"))).first()[0] or 0
-    bucket_power, filter_power = _powers_for(size)
-    known = spark.sparkContext.broadcast(repeated_anchors(texts, bucket_power, filter_power))
+    bucket_power = max(size // BUCKET_BYTES, 1).bit_length()
+    known = spark.sparkContext.broadcast(
+        filter_of(texts.select("text"), _anchor_hashes, 2 * size // ANCHOR_BYTES, twice=True))
     found = stored(
         texts.mapInArrow(_run_rows(known, bucket_power),
-                         "bucket int, shared binary, size binary, rest binary, docs binary")
+                         "bucket int, items int, bytes long, shared binary, size binary, rest binary, docs binary, many binary")
         .groupBy("bucket").applyInArrow(_merge_bucket, _FOUND), "repeated-stretches")
     keyed = texts.withColumn("row_key", F.hash("text"))
     places = keyed.select("text", "doc_id", "row_key").mapInArrow(
