@@ -4,8 +4,9 @@ Words, and their first four and five bytes, are hashed to rows of an embedding t
 is the sum of its rows; filters one, two and three words wide slide over the
 whole text, each keeps its greatest response, and a logistic layer turns the responses into a score.
 Only the text enters the score. The classifier is fitted on a bounded sample of labelled rows; scoring
-reads every word of every text, on the executors. The scale of the scores is fitted on rows that
-training did not see, and for each language the threshold with the best F1 there is kept.
+reads every word of every text, on the executors. The scale of the scores is fitted on rows of the sample that
+training did not see. Thresholds, of best F1, come from the scores of all labelled rows that training did not
+take, counted on Spark by language and label.
 """
 
 from __future__ import annotations
@@ -19,7 +20,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewell.llm import words as W
-from tracewell.llm.tables import free_name
+from tracewell.llm.filters import filter_of
+from tracewell.llm.tables import free_name, stored
 
 #: Labelled rows of each class that training may take, chosen by a hash of their id.
 SAMPLE_ROWS = 4000
@@ -38,6 +40,10 @@ SHRINK = 30
 #: The row of the embedding table that stands beyond a text's end.
 PADDING = 3 * BUCKETS
 PREDICTED_FROM = 0.3
+#: Labelled rows of each class, not trained on, that a language needs for a threshold of its own.
+LEAST_LABELS = 20
+#: Steps of the counted scores' log odds.
+STEPS = 64
 
 
 def feature_ids(found: W.Words) -> np.ndarray:
@@ -193,8 +199,8 @@ def _step(model: Classifier, past, ids, first, labels) -> None:
     model.embedding[PADDING] = 0
 
 
-def calibrate(model: Classifier, texts, labels: np.ndarray, langs: list[str | None], clean_share: float) -> None:
-    """Fit the scale of the scores, and a threshold for each language, on rows not trained on.
+def calibrate(model: Classifier, texts, labels: np.ndarray, clean_share: float) -> None:
+    """Fit the scale of the scores on rows not trained on.
 
     ``clean_share`` is how many labelled clean rows one sampled clean row stands for.
     """
@@ -210,27 +216,81 @@ def calibrate(model: Classifier, texts, labels: np.ndarray, langs: list[str | No
         offset -= 0.5 * float(wrong.sum())
     if slope > 0.05:
         model.slope, model.offset = slope, offset
-    scores = _logistic(model.slope * margins + model.offset)
-    model.threshold = best_threshold(scores, labels, weight, PREDICTED_FROM)
-    for lang in {x for x in langs if x is not None}:
-        own = np.array([x == lang for x in langs])
-        if (labels[own] == 1).sum() >= 20 and (labels[own] == 0).sum() >= 20:
-            model.thresholds[lang] = best_threshold(scores[own], labels[own], weight[own], model.threshold)
 
 
-def best_threshold(scores, labels, weight, otherwise: float) -> float:
-    """The threshold of best F1; of equals the one nearest the middle of the gap it lies in."""
-    if not (labels == 1).any() or not (labels == 0).any():
+def best_threshold(steps, toxic, clean, otherwise: float) -> float:
+    """The threshold of best F1 for the weights of toxic and clean rows in each step of the log odds; of
+    equals the one nearest the middle of the gap it lies in."""
+    steps, slot = np.unique(np.asarray(steps, dtype=np.int64), return_inverse=True)
+    hits, false = np.bincount(slot, toxic, len(steps)), np.bincount(slot, clean, len(steps))
+    if not hits.sum() or not false.sum():
         return otherwise
-    levels = np.unique(scores)
-    cuts = np.concatenate([[levels[0] / 2], (levels[1:] + levels[:-1]) / 2])
-    order = np.argsort(scores)
-    right = np.concatenate([[0], np.cumsum((weight * (labels == 1))[order])])
-    wrong = np.concatenate([[0], np.cumsum((weight * (labels == 0))[order])])
-    below = np.searchsorted(scores[order], cuts)
-    hits, false = right[-1] - right[below], wrong[-1] - wrong[below]
-    f1 = 2 * hits / (2 * hits + false + right[below])
-    return float(cuts[int(f1.argmax())])
+    cuts = np.concatenate([[steps[0]], (steps[1:] + steps[:-1] + 1) / 2]) / STEPS
+    right, wrong = np.cumsum(hits[::-1])[::-1], np.cumsum(false[::-1])[::-1]
+    f1 = 2 * right / (right + wrong + hits.sum())
+    return float(_logistic(cuts[int(f1.argmax())]))
+
+
+def _label_ids(batch) -> np.ndarray:
+    return W.mixed(batch.column(0).to_numpy().view(np.uint64))
+
+
+def _label_steps(model, known):
+    """doc_id, lang and step of the log odds of the documents whose id the filter knows."""
+
+    def run(batches):
+        for batch in batches:
+            batch = batch.filter(pa.array(known.value.has(_label_ids(batch))))
+            steps = [np.zeros(0)]
+            for piece in W.pieces(batch.column(2)):
+                found = W.words_of(piece, W.ALNUM)
+                margins = model.value.margins(feature_ids(found), found.first).astype(np.float64)
+                steps.append(np.floor(np.clip(model.value.slope * margins + model.value.offset, -30, 30) * STEPS))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(np.concatenate(steps).astype(np.int32))],
+                names=["doc_id", "lang", "step"])
+
+    return run
+
+
+def take_thresholds(model: Classifier, texts: DataFrame, marked: DataFrame, trained: list[tuple[int, int]]) -> None:
+    """Thresholds from all rows of ``marked`` (doc_id, toxic) whose documents were not ``trained`` on.
+
+    Documents are scored on the executors, and what leaves them are counts by language, label and step. A
+    class that training took much of weighs as much as before. Languages with fewer than ``LEAST_LABELS``
+    of either class keep the general threshold.
+    """
+    spark = texts.sparkSession
+    taken = spark.createDataFrame(sorted({(d,) for d, _ in trained}), "doc_id long")
+    marked = marked.join(F.broadcast(taken), "doc_id", "left_anti")
+    known = spark.sparkContext.broadcast(filter_of(marked.select("doc_id"), _label_ids, marked.count(), twice=False))
+    steps = (
+        texts.select("doc_id", F.col("lang").cast("string").alias("lang"), "text").filter("doc_id is not null")
+        .mapInArrow(_label_steps(spark.sparkContext.broadcast(model), known), "doc_id long, lang string, step int")
+    )
+    counts = stored(
+        steps.join(marked, "doc_id").groupBy("doc_id", "toxic").agg(F.min(F.struct("lang", "step")).alias("own"))
+        .groupBy("own.lang", "own.step", "toxic").agg(F.count("*").alias("n")), "toxicity-counts")
+
+    def by_class(*keys):
+        return counts.groupBy(*keys).agg(*(F.sum(F.when(F.col("toxic") == y, F.col("n")).otherwise(0)).alias(f"n{y}") for y in (0, 1)))
+
+    rows = by_class("step").collect()
+    left = [sum(r[f"n{y}"] for r in rows) for y in (0, 1)]
+    weight = [(left[y] + sum(x == y for _, x in trained)) / max(left[y], 1) for y in (0, 1)]
+
+    def best(rows, otherwise):
+        return best_threshold([r["step"] for r in rows], [r["n1"] * weight[1] for r in rows], [r["n0"] * weight[0] for r in rows], otherwise)
+
+    if not rows:
+        return
+    model.threshold = best(rows, PREDICTED_FROM)
+    enough = by_class("lang").filter(f"lang is not null and n0 >= {LEAST_LABELS} and n1 >= {LEAST_LABELS}").select("lang")
+    by_lang: dict[str, list] = {}
+    for r in by_class("lang", "step").join(enough, "lang").toLocalIterator():
+        by_lang.setdefault(r["lang"], []).append(r)
+    for lang, own in by_lang.items():
+        model.thresholds[lang] = best(own, model.threshold)
 
 
 def held_out() -> F.Column:
@@ -249,7 +309,8 @@ def _id_rows(batches):
 
 
 def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Classifier:
-    """Train and calibrate on at most ``sample_rows`` rows of each class; held-out rows are never used.
+    """Train and calibrate on at most ``sample_rows`` rows of each class, take thresholds from all others too;
+    held-out rows are never used.
 
     A document with several label rows counts once for each class it is given. Rows without id, text
     or label are passed over. With no rows, or one class only, the scores carry no information and
@@ -265,24 +326,26 @@ def fit(documents: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS)
     texts = documents.select(F.col("doc_id").cast("long").alias("doc_id"), "text", "lang").filter("text is not null")
     rows = (
         texts.join(F.broadcast(chosen), "doc_id")
-        .select("text", F.col("lang").cast("string").alias("lang"), "toxic", F.xxhash64("doc_id").alias("draw"), "doc_id")
-        .mapInArrow(_id_rows, "ids binary, lang string, toxic int, draw long, doc_id long")
+        .select("text", "toxic", F.xxhash64("doc_id").alias("draw"), "doc_id")
+        .mapInArrow(_id_rows, "ids binary, toxic int, draw long, doc_id long")
         .filter(F.length("ids") <= 6 * SAMPLE_WORDS)
         .dropDuplicates(["doc_id", "toxic"])
         .orderBy("draw", "doc_id", "toxic")
     )
-    ids, toxic, langs = [], [], []
+    ids, toxic, docs = [], [], []
     for r in rows.toLocalIterator():
         ids.append(np.frombuffer(bytes(r["ids"]), dtype=np.uint16).reshape(-1, 3))
         toxic.append(r["toxic"])
-        langs.append(r["lang"])
+        docs.append(r["doc_id"])
     toxic = np.array(toxic, dtype=np.int64)
     apart = np.arange(len(ids)) % 4 == 3
     model = train([t for t, x in zip(ids, apart) if not x], toxic[~apart])
     taken = {k: max(int((toxic == k).sum()), 1) for k in (0, 1)}
     clean_share = (sizes.get(0, 0) / taken[0]) / max(sizes.get(1, 0) / taken[1], 1e-9) if sizes.get(1) else 1.0
-    calibrate(model, [t for t, x in zip(ids, apart) if x], toxic[apart],
-              [x for x, y in zip(langs, apart) if y], max(clean_share, 1e-3))
+    calibrate(model, [t for t, x in zip(ids, apart) if x], toxic[apart], max(clean_share, 1e-3))
+    del ids
+    if sizes:
+        take_thresholds(model, texts, marked, [(d, int(y)) for d, y, x in zip(docs, toxic, apart) if not x])
     return model
 
 
