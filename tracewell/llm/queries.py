@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tracewell.llm import (
-    decontaminate, embedding_dedup, license_scan, line_dedup, minhash, packing, pii, substring_dedup,
-    toxicity, url_filter,
+    conversation_repair, decontaminate, embedding_dedup, lexical_search, license_scan, line_dedup, minhash, packing, pii,
+    sharding, substring_dedup, toxicity, url_filter,
 )
 from tracewell.llm.catalog import ORACLES, QUERIES, query
 from tracewell.llm.tables import table
@@ -235,3 +236,147 @@ FROM docs LEFT JOIN cut USING (rid) LEFT JOIN kept ON kept.rid = docs.rid
 """)
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup.report(table(spark, sf_dir, "documents"))
+
+
+@query("op13_sharding", sql=r"""
+WITH RECURSIVE bits(n, c, k) AS (
+  SELECT CAST(n AS BIGINT), CAST(n AS BIGINT), 0 FROM range(256) t(n)
+  UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8
+), docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text,
+         CAST(octet_length(encode(coalesce(text, ''))) + 8 AS BIGINT) AS size FROM documents
+), sums AS (
+  SELECT text, xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(regexp_extract_all(hex(encode(text)), '..'), lambda h: CAST('0x' || h AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) AS text_crc32
+  FROM (SELECT DISTINCT text FROM docs), crc_table
+), groups AS (
+  SELECT text, CAST(sum(size) AS BIGINT) AS group_size FROM docs GROUP BY text
+), queue AS (
+  SELECT text, group_size, row_number() OVER (ORDER BY group_size DESC, md5(text)) AS k,
+         row_number() OVER (PARTITION BY group_size ORDER BY md5(text)) AS j FROM groups
+), dealt(k, pick, group_size, loads) AS (
+  SELECT CAST(0 AS BIGINT), CAST(0 AS BIGINT), CAST(0 AS BIGINT), list_transform(range(24), lambda x: CAST(0 AS BIGINT))
+  UNION ALL
+  SELECT k, pick, group_size, list_transform(range(24), lambda x: CAST(loads[x + 1] + CASE WHEN x + 1 = pick THEN group_size ELSE 0 END AS BIGINT))
+  FROM (SELECT queue.k, CAST(list_position(loads, list_min(loads)) AS BIGINT) AS pick, queue.group_size, loads
+        FROM dealt JOIN queue ON queue.k = dealt.k + 1)
+), shards AS (
+  SELECT group_size, pick - 1 AS shard, row_number() OVER (PARTITION BY group_size ORDER BY pick) AS j FROM dealt WHERE k > 0
+)
+SELECT doc_id, size, CAST(text_crc32 AS BIGINT) AS text_crc32, 'bytes' AS law, CAST(shard AS INTEGER) AS shard,
+       CAST(row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, size, text_crc32) - 1 AS BIGINT) AS slot,
+       CAST(NULL AS INTEGER) AS grown_shard
+FROM docs JOIN sums USING (text) JOIN queue USING (text) JOIN shards ON shards.group_size = queue.group_size AND shards.j = queue.j
+""")
+def op13_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"))
+    return placed.select("doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
+                         F.lit(None).cast("int").alias("grown_shard"))
+
+
+@query("op12_search", sql=r"""
+WITH docs AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w
+  FROM documents
+), sizes AS (
+  SELECT CAST(count(*) FILTER (len(w) > 0) AS BIGINT) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM docs
+), terms AS (
+  SELECT DISTINCT item_id, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+           '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+  FROM benchmark WHERE item_id IS NOT NULL
+), spots AS (
+  SELECT rid, doc_id, CAST(len(w) AS BIGINT) AS n, unnest(w) AS term FROM docs
+), postings AS (
+  SELECT rid, doc_id, n, term, CAST(count(*) AS BIGINT) AS tf FROM spots WHERE term IN (SELECT term FROM terms) GROUP BY ALL
+), weights AS (
+  SELECT term, CAST(floor(1000 * ln(CAST(2 * n_docs + 2 AS DOUBLE) / (2 * count(*) + 1))) AS BIGINT) AS w
+  FROM postings, sizes GROUP BY term, n_docs
+), scores AS (
+  SELECT item_id, rid, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+  FROM terms JOIN postings USING (term) JOIN weights USING (term), sizes GROUP BY item_id, rid, doc_id
+), ranked AS (
+  SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank, doc_id, score
+  FROM scores WHERE score > 0
+)
+SELECT * FROM ranked WHERE rank <= 10
+""")
+def op12_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    index = lexical_search.build_index(table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, table(spark, sf_dir, "benchmark"))
+
+
+@query("op11_conversations", sql=r"""
+WITH RECURSIVE bits(n, c, k) AS (
+  SELECT CAST(n AS BIGINT), CAST(n AS BIGINT), 0 FROM range(256) t(n)
+  UNION ALL
+  SELECT n, CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, k + 1 FROM bits WHERE k < 8
+), crc_table AS (
+  SELECT list(c ORDER BY n) AS t FROM bits WHERE k = 8
+), raw AS (
+  SELECT conv_id, turn, coalesce(role, ' ') AS role, coalesce(text, ' ') AS text,
+         xor(4294967295, list_reduce(
+           list_prepend(4294967295, list_transform(string_split(
+             coalesce(CAST(conv_id AS VARCHAR), ' ') || ':' || coalesce(CAST(turn AS VARCHAR), ' '), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+           lambda c, b: xor(c >> 8, t[(xor(c, b) & 255) + 1]))) % 20 AS fault,
+         dense_rank() OVER (ORDER BY conv_id) AS cid
+  FROM conversations, crc_table
+), damaged AS (
+  SELECT cid, turn, CASE WHEN fault = 4 THEN 'user' ELSE role END AS role,
+         CASE fault WHEN 1 THEN '' WHEN 2 THEN translate(text, '.!?', '') ELSE text END AS text,
+         unnest(range(CASE WHEN fault = 3 THEN 2 ELSE 1 END)) AS copy
+  FROM raw WHERE fault <> 0
+), numbered AS (
+  SELECT *, row_number() OVER (PARTITION BY cid ORDER BY turn NULLS FIRST, role, text) AS pos FROM damaged
+), seen AS (
+  SELECT *, row_number() OVER (PARTITION BY cid, role, text ORDER BY pos) > 1 AS again,
+         lag(role[1:1]) OVER (PARTITION BY cid ORDER BY pos) || role[1:1] AS pair FROM numbered
+), marked AS (
+  SELECT *, CASE WHEN NOT regexp_matches(text, '[^\x20\x09-\x0D]') THEN 'b' WHEN again THEN 'd'
+                 WHEN NOT regexp_matches(text, '[.!?][\x20\x09-\x0D]*\z') THEN 't' ELSE '' END AS mark FROM seen
+), inserts(st, nxt, cost, edit, line) AS (
+  VALUES (0, 0, 0, '', NULL), (1, 1, 0, '', NULL), (2, 2, 0, '', NULL), (3, 3, 0, '', NULL),
+         (0, 2, 5, 'I', 'user:'), (1, 2, 5, 'I', 'user:'), (2, 3, 5, 'I', 'assistant:'), (3, 2, 5, 'I', 'user:')
+), moves(edit, initial, st, nxt, cost, role) AS (
+  VALUES ('D', NULL, 0, 0, 2, NULL), ('D', NULL, 1, 1, 2, NULL), ('D', NULL, 2, 2, 2, NULL), ('D', NULL, 3, 3, 2, NULL),
+         ('K', 's', 0, 1, 0, NULL), ('K', 'u', 0, 2, 0, NULL), ('K', 'u', 1, 2, 0, NULL), ('K', 'u', 3, 2, 0, NULL), ('K', 'a', 2, 3, 0, NULL),
+         ('R', NULL, 0, 2, 1, 'user'), ('R', NULL, 1, 2, 1, 'user'), ('R', NULL, 3, 2, 1, 'user'), ('R', NULL, 2, 3, 1, 'assistant')
+), best(cid, i, st, rank, lines) AS (
+  SELECT cid, CAST(0 AS BIGINT), 0, '00000000', CAST([] AS VARCHAR[]) FROM (SELECT DISTINCT cid FROM marked)
+  UNION ALL
+  SELECT cid, i, st, min(rank), arg_min(lines, rank) FROM (
+    SELECT b.cid, b.i + 1 AS i, v.nxt AS st,
+           printf('%08d', CAST(b.rank[1:8] AS INTEGER) + x.cost + v.cost + CASE WHEN v.edit <> 'D' AND m.mark = 't' THEN 5 ELSE 0 END)
+             || b.rank[9:] || x.edit || v.edit AS rank,
+           list_concat(list_concat(b.lines, CASE WHEN x.line IS NULL THEN [] ELSE [x.line] END),
+                       CASE WHEN v.edit = 'D' THEN [] ELSE [coalesce(v.role, m.role) || ':' || m.text] END) AS lines
+    FROM best b JOIN marked m ON m.cid = b.cid AND m.pos = b.i + 1 JOIN inserts x ON x.st = b.st JOIN moves v ON v.st = x.nxt
+    WHERE (v.edit = 'D' OR m.mark NOT IN ('b', 'd')) AND (v.initial IS NULL OR v.initial = m.role[1:1])
+  ) GROUP BY cid, i, st
+), sizes AS (
+  SELECT cid, max(turn) - min(turn) + 1 - count(DISTINCT turn) AS gaps, count(*) FILTER (mark = 'b') AS blank,
+         count(*) FILTER (mark = 'd') AS duplicate, count(*) FILTER (mark = 't') AS truncated,
+         count(*) FILTER (pair NOT IN ('su', 'ua', 'au')) AS illegal, max(pos) AS n FROM marked GROUP BY cid
+), ends AS (
+  SELECT cid, min(rank) AS rank, arg_min(lines, rank) AS lines FROM (
+    SELECT cid, CASE st WHEN 2 THEN printf('%08d', CAST(rank[1:8] AS INTEGER) + 5) || rank[9:] || 'I'
+                        WHEN 1 THEN printf('%08d', CAST(rank[1:8] AS INTEGER) + 10) || rank[9:] || 'II' ELSE rank END AS rank,
+           CASE st WHEN 2 THEN list_concat(lines, ['assistant:']) WHEN 1 THEN list_concat(lines, ['user:', 'assistant:']) ELSE lines END AS lines
+    FROM best JOIN sizes USING (cid) WHERE i = n
+  ) GROUP BY cid
+)
+SELECT conv_id, CAST(coalesce(gaps, 0) AS BIGINT) AS gaps, CAST(coalesce(blank, 0) AS BIGINT) AS blank,
+       CAST(coalesce(duplicate, 0) AS BIGINT) AS duplicate, CAST(coalesce(truncated, 0) AS BIGINT) AS truncated,
+       CAST(coalesce(illegal, 0) AS BIGINT) AS illegal, CAST(coalesce(rank[1:8], '0') AS BIGINT) AS cost,
+       coalesce(rank[9:], '') AS audit, sha256(coalesce(array_to_string(lines, chr(10)), '')) AS repaired_sha256
+FROM (SELECT DISTINCT conv_id, cid FROM raw) LEFT JOIN sizes USING (cid) LEFT JOIN ends USING (cid)
+""")
+def op11_conversations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    conversations = table(spark, sf_dir, "conversations")
+    return conversation_repair.report(conversation_repair.damaged(conversations), conversations)
