@@ -65,11 +65,6 @@ def test_trials_behind_the_watermark_are_left_out(spark, tmp_path):
     write_lines(tmp_path / "in" / "2.json", [{"id": "late", "finished_at": "2026-01-11T10:00:00", "reward": 1.0}])
     table = start()
     assert table.read().agg(F.sum("n_finished")).first()[0] == 1
-    write_lines(tmp_path / "in" / "3.json", [{"id": "later", "finished_at": "2026-01-11T09:00:00", "reward": 1.0}])
-    counts = live.live_success(read(spark, tmp_path / "in", RESULT), F.to_timestamp_ntz("finished_at"))
-    query = live.UpsertTable(spark, str(base / "out"), ["bucket_start"]).start(counts, str(base / "state"))
-    query.awaitTermination()
-    assert live.late_rows(query) > 0 and table.read().agg(F.sum("n_finished")).first()[0] == 1
 
 
 def test_adapter_activity(spark, tmp_path):
@@ -115,6 +110,16 @@ def test_result_files_as_they_land(spark, tmp_path):
 
 
 def test_scrapes_as_they_land(spark, tmp_path):
+    (tmp_path / "in").mkdir()
+    table = live.ActivityTable(spark, str(tmp_path / "out"), "running_lora_adapters")
+    for n, value in enumerate((2, 7, 3)):
+        (tmp_path / "in" / f"{n}.txt").write_text(f'vllm:lora_requests_info{{running_lora_adapters="a"}} {value}')
+        table.start(live.metric_stream(spark, str(tmp_path / "in")), str(tmp_path / "state")).awaitTermination()
+    rows = table.read().groupBy("label").agg(F.max("max_value").alias("m"), F.sum("n_lines").alias("n")).collect()
+    assert [(r.label, r.m, r.n) for r in rows] == [("a", 7.0, 3)]
+
+
+def test_activity_as_a_streaming_aggregation(spark, tmp_path):
     (tmp_path / "in").mkdir()
     (tmp_path / "in" / "1.txt").write_text('vllm:lora_requests_info{running_lora_adapters="a"} 2')
     activity = live.live_adapter_activity(
