@@ -231,19 +231,40 @@ def test_truncate_and_lengths(spark):
     assert (report.n_rows, report.max_tokens, report.n_over_cap, report.p50) == (2, 3, 1, 2.5)
 
 
-def test_batch_plan(spark):
+def test_epoch_order(spark):
     ids = spark.range(100).withColumnRenamed("id", "conv_id")
-    plan = C.batch_plan(ids, "conv_id", epochs=2, per_device=2, accumulation=3, ranks=2)
-    cut = C.batch_plan(ids, "conv_id", epochs=2, per_device=2, accumulation=3, ranks=2, floor=10)
-    rows = plan.collect()
+    order = C.epoch_order(ids, "conv_id", epochs=2)
+    cut = C.epoch_order(ids, "conv_id", epochs=2, floor=10)
+    rows = order.collect()
     assert sorted(rows) == sorted(cut.collect())
+    orders = []
     for epoch in (0, 1):
         mine = sorted((r for r in rows if r.epoch == epoch), key=lambda r: r.position)
         assert [r.position for r in mine] == list(range(100))
-        assert len({r.conv_id for r in mine}) == 100
-        assert [r.step for r in mine] == [epoch * 9 + p // 12 for p in range(100)]
-        assert [r.rank for r in mine] == [p % 12 % 2 for p in range(100)]
-        assert [r.micro_batch for r in mine] == [p % 12 // 4 for p in range(100)]
-    assert [r.conv_id for r in rows if r.epoch == 0] != list(range(100))
-    capped = C.batch_plan(ids, "conv_id", epochs=1, max_steps=2)
-    assert {r.step for r in capped.collect()} == {0, 1}
+        orders.append([r.conv_id for r in mine])
+        assert sorted(orders[-1]) == list(range(100)) != orders[-1]
+    assert orders[0] != orders[1]
+    assert C.epoch_order(ids, "conv_id", seed=7).collect() != C.epoch_order(ids, "conv_id").collect()
+
+
+@pytest.mark.parametrize("turns,reason", [
+    ([(None, "user", "q"), (1, "assistant", "a")], None),
+    ([(None, "assistant", "a"), (None, "user", "q")], "starts_assistant"),
+    ([(None, "assistant", "a"), (1, "user", "q"), (2, "assistant", "b")], "starts_assistant"),
+    ([(0, "user", "q"), (None, "system", "s"), (1, "assistant", "a")], None),
+    ([(None, "user", " "), (1, "assistant", "a")], "starts_assistant"),
+    ([(None, "user", "q"), (None, "user", "p")], "not_ends_assistant"),
+])
+def test_turns_without_a_number_come_first_everywhere(spark, turns, reason):
+    flat = spark.createDataFrame([(1, *t) for t in turns], "conv_id long, turn long, role string, text string")
+    (whole,) = C.format_conversations(flat, keep_dropped=True).collect()
+    assert whole.drop_reason == reason
+    report = C.drop_report(flat).first()
+    assert report.n_dropped == (reason is not None) and (reason is None or report[f"n_{reason}"] == 1)
+    spans = C.response_spans(flat).collect()
+    if reason:
+        assert not spans and C.first_formatted(flat).count() == 0
+    else:
+        said = "\n\n".join(t[2] for t in turns if t[1] == "assistant")
+        assert [whole.text[s.start:s.stop] for s in spans] == [said]
+        assert C.first_formatted(flat).first().text == whole.text

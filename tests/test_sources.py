@@ -201,3 +201,82 @@ def test_writers(spark, tmp_path):
     assert writers.first_row_preview(text, "k", None).first().text == "hi"
     doc = spark.createDataFrame([("1\n2\n3",)], "t string").select(writers.first_lines(F.col("t"), 2)).first()[0]
     assert doc == "1\n2"
+
+
+def ruined(root):
+    """Every way in which a file of a run can be of no use."""
+    good = json.dumps(result("a__1", 1.0), indent=4)
+    config = json.dumps({"trial_name": "x", "task": {"path": "a"}, "agent": {"model_name": "m"}, "job_id": "j"})
+    for n, body in enumerate([good, good[:200], " \n", "[]", good.replace('"iterations": 3', '"iterations": "many"'), good[:-3] + "]}", None]):
+        put(f"{root}/a__{n}/config.json", config if n != 2 else config[:30])
+        if body is not None:
+            put(f"{root}/a__{n}/result.json", body)
+    put(f"{root}/a__0/verifier/reward.txt", "1\n")
+    put(f"{root}/a__1/verifier/reward.txt", " ")
+    put(f"{root}/a__2/verifier/reward.txt", "one")
+    put(f"{root}/a__3/verifier/ctrf.json", '{"results": {"tests": [{"name": "t", "sta')
+    put(f"{root}/config.json", '{"job_name": "j"')
+    return root
+
+
+def test_broken_files_by_folder_name(spark, tmp_path):
+    run = A.RunFolder(spark, ruined(str(tmp_path / "run")))
+    got = {(r.trial_name, r.file): r.reason for r in A.broken(run).collect()}
+    assert got == {
+        ("a__2", "config.json"): "cut_off", ("a__1", "result.json"): "cut_off", ("a__2", "result.json"): "empty",
+        ("a__3", "result.json"): "not_an_object", ("a__4", "result.json"): "wrong_type", ("a__5", "result.json"): "malformed",
+        ("a__1", "verifier/reward.txt"): "empty", ("a__2", "verifier/reward.txt"): "wrong_type",
+        ("a__3", "verifier/ctrf.json"): "cut_off", (None, "job/config.json"): "cut_off"}
+    bodies = {(r.trial_name, r.file): (r.size, r.body) for r in A.broken(run).collect()}
+    assert bodies["a__2", "verifier/reward.txt"] == (3, "one") and bodies["a__1", "result.json"][0] == 200
+    assert {(r.file, r.reason): r.n_files for r in A.broken_counts(run).collect()}["result.json", "cut_off"] == 1
+    assert [r.id for r in A.results(run).collect()] == ["id-a__1"] and A.job_config(run).count() == 0
+    rows = {r.trial_name: r for r in A.run_trials(run).collect()}
+    assert len(rows) == 7 and {n for n, r in rows.items() if r.has_result} == {"a__0"}
+    assert {n: r.broken for n, r in rows.items()} == {"a__0": 0, "a__1": 2, "a__2": 3, "a__3": 2, "a__4": 1, "a__5": 1, "a__6": 0}
+    assert (rows["a__2"].task_name, rows["a__2"].model_name, rows["a__1"].model_name) == ("a", None, "m")
+    assert rows["a__4"].iterations is None and rows["a__0"].iterations == 3
+
+
+def test_recorded_exception_counts_without_a_file(spark, tmp_path):
+    root = str(tmp_path / "run")
+    put(f"{root}/a__1/config.json", '{"trial_name": "a__1"}')
+    put(f"{root}/a__1/result.json", json.dumps({**result("a__1", None), "exception_info": {"exception_type": "x.AgentTimeoutError"}}))
+    (row,) = A.run_trials(A.RunFolder(spark, root)).collect()
+    assert row.exc_type == "AgentTimeoutError" and row.outcome == "agent_timeout" and "exception_type" in row.exception_info
+
+
+def test_a_folder_is_listed_once_and_only_what_is_asked_for_is_opened(spark, root, monkeypatch):
+    listed = []
+    real = A.file_tree
+    monkeypatch.setattr(A, "file_tree", lambda *a: (listed.append(a), real(*a))[1])
+    run = A.RunFolder(spark, root)
+    A.run_trials(run).collect(), run.presence().collect(), A.broken(run).collect(), A.trial_logs(run).collect()
+    assert len(listed) == 1
+    frame = run.bodies(A.RESULT)
+    frame.collect()
+    plan = frame._jdf.queryExecution().executedPlan()
+    scan = plan.collectLeaves().head()
+    assert scan.metrics().apply("numFiles").value() == 3
+
+
+def test_sync_reads_only_what_changed(spark, tmp_path):
+    root = ruined(str(tmp_path / "run"))
+    run = A.SyncedRun(spark, root, str(tmp_path / "synced"))
+    files = sum(len(f) for _, _, f in os.walk(root))
+    assert run.sync() == {"read": files, "gone": 0} and run.sync() == {"read": 0, "gone": 0}
+    plain = lambda r: sorted(map(tuple, A.run_trials(r).select("trial_name", "has_result", "reward", "broken", "outcome").collect()))
+    assert plain(run) == plain(A.RunFolder(spark, root))
+    put(f"{root}/a__1/result.json", json.dumps(result("a__1", 0.0)))
+    put(f"{root}/b__1/config.json", "{}")
+    os.remove(f"{root}/a__0/result.json")
+    assert run.sync() == {"read": 2, "gone": 1}
+    assert plain(run) == plain(A.RunFolder(spark, root)) and A.results(run).count() == 1
+    old = os.stat(f"{root}/a__3/config.json").st_mtime - 5000
+    put(f"{root}/c__1/config.json", "{}")
+    os.utime(f"{root}/c__1/config.json", (old, old))  # copied with its time
+    put(f"{root}/a__0/result.json", json.dumps(result("a__0", 0.0)))
+    assert run.sync() == {"read": 2, "gone": 0}
+    assert plain(run) == plain(A.RunFolder(spark, root)) and A.results(run).count() == 2
+    assert sorted(map(tuple, run.presence().collect())) == sorted(map(tuple, A.RunFolder(spark, root).presence().collect()))
+    assert A.job_log(run).count() == 0 and A.job_log(A.RunFolder(spark, root)).count() == 0

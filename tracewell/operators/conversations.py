@@ -188,8 +188,13 @@ def _render(df: DataFrame, template: Template, keep_dropped: bool) -> DataFrame:
 
 
 # Turn position and role in one number, so that the ends of a conversation come from
-# long-valued minima and maxima.
-_ROLE_CODES = {"system": 0, "user": 1, "assistant": 2}
+# long-valued minima and maxima. Turns of one number go by the name of their role, as pieces do.
+_ROLE_CODES = {"assistant": 0, "system": 1, "user": 2}
+
+
+def turn_number(turn: str = "turn") -> Column:
+    """Turns without a number come first."""
+    return F.coalesce(F.col(turn).cast("long"), F.lit(-1).cast("long"))
 
 
 def _end_code(turn: Column, role: Column) -> Column:
@@ -217,7 +222,7 @@ def format_conversations(
     marked = _marked_turns(turns)
     if not keep_dropped:
         marked = marked.filter("kept")
-    number = F.coalesce(F.col("turn").cast("long"), F.lit(-1).cast("long"))
+    number = turn_number()
     piece = F.when(F.col("kept"), _piece(number, F.col("role"), F.col("content")))
     code = F.when(F.col("kept"), _end_code(number, F.col("role")))
     stretches = (
@@ -288,7 +293,7 @@ def training_text(formatted: DataFrame) -> DataFrame:
 
 
 def _talks(kept: DataFrame, **cutting):
-    return ordered(kept, ["conv_id"], ["turn"], **cutting)
+    return ordered(kept, ["conv_id"], ["turn", "role"], **cutting)
 
 
 def _starts() -> Column:
@@ -350,7 +355,7 @@ def conversation_ends(turns: DataFrame) -> DataFrame:
     """Drop reason from the first and last kept role per conversation, from long-valued partial aggregates:
     neither text nor strings are shuffled."""
     role = role_or_from(F.col("role"), F.col("from")) if "from" in turns.columns else F.col("role")
-    code = _end_code(F.col("turn"), normalise_role(role))
+    code = _end_code(turn_number(), normalise_role(role))
     kept = F.when(~is_blank(F.col("text")), code)
     ends = turns.select("conv_id", kept.alias("k")).groupBy("conv_id").agg(
         F.min("k").alias("lo"), F.max("k").alias("hi"), F.count("k").alias("n_kept")
@@ -438,7 +443,7 @@ def response_spans(turns: DataFrame, template: Template = CHATML, **cutting) ->
         .when(~_starts(), F.lit(len(MERGE_SEPARATOR)))
         .otherwise(template.closing_size("_prev") + template.opening_size("role"))
     )
-    code = _end_code(F.col("turn"), F.col("role"))
+    code = _end_code(turn_number(), F.col("role"))
     placed = (
         _talks(kept, **cutting)
         .totals(_lo=(code, "min"), _hi=(code, "max"))
@@ -453,44 +458,17 @@ def response_spans(turns: DataFrame, template: Template = CHATML, **cutting) ->
     )
 
 
-# --- batch plan ----------------------------------------------------------------
-
+# --- order of an epoch -----------------------------------------------------------
 
-def batch_plan(
-    ids: DataFrame,
-    id_col: str,
-    epochs: int = 1,
-    seed: int = 42,
-    per_device: int = 2,
-    accumulation: int = 8,
-    ranks: int = 1,
-    max_steps: int | None = None,
-    **cutting,
-) -> DataFrame:
-    """Epoch, position, optimiser step, rank and micro batch of every example.
 
-    The shuffle order is the md5 of seed, epoch and id.
-    """
-    batch = per_device * accumulation * ranks
+def epoch_order(ids: DataFrame, id_col: str, epochs: int = 1, seed: int = 42, **cutting) -> DataFrame:
+    """``id_col, epoch, position``: every example once in each epoch, in an order that the seed fixes: by the md5 of seed,
+    epoch and id. An order for writing examples in range partitions; what a trainer makes of it is its own."""
     drawn = ids.select(
         F.col(id_col), F.explode(F.sequence(F.lit(0), F.lit(epochs - 1))).alias("epoch")
     ).withColumn("epoch", F.col("epoch").cast("long"))
     keyed = drawn.withColumn(
         "_hash", F.md5(F.concat_ws(":", F.lit(str(seed)), F.col("epoch"), F.col(id_col)))
     )
-    epochs_in_order = ordered(keyed, ["epoch"], ["_hash", id_col], **cutting)
-    placed = epochs_in_order.number("_nth").rows()
-    position = F.col("_nth") - 1
-    in_batch = F.pmod(position, F.lit(batch))
-    sizes = ids.agg(F.count(F.lit(1))).scalar()
-    steps_per_epoch = F.ceil(sizes / F.lit(batch))
-    plan = placed.select(
-        id_col,
-        "epoch",
-        position.alias("position"),
-        (F.col("epoch") * steps_per_epoch + F.floor(position / F.lit(batch)))
-        .cast("long").alias("step"),
-        F.pmod(in_batch, F.lit(ranks)).alias("rank"),
-        F.floor(in_batch / F.lit(ranks * per_device)).cast("long").alias("micro_batch"),
-    )
-    return plan if max_steps is None else plan.filter(F.col("step") < max_steps)
+    placed = ordered(keyed, ["epoch"], ["_hash", id_col], **cutting).number("_nth").rows()
+    return placed.select(id_col, "epoch", (F.col("_nth") - 1).alias("position"))

@@ -7,7 +7,7 @@ import importlib
 from tracewell.plans.catalog import ORACLES, QUERIES
 
 SUBJECTS = (
-    "training_data", "agent_runs", "benchmark_trials", "names_and_lines", "run_files", "live_runs",
+    "training_data", "agent_runs", "benchmark_trials", "names_and_lines", "run_files", "run_folders", "live_runs",
 )
 
 

@@ -12,7 +12,7 @@ from tracewell.functions.text import PY_SPACE, is_blank, py_strip
 from tracewell.operators import conversations as C
 from tracewell.operators import plugins
 from tracewell.plans import views as V
-from tracewell.plans.catalog import ctes, query
+from tracewell.plans.catalog import ORACLES, ctes, query
 from tracewell.session import scratch_dir
 from tracewell.sources.datasets import read_conversations
 from tracewell.sources.writers import first_row_preview, write_training_text
@@ -192,20 +192,42 @@ def response_spans(spark, sf):
     return C.response_spans(V.noisy_conversations(spark, sf))
 
 
-@query("batch_plan", ctes(
-    ids="SELECT DISTINCT conv_id FROM conversations",
-    drawn="""
-SELECT conv_id, epoch, row_number() OVER (PARTITION BY epoch
-  ORDER BY md5(concat('42:', CAST(epoch AS VARCHAR), ':', CAST(conv_id AS VARCHAR))), conv_id) - 1
-  AS position FROM ids, (SELECT unnest([0, 1]) AS epoch) e""",
-) + """
-SELECT conv_id, CAST(epoch AS BIGINT) AS epoch, position,
-  CAST(epoch * ((SELECT ceil(count(*) / 32.0) FROM ids)) + position // 32 AS BIGINT) AS step,
-  position % 32 % 2 AS rank, CAST(position % 32 // 4 AS BIGINT) AS micro_batch
-FROM drawn""")
-def batch_plan(spark, sf):
-    ids = _plain(spark, sf).select("conv_id").distinct()
-    return C.batch_plan(ids, "conv_id", epochs=2, ranks=2)
+#: One turn of each conversation has lost its number, which puts it first.
+UNNUMBERED = f"""
+SELECT conv_id, CASE WHEN turn = 1 + conv_id % 4 THEN -1 ELSE turn END AS turn, role, text FROM ({NOISY}) n"""
+
+
+def _unnumbered(spark, sf):
+    turns = V.noisy_conversations(spark, sf)
+    return turns.withColumn("turn", F.when(F.col("turn") != 1 + F.col("conv_id") % 4, F.col("turn")))
+
+
+@query("unnumbered_drop_report", ORACLES["sft_drop_report"].replace(NOISY.strip(), UNNUMBERED.strip()))
+def unnumbered_drop_report(spark, sf):
+    return C.drop_report(_unnumbered(spark, sf))
+
+
+@query("unnumbered_format", ORACLES["sft_format"].replace(NOISY.strip(), UNNUMBERED.strip()))
+def unnumbered_format(spark, sf):
+    return C.format_conversations(_unnumbered(spark, sf)).select("conv_id", "text", "n_turns")
+
+
+@query("unnumbered_spans", ORACLES["response_spans"].replace(NOISY.strip(), UNNUMBERED.strip()))
+def unnumbered_spans(spark, sf):
+    return C.response_spans(_unnumbered(spark, sf))
+
+
+@query("unnumbered_preview", ORACLES["sft_preview"].replace(PLAIN, UNNUMBERED.strip()))
+def unnumbered_preview(spark, sf):
+    return first_row_preview(C.first_formatted(_unnumbered(spark, sf)).select("conv_id", "text"), "conv_id")
+
+
+@query("epoch_order", ctes(ids="SELECT DISTINCT conv_id FROM conversations") + """
+SELECT conv_id, CAST(epoch AS BIGINT) AS epoch, row_number() OVER (PARTITION BY epoch
+  ORDER BY md5(concat('42:', CAST(epoch AS VARCHAR), ':', CAST(conv_id AS VARCHAR))), conv_id) - 1 AS position
+FROM ids, (SELECT unnest([0, 1]) AS epoch) e""")
+def epoch_order(spark, sf):
+    return C.epoch_order(_plain(spark, sf).select("conv_id").distinct(), "conv_id", epochs=2)
 
 
 @query("python_strip", ctes(src=NOISY) + f"""

@@ -7,23 +7,30 @@ file (``trial_name, body``), partitioned by file name, and every reader takes ei
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, field
+from functools import cached_property, reduce
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tracewell import schemas
 from tracewell.functions import parsing
 from tracewell.functions.names import trial_suffix, trial_task
+from tracewell.functions.pin import pin
 from tracewell.functions.text import py_strip
+from tracewell.operators.blocks import join_by
+from tracewell.operators.documents import tree_differences
 from tracewell.operators.corpus import relative_parts
-from tracewell.operators.trials import outcome, test_rollup, trial_table
+from tracewell.operators.trials import outcome, trial_table
+from tracewell.streaming.runs import SEQ, RunStore, Table
 
 # File names inside a trial folder and inside a job folder.
 RESULT, CONFIG = "result.json", "config.json"
 REWARD, REPORT, CONSOLE = "verifier/reward.txt", "verifier/ctrf.json", "verifier/test-stdout.txt"
 EXCEPTION, TRIAL_LOG, TRANSCRIPT = "exception.txt", "trial.log", "response.txt"
 JOB_LOG = "job.log"
+JOB = "job/"  # before the names of job files in tables
 TRIAL_FILES = (RESULT, CONFIG, REWARD, REPORT, CONSOLE, EXCEPTION, TRIAL_LOG, TRANSCRIPT)
 
 
@@ -32,70 +39,82 @@ def _plain(path: Column) -> Column:
     return F.regexp_replace(path, "^[A-Za-z0-9]+:/+", "/")
 
 
-def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Paths below ``root``; contents are not read."""
-    files = (
-        spark.read.format("binaryFile")
-        .option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .load(root)
+def file_tree(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """All files below ``root``, listed once, when this is called: ``path, modificationTime, length`` and
+    ``content``. A file is opened only by a plan that uses its content, and filters on ``length``, ``modificationTime``
+    and ``_metadata.file_name`` leave other files closed. Spark packs files into tasks by size, and takes files without a byte for missing."""
+    return (
+        spark.read.format("binaryFile").option("recursiveFileLookup", True)
+        .option("pathGlobFilter", pattern).load(root)
     )
-    return files.select(_plain(F.col("path")).alias("path"))
 
 
-def read_bodies(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
-    """Whole files below ``root``: ``parts`` (path components) and ``body``."""
-    files = (
-        spark.read.option("recursiveFileLookup", True)
-        .option("pathGlobFilter", pattern)
-        .text(root, wholetext=True)
-    )
-    path = _plain(F.col("_metadata.file_path"))
-    return files.select(
-        relative_parts(path, _plain(F.lit(root))).alias("parts"), F.col("value").alias("body")
-    )
+def list_files(spark: SparkSession, root: str, pattern: str = "*") -> DataFrame:
+    """Paths below ``root``; contents are not read."""
+    return file_tree(spark, root, pattern).select(_plain(F.col("path")).alias("path"))
 
 
 @dataclass(frozen=True)
 class RunFolder:
-    """Artifacts as files: ``<root>/<trial>/...`` with job files directly in ``root``."""
+    """Artifacts as files: ``<root>/<trial>/...`` with job files directly in ``root``.
+
+    The tree is listed once, on first use, so all readers of one ``RunFolder`` see the same files; make a new
+    one to see later files, or keep a ``SyncedRun``, which reads only what changed.
+    """
 
     spark: SparkSession
     root: str
 
+    @cached_property
+    def tree(self) -> DataFrame:
+        return file_tree(self.spark, self.root)
+
+    def _below(self, files: DataFrame) -> DataFrame:
+        """``files`` with ``parts``, the path components below the root."""
+        return files.withColumn("parts", relative_parts(_plain(F.col("path")), _plain(F.lit(self.root))))
+
+    def _named(self, name: str) -> DataFrame:
+        """``parts, body`` of all files of that name; others stay closed."""
+        return self._below(self.tree.filter(F.col("_metadata.file_name") == name)).select(
+            "parts", F.col("content").cast("string").alias("body"))
+
+    def described(self, files: DataFrame, *more: Column) -> DataFrame:
+        """``trial_name`` (null for job files), ``file`` (path within), size and time of files of the tree."""
+        return self._below(files).select(
+            F.when(F.size("parts") > 1, F.get("parts", 0)).alias("trial_name"),
+            F.when(F.size("parts") > 1, F.array_join(F.slice("parts", 2, F.size("parts")), "/"))
+            .otherwise(F.concat(F.lit(JOB), F.get("parts", 0))).alias("file"),
+            F.col("length").alias("size"), F.col("modificationTime").alias("modified"), *more,
+        )
+
+    def inventory(self) -> DataFrame:
+        """Every file as ``described``; nothing is opened."""
+        return self.described(self.tree)
+
     def bodies(self, name: str) -> DataFrame:
         """``trial_name, body`` of one kind of trial file."""
         wanted = name.split("/")
-        rows = read_bodies(self.spark, self.root, wanted[-1])
-        return rows.filter(
+        return self._named(wanted[-1]).filter(
             F.slice("parts", 2, F.size("parts")) == F.array(*[F.lit(w) for w in wanted])
         ).select(F.get("parts", 0).alias("trial_name"), "body")
 
     def job_bodies(self, name: str) -> DataFrame:
-        rows = read_bodies(self.spark, self.root, name)
-        return rows.filter(F.size("parts") == 1).select("body")
+        return self._named(name).filter(F.size("parts") == 1).select("body")
 
     def job_lines(self, name: str) -> DataFrame:
         """Lines of a job file; a long log is read in splits, so lines carry no number."""
-        files = self.spark.read.option("recursiveFileLookup", True).option(
-            "pathGlobFilter", name
-        ).text(self.root)
-        parts = relative_parts(_plain(F.col("_metadata.file_path")), _plain(F.lit(self.root)))
-        return files.filter(F.size(parts) == 1).select(F.col("value").alias("line"))
+        try:
+            lines = self.spark.read.text(f"{self.root.rstrip('/')}/{name}")
+        except AnalysisException as e:
+            if e.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], "line STRING")
+        return lines.select(F.col("value").alias("line"))
 
     def presence(self) -> DataFrame:
         """One row per trial and file kind present."""
-        parts = list_files(self.spark, self.root).select(
-            relative_parts(F.col("path"), _plain(F.lit(self.root))).alias("p")
-        )
-        return (
-            parts.filter(F.size("p") >= 2)
-            .select(
-                F.get("p", 0).alias("trial_name"),
-                F.array_join(F.slice("p", 2, F.size("p")), "/").alias("file"),
-            )
-            .filter(F.col("file").isin(*TRIAL_FILES))
-        )
+        return self.inventory().filter(F.col("file").isin(*TRIAL_FILES) & F.col("trial_name").isNotNull()).select(
+            "trial_name", "file")
 
 
 @dataclass(frozen=True)
@@ -113,11 +132,11 @@ class PackedRun:
         return self._rows().filter(F.col("file") == name).select("trial_name", "body")
 
     def job_bodies(self, name: str) -> DataFrame:
-        return self.bodies(f"job/{name}").select("body")
+        return self.bodies(f"{JOB}{name}").select("body")
 
     def job_lines(self, name: str) -> DataFrame:
         """Job files kept by line have one row per line."""
-        return self.bodies(f"job/{name}").select(F.col("body").alias("line"))
+        return self.bodies(f"{JOB}{name}").select(F.col("body").alias("line"))
 
     def presence(self) -> DataFrame:
         return self._rows().filter(F.col("file").isin(*TRIAL_FILES)).select("trial_name", "file")
@@ -130,43 +149,150 @@ def write_packed(rows: DataFrame, path: str) -> None:
 
 def pack(spark: SparkSession, root: str, path: str) -> PackedRun:
     """Copy a run folder into a packed table, once."""
-    names = sorted({name.rsplit("/", 1)[-1] for name in TRIAL_FILES})
-    rows = read_bodies(spark, root, "{" + ",".join(names) + "}")
+    folder = RunFolder(spark, root)
     inside = F.array_join(F.slice("parts", 2, F.size("parts")), "/")
     is_job = F.size("parts") == 1
-    named = rows.select(
+    names = sorted({name.rsplit("/", 1)[-1] for name in TRIAL_FILES})
+    wanted = folder._below(folder.tree.filter(F.col("_metadata.file_name").isin(*names)))
+    named = wanted.select(
         F.when(~is_job, F.get("parts", 0)).alias("trial_name"),
-        F.when(is_job, F.concat(F.lit("job/"), F.get("parts", 0))).otherwise(inside).alias("file"),
-        "body",
-    ).filter(F.col("file").isin(*TRIAL_FILES, f"job/{CONFIG}"))
-    log = RunFolder(spark, root).job_lines(JOB_LOG).select(
-        F.lit(None).cast("string").alias("trial_name"), F.lit(f"job/{JOB_LOG}").alias("file"),
+        F.when(is_job, F.concat(F.lit(JOB), F.get("parts", 0))).otherwise(inside).alias("file"),
+        F.col("content").cast("string").alias("body"),
+    ).filter(F.col("file").isin(*TRIAL_FILES, f"{JOB}{CONFIG}"))
+    log = folder.job_lines(JOB_LOG).select(
+        F.lit(None).cast("string").alias("trial_name"), F.lit(f"{JOB}{JOB_LOG}").alias("file"),
         F.col("line").alias("body"),
     )
     write_packed(named.unionByName(log), path)
     return PackedRun(spark, path)
 
 
+@dataclass(frozen=True)
+class SyncedRun:
+    """A run folder that still grows, kept as a table of files with their bodies.
+
+    ``sync`` lists the tree once and compares it with what the table holds. Only files that are new, or differ
+    in size or time, are opened; files that are gone leave a mark. Runs are sorted by kind of file, so a reader of one
+    kind skips the others' row groups.
+    """
+
+    spark: SparkSession
+    root: str
+    path: str
+    table: Table = field(default=Table("files", ("file", "trial_name")))
+
+    @property
+    def store(self) -> RunStore:
+        return RunStore(self.spark, self.path)
+
+    def _known(self) -> DataFrame:
+        rows = self.store.rows("files", _FILES)
+        return self.table.combined(rows.select("file", "trial_name", "size", "modified", "gone", SEQ)).filter("not gone")
+
+    def sync(self) -> dict[str, int]:
+        """Take in what changed: how many files were ``read`` and how many were ``gone``."""
+        store, folder = self.store, RunFolder(self.spark, self.root)
+        listed, known = folder.inventory(), self._known()
+        same = ["file", "trial_name", "size", "modified"]
+        changed = join_by(listed, known.select(*same), same, "left_anti")
+        gone = join_by(known.select("file", "trial_name"), listed, ["file", "trial_name"], "left_anti")
+        found = changed.agg(F.count(F.lit(1)).alias("n"), F.min("modified").alias("since")).first()
+        n_gone = gone.count()
+        if not found.n and not n_gone:
+            return {"read": 0, "gone": 0}
+        recent = folder.tree.filter(F.col("modificationTime") >= F.lit(found.since))
+        bodies = folder.described(recent, F.col("content").cast("string").alias("body"))
+        rows = join_by(bodies, changed.select("file", "trial_name"), ["file", "trial_name"], "left_semi").withColumn(
+            "gone", F.lit(False))
+        marks = gone.select("trial_name", "file", F.lit(None).cast("long").alias("size"), F.lit(None).cast("timestamp").alias("modified"),
+                            F.lit(None).cast("string").alias("body"), F.lit(True).alias("gone"))
+        batch = store.manifest()["batch"] + 1
+        store.commit(batch, [(self.table, store.write_run(self.table, batch, rows.unionByName(marks)))])
+        return {"read": found.n, "gone": n_gone}
+
+    def _rows(self, kind: Column) -> DataFrame:
+        return self.table.combined(self.store.rows("files", _FILES).filter(kind)).filter("not gone")
+
+    def bodies(self, name: str) -> DataFrame:
+        return self._rows(F.col("file") == name).select("trial_name", "body")
+
+    def job_bodies(self, name: str) -> DataFrame:
+        return self.bodies(f"{JOB}{name}").select("body")
+
+    def job_lines(self, name: str) -> DataFrame:
+        return _lines(self.job_bodies(name)).select("line")
+
+    def presence(self) -> DataFrame:
+        return self._known().filter(F.col("file").isin(*TRIAL_FILES)).select("trial_name", "file")
+
+
+_FILES = "trial_name STRING, file STRING, size BIGINT, modified TIMESTAMP, body STRING, gone BOOLEAN"
+
+
 # --- typed readers ---------------------------------------------------------------
 
 
-def _documents(rows: DataFrame, schema: str) -> DataFrame:
-    return rows.select(
-        F.col("trial_name").alias("_folder"), F.from_json("body", schema).alias("d")
+CORRUPT = "_corrupt"
+DOCUMENTS = {RESULT: schemas.TRIAL_RESULT, CONFIG: schemas.TRIAL_CONFIG, REPORT: schemas.TEST_REPORT}
+
+
+def _parsed(rows: DataFrame, schema: str) -> DataFrame:
+    """``rows`` with the document ``d`` and ``reason``, null for a sound one: empty, not_an_object, cut_off (the text ends
+    within the document), malformed, or wrong_type (a value does not fit its field)."""
+    options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT}
+    text = py_strip(F.coalesce("body", F.lit("")))
+    reason = (
+        F.when(text == "", "empty")
+        .when(~F.startswith(text, F.lit("{")), "not_an_object")
+        .when(F.col("d").isNotNull() & F.col(f"d.{CORRUPT}").isNull(), F.lit(None))
+        .when(F.try_parse_json("body").isNotNull(), "wrong_type")
+        .when(F.endswith(text, F.lit("}")), "malformed")
+        .otherwise("cut_off")
     )
+    read = pin(rows, d=F.from_json("body", f"{schema}, {CORRUPT} STRING", options))
+    return read.withColumn("reason", reason)
+
+
+def _sound(rows: DataFrame, schema: str) -> DataFrame:
+    return _parsed(rows, schema).filter("reason is null").withColumnRenamed("trial_name", "_folder").withColumn(
+        "d", F.col("d").dropFields(CORRUPT))
+
+
+def broken(run) -> DataFrame:
+    """Files that no typed reader takes: ``trial_name`` (the folder), ``file``, ``reason``, ``size`` and the whole ``body``."""
+    parts = [
+        _parsed(run.bodies(name), schema).filter("reason is not null")
+        .select("trial_name", F.lit(name).alias("file"), "reason", "body")
+        for name, schema in DOCUMENTS.items()
+    ]
+    job = run.job_bodies(CONFIG).select(F.lit(None).cast("string").alias("trial_name"), "body")
+    parts.append(_parsed(job, schemas.JOB_CONFIG).filter("reason is not null").select(
+        "trial_name", F.lit(f"{JOB}{CONFIG}").alias("file"), "reason", "body"))
+    text = py_strip(F.coalesce("body", F.lit("")))
+    reward = F.when(text == "", "empty").when(text.try_cast("double").isNull(), "wrong_type")
+    parts.append(run.bodies(REWARD).select("trial_name", F.lit(REWARD).alias("file"), reward.alias("reason"), "body")
+                 .filter("reason is not null"))
+    return reduce(DataFrame.unionByName, parts).select(
+        "trial_name", "file", "reason", F.coalesce(F.octet_length("body"), F.lit(0)).cast("long").alias("size"), "body")
+
+
+def broken_counts(run) -> DataFrame:
+    """Broken files per kind and reason."""
+    return broken(run).groupBy("file", "reason").agg(F.count(F.lit(1)).alias("n_files"))
 
 
 def results(run) -> DataFrame:
-    return _documents(run.bodies(RESULT), schemas.TRIAL_RESULT).select("d.*")
+    """Trial results; broken documents are in ``broken``."""
+    return _sound(run.bodies(RESULT), schemas.TRIAL_RESULT).select("d.*")
 
 
 def trial_configs(run) -> DataFrame:
-    return _documents(run.bodies(CONFIG), schemas.TRIAL_CONFIG).select("d.*")
+    return _sound(run.bodies(CONFIG), schemas.TRIAL_CONFIG).select("d.*")
 
 
 def job_config(run) -> DataFrame:
-    rows = run.job_bodies(CONFIG)
-    return rows.select(F.from_json("body", schemas.JOB_CONFIG).alias("d")).select("d.*")
+    rows = run.job_bodies(CONFIG).select(F.lit(None).cast("string").alias("trial_name"), "body")
+    return _sound(rows, schemas.JOB_CONFIG).select("d.*")
 
 
 def rewards(run) -> DataFrame:
@@ -176,7 +302,7 @@ def rewards(run) -> DataFrame:
 
 
 def reports(run) -> DataFrame:
-    return _documents(run.bodies(REPORT), schemas.TEST_REPORT).select(
+    return _sound(run.bodies(REPORT), schemas.TEST_REPORT).select(
         F.col("_folder").alias("trial_name"), "d.results.tool", "d.results.summary",
         "d.results.tests",
     )
@@ -196,6 +322,24 @@ def exceptions(run) -> DataFrame:
     return parsing.parse_exceptions(run.bodies(EXCEPTION)).drop("body")
 
 
+def exception_links(run) -> DataFrame:
+    """One row per link of each trial's exception, from the first cause to the one that ended the trial."""
+    return parsing.exception_links(run.bodies(EXCEPTION))
+
+
+def config_differences(run) -> DataFrame:
+    """Where a trial's config file and the config inside its result differ: ``trial_name``, ``path``, both
+    values as JSON, and ``kind``. Trials that lack one of the two, or whose files are broken, are not compared."""
+    whole = [_parsed(run.bodies(name), DOCUMENTS[name]).filter("reason is null") for name in (CONFIG, RESULT)]
+    config, result = (rows.select("trial_name", "body") for rows in whole)
+    nested = result.select("trial_name", F.try_parse_json("body").alias("v")).select(
+        "trial_name", F.variant_get("v", "$.config", "variant").alias("v")).filter("v is not null")
+    given = config.select("trial_name", F.try_parse_json("body").alias("v"))
+    both = given.select("trial_name").join(nested.select("trial_name"), "trial_name")
+    return tree_differences(
+        given.join(both, "trial_name", "left_semi"), nested.join(both, "trial_name", "left_semi"), "trial_name", "in_file", "in_result")
+
+
 def consoles(run) -> DataFrame:
     return parsing.parse_console(run.bodies(CONSOLE)).drop("body")
 
@@ -302,30 +446,44 @@ def transcript_turns(parsed: DataFrame) -> DataFrame:
 
 
 def run_trials(run) -> DataFrame:
-    """One row per configured trial with everything recorded about it."""
-    spine = trial_configs(run).select(
+    """One row per trial folder with a config, and everything recorded about it.
+
+    A trial goes by its folder, so one whose config is broken is there with its name alone. ``broken`` counts the
+    broken files of a trial; a broken result is no result. ``exception_info`` is the result's own record of an exception, whose class counts
+    where there is no exception file.
+    """
+    def sound(field: str) -> Column:
+        return F.when(F.col("reason").isNull(), F.col(f"d.{field}"))
+
+    bad = F.col("reason").isNotNull().cast("long")
+    spine = _parsed(run.bodies(CONFIG), schemas.TRIAL_CONFIG).select(
         "trial_name",
-        F.coalesce(trial_task(F.col("trial_name")), F.col("task.path")).alias("task_name"),
+        F.coalesce(trial_task(F.col("trial_name")), sound("task.path")).alias("task_name"),
         trial_suffix(F.col("trial_name")).alias("suffix"),
-        F.col("agent.model_name").alias("model_name"),
-        "job_id",
+        sound("agent.model_name").alias("model_name"), sound("job_id").alias("job_id"), bad.alias("_config"),
     )
-    found = results(run).select(
-        "trial_name", "id", "started_at", "finished_at", "environment_setup", "agent_setup",
-        "agent_execution", "verifier", "agent_result.metadata.iterations",
-        "agent_result.metadata.conversation_length",
-        F.col("verifier_result.rewards")["reward"].alias("result_reward"),
-        F.lit(True).alias("has_result"),
+    names = ("id", "started_at", "finished_at", "environment_setup", "agent_setup", "agent_execution", "verifier", "exception_info")
+    found = _parsed(run.bodies(RESULT), schemas.TRIAL_RESULT).select(
+        "trial_name", *[sound(c).alias(c) for c in names],
+        *[sound(f"agent_result.metadata.{c}").alias(c) for c in ("iterations", "conversation_length")],
+        sound("verifier_result.rewards")["reward"].alias("result_reward"),
+        F.col("reason").isNull().alias("has_result"), bad.alias("_result"),
     )
+    known = F.filter(sound("results.tests"), lambda t: t["name"].isNotNull())
+    tested = pin(_parsed(run.bodies(REPORT), schemas.TEST_REPORT).select("trial_name", "reason", "d"), t=known)
+    n, passed = F.size("t"), F.size(F.filter("t", lambda t: t["status"] == "passed"))
+    some = lambda c: F.when(n > 0, c)
+    rollup = tested.select(
+        "trial_name", some(n.cast("long")).alias("n_tests"), some(passed.cast("long")).alias("n_tests_passed"),
+        some(passed / n).alias("partial_credit"), some(passed == n).alias("all_passed"), bad.alias("_report"))
+    rated = rewards(run).withColumn("_reward", F.col("reward").isNull().cast("long"))
     failed = exceptions(run).select("trial_name", "exc_type", "timeout_sec")
-    table = trial_table(
-        spine, "trial_name", found, rewards(run),
-        test_rollup(tests(run).filter(F.col("test_name").isNotNull()), "trial_name"),
-        failed, trial_failures(run),
-    )
-    return table.withColumns(
-        {
-            "has_result": F.coalesce("has_result", F.lit(False)),
-            "outcome": outcome(F.col("reward"), F.col("exc_type"), F.col("failure")),
-        }
-    )
+    table = trial_table(spine, "trial_name", found, rated, rollup, failed, trial_failures(run))
+    recorded = F.get_json_object("exception_info", "$.exception_type")
+    counts = ("_config", "_result", "_report", "_reward")
+    table = table.withColumns({
+        "has_result": F.coalesce("has_result", F.lit(False)),
+        "broken": sum((F.coalesce(c, F.lit(0).cast("long")) for c in counts[1:]), F.col(counts[0])),
+        "exc_type": F.coalesce("exc_type", F.element_at(F.split(recorded, "[.]"), -1)),
+    }).drop(*counts)
+    return table.withColumn("outcome", outcome(F.col("reward"), F.col("exc_type"), F.col("failure")))
