@@ -172,14 +172,9 @@ def _lines_by_force(rows):
             if len(own) >= line_dedup.MIN_WORDS:
                 lines.setdefault(own, []).append(((d is None, d), n))
     keys = sorted(lines)
-    hashes = []
-    for own in keys:
-        found = line_dedup.Lines(next(W.pieces(pa.array([" ".join(own)]))))
-        hashes.append(int(found.simhashes()[0]))
-    links = [
-        (i, j) for i in range(len(keys)) for j in range(i)
-        if (hashes[i] ^ hashes[j]).bit_count() <= 3 and line_dedup.edit_similar(" ".join(keys[i]), " ".join(keys[j]))
-    ]
+    texts = [" ".join(k) for k in keys]
+    links = [(i, j) for i in range(len(keys)) for j in range(i)
+             if 10 * brute.distance(texts[i], texts[j]) <= max(len(texts[i]), len(texts[j]))]
     comp, first = groups_of(len(keys), links), {}
     for k, own in enumerate(keys):
         first[comp[k]] = min([*lines[own], *([first[comp[k]]] if comp[k] in first else [])], key=lambda p: (p[0][0], p[0][1] or 0, p[1]))
