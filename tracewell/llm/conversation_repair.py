@@ -25,6 +25,8 @@ from tracewell.llm.tables import stored
 from tracewell.operators.blocks import ordered
 
 STRETCH = 64
+#: Rows whose stretches one task searches, about.
+TASK_ROWS = 1 << 14
 
 #: Costs of the edits, and what a kept truncated row adds.
 REROLE, DELETE, INSERT, TRUNCATED = 1, 2, 5, 5
@@ -283,9 +285,11 @@ class Repair:
             F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("pos", "symbol"))), lambda x: x["symbol"]), "").alias("symbols"))
         last = counts.select("conv_id", F.floor((F.col("n") - 1) / STRETCH).alias("last_block"))
         fields = f"conv_id {self.kind}, block long, last_block long, symbols string, costs array<long>, audits array<string>"
+        # a search takes far longer than its few bytes suggest, so tasks go by rows and not by size
+        parts = 1 + (counts.agg(F.sum("n")).first()[0] or 0) // TASK_ROWS
         tables = stored(
             same(stretches, last, "conv_id", how="inner").select("conv_id", "block", "last_block", "symbols")
-            .mapInArrow(_solve, fields), "stretches")
+            .repartition(parts, "conv_id", "block").mapInArrow(_solve, fields), "stretches")
         single = tables.filter("last_block = 0").select(
             "conv_id", "block", "symbols", F.lit(0).cast("long").alias("entry"), F.col("costs")[WHOLE].alias("cost"),
             F.col("audits")[WHOLE].alias("audit"))
