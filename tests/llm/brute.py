@@ -120,3 +120,54 @@ def distance(a, b):
             below.append(min(row[j] + 1, below[-1] + 1, row[j - 1] + (x != y)))
         row = below
     return row[-1]
+
+
+def personal_contexts(rows, pii):
+    """(doc number, kind, start, end) of spans that contexts add, round by round over plain dictionaries."""
+    import regex
+
+    anything = regex.compile("|".join([*(pii.PATTERNS[k] for k in pii.KINDS), pii.CANDIDATE]))
+    mentions = []
+    for number, text in enumerate(rows):
+        last = 0
+        for found in anything.finditer(text):
+            value, left = found[0], regex.search(pii.LAST_TWO, text[last: found.start()])
+            last = found.end()
+            kind = next((k for k, a, b in personal(value) if (a, b) == (0, len(value))), None)
+            if kind is None and regex.fullmatch(pii.SEED_PATTERNS["secret"], value):
+                kind = "secret"
+            if kind is None and any(regex.search(g, value) for g in pii.GUARDS.values()):
+                continue
+            if left:
+                two = regex.sub(r"\s+", " ", regex.sub("[0-9]+", "0", left[0].lower()))
+                one = regex.search(pii.LAST_ONE, two)[0]
+                for pattern in {"1 " + one} | ({"2 " + two} if one != two else set()):
+                    mentions.append((number, found.start(), found.end(), value, kind, pattern))
+    of_pattern, of_value = {}, {}
+    for *_, value, _, pattern in mentions:
+        of_pattern.setdefault(pattern, set()).add(value)
+        of_value.setdefault(value, set()).add(pattern)
+    seeds = {m[3]: (m[4], 1.0) for m in mentions if m[4]}
+    sure, patterns = dict(seeds), {}
+    for _ in range(pii.ROUNDS):
+        patterns = {}
+        for pattern, values in of_pattern.items():
+            for kind in (*pii.KINDS, *pii.ADDED_KINDS):
+                own = [sure[v][1] for v in values if sure.get(v, ("",))[0] == kind]
+                if len(own) >= pii.LEAST_VALUES and sum(own) / (len(values) + 1) >= pii.PATTERN_FROM:
+                    patterns[pattern] = (kind, sum(own) / (len(values) + 1))
+        sure = dict(seeds)
+        for value in of_value.keys() - seeds.keys():
+            doubt = {}
+            for pattern in of_value[value] & patterns.keys():
+                kind, worth = patterns[pattern]
+                doubt[kind] = doubt.get(kind, 1.0) * (1 - worth)
+            best = max(((1 - x, k) for k, x in doubt.items()), default=(0, ""))
+            if best[0] >= pii.VALUE_FROM:
+                sure[value] = (best[1], best[0])
+    out = set()
+    for number, start, end, value, kind, pattern in mentions:
+        if kind not in pii.KINDS and value in sure and patterns.get(pattern, ("",))[0] == sure[value][0]:
+            if not any(a < end and start < b for _, a, b in personal(rows[number])):
+                out.add((number, sure[value][0], start, end))
+    return out

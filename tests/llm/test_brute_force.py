@@ -150,13 +150,53 @@ def test_personal_data(spark):
         assert [got[k].n_email, got[k].n_ip, got[k].n_card, got[k].n_phone] == counts
 
 
+def _added(spark, texts):
+    found = pii.find(frame(spark, list(enumerate(texts))))
+    return {(r.doc_id, x.kind, x.start, x.end) for r in found.select("doc_id", "added").collect() for x in r.added}
+
+
 def test_contexts_discover_identifiers(spark):
     rows = [(k, f"lorem ipsum, contact me: user{k}@mail.com or") for k in range(30)]
-    rows += [(100 + k, f"blah contact me: user_at_host{k}7 thanks") for k in range(4)] + [(200, "seen user_at_host27 elsewhere")]
+    rows += [(100 + k, f"blah contact me: user_at_host{k}7. thanks") for k in range(4)] + [(200, "seen user_at_host27 elsewhere")]
     got = {r.doc_id: r.spans for r in pii.report(frame(spark, rows)).collect()}
     assert got[102] == "email:17:31" and got[3] == "email:25:39" and got[200] == ""
 
 
+def test_found_values_open_further_contexts(spark):
+    """Seeds open "write to"; what is found there, without digits too, opens "reach desk", where others stand."""
+    texts = [f"please write to: user{k}@mail.com soon" for k in range(40)]
+    names = [f"{c}nn_at_host" for c in "abcdefghijkl"]
+    texts += [f"now write to: {x} soon" for x in names] + [f"then reach desk {x} today" for x in names]
+    texts += ["then reach desk eve_at_host today", "nothing else at eve_at_host here", "y" * 90 + "reach desk gil_at_host"]
+    got = _added(spark, texts)
+    assert got == brute.personal_contexts(texts, pii)
+    assert {k for k, *_ in got} == {*range(40, 65)} and (64, "email", 16, 27) in got
+
+
+def test_secrets(spark):
+    keys = [hashlib.sha1(str(k).encode()).hexdigest() for k in range(12)]
+    texts = [f'some text token = "{x}" more' for x in keys[:8]] + [f"commit of {x}" for x in keys[8:11]]
+    texts += [f"commit of page{k}0" for k in range(9)] + ['TOKEN = "short.and-odd_99" end', "sha " + keys[0], ""]
+    got = _added(spark, texts)
+    assert got == brute.personal_contexts(texts, pii)
+    assert {k for k, *_ in got} == {*range(8), 20} and (20, "secret", 9, 25) in got
+
+
+def test_contexts_by_force(spark):
+    rng = random.Random(77)
+    parts = ["call", "key", "mail", "to", "of", "id", ":", "=", "\n", "é", "ab", "x" * 90]
+    own = [f"u{k}@h.org" for k in range(9)] + [f"+1 555 000 1{k}2" for k in range(9)] + [f"q_{c}" for c in "abcdef"] + ["a1", "b-2", "300.1.1.1"]
+    texts = []
+    for _ in range(400):
+        words = [rng.choice(parts) for _ in range(rng.randint(0, 9))]
+        for _ in range(rng.randint(0, 3)):
+            where = rng.choice([("mail", own[:9]), ("call", own[9:18]), ("key", own[18:])])
+            words += [where[0], rng.choice(where[1] if rng.random() < 0.9 else own)]
+        texts.append(" ".join(words))
+    got = _added(spark, texts)
+    assert got == brute.personal_contexts(texts, pii) and got
+
+
 @settings(max_examples=300, deadline=None)
 @given(st.text("abc ", max_size=25), st.text("abc ", max_size=25), st.sampled_from([50, 75, 90]))
 def test_edit_similarity(a, b, percent):

@@ -1,10 +1,12 @@
 """Personal data: four base patterns, and identifiers found by bootstrapped contexts.
 
-Base matches are the seeds. The one or two words before a seed are lexical patterns for its kind;
-the other tokens with digits are candidates. Patterns and distinct values form a graph, and confidence
-moves over it for a few rounds: a pattern is worth the confidence of its values divided by their number,
-a value one less the product of its patterns' doubts. Values with high confidence in a kind are marked
-where a confident pattern stands before them. Patterns need several different seeds, so a passage that
+Base matches are seeds of their kinds; strings of 32, 40 or 64 hexadecimal digits are seeds of a fifth kind, secrets. The
+one and the two whole words before a mention, with the signs that follow them, are its lexical patterns; other tokens
+that hold a digit, or a sign between letters or digits, are candidates. Patterns and distinct values form a
+graph, which is scored in rounds: a pattern is worth the confidence of its sure values divided by one more than the
+number of all its values, a value one less the product of the doubts of its sure patterns. Values that became sure in a round
+induce patterns in the next, beside the seeds. A sure value is marked where a sure pattern stands before it, and so
+is a seed of a secret: digits alone may be a checksum. Patterns need several different sure values, so a passage that
 is copied a thousand times proves nothing.
 
 All of it is DataFrame expressions. The texts are read once; what goes on is a row for each mention, and
@@ -38,13 +40,20 @@ GUARDS = {
     "email": r"@[A-Za-z0-9-]+\.", "ip": r"[0-9]\.[0-9]+\.[0-9]+\.[0-9]",
     "card": r"[0-9](?:[ -]?[0-9]){12}", "phone": r"\+[0-9]",
 }
-#: Tokens with a digit that may turn out to be identifiers.
-CANDIDATE = r"(?:\G|(?<![A-Za-z0-9._%@=#/-]))[A-Za-z._%@=#/-]*+[0-9][A-Za-z0-9._%@=#/-]*+"
-LEAST_CANDIDATE = 6
-
-ROUNDS = 3
-#: Different seeds that a pattern needs.
-LEAST_SEEDS = 3
+#: Spans of these come from contexts alone; a whole mention of this form is a seed.
+ADDED_KINDS = ("secret",)
+SEED_PATTERNS = {"secret": r"(?=[0-9]*[A-Fa-f])(?=[A-Fa-f]*[0-9])(?:[0-9A-Fa-f]{32}|[0-9A-Fa-f]{40}|[0-9A-Fa-f]{64})"}
+#: Tokens that may turn out to be identifiers: with a digit, or a sign with a letter after it.
+CANDIDATE = r"(?:\G|(?<![A-Za-z0-9._%@/-]))[A-Za-z]*+[._%@/-]*+(?:[0-9]|(?<=[._%@/-])[A-Za-z])(?:[A-Za-z0-9._%@/-]*[A-Za-z0-9])?"
+CANDIDATE_GUARD = r"[0-9]|[._%@/-][A-Za-z]"
+#: The last one or two words of a text, with the signs after them; and the last one.
+_WORD, _SIGNS = r"[\p{L}\p{N}_]", r"[^\p{L}\p{N}_]"
+LAST_TWO = rf"(?<!{_WORD}){_WORD}++(?:{_SIGNS}++{_WORD}++)?+{_SIGNS}*+$"
+LAST_ONE = rf"(?<!{_WORD}){_WORD}++{_SIGNS}*+$"
+
+ROUNDS = 4
+#: Different sure values that a pattern needs.
+LEAST_VALUES = 3
 PATTERN_FROM = 0.6
 VALUE_FROM = 0.8
 
@@ -122,14 +131,15 @@ def _base_spans(rows: DataFrame) -> DataFrame:
 
 def _mentions(rows: DataFrame) -> DataFrame:
     """``rows`` with an array of mentions: matches of any base pattern, or else candidate tokens, and the
-    end of the text before each."""
+    two whole words before each."""
     any_ = "|".join([*(PATTERNS[k] for k in KINDS), CANDIDATE])
     return (
         rows.withColumn("hits", F.expr(
-            f"case when text rlike '[0-9]' then regexp_extract_all(text, {_quoted(any_)}, 0) "
+            f"case when text rlike {_quoted(CANDIDATE_GUARD)} then regexp_extract_all(text, {_quoted(any_)}, 0) "
             "else cast(array() as array<string>) end"))
-        .withColumn("between", F.expr(f"case when size(hits) > 0 then transform(split(text, {_quoted(any_)}, -1), "
-                                      "x -> named_struct('n', length(x), 'left', right(x, 60))) end"))
+        .withColumn("between", F.expr(
+            f"case when size(hits) > 0 then transform(split(text, {_quoted(any_)}, -1), "
+            f"x -> named_struct('n', length(x), 'left', regexp_extract(x, {_quoted(LAST_TWO)}, 0))) end"))
         .withColumn("gaps", F.expr("transform(between, x -> x.n)"))
         .withColumn("mentions", F.expr(_found("hits", "gaps", ", 'left', between[i - 1].left")))
         .drop("hits", "between", "gaps")
@@ -137,8 +147,10 @@ def _mentions(rows: DataFrame) -> DataFrame:
 
 
 def _kind_of(value: str) -> Column:
-    """The kind of a mention that is a base match, else null."""
+    """The kind of a mention that is a seed, else null."""
     out = F.lit(None).cast("string")
+    for kind in reversed(ADDED_KINDS):
+        out = F.when(F.expr(f"{value} rlike {_quoted('^(?:' + SEED_PATTERNS[kind] + ')$')}"), F.lit(kind)).otherwise(out)
     for kind in reversed(KINDS):
         whole = _quoted(f"^(?:{PATTERNS[kind]})$")
         out = F.when(F.expr(f"{value} rlike {whole} and {passes(kind, value)}"), F.lit(kind)).otherwise(out)
@@ -146,57 +158,64 @@ def _kind_of(value: str) -> Column:
 
 
 def _patterns() -> Column:
-    """The one and the two words before a mention, lower-cased, digits as 0."""
-    left = "regexp_replace(lower(left), '[0-9]+', '0')"
-    one = rf"nullif(regexp_extract({left}, r'(\S+)\s*$', 1), '')"
-    two = rf"nullif(regexp_extract({left}, r'(\S+\s+\S+)\s*$', 1), '')"
-    return F.expr(f"filter(array('1 ' || {one}, '2 ' || regexp_replace({two}, r'\\s+', ' ')), x -> x is not null)")
+    """The one and the two words before a mention, lower-cased, digits as 0, blanks as one."""
+    left = r"regexp_replace(regexp_replace(lower(left), r'[0-9]++', '0'), r'\s++', ' ')"
+    one = f"regexp_extract({left}, {_quoted(LAST_ONE)}, 0)"
+    return F.expr(
+        f"filter(array_distinct(array('1 ' || nullif({one}, ''), case when {one} <> {left} then '2 ' || {left} end)), x -> x is not null)")
 
 
 def _some_base(value: str) -> Column:
     return F.expr(" or ".join(f"{value} rlike {_quoted(GUARDS[k])}" for k in KINDS))
 
 
-def bootstrap(mentions: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Confident (pattern, kind) and (value, kind), from mentions with pattern, value and kind.
+def bootstrap(mentions: DataFrame, rounds: int = ROUNDS) -> tuple[DataFrame, DataFrame]:
+    """Sure (pattern, kind) and (value, kind), seeds included, from mentions with pattern, value and kind.
 
-    Seeds have confidence 1 in their kind and keep it. In a round, a pattern's confidence in a kind is
-    the sum of its values' confidence divided by one more than the number of its different values, and a
-    value's is one less the product of (1 - confidence) over its patterns.
+    Seeds have confidence 1 in their kind and keep it. In a round, a pattern's confidence in a kind is the sum of
+    its sure values' confidence divided by one more than the number of its different values, if ``LEAST_VALUES`` of
+    them are sure of that kind; it is sure from ``PATTERN_FROM`` on, so of one kind only. Any other value's confidence is
+    one less the product of (1 - confidence) over its sure patterns of a kind; it is sure from ``VALUE_FROM`` on, of its best kind.
+    The rounds end early when one finds no further value.
     """
-    edges = stored(
-        mentions.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
-    sizes = edges.groupBy("pattern").agg(F.count("*").alias("values"))
-    seeds = edges.filter("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("seeds"))
-    usable = stored(
-        seeds.filter(F.col("seeds") >= LEAST_SEEDS).join(sizes, "pattern"), "pii-patterns")
-    near = stored(edges.join(usable.select("pattern").distinct(), "pattern", "left_semi"), "pii-near")
-    seed_values = near.filter("kind is not null").select("value", "kind").distinct().withColumn("sure", F.lit(1.0))
-    values = seed_values
-    patterns = None
-    for _ in range(ROUNDS):
-        gained = (
-            near.select("pattern", "value").join(values, "value")
-            .groupBy("pattern", "kind").agg(F.sum("sure").alias("gain"))
-        )
+    edges = stored(mentions.groupBy("pattern", "value").agg(F.max("kind").alias("kind")), "pii-edges")
+    sizes = stored(edges.groupBy("pattern").agg(F.count("*").alias("values")).filter(F.col("values") >= LEAST_VALUES), "pii-sizes")
+    near = edges.join(sizes.select("pattern"), "pattern", "left_semi")
+    seeds = stored(edges.filter("kind is not null").select("value", "kind").distinct().withColumn("sure", F.lit(1.0)), "pii-seeds")
+    open_ = stored(near.filter("kind is null").select("pattern", "value"), "pii-open")
+    # what seeds give a pattern is the same in all rounds
+    seeded = stored(
+        near.filter("kind is not null").groupBy("pattern", "kind").agg(F.count("*").alias("n"), F.count("*").cast("double").alias("gain")),
+        "pii-seeded")
+    values, patterns, known = None, None, -1
+    for _ in range(rounds):
+        gained = seeded
+        if values is not None:
+            more = (
+                open_.join(values, "value").groupBy("pattern", "kind")
+                .agg(F.count("*").alias("n"), F.sum("sure").alias("gain"))
+            )
+            gained = seeded.unionByName(more).groupBy("pattern", "kind").agg(F.sum("n").alias("n"), F.sum("gain").alias("gain"))
         patterns = stored(
-            usable.join(gained, ["pattern", "kind"])
-            .select("pattern", "kind", (F.col("gain") / (F.col("values") + 1)).alias("sure")), "pii-round")
-        open_ = near.filter("kind is null").select("pattern", "value")
+            gained.filter(F.col("n") >= LEAST_VALUES).join(sizes, "pattern")
+            .select("pattern", "kind", (F.col("gain") / (F.col("values") + 1)).alias("sure"))
+            .filter(F.col("sure") >= PATTERN_FROM), "pii-round")
         found = (
             open_.join(patterns, "pattern").groupBy("value", "kind")
             .agg((1 - F.exp(F.sum(F.log1p(-F.col("sure"))))).alias("sure"))
+            .groupBy("value").agg(F.max(F.struct("sure", "kind")).alias("best"))
+            .filter(F.col("best.sure") >= VALUE_FROM).select("value", "best.kind", "best.sure")
         )
-        values = stored(seed_values.unionByName(found), "pii-values")
-    return (
-        patterns.filter(F.col("sure") >= PATTERN_FROM).select("pattern", "kind"),
-        values.join(seed_values.select("value").distinct(), "value", "left_anti")
-        .filter(F.col("sure") >= VALUE_FROM).select("value", "kind"),
-    )
+        values = stored(found, "pii-values")
+        before, known = known, values.count()
+        if known == before or not known:
+            break
+    return patterns.select("pattern", "kind"), values.unionByName(seeds).select("value", "kind")
 
 
 def find(documents: DataFrame) -> DataFrame:
-    """doc_id, an array of spans (start, end, value) for each of ``KINDS``, and ``added`` of (kind, start, end).
+    """doc_id, an array of spans (start, end, value) for each of ``KINDS``, and ``added`` of (kind, start, end), of
+    these and of ``ADDED_KINDS``.
 
     Starts and ends count code points; the end is exclusive. A null text is empty. Rows with a null
     doc_id and repeated rows are taken like any other; added spans never overlap a base span. Only doc_id
@@ -209,13 +228,13 @@ def find(documents: DataFrame) -> DataFrame:
         scanned.select("doc_id", "row_key", F.explode("mentions").alias("m"))
         .select("doc_id", "row_key", "m.start", "m.end", "m.value", "m.left")
         .withColumn("kind", _kind_of("value"))
-        .filter(F.col("kind").isNotNull() | (~_some_base("value") & (F.length("value") >= LEAST_CANDIDATE)))
+        .filter(F.col("kind").isNotNull() | ~_some_base("value"))
     )
     mentions = stored(single.withColumn("pattern", F.explode(_patterns())).drop("left"), "pii-mentions")
     patterns, values = bootstrap(mentions)
     added = (
-        mentions.filter("kind is null").drop("kind")
-        .join(values, "value").join(patterns, ["pattern", "kind"])
+        mentions.filter(F.col("kind").isNull() | F.col("kind").isin(*ADDED_KINDS)).drop("kind")
+        .join(patterns, "pattern").join(values, ["value", "kind"])
         .groupBy("doc_id", "row_key").agg(F.collect_set(F.struct("kind", "start", "end")).alias("new"))
     )
     base = F.concat(*(F.expr(f"transform({k}, s -> named_struct('start', s.start, 'end', s.end))") for k in KINDS))
@@ -231,20 +250,21 @@ def find(documents: DataFrame) -> DataFrame:
 
 
 def report(documents: DataFrame) -> DataFrame:
-    """The digest of ``find``: counts by kind, base_sha256 and spans."""
+    """The digest of ``find``: counts of base spans by kind, base_sha256, all spans, and n_added, how many of them the contexts add."""
     found = find(documents)
 
     def named(kind: str, array: str) -> str:
         return f"transform({array}, s -> concat_ws(':', '{kind}', s.start, s.end))"
 
     base = reduce(lambda a, b: f"concat({a}, {b})", (named(k, k) for k in KINDS))
-    every = reduce(lambda a, b: f"concat({a}, {b})", (
-        named(k, "array_sort(concat("
-                 f"transform({k}, s -> named_struct('start', s.start, 'end', s.end)), "
-                 f"transform(filter(added, n -> n.kind = '{k}'), n -> named_struct('start', n.start, 'end', n.end))))")
-        for k in KINDS))
+    def both(kind: str) -> str:
+        base = f"transform({kind}, s -> named_struct('start', s.start, 'end', s.end)), " if kind in KINDS else ""
+        added = f"transform(filter(added, n -> n.kind = '{kind}'), n -> named_struct('start', n.start, 'end', n.end))"
+        return f"array_sort(concat({base}{added}))"
+
+    every = reduce(lambda a, b: f"concat({a}, {b})", (named(k, both(k)) for k in (*KINDS, *ADDED_KINDS)))
     return found.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(F.expr(f"array_join({base}, ',')").cast("binary"), 256).alias("base_sha256"),
-        F.expr(f"array_join({every}, ',')").alias("spans"),
+        F.expr(f"array_join({every}, ',')").alias("spans"), F.size("added").cast("long").alias("n_added"),
     )
