@@ -163,14 +163,14 @@ def test_contexts_discover_identifiers(spark):
 
 
 def test_found_values_open_further_contexts(spark):
-    """Seeds open "write to"; what is found there, without digits too, opens "reach desk", where others stand."""
+    """Seeds open "write to"; what is found there, without digits too, opens "reach desk", where others stand, and so on."""
     texts = [f"please write to: user{k}@mail.com soon" for k in range(40)]
     names = [f"{c}nn_at_host" for c in "abcdefghijkl"]
     texts += [f"now write to: {x} soon" for x in names] + [f"then reach desk {x} today" for x in names]
     texts += ["then reach desk eve_at_host today", "nothing else at eve_at_host here", "y" * 90 + "reach desk gil_at_host"]
     got = _added(spark, texts)
     assert got == brute.personal_contexts(texts, pii)
-    assert {k for k, *_ in got} == {*range(40, 65)} and (64, "email", 16, 27) in got
+    assert {k for k, *_ in got} == {*range(40, 65), 66} and (64, "email", 16, 27) in got
 
 
 def test_secrets(spark):
