@@ -335,3 +335,40 @@ def test_licences(spark):
 def test_licence_expressions(text, order, duty):
     found = license_scan.postfix(text.encode())
     assert " ".join(found) == order and license_scan.obligation(found) == duty
+
+
+@pytest.mark.parametrize(("text", "order", "duty"), [
+    (" the GNU General Public License, version 3.", "gpl", 3), (" CC BY-NC 4.0.", "cc-by-nc", 4),
+    (" either the MIT License or the Apache License 2.0, at your option", "mit apache or", 1),
+    (" (MIT or BSD-3) and GPL v2 or any later version with Classpath Exception!", "mit bsd or gpl classpath-exception with and", 2),
+    (" MIT with pleasure", "mit", 1), (" mitten", "", -1), (" (MIT", "", -1), ("", "", -1), (" our own terms", "", -1),
+])
+def test_licence_names_in_prose(text, order, duty):
+    found = license_scan.postfix(text.encode(), read=license_scan._named)
+    assert " ".join(found) == order and license_scan.obligation(found) == duty
+
+
+def _expression(rng, depth):
+    """(text, binding strength, obligation, licences) of a random expression."""
+    if not depth or rng.random() < 0.2:
+        name, label, duty = rng.choice([("MIT", "mit", 1), ("GPL", "gpl", 3), ("MPL 2.0", "mpl", 2), ("CC BY-NC 4.0", "cc-by-nc", 4),
+                                        ("the Apache License", "apache", 1), ("CC0", "cc0", 0)])
+        if rng.random() < 0.2:
+            return f"{name} with Classpath Exception", 3, max(duty - 1, 0), {label}
+        return name, 4, duty, {label}
+    strength, word, best = rng.choice([(1, "or", min), (2, "and", max)])
+    sides = [_expression(rng, depth - 1) for _ in range(2)]
+    texts = [f"({t})" if s < strength else t for t, s, *_ in sides]
+    return f"{texts[0]} {word} {texts[1]}", strength, best(sides[0][2], sides[1][2]), sides[0][3] | sides[1][3]
+
+
+def test_licence_expressions_in_documents(spark):
+    rng = random.Random(21)
+    trees = [_expression(rng, rng.randint(0, 4)) for _ in range(200)]
+    rows = [(k, f"x y. Licensed under {t}. More text follows") for k, (t, *_) in enumerate(trees)]
+    rows += [(900, "licensed under " * 3000), (901, "Licensed under " + "(" * 5000 + "MIT" + ")" * 5000)]
+    got = {r.doc_id: r for r in license_scan.report(frame(spark, rows)).collect()}
+    for k, (text, _, duty, own) in enumerate(trees):
+        assert got[k].obligation == duty and own <= set(got[k].labels.split(",")) and len(got[k].expressions) == 1, text
+    assert not got[900].expressions and got[901].expressions == ["mit"]
+    assert got[0].score > got[900].score > 0

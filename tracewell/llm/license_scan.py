@@ -1,8 +1,8 @@
 """Licence scan: an Aho-Corasick automaton for tags and phrases, and licence expressions.
 
 Each text is brought to its words, one blank apart, and the automaton reports every place of every
-phrase in one pass. At an identifier tag the original text that follows is read as a licence
-expression: a shunting-yard turns ``and``, ``or`` and ``with`` (binding with > and > or) into
+phrase in one pass. After an identifier tag and after a notice ("licensed under") the original text is read on as a licence
+expression, after a notice with licences by their names, articles and versions passed over: a shunting-yard turns ``and``, ``or`` and ``with`` (binding with > and > or) into
 postfix order, which is evaluated to the obligation the expression leaves: ``or`` lets the licensee
 choose the lighter side, ``and`` imposes the heavier one, an exception lightens its licence a step.
 """
@@ -37,10 +37,25 @@ MORE_PHRASES = {
     "cc by nc": "cc-by-nc",
     "cc by nd": "cc-by-nd",
     "cc by sa": "cc-by-sa",
-    "licensed under": "notice",
-    "released under": "notice",
 }
-TAGS = {"spdx license identifier": "tag"}
+TAGS = {"spdx license identifier": "tag", "license expression": "tag", "license id": "tag"}
+NOTICES = {
+    "licensed under": "notice", "released under": "notice", "distributed under": "notice", "available under": "notice",
+}
+
+# Names of licences in running text, in lower-case words, and their identifiers.
+NAMES = {
+    "affero general public license": "agpl", "agpl": "agpl",
+    "lesser general public license": "lgpl", "lgpl": "lgpl",
+    "general public license": "gpl", "gpl": "gpl",
+    "mozilla public license": "mpl", "mpl": "mpl",
+    "eclipse public license": "epl", "epl": "epl",
+    "apache software license": "apache", "apache": "apache",
+    "mit": "mit", "bsd": "bsd", "isc": "isc", "zlib": "zlib",
+    "cc by nc sa": "cc-by-nc-sa", "cc by nc nd": "cc-by-nc-nd", "cc by nc": "cc-by-nc", "cc by nd": "cc-by-nd",
+    "cc by sa": "cc-by-sa", "cc by": "cc-by", "cc0": "cc0", "unlicense": "unlicense",
+    "classpath exception": "classpath-exception", "linking exception": "linking-exception",
+}
 
 # Obligation of licence identifiers, by how they begin. 0 none, 1 notice, 2 changes
 # to the file, 3 works built on it, 4 use is restricted.
@@ -52,10 +67,19 @@ OBLIGATION = {
     "cc-by-nc": 4, "cc-by-nd": 4, "proprietary": 4,
 }
 
-# How strongly a label speaks for a licence statement; other labels count as the last.
-WEIGHT = {"tag": 0.9, "reserved": 0.5, "notice": 0.4, "other": 0.7}
+# How strongly a label speaks for a licence statement; other labels count as "other", an expression that was read as the last.
+WEIGHT = {"tag": 0.9, "reserved": 0.5, "notice": 0.4, "other": 0.7, "expression": 0.8}
 
 _TOKEN = re.compile(rb"[ \t]*(\(|\)|[A-Za-z0-9][A-Za-z0-9.+-]*)")
+_GAP = rb"[\s-]{1,8}"
+_PROSE = re.compile(
+    rb"[\s,]{0,8}(?:(?:either|both|the|a|an|gnu|terms|of)\b[\s,]{1,8}){0,6}(?:(?P<sign>[()])|(?P<name>"
+    + b"|".join(_GAP.join(map(str.encode, x.split())) for x in sorted(NAMES, key=len, reverse=True))
+    + rb")(?![A-Za-z0-9])(?:" + _GAP + rb"licen[cs]es?\b)?"
+    rb"(?:[\s,-]{0,8}(?:version\b|v\.?)?\s{0,8}[0-9]+(?:\.[0-9]+)*\+?(?![A-Za-z0-9]))?"
+    rb"(?:[\s,-]{0,8}(?:only|(?:or\s{1,8})?(?:any\s{1,8})?later(?:\s{1,8}version)?)\b)?"
+    rb"|(?P<binds>and|or|with)\b)", re.IGNORECASE)
+_SPACE = re.compile(rb"[ \t]*:?")
 _BINDS = {"or": 1, "and": 2, "with": 3}
 
 SCHEMA = (
@@ -64,20 +88,38 @@ SCHEMA = (
 )
 
 
-def postfix(text: bytes) -> list[str]:
-    """The licence expression at the start of ``text`` in postfix order; empty if there is none.
+def _identifier(text: bytes, at: int, end: int) -> tuple[str, int] | None:
+    """The token of an expression of identifiers at ``at``, lower-cased, and where it ends."""
+    found = _TOKEN.match(text, at, end)
+    return found and (found[1].decode().lower(), found.end())
+
+
+def _named(text: bytes, at: int, end: int) -> tuple[str, int] | None:
+    """The same in running text: a licence by its name becomes its identifier."""
+    found = _PROSE.match(text, at, end)
+    if not found:
+        return None
+    if name := found["name"]:
+        return NAMES[" ".join(re.split(r"[\s-]+", name.decode().lower()))], found.end()
+    return (found["sign"] or found["binds"]).decode().lower(), found.end()
+
+
+def postfix(text: bytes, at: int = 0, end: int | None = None, read=_identifier) -> list[str]:
+    """The licence expression of ``text`` from ``at`` on, before ``end``, in postfix order; empty if there is none.
 
-    Reading stops where an operand or operator is due and something else comes. A dangling operator
+    ``read`` gives the tokens. Reading stops where an operand or operator is due and something else comes. A dangling operator
     or an open bracket is left out with all that follows.
     """
     out: list[str] = []
     waiting: list[str] = []
-    good: list[str] = []
-    at, operand_due = 0, True
-    while found := _TOKEN.match(text, at):
-        token = found[1].decode().lower()
+    good: tuple[int, list[str]] = 0, []  # what is read so far: so many of ``out``, then these
+    open_, operand_due = 0, True
+    end = len(text) if end is None else end
+    while found := read(text, at, end):
+        token, at = found
         if operand_due and token == "(":
             waiting.append(token)
+            open_ += 1
         elif operand_due and token not in _BINDS and token != ")":
             out.append(token.rstrip("."))
             operand_due = False
@@ -86,15 +128,15 @@ def postfix(text: bytes) -> list[str]:
                 out.append(waiting.pop())
             waiting.append(token)
             operand_due = True
-        elif not operand_due and token == ")" and "(" in waiting:
+        elif not operand_due and token == ")" and open_:
             while (top := waiting.pop()) != "(":
                 out.append(top)
+            open_ -= 1
         else:
             break
-        at = found.end()
-        if not operand_due and "(" not in waiting:
-            good = [*out, *reversed(waiting)]
-    return good
+        if not operand_due and not open_:
+            good = len(out), waiting[::-1]
+    return out[: good[0]] + good[1]
 
 
 def obligation(order: list[str]) -> int:
@@ -130,7 +172,7 @@ def licences(order: list[str]) -> set[str]:
 def automaton() -> ahocorasick.Automaton:
     """Phrases between blanks -> (label, words, kind)."""
     found = ahocorasick.Automaton()
-    for kind, phrases in (("base", BASE_PHRASES), ("more", MORE_PHRASES), ("tag", TAGS)):
+    for kind, phrases in (("base", BASE_PHRASES), ("more", MORE_PHRASES), ("tag", TAGS), ("notice", NOTICES)):
         for phrase, label in phrases.items():
             found.add_word(f" {phrase} ", (label, phrase.count(" ") + 1, kind, len(phrase) + 1))
     found.make_automaton()
@@ -164,15 +206,20 @@ def _scan_rows(batches):
             found = W.words_of(piece, W.ALNUM, hashed=False)
             text, start = _spaced(found)
             hits: dict[int, tuple[list, list, list]] = {}
+            data = b""
             for last, (label, count, kind, size) in phrases.iter(text):
                 word = int(np.searchsorted(start, last - size + 1))
                 r = int(found.row[word])
                 own, read, duty = hits.setdefault(r, ([], [], []))
                 at = word - int(found.first[r])
                 own.append({"label": label, "word": at, "base": kind == "base"})
-                if kind == "tag":
-                    rest = piece.data[found.end[word + count - 1]: piece.offsets[r + 1]].tobytes()
-                    order = postfix(rest.lstrip(b" \t").removeprefix(b":"))
+                if kind in ("tag", "notice"):
+                    data = data or piece.data.tobytes()
+                    begin, end = int(found.end[word + count - 1]), int(piece.offsets[r + 1])
+                    if kind == "tag":
+                        order = postfix(data, _SPACE.match(data, begin, end).end(), end)
+                    else:
+                        order = postfix(data, begin, end, _named)
                     if order:
                         read.append(" ".join(order))
                         duty.append(obligation(order))
@@ -180,7 +227,7 @@ def _scan_rows(batches):
             sizes.extend(np.diff(found.first).tolist())
             for r in range(piece.rows):
                 own, read, duty = hits.get(r, ((), (), ()))
-                rest = 1.0
+                rest = 1 - WEIGHT["expression"] if read else 1.0
                 for label in {p["label"] for p in own}:
                     rest *= 1 - WEIGHT.get(label, WEIGHT["other"])
                 places.append(sorted(own, key=lambda p: (p["word"], p["label"])))
@@ -199,8 +246,8 @@ def _scan_rows(batches):
 def scan(documents: DataFrame) -> DataFrame:
     """doc_id, n_words, places, expressions, obligation and score of every row of ``documents``.
 
-    ``places`` lists every phrase with the number of its first word; ``expressions`` those found at
-    tags, in postfix order, and ``obligation`` the heaviest of them (null without any). The score is
+    ``places`` lists every phrase with the number of its first word; ``expressions`` those found after
+    tags and notices, in postfix order, and ``obligation`` the heaviest of them (null without any). The score is
     0 without a place. Null and empty texts have no words. Rows are taken one by one, so repeated
     rows, null ids and further columns make no difference.
     """
