@@ -272,6 +272,36 @@ def test_best_fit(lengths):
     assert sum(final) + 2 * len(final) <= opened
 
 
+def _least_cost(lengths, capacities, overhead):
+    """The cost of the best packing there is, over all ways to share the pieces out."""
+    subsets = range(1 << len(lengths))
+    total = [sum(n for k, n in enumerate(lengths) if s >> k & 1) for s in subsets]
+    cost = [0] * len(subsets)
+    for s in subsets[1:]:
+        part, options = s, []
+        while part:  # the bin of the first piece left
+            if part & (s & -s) and total[part] <= capacities[-1]:
+                options.append(cost[s ^ part] + overhead + next(c for c in capacities if c >= total[part]))
+            part = (part - 1) & s
+        cost[s] = min(options)
+    return cost[-1]
+
+
+def test_best_fit_near_the_optimum():
+    rng, capacities = random.Random(9), [8, 16, 64]
+    got, optimum, exact = 0, 0, 0
+    for _ in range(300):
+        lengths = sorted((rng.randint(1, rng.choice([6, 20, 64])) for _ in range(rng.randint(1, 8))), reverse=True)
+        final = packing.pack_jointly(lengths, capacities, 2)[2]
+        cost, least = sum(final) + 2 * len(final), _least_cost(lengths, capacities, 2)
+        assert cost >= least
+        for c in capacities:
+            plain = packing.best_fit(lengths, packing.at_least(lengths, capacities, c))[2]
+            assert cost <= sum(next(x for x in capacities if x >= f) + 2 for f in plain)
+        got, optimum, exact = got + cost, optimum + least, exact + (cost == least)
+    assert got <= 1.03 * optimum and exact >= 200, (got / optimum, exact)
+
+
 def test_packing_is_whole(spark):
     rng = random.Random(8)
     rows = [(k, " ".join("w" for _ in range(rng.choice((0, 1, 40, 700, 9000))))) for k in range(60)] + [(3, "a b"), (3, "a b"), (None, "x"), (99, None)]

@@ -2,10 +2,11 @@
 
 Documents are cut into pieces of at most the largest capacity; pieces go into bins of several permitted
 capacities, longest first, each into the open bin that it leaves least room in. When none has room a
-bin is opened. Which capacity to open is settled jointly for all pieces of a shard: for every permitted
-capacity the shard is packed opening bins of at least that capacity, each bin is then downsized to the least
-capacity that holds its contents, and the packing of least cost counts. A bin costs its capacity
-plus a fixed overhead.
+bin is opened, of the capacity that costs least for each word that goes into it: for every permitted capacity the bin is
+filled on trial with the pieces still to come, the longest that fits first, and downsized. A bin costs its capacity
+plus a fixed overhead. As the trial looks at one bin only, each shard is packed with a fixed least capacity too, once for every permitted
+one; in all packings each bin is at last downsized to the least capacity that holds its contents, and the packing of least
+cost counts.
 
 Pieces are dealt to shards of about ``SHARD_LENGTH`` by a hash of all that tells them apart, copies of a row
 numbered, so no source or document makes a shard larger than others. The number of shards grows with
@@ -15,6 +16,7 @@ the input and each is packed in one task.
 from __future__ import annotations
 
 import bisect
+from collections.abc import Callable
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -27,25 +29,22 @@ OVERHEAD = 16
 SHARD_LENGTH = 4_000_000
 
 
-def best_fit(lengths: list[int], capacities: list[int], least: int) -> tuple[list[int], list[int], list[int]]:
+def best_fit(lengths: list[int], opening: Callable[[int], int]) -> tuple[list[int], list[int], list[int]]:
     """(bin, offset) of each length in the given order, and the contents of each bin.
 
-    A new bin has the least capacity that is at least ``least`` and holds the piece; of bins with
+    ``opening`` gives the capacity of a bin opened for the piece at a place in the order; of bins with
     equal room the one opened first is taken.
     """
     room: list[tuple[int, int]] = []
     filled: list[int] = []
-    size: list[int] = []
     bins, offsets = [], []
-    for n in lengths:
+    for place, n in enumerate(lengths):
         at = bisect.bisect_left(room, (n, -1))
         if at < len(room):
             left, k = room.pop(at)
         else:
-            k = len(filled)
-            left = next(c for c in capacities if c >= max(n, least))
+            k, left = len(filled), opening(place)
             filled.append(0)
-            size.append(left)
         bins.append(k)
         offsets.append(filled[k])
         filled[k] += n
@@ -54,11 +53,45 @@ def best_fit(lengths: list[int], capacities: list[int], least: int) -> tuple[lis
     return bins, offsets, filled
 
 
+def at_least(lengths: list[int], capacities: list[int], least: int) -> Callable[[int], int]:
+    """Opens the least capacity that is at least ``least`` and holds the piece."""
+    return lambda place: next(c for c in capacities if c >= max(lengths[place], least))
+
+
+def cheapest(lengths: list[int], capacities: list[int], overhead: int) -> Callable[[int], int]:
+    """Opens the capacity of least cost for a word, filled on trial with pieces from this one on; ``lengths`` descend."""
+    falling = [-n for n in lengths]
+
+    def filled(place: int, room: int) -> int:
+        whole = room
+        while room and (place := bisect.bisect_left(falling, -room, place)) < len(falling):
+            n = -falling[place]
+            after = bisect.bisect_right(falling, -n, place)
+            taken = min(after - place, room // n)
+            room -= taken * n
+            place = after
+        return whole - room
+
+    def opening(place: int) -> int:
+        best = None
+        for c in capacities:
+            if c >= lengths[place]:
+                words = filled(place, c)
+                cost = capacities[bisect.bisect_left(capacities, words)] + overhead
+                # cost / words < best cost / best words, in integers
+                if best is None or cost * best[1] < best[0] * words:
+                    best = (cost, words, c)
+        return best[2]
+
+    return opening
+
+
 def pack_jointly(lengths: list[int], capacities: list[int], overhead: int):
-    """The packing of least cost over all permitted least capacities: bins, offsets, downsized capacities."""
+    """The packing of least cost over all rules of opening: bins, offsets, downsized capacities. ``lengths`` descend."""
     best = None
-    for least in capacities:
-        bins, offsets, filled = best_fit(lengths, capacities, least)
+    rules = [cheapest(lengths, capacities, overhead), *(at_least(lengths, capacities, c) for c in capacities)]
+    for opening in rules:
+        bins, offsets, filled = best_fit(lengths, opening)
         final = [capacities[bisect.bisect_left(capacities, f)] for f in filled]
         cost = sum(final) + overhead * len(final)
         if best is None or cost < best[0]:
@@ -120,7 +153,8 @@ def pack(documents: DataFrame, capacities=CAPACITIES, overhead: int = OVERHEAD,
 def sequences(packed: DataFrame, documents: DataFrame) -> DataFrame:
     """(shard, bin, capacity, texts): the pieces' words, one blank apart, in the order they are packed in.
 
-    For documents measured in words, with different ids.
+    For documents measured in words, with different ids. Pieces of a null doc_id, which no join meets, have no text
+    here, and documents without a piece, null and empty ones among them, are left out.
     """
     words = F.filter(F.split("text", r"[ \t\n\x0B\f\r]+"), lambda w: w != "")
     pieces = packed.join(documents.select("doc_id", words.alias("words")), "doc_id")
