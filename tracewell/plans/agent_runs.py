@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracewell.functions import sql
 from tracewell.functions import templates as T
 from tracewell.functions.text import clip_for_console
 from tracewell.operators import conversations as C
@@ -93,6 +94,20 @@ def bash_commands(spark, sf):
     return J.command_rows(V.agent_replies(spark, sf))
 
 
+@query("bash_commands_sql", replies_sql("SELECT trial_id, iteration, cmd_idx, cmd FROM run"))
+def bash_commands_sql(spark, sf):
+    sql.register(spark)
+    return spark.sql("""
+        WITH stops AS (
+          SELECT trial_id, min(iteration) AS stop FROM {replies} WHERE signals_completion(reply) GROUP BY trial_id),
+        executed AS (
+          SELECT r.trial_id, r.iteration, fenced_commands(r.reply) AS own
+          FROM {replies} r LEFT JOIN stops s ON s.trial_id = r.trial_id
+          WHERE (stop IS NULL OR r.iteration <= stop) AND turn_class(r.reply, NULL) = 'execute')
+        SELECT trial_id, iteration, CAST(at + 1 AS BIGINT) AS cmd_idx, cmd FROM executed LATERAL VIEW posexplode(own) AS at, cmd""",
+        replies=V.agent_replies(spark, sf))
+
+
 @query("turn_classes", replies_sql(
     "SELECT trial_id, iteration, n_commands, turn_class FROM classed"))
 def turn_classes(spark, sf):
