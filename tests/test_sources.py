@@ -280,3 +280,24 @@ def test_sync_reads_only_what_changed(spark, tmp_path):
     assert plain(run) == plain(A.RunFolder(spark, root)) and A.results(run).count() == 2
     assert sorted(map(tuple, run.presence().collect())) == sorted(map(tuple, A.RunFolder(spark, root).presence().collect()))
     assert A.job_log(run).count() == 0 and A.job_log(A.RunFolder(spark, root)).count() == 0
+
+
+def test_packed_rows_are_not_sorted_by_kind(spark, tmp_path):
+    """Tasks may keep a file open for each kind, so that no task sorts all its bodies; the setting ends with the write."""
+    from pyspark import TaskContext
+
+    setting = "spark.sql.maxConcurrentOutputFileWriters"
+    seen = F.udf(lambda _: TaskContext.get().getLocalProperty(setting) or "0", "string")
+    kinds = [*A.TRIAL_FILES, f"{A.JOB}{A.CONFIG}", f"{A.JOB}{A.JOB_LOG}"]
+    rows = spark.range(3 * len(kinds), numPartitions=1).select(
+        F.col("id").cast("string").alias("trial_name"),
+        F.element_at(F.array(*[F.lit(k) for k in kinds]), (F.col("id") % len(kinds) + 1).cast("int")).alias("file"),
+        F.concat(F.col("id").cast("string"), F.lit(":"), seen("id")).alias("body"))
+    before = spark.conf.get(setting)
+    A.write_packed(rows, str(tmp_path / "packed"))
+    assert spark.conf.get(setting) == before
+    run = A.PackedRun(spark, str(tmp_path / "packed"))
+    for k, name in enumerate(kinds):
+        got = {tuple(r) for r in run.bodies(name).collect()}
+        assert {(n, b.split(":")[0]) for n, b in got} == {(str(i), str(i)) for i in range(k, 3 * len(kinds), len(kinds))}
+        assert all(int(b.split(":")[1]) >= len(kinds) for _, b in got)
