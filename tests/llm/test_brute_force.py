@@ -402,3 +402,49 @@ def test_licence_expressions_in_documents(spark):
         assert got[k].obligation == duty and own <= set(got[k].labels.split(",")) and len(got[k].expressions) == 1, text
     assert not got[900].expressions and got[901].expressions == ["mit"]
     assert got[0].score > got[900].score > 0
+
+
+def test_groups_of_substrings_by_force():
+    """Two, some and many suffixes with one anchor, against all of their strings; none is sliced twice for a smaller group."""
+    rng = random.Random(1)
+    for size in [2] * 400 + [3, 9] * 100 + [substring_dedup.FEW + 5] * 5:
+        anchor, after, before = (bytes(rng.choice(b"ab") for _ in range(n)) for n in (16, 34, 34))
+        group: dict[bytes, list] = {}
+        while len(group) < size:
+            a, b = bytearray(after), bytearray(before)
+            for part in (a, b):
+                if rng.random() < 0.7:
+                    part[rng.randrange(34)] = rng.choice(b"cdefgh")
+            n = rng.randint(16, 50)
+            suffix = (anchor + a)[:n] + b[: rng.randint(50 - n, 34)] + bytes((n,))
+            group[suffix] = [suffix, rng.randint(1, 2), rng.random() < 0.3]
+        seen: dict[tuple, list] = {}
+        strings = []
+        for suffix, low, several in group.values():
+            head, tail = substring_dedup._stretch(suffix)
+            whole = head + tail
+            for k in range(len(whole) - 49):
+                key = (len(head) - k, whole[k: k + 50])
+                seen.setdefault(key, []).append((low, several))
+                strings.append((whole, len(head), k, key))
+        want = set()
+        for whole, head, k, key in strings:
+            lows = {low for low, _ in seen[key]}
+            if len(lows) > 1 or any(several for _, several in seen[key]):
+                want.add((whole, head, k, min(lows)))
+        out: list[tuple] = []
+        substring_dedup._group_rows(list(group.values()), out)
+        got = [(whole, head, k, low) for whole, head, first, last, low in out for k in range(first, last + 1)]
+        assert len(got) == len(set(got)) and set(got) == want
+
+
+def test_pairs_of_suffixes_are_not_sliced(monkeypatch):
+    """Most groups have two suffixes; what they share is told without looking at each of their strings."""
+    looked = []
+    common = getattr(substring_dedup, "_common", None)
+    monkeypatch.setattr(substring_dedup, "_common", lambda a, b: looked.append(1) or common(a, b), raising=False)
+    text = bytes(range(60, 120))
+    out: list[tuple] = []
+    group = [[text[:45] + text[45:n] + bytes((45,)), low, False] for n, low in ((60, 3), (55, 1))]
+    substring_dedup._group_rows(group, out)
+    assert len(looked) == 2 and {row[4] for row in out} == {1}

@@ -40,6 +40,10 @@ GRAM = 16
 #: Bytes of text for each bucket of anchors, and bytes of text that make the runs of a task.
 BUCKET_BYTES = 8 << 20
 RUN_BYTES = 16 << 20
+#: Bytes of text whose stretches are sought at a time: their hashes stay in a core's cache.
+STRETCH_BYTES = 1 << 16
+#: Suffixes with one anchor whose strings are held all at once.
+FEW = 64
 #: Bytes of text to an anchor, about.
 ANCHOR_BYTES = 17
 
@@ -139,7 +143,7 @@ def stretch_codes(stretches: list[bytes], before: list[int]) -> tuple[np.ndarray
 def _anchor_hashes(batch) -> np.ndarray:
     """The longer hashes of the anchors of each text, once for a text."""
     out = [np.zeros(0, dtype=np.uint64)]
-    for piece in W.pieces(batch.column(0)):
+    for piece in W.pieces(batch.column(0), STRETCH_BYTES):
         own = Stretches(piece)
         for hashes in (own.after, own.ahead):
             some = hashes != 0
@@ -187,7 +191,7 @@ def _runs_of(part: W.Piece, ids: np.ndarray, known, bucket_power: int):
     found = []
     row = 0
     while row < part.rows:
-        last = int(np.searchsorted(part.offsets, part.offsets[row] + W.PIECE_BYTES, "right")) - 1
+        last = int(np.searchsorted(part.offsets, part.offsets[row] + STRETCH_BYTES, "right")) - 1
         last = min(max(last, row + 1), part.rows)
         base = part.offsets[row]
         own = Stretches(W.Piece(row, part.data[base: part.offsets[last]], part.offsets[row: last + 1] - base))
@@ -328,6 +332,42 @@ def _stretch(suffix: bytes) -> tuple[bytes, bytes]:
     return suffix[n:-1][::-1], suffix[:n]
 
 
+def _common(a: bytes, b: bytes) -> int:
+    """Bytes of the common prefix."""
+    low, high = 0, min(len(a), len(b))
+    if a[:high] == b[:high]:
+        return high
+    while high - low > 1:
+        middle = (low + high) // 2
+        if a[low:middle] == b[low:middle]:
+            low = middle
+        else:
+            high = middle
+    return low
+
+
+def _pair_rows(one: list, two: list, out: list[tuple]) -> None:
+    """``_group_rows`` for two suffixes: what their stretches share is one run of strings, told by the bytes both have on
+    each side of the start of the anchor."""
+    (x, low_x, several_x), (y, low_y, several_y) = one, two
+    n, m = x[-1], y[-1]
+    first = max(LENGTH - _common(x[:n], y[:m]), 0)
+    last = _common(x[n:-1], y[m:-1])
+    both = (min(low_x, low_y), several_x or several_y or low_x != low_y)
+    for suffix, n, own in ((x, n, (low_x, several_x)), (y, m, (low_y, several_y))):
+        before = len(suffix) - 1 - n
+        whole, end = suffix[n:-1][::-1] + suffix[:n], before + n - LENGTH
+        # strings go by how far before the anchor they begin
+        begin, stop = max(before - last, 0), min(before - first, end)
+        if begin > stop or both == own:
+            runs = ((0, end, own),)
+        else:
+            runs = ((0, begin - 1, own), (begin, stop, both), (stop + 1, end, own))
+        for lo, hi, (low, several) in runs:
+            if several and lo <= hi:
+                out.append((whole, before, lo, hi, low))
+
+
 def _group_rows(group: list[list], out: list[tuple]) -> None:
     """For suffixes with one anchor: (stretch, bytes before, first and last string, least doc) where a
     string is in several documents."""
@@ -338,13 +378,29 @@ def _group_rows(group: list[list], out: list[tuple]) -> None:
         before, after = _stretch(group[0][0])
         out.append((before + after, len(before), 0, len(before) + len(after) - LENGTH, low))
         return
+    if len(group) == 2:
+        _pair_rows(*group, out)
+        return
     stretches = []
     for suffix, _, _ in group:
         before, after = _stretch(suffix)
         stretches.append((before + after, len(before), [None] * (len(before) + len(after) - LENGTH + 1)))
-    # strings that begin equally far before the anchor are looked at together, and only those are held
     results: dict[tuple[int, bool], tuple[int, bool]] = {}
-    for ahead in range(LENGTH - GRAM + 1):
+    if len(group) <= FEW:
+        by_ahead: list[dict[bytes, tuple[int, bool]]] = [{} for _ in range(LENGTH - GRAM + 1)]
+        held = []
+        for (whole, before, own), (_, low, several) in zip(stretches, group):
+            tables = [by_ahead[before - k] for k in range(len(own))]
+            keys = [whole[k: k + LENGTH] for k in range(len(own))]
+            held.append((own, tables, keys))
+            for strings, key in zip(tables, keys):
+                seen = strings.setdefault(key, (low, several))
+                if seen[0] != low or several and not seen[1]:
+                    strings[key] = (min(seen[0], low), True)
+        for own, tables, keys in held:
+            own[:] = [strings[key] for strings, key in zip(tables, keys)]
+    # in larger groups strings that begin equally far before the anchor are looked at together, and only those are held
+    for ahead in range(LENGTH - GRAM + 1) if len(group) > FEW else ():
         strings: dict[bytes, tuple[int, bool]] = {}
         inside = [(x, before - ahead, low, several) for (x, before, own), (_, low, several) in zip(stretches, group)
                   if 0 <= before - ahead < len(own)]
@@ -418,19 +474,30 @@ def _occurrence_rows(sent):
     def run(batches):
         known = sent.value
         for batch in batches:
-            for piece in W.pieces(batch.column(0)):
+            found, size = [], 0
+            for piece in W.pieces(batch.column(0), STRETCH_BYTES):
                 own = Stretches(piece)
                 own.keep_known(known)
-                rows = pa.array(own.row + piece.first_row)
                 code, mark = own.codes() if len(own.row) else (own.row, own.row)
-                at = own.start - piece.offsets[own.row]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(code), pa.array((mark << 40) | at), batch.column(1).take(rows), batch.column(2).take(rows)],
-                    names=["code", "place", "doc_id", "row_key"])
+                found.append((code, (mark << 40) | (own.start - piece.offsets[own.row]), own.row + piece.first_row))
+                size += len(piece.data)
+                if size >= W.PIECE_BYTES:
+                    yield _place_rows(batch, found)
+                    found, size = [], 0
+            if found:
+                yield _place_rows(batch, found)
 
     return run
 
 
+def _place_rows(batch, found: list[tuple]) -> pa.RecordBatch:
+    code, place, row = (np.concatenate(x) for x in zip(*found))
+    rows = pa.array(row)
+    return pa.RecordBatch.from_arrays(
+        [pa.array(code), pa.array(place), batch.column(1).take(rows), batch.column(2).take(rows)],
+        names=["code", "place", "doc_id", "row_key"])
+
+
 def _removal_rows(batches):
     for batch in batches:
         data, offsets = W.flat_text(batch.column(0))
