@@ -34,7 +34,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tracewell.llm import words as W
-from tracewell.llm.components import components
+from tracewell.llm.components import as_edges, components
 from tracewell.llm.tables import stored
 from tracewell.llm.tiles import blocks_of, edges, runs, tiles_of
 
@@ -130,13 +130,13 @@ def _confirm_rows(percent: int):
 
 
 def _confirmed(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) whose full sets are similar enough."""
+    """Pairs (a, b) whose full sets are similar enough; one for each two texts of the documents."""
     sides = (
         pairs.hint("merge").join(texts.select(F.col("doc_id").alias("a"), F.col("text").alias("text_a")), "a")
         .hint("merge").join(texts.select(F.col("doc_id").alias("b"), F.col("text").alias("text_b")), "b")
         .select("a", "b", "text_a", "text_b")
     )
-    return sides.mapInArrow(_confirm_rows(percent), "a long, b long").distinct()
+    return sides.mapInArrow(_confirm_rows(percent), "a long, b long")
 
 
 def _alike_in_tile(tile: pa.Table):
@@ -190,9 +190,13 @@ def links(documents: DataFrame, sketches: DataFrame, percent: int = SIMILARITY_P
     """Edges (a, b) that connect exactly the documents connected by similar pairs."""
     real = sketches.filter("doc_id is not null and n_shingles > 0")
     nodes = real.groupBy("set_key").agg(F.min("doc_id").alias("node"))
-    placed = real.select("doc_id", "set_key", "bands", "small").join(nodes, "set_key")
+    first = F.col("doc_id") == F.col("node")
+    placed = stored(
+        real.select("doc_id", "set_key", "bands", "small").join(nodes, "set_key")
+        .select("doc_id", "node", F.when(first, F.col("bands")).alias("bands"), F.when(first, F.col("small")).alias("small")),
+        "sketches")
     twins = placed.filter("doc_id <> node").select(F.col("doc_id").alias("a"), F.col("node").alias("b"))
-    own = stored(placed.filter("doc_id = node").select(F.col("doc_id").alias("doc"), "bands", "small"), "sketches")
+    own = placed.filter("doc_id = node").select(F.col("doc_id").alias("doc"), "bands", "small")
 
     banded = own.select("doc", F.explode("bands").alias("h"))
     shared = (
@@ -211,14 +215,16 @@ def links(documents: DataFrame, sketches: DataFrame, percent: int = SIMILARITY_P
     stars = members.filter("doc <> least").groupBy("doc").agg(F.min("least").alias("least"))
     asked = _alike(stars.select(F.col("doc").alias("a"), F.col("least").alias("b")), small)
     first = stored(_confirmed(asked, texts, percent), "links")
-    where = _placed(members, first)
+    reached = components(first, "reached")
+    where = _placed(members, reached)
     stars = where.filter("doc <> least and comp <> least_comp").select(
         F.col("doc").alias("a"), F.col("least").alias("b")).distinct()
     stars = stars.join(asked, ["a", "b"], "left_anti")
     asked = stored(asked.unionByName(_alike(stars, small)), "stars")
-    second = stored(first.unionByName(_confirmed(asked.join(first, ["a", "b"], "left_anti"), texts, percent)), "links")
-
-    where = _placed(members, second)
+    # the stars of the components so far stand for the links that made them
+    second = _confirmed(asked.join(first, ["a", "b"], "left_anti"), texts, percent)
+    reached = components(as_edges(reached).unionByName(second), "reached")
+    where = _placed(members, reached)
     mixed = (
         where.groupBy("h").agg(F.min("comp").alias("c0"), F.max("comp").alias("c1"), F.count("*").alias("n"))
         .filter("c0 < c1").select("h", blocks_of(F.col("n")))
@@ -230,15 +236,14 @@ def links(documents: DataFrame, sketches: DataFrame, percent: int = SIMILARITY_P
     near = stored(near.select(F.col("component").alias("key"), F.col("node").alias("doc")), "alike-groups")
     sizes = near.groupBy("key").agg(blocks_of(F.count("*")))
     tiles = tiles_of(
-        near.join(sizes, "key").join(where.select("doc", "comp").distinct(), "doc").join(small, "doc")
+        near.join(sizes, "key").join(where.groupBy("doc").agg(F.min("comp").alias("comp")), "doc").join(small, "doc")
         .join(texts.withColumnRenamed("doc_id", "doc"), "doc"))
     third = tiles.mapInArrow(_similar_edges(percent), "a long, b long")
-    return twins.unionByName(second).unionByName(third)
+    return twins.unionByName(as_edges(reached)).unionByName(third)
 
 
-def _placed(members: DataFrame, edges: DataFrame) -> DataFrame:
+def _placed(members: DataFrame, reached: DataFrame) -> DataFrame:
     """``members`` with the components of the document and of its bucket's least document."""
-    reached = components(edges, "reached")
     return stored(
         members.join(reached.select(F.col("node").alias("doc"), F.col("component").alias("c")), "doc", "left")
         .join(reached.select(F.col("node").alias("least"), F.col("component").alias("d")), "least", "left")
